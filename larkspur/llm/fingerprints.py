@@ -1,7 +1,7 @@
 r"""Document fingerprints as invertible Bloom lookup sketches.
 
 A document is the set of its passages (lines, cut further behind sentences). Each passage has
-a 64-bit digest whose low 16 bits check the other 48. A sketch has three rows of cells; a digest
+a 64-bit digest whose low 24 bits check the other 40. A sketch has three rows of cells; a digest
 is added to one cell of each row, which keeps a count and the XOR of its digests. Subtracting
 two sketches leaves the differing digests only: cells with a count of one and a digest that passes
 its check are peeled until nothing is left, which recovers what either side has alone. Where
@@ -29,6 +29,8 @@ ROW_CELLS = 21
 CELLS = 3 * ROW_CELLS
 #: Peeling passes over one sketch; a pass without any pure cell costs nothing more.
 PASSES = 24
+#: Low bits of a digest that check its other bits.
+CHECK_BITS = 24
 #: Digests are divided over that many times more sketches after a failure.
 GROWTH = 4
 
@@ -36,10 +38,17 @@ GROWTH = 4
 def digests(text: Column) -> Column:
     """The distinct passage digests of a text, in order of first appearance."""
     parts = F.filter(F.split(text, PASSAGE_END), lambda p: F.trim(p) != "")
-    short = F.transform(parts, lambda p: F.shiftrightunsigned(F.xxhash64(p), 16))
-    return F.array_distinct(
-        F.transform(short, lambda d: F.shiftleft(d, 16).bitwiseOR(F.xxhash64(d).bitwiseAND(F.lit(65535))))
-    )
+    short = F.transform(parts, lambda p: F.shiftrightunsigned(F.xxhash64(p), CHECK_BITS))
+    return F.array_distinct(F.transform(short, lambda d: F.shiftleft(d, CHECK_BITS).bitwiseOR(_check(d))))
+
+
+def _check(short: Column) -> Column:
+    return F.xxhash64(short).bitwiseAND(F.lit(2**CHECK_BITS - 1))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _cells_of(digest: Column, salt: Column) -> list[Column]:
@@ -57,19 +66,21 @@ def _item(digest: Column, sign: Column, salt: Column) -> Column:
     )
 
 
-def _put(cells: Column, at: Column, value: Column) -> Column:
-    return F.concat(F.slice(cells, F.lit(1), at - 1), F.array(value), F.slice(cells, at + 1, F.lit(CELLS)))
+def _put(cells: Column, at: list[Column], values: list[Column]) -> Column:
+    """The array with the values at three increasing places."""
+    parts, last = [], F.lit(0)
+    for place, value in zip(at, values):
+        parts += [F.slice(cells, last + 1, place - last - 1), F.array(value)]
+        last = place
+    return F.concat(*parts, F.slice(cells, last + 1, F.lit(CELLS)))
 
 
 def _add(sketch: Column, item: Column, sign: int = 1) -> Column:
     """The sketch with an item added (or with ``sign`` -1 taken out)."""
-    n, x = sketch["n"], sketch["x"]
-    counts, xors = n, x
-    for i in range(3):
-        at = item[f"c{i}"]
-        counts = _put(counts, at, F.element_at(n, at) + item["s"] * sign)
-        xors = _put(xors, at, F.element_at(x, at).bitwiseXOR(item["d"]))
-    return F.struct(counts.alias("n"), xors.alias("x"))
+    at = [item[f"c{i}"] for i in range(3)]
+    counts = [F.element_at(sketch["n"], c) + item["s"] * sign for c in at]
+    xors = [F.element_at(sketch["x"], c).bitwiseXOR(item["d"]) for c in at]
+    return F.struct(_put(sketch["n"], at, counts).alias("n"), _put(sketch["x"], at, xors).alias("x"))
 
 
 def sketch(keys: Column, salt: Column) -> Column:
@@ -83,20 +94,17 @@ def sketch(keys: Column, salt: Column) -> Column:
 
 def encode(sk: Column) -> Column:
     """The sketch as text: per cell its count, then its XOR in hexadecimal (empty where zero)."""
-    return F.array_join(
-        F.zip_with(
-            sk["n"],
-            sk["x"],
-            lambda n, x: F.when((n == 0) & (x == 0), F.lit("")).otherwise(F.concat(n.cast("string"), F.lit(":"), F.hex(x))),
-        ),
-        ",",
-    )
+    cell = lambda n, x: F.when((n == 0) & (x == 0), "").otherwise(F.concat(n.cast("string"), F.lit(":"), F.hex(x)))
+    return _let(sk, lambda v: F.array_join(F.zip_with(v["n"], v["x"], cell), ","))
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.struct(
-        F.zip_with(a["n"], b["n"], lambda p, q: p - q).alias("n"),
-        F.zip_with(a["x"], b["x"], lambda p, q: p.bitwiseXOR(q)).alias("x"),
+    return _let(
+        F.struct(a.alias("a"), b.alias("b")),
+        lambda v: F.struct(
+            F.zip_with(v["a"]["n"], v["b"]["n"], lambda p, q: p - q).alias("n"),
+            F.zip_with(v["a"]["x"], v["b"]["x"], lambda p, q: p.bitwiseXOR(q)).alias("x"),
+        ),
     )
 
 
@@ -104,7 +112,7 @@ def peel(difference: Column, salt: Column) -> Column:
     """``struct<n, x, found:array<item>>`` after peeling; all cells are zero if it succeeded."""
 
     def passed(d: Column) -> Column:
-        return F.xxhash64(F.shiftrightunsigned(d, 16)).bitwiseAND(F.lit(65535)) == d.bitwiseAND(F.lit(65535))
+        return _check(F.shiftrightunsigned(d, CHECK_BITS)) == d.bitwiseAND(F.lit(2**CHECK_BITS - 1))
 
     def one_pass(state: Column, _) -> Column:
         pairs = F.zip_with(
@@ -114,32 +122,34 @@ def peel(difference: Column, salt: Column) -> Column:
         )
         pure = F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
         items = F.transform(pure, lambda p: _item(p["d"], p["s"], salt))
-        return F.aggregate(
-            items,
-            state,
-            lambda acc, item: F.struct(
-                _add(acc, item, -1)["n"].alias("n"),
-                _add(acc, item, -1)["x"].alias("x"),
-                F.concat(acc["found"], F.array(item)).alias("found"),
-            ),
+        peeled = F.aggregate(
+            items, F.struct(state["n"].alias("n"), state["x"].alias("x")), lambda acc, item: _add(acc, item, -1)
+        )
+        return _let(
+            F.struct(peeled.alias("p"), F.concat(state["found"], pure).alias("f"), F.size(pure).alias("k")),
+            lambda v: F.struct(v["p"]["n"].alias("n"), v["p"]["x"].alias("x"), v["f"].alias("found"), v["k"].alias("k")),
         )
 
-    start = F.struct(difference["n"].alias("n"), difference["x"].alias("x"), F.slice(_no_items(salt), 1, 0).alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, one_pass)
-
-
-def _no_items(salt: Column) -> Column:
-    return F.array(_item(F.lit(0).cast("long"), F.lit(1), salt))
+    none = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("d"), F.lit(1).alias("s"))), lambda _: F.lit(False))
+    start = _let(
+        difference,
+        lambda v: F.struct(v["n"].alias("n"), v["x"].alias("x"), none.alias("found"), F.lit(1).alias("k")),
+    )
+    # a pass that peels nothing is the last one that does anything
+    step = lambda state, i: F.when(state["k"] == 0, state).otherwise(one_pass(state, i))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, step)
 
 
 def _outcome(a: Column, b: Column, salt: Column) -> Column:
     """``struct<ok, a_only, b_only>`` of two arrays of digests, through their sketches."""
-    state = peel(subtract(sketch(a, salt), sketch(b, salt)), salt)
-    side = lambda s: F.transform(F.filter(state["found"], lambda f: f["s"] == s), lambda f: f["d"])
-    return F.struct(
-        (F.forall(state["n"], lambda n: n == 0) & F.forall(state["x"], lambda x: x == 0)).alias("ok"),
-        side(1).alias("a_only"),
-        side(-1).alias("b_only"),
+    side = lambda v, s: F.transform(F.filter(v["found"], lambda f: f["s"] == s), lambda f: f["d"])
+    return _let(
+        peel(subtract(sketch(a, salt), sketch(b, salt)), salt),
+        lambda v: F.struct(
+            (F.forall(v["n"], lambda n: n == 0) & F.forall(v["x"], lambda x: x == 0)).alias("ok"),
+            F.array_except(side(v, 1), side(v, -1)).alias("a_only"),
+            F.array_except(side(v, -1), side(v, 1)).alias("b_only"),
+        ),
     )
 
 

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat_format, exact_dedup, fingerprints, mixing, url_filter
-from larkspur.llm.shared import table, text_or_empty, written
+from larkspur.llm import (
+    chat_format,
+    exact_dedup,
+    fingerprints,
+    language_id,
+    mixing,
+    quality,
+    toxicity,
+    url_filter,
+)
+from larkspur.llm.shared import crc_remainder, table, written
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +110,44 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, modulus=3, held_out=1)
+    return _scored(docs, quality.score(docs["text"], model, docs), 3, 1, 0.5)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, modulus=4, held_out=2)
+    return _scored(docs, toxicity.score(docs["text"], model, docs), 4, 2, toxicity.THRESHOLD)
+
+
+def _scored(docs: DataFrame, score, modulus: int, held_out: int, threshold: float) -> DataFrame:
+    return docs.select(
+        "doc_id", (crc_remainder(docs["doc_id"], modulus) == held_out).alias("held_out"), score.alias("score")
+    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, modulus=4, held_out=2)
+    return docs.select(
+        "doc_id",
+        (crc_remainder(docs["doc_id"], 4) == 2).alias("held_out"),
+        language_id.predict(docs["text"], model, docs).alias("p"),
+    ).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 QUERIES = {
-    f.__name__: f for f in (op3_chat_formatting, op5_exact_dedup, op6_url_filters, op7_mixing, op8_fingerprints)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op3_chat_formatting,
+        op5_exact_dedup,
+        op6_url_filters,
+        op7_mixing,
+        op8_fingerprints,
+        op9_toxicity,
+        op10_language_id,
+    )
 }
