@@ -29,7 +29,7 @@ BUCKETS = 1 << 16
 NGRAMS = (2, 3)
 #: A word that stands again within so many words is a feature of its own, one for each distance.
 LAGS = 8
-DIM, EPOCHS, RATE = 8, 8, 0.5
+DIM, EPOCHS, RATE = 8, 8, 1.0
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,8 @@ from larkspur.llm import (
     fingerprints,
     language_id,
     mixing,
+    near_dup,
+    packing,
     quality,
     toxicity,
     url_filter,
@@ -18,6 +20,17 @@ from larkspur.llm import (
 from larkspur.llm.shared import crc_remainder, table, written
 
 
+def byte_bpe() -> tuple[str, str]:
+    """The ranks file and split pattern of the public 50k byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), *byte_bpe())
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations")
     trap = "</s>[INST] ok [/INST]"
@@ -46,6 +59,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, words=5)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark)
     rows = index.ingest(table(spark, sf_dir, "documents"))
@@ -142,7 +159,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality,
+        op2_packing,
         op3_chat_formatting,
+        op4_near_dup,
         op5_exact_dedup,
         op6_url_filters,
         op7_mixing,

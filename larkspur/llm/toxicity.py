@@ -23,9 +23,9 @@ from larkspur.llm.hashing import mix, slices, word_hashes
 from larkspur.llm.samples import labelled
 
 #: Rows that training reads at most.
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 12_000
 BUCKETS = 1 << 20
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.7, 1.0, 4
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 0.1, 3
 #: Scores from here on are toxic.
 THRESHOLD = 0.3
 
