@@ -1,6 +1,7 @@
 r"""Document fingerprints as invertible Bloom lookup sketches.
 
-A document is the set of its passages (lines, cut further behind sentences). Each passage has
+A document is the set of its passages (lines, cut further behind some sentences: before those that
+start with a vowel, which depends on the text alone). Each passage has
 a 64-bit digest whose low 24 bits check the other 40. A sketch has three rows of cells; a digest
 is added to one cell of each row, which keeps a count and the XOR of its digests. Subtracting
 two sketches leaves the differing digests only: cells with a count of one and a digest that passes
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.shared import text_or_empty, written
 
-#: Ends a passage: a line end, or white space behind a sentence.
-PASSAGE_END = r"\n|(?<=\p{Ll}\.)\s"
+#: Ends a passage: a line end, or white space behind a sentence and before a capital vowel.
+PASSAGE_END = r"\n|(?<=\p{Ll}\.)\s(?=[AEIOU])"
 #: Cells in each of the three rows of a sketch.
 ROW_CELLS = 21
 CELLS = 3 * ROW_CELLS
@@ -140,11 +141,11 @@ def peel(difference: Column, salt: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, step)
 
 
-def _outcome(a: Column, b: Column, salt: Column) -> Column:
-    """``struct<ok, a_only, b_only>`` of two arrays of digests, through their sketches."""
+def outcome(a: Column, b: Column, salt: Column) -> Column:
+    """``struct<ok, a_only, b_only>`` of two sketches."""
     side = lambda v, s: F.transform(F.filter(v["found"], lambda f: f["s"] == s), lambda f: f["d"])
     return _let(
-        peel(subtract(sketch(a, salt), sketch(b, salt)), salt),
+        peel(subtract(a, b), salt),
         lambda v: F.struct(
             (F.forall(v["n"], lambda n: n == 0) & F.forall(v["x"], lambda x: x == 0)).alias("ok"),
             F.array_except(side(v, 1), side(v, -1)).alias("a_only"),
@@ -159,41 +160,33 @@ def likeness(n_a: Column, a_only: Column, b_only: Column) -> Column:
 
 
 def differences(pairs: DataFrame, name: str = "pairs") -> DataFrame:
-    """What either side of each pair has alone: ``pair, a_only, b_only`` from ``pair, a, b``.
+    """What either side of each pair has alone: ``pair, a_only, b_only`` from ``pair, a, b, sketch_a, sketch_b``.
 
-    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests. Every pair comes back once.
+    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests, the sketches are theirs with salt 0.
+    Every pair comes back once.
     """
-    todo = written(pairs.select("pair", "a", "b"), name)
-    done, parts, level = [], 1, 0
-    while True:
-        salt = F.lit(level)
-        if parts == 1:
-            tried = todo.select("pair", "a", "b", _outcome(F.col("a"), F.col("b"), salt).alias("o"))
-            tried = tried.select("pair", "a", "b", "o.ok", "o.a_only", "o.b_only")
-        else:
-            side = lambda c, s: F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(s).alias("s")))
-            keys = todo.select("pair", F.explode(F.concat(side("a", 1), side("b", 2))).alias("k"))
-            keys = keys.withColumn("part", F.pmod(F.xxhash64("k.d", F.lit(level + 1000)), F.lit(parts)))
-            small = keys.groupBy("pair", "part").agg(
-                F.collect_list(F.when(F.col("k.s") == 1, F.col("k.d"))).alias("a"),
-                F.collect_list(F.when(F.col("k.s") == 2, F.col("k.d"))).alias("b"),
-            )
-            solved = small.select("pair", _outcome(F.col("a"), F.col("b"), salt).alias("o"))
-            whole = solved.groupBy("pair").agg(
-                F.min("o.ok").alias("ok"),
-                F.flatten(F.collect_list("o.a_only")).alias("a_only"),
-                F.flatten(F.collect_list("o.b_only")).alias("b_only"),
-            )
-            tried = todo.join(whole, "pair")
-        tried = written(tried, f"{name}-{parts}")
-        done.append(tried.where("ok").select("pair", "a_only", "b_only"))
+    tried = pairs.select("pair", "a", "b", outcome(F.col("sketch_a"), F.col("sketch_b"), F.lit(0)).alias("o"))
+    tried = written(tried.select("pair", "a", "b", "o.ok", "o.a_only", "o.b_only"), name)
+    out, parts, level = tried.where("ok").select("pair", "a_only", "b_only"), 1, 0
+    while not tried.where("NOT ok").isEmpty():
         todo = tried.where("NOT ok").select("pair", "a", "b")
-        if todo.isEmpty():
-            break
         parts, level = parts * GROWTH, level + 1
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
+        salt = F.lit(level)
+        side = lambda c, s: F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(s).alias("s")))
+        keys = todo.select("pair", F.explode(F.concat(side("a", 1), side("b", 2))).alias("k"))
+        keys = keys.withColumn("part", F.pmod(F.xxhash64("k.d", F.lit(level + 1000)), F.lit(parts)))
+        small = keys.groupBy("pair", "part").agg(
+            F.collect_list(F.when(F.col("k.s") == 1, F.col("k.d"))).alias("a"),
+            F.collect_list(F.when(F.col("k.s") == 2, F.col("k.d"))).alias("b"),
+        )
+        solved = small.select("pair", outcome(sketch(F.col("a"), salt), sketch(F.col("b"), salt), salt).alias("o"))
+        whole = solved.groupBy("pair").agg(
+            F.min("o.ok").alias("ok"),
+            F.flatten(F.collect_list("o.a_only")).alias("a_only"),
+            F.flatten(F.collect_list("o.b_only")).alias("b_only"),
+        )
+        tried = written(todo.join(whole, "pair"), f"{name}-{parts}")
+        out = out.unionByName(tried.where("ok").select("pair", "a_only", "b_only"))
     return out
 
 
@@ -207,14 +200,16 @@ def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
 NEAR_IDS, NEAR_WINDOWS = 512, 8192
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, next_text``: the text of the document that follows by descending doc_id; the last one's is the first's.
+def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``doc_id``, the columns, and ``next``: those of the document that follows by descending doc_id; the last one's is the first's.
+
+    The columns begin with ``text``, which must not be null.
 
-    Rows are ordered inside windows of neighbouring ids; only the first text of each window
-    travels on to the window before it, so texts are shuffled once and no task sees them all.
+    Rows are ordered inside windows of neighbouring ids; only the first row of each window
+    travels on to the window before it, so rows are shuffled once and no task sees them all.
     Rows that share a doc_id follow each other by the hash of their text.
     """
-    rows = docs.select(docs["doc_id"], text_or_empty(docs["text"]).alias("text"))
+    rows = docs.select("doc_id", *columns)
     rows = rows.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
     window = F.floor(F.col("id") / F.lit(NEAR_IDS)).cast("long")
     group = F.floor(F.col("window") / F.lit(NEAR_WINDOWS)).cast("long")
@@ -241,10 +236,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     first = (
         rows.join(links, rows["id"] == links["next_id"])
         .groupBy("of_window")
-        .agg(F.min_by("text", F.xxhash64("text")).alias("first_text"))
+        .agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("first"))
     )
     order = Window.partitionBy("window").orderBy(F.col("id").desc(), F.xxhash64("text"))
-    placed = rows.withColumn("window", window).withColumn("following", F.lead("text").over(order))
+    placed = rows.withColumn("window", window).withColumn("following", F.lead(F.struct(*columns)).over(order))
     return placed.join(
         first, (F.col("window") == F.col("of_window")) & F.col("following").isNull(), "left"
-    ).select("doc_id", "text", F.coalesce("following", "first_text").alias("next_text"))
+    ).select("doc_id", *columns, F.coalesce("following", "first").alias("next"))

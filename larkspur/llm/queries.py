@@ -17,7 +17,7 @@ from larkspur.llm import (
     toxicity,
     url_filter,
 )
-from larkspur.llm.shared import crc_remainder, table, written
+from larkspur.llm.shared import crc_remainder, table, text_or_empty, written
 
 
 def byte_bpe() -> tuple[str, str]:
@@ -83,28 +83,40 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    salt = F.lit(0)
+    own = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("keys", fingerprints.digests(F.col("text")))
+    own = own.withColumn("sketch", fingerprints.sketch(F.col("keys"), salt))
+    pairs = fingerprints.with_next(own, ["text", "keys", "sketch"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.left("text", n - half), F.left("next_text", half))
+    edited = F.concat(F.left("text", n - half), F.left("next.text", half))
     rows = written(
-        pairs.select("doc_id", "text", "next_text", edited.alias("edited"))
+        pairs.withColumn("edited", edited)
+        .withColumn("changed", fingerprints.digests(F.col("edited")))
         .select(
             "doc_id",
             F.length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
-            fingerprints.digests(F.col("text")).alias("own"),
-            fingerprints.digests(F.col("edited")).alias("changed"),
-            fingerprints.digests(F.col("next_text")).alias("next"),
+            "keys",
+            "sketch",
+            "changed",
+            fingerprints.sketch(F.col("changed"), salt).alias("changed_sketch"),
+            F.col("next.keys").alias("next_keys"),
+            F.col("next.sketch").alias("next_sketch"),
         )
         .withColumn("row", F.monotonically_increasing_id()),
         "passages",
     )
     # one pair per document and comparison: even keys against the edited text, odd ones against the next document
-    both = F.array(
-        F.struct((F.col("row") * 2).alias("pair"), F.col("own").alias("a"), F.col("changed").alias("b")),
-        F.struct((F.col("row") * 2 + 1).alias("pair"), F.col("own").alias("a"), F.col("next").alias("b")),
+    pair = lambda odd, keys, sketch: F.struct(
+        (F.col("row") * 2 + odd).alias("pair"),
+        F.col("keys").alias("a"),
+        F.col(keys).alias("b"),
+        F.col("sketch").alias("sketch_a"),
+        F.col(sketch).alias("sketch_b"),
     )
+    both = F.array(pair(0, "changed", "changed_sketch"), pair(1, "next_keys", "next_sketch"))
     found = fingerprints.differences(rows.select(F.inline(both)))
     counts = found.select(
         F.floor(F.col("pair") / 2).alias("row"),
@@ -114,16 +126,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"{c}{kind}")
     wide = counts.groupBy("row").agg(of(0, "a"), of(0, "b"), of(1, "a"), of(1, "b"))
-    own = F.size("own")
-    salt = F.lit(0)
+    size = F.size("keys")
     return rows.join(wide, "row").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprints.encode(fingerprints.sketch(F.col("own"), salt)).alias("fingerprint"),
-        fingerprints.encode(fingerprints.sketch(F.col("changed"), salt)).alias("edited_fingerprint"),
-        fingerprints.likeness(own, F.col("a0"), F.col("b0")).alias("near_edited"),
-        fingerprints.likeness(own, F.col("a1"), F.col("b1")).alias("near_next"),
+        fingerprints.encode(F.col("sketch")).alias("fingerprint"),
+        fingerprints.encode(F.col("changed_sketch")).alias("edited_fingerprint"),
+        fingerprints.likeness(size, F.col("a0"), F.col("b0")).alias("near_edited"),
+        fingerprints.likeness(size, F.col("a1"), F.col("b1")).alias("near_next"),
     )
 
 
