@@ -1,4 +1,7 @@
 """All registered queries of the library and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from larkspur.plans import aggregates, events, rules, series, streams, text
+
+_PARTS = (series, events, aggregates, text, rules, streams)
+QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
