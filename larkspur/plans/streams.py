@@ -1,4 +1,43 @@
 """Queries of the streaming twins, run to completion over a table."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larkspur.plans.inputs import table
+from larkspur.sources.scratch import scratch
+from larkspur.streaming import ingest
+
+QUERIES, ORACLES = {}, {}
+
+
+def _finished(spark, d, build, mode):
+    events = table(spark, d, "events")
+    stream = build(ingest.file_stream(spark, d, "events.parquet", events.schema).withColumn("ts", F.col("ts").cast("timestamp")))
+    path = scratch(spark, "stream")
+    ingest.run_once(stream, ingest.replacing(f"{path}/out"), f"{path}/state", mode)
+    return spark.read.schema(stream.schema).parquet(f"{path}/out").select(*stream.columns)
+
+
+def stream_discovery(spark, d):
+    found = _finished(spark, d, lambda s: ingest.discover(s, ["user_id", "event_type"], "ts"), "append")
+    return found.select("user_id", "event_type")
+
+
+def stream_windows(spark, d):
+    return _finished(spark, d, lambda s: ingest.windowed_counts(s, "ts", "event_type", "1 day", "2 days"), "complete")
+
+
+def stream_breaker(spark, d):
+    bad = lambda s: s.withColumn("bad", F.col("event_type") == "error")
+    return _finished(spark, d, lambda s: ingest.breaker(bad(s), "user_id", ["ts", "event_id"], "bad"), "update")
+
+
+QUERIES.update(stream_discovery=stream_discovery, stream_windows=stream_windows, stream_breaker=stream_breaker)
+ORACLES.update(
+    stream_discovery="SELECT DISTINCT user_id, event_type FROM events",
+    stream_windows="SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    stream_breaker="""WITH s AS (SELECT user_id, event_id, ts, event_type = 'error' AS bad, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER w AS grp FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+r AS (SELECT *, sum(CAST(bad AS INT)) OVER (PARTITION BY user_id, grp ORDER BY ts, event_id) AS run FROM s)
+SELECT user_id, count(*) FILTER (WHERE run >= 3 AND bad) AS skipped, arg_max(bad AND run >= 3, (ts, event_id)) AS open FROM r GROUP BY 1""",
+)
