@@ -121,15 +121,19 @@ def peel(difference: Column, salt: Column) -> Column:
             state["x"],
             lambda n, x: F.when((F.abs(n) == 1) & passed(x), F.struct(x.alias("d"), n.alias("s"))),
         )
-        pure = F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
-        items = F.transform(pure, lambda p: _item(p["d"], p["s"], salt))
-        peeled = F.aggregate(
-            items, F.struct(state["n"].alias("n"), state["x"].alias("x")), lambda acc, item: _add(acc, item, -1)
-        )
-        return _let(
-            F.struct(peeled.alias("p"), F.concat(state["found"], pure).alias("f"), F.size(pure).alias("k")),
-            lambda v: F.struct(v["p"]["n"].alias("n"), v["p"]["x"].alias("x"), v["f"].alias("found"), v["k"].alias("k")),
-        )
+        found = F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
+        start = F.struct(state["n"].alias("n"), state["x"].alias("x"))
+
+        def taken_out(pure: Column) -> Column:
+            items = F.transform(pure, lambda p: _item(p["d"], p["s"], salt))
+            return _let(
+                F.aggregate(items, start, lambda acc, item: _add(acc, item, -1)),
+                lambda v: F.struct(
+                    v["n"].alias("n"), v["x"].alias("x"), F.concat(state["found"], pure).alias("found"), F.size(pure).alias("k")
+                ),
+            )
+
+        return _let(found, taken_out)
 
     none = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("d"), F.lit(1).alias("s"))), lambda _: F.lit(False))
     start = _let(

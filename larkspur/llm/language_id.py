@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.hashing import slices
-from larkspur.llm.samples import per_group
+from larkspur.llm.samples import one_per_bucket
 from larkspur.llm.shared import crc_remainder
 
 #: Characters of labelled text per language, and rows that may provide them.
@@ -140,8 +140,7 @@ def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, chars: int = SAMPL
         docs["doc_id"].cast("long").alias("id"), docs["lang"].cast("string").alias("lang"), docs["text"]
     )
     known = keyed.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (crc_remainder(F.col("id"), modulus) != held_out))
-    order = F.struct(F.xxhash64("id"), F.col("id"))
-    ids = per_group(known.select("id", "lang").groupBy("id").agg(F.min("lang").alias("lang")), "lang", order, rows)
+    ids = one_per_bucket(known.select("id", "lang").groupBy("id").agg(F.min("lang").alias("lang")), ["lang"], rows, "lang")
     drawn = (
         known.drop("lang")
         .join(F.broadcast(ids), "id")

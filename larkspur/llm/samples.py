@@ -2,34 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.shared import crc_remainder
 
 
+def one_per_bucket(rows: DataFrame, keys: list[str], n: int, seed: str) -> DataFrame:
+    """Of each key combination at most ``n`` rows: ids are hashed into n buckets and the least of each stays.
+
+    That is one aggregation with map-side combining, so no task ever sees more than n rows a key from each input task.
+    """
+    others = [c for c in rows.columns if c not in keys]
+    picked = F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), *others)).alias("r")
+    bucket = F.pmod(F.xxhash64("id", F.lit(seed), F.lit(1)), F.lit(n)).alias("bucket")
+    return rows.groupBy(*keys, bucket).agg(picked).select(*keys, *(F.col(f"r.{c}").alias(c) for c in others))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, bound: int) -> DataFrame:
     """At most ``bound`` rows ``text, label`` that are not held out, drawn by a hash of doc_id.
 
     Unlabelled rows and null ids are left out; of rows that share a doc_id one text counts. The
     drawn ids have that proven bound, so they are broadcast to the scan of the texts.
     """
-    ids = (
+    known = (
         labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("label"))
         .where(F.col("id").isNotNull() & F.col("label").isNotNull() & (crc_remainder(F.col("id"), modulus) != held_out))
         .groupBy("id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("id", F.lit(label)), "id")
-        .limit(bound)
     )
+    ids = one_per_bucket(known, [], bound, label)
     rows = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"])
     hits = rows.join(F.broadcast(ids), "id").where(F.col("text").isNotNull())
     return hits.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("id")
-
-
-def per_group(rows: DataFrame, group: str, order: Column, n: int) -> DataFrame:
-    """The first ``n`` rows of each group; map tasks already cut their own rows down to ``n`` a group."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(group).orderBy(order)
-    return rows.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n).drop("__n")
