@@ -18,13 +18,15 @@ empty documents have likeness 1; repeated passages count once; equal texts have
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.shared import text_or_empty, written
 
 #: Ends a passage: a line end, or white space behind a sentence and before a capital vowel.
-PASSAGE_END = r"\n|(?<=\p{Ll}\.)\s(?=[AEIOU])"
+PASSAGE_END = r"\s(?:(?<=\n)|(?<=\p{Ll}\.\s)(?=[AEIOU]))"
 #: Cells in each of the three rows of a sketch.
 ROW_CELLS = 21
 CELLS = 3 * ROW_CELLS
@@ -163,18 +165,15 @@ def likeness(n_a: Column, a_only: Column, b_only: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise((n_a - a_only) / union)
 
 
-def differences(pairs: DataFrame, name: str = "pairs") -> DataFrame:
-    """What either side of each pair has alone: ``pair, a_only, b_only`` from ``pair, a, b, sketch_a, sketch_b``.
+def differences(pairs: DataFrame, parts: int = 1, name: str = "pairs") -> DataFrame:
+    """What either side of each pair has alone: ``pair, a_only, b_only`` from ``pair, a, b``.
 
-    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests, the sketches are theirs with salt 0.
+    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests, divided over ``parts`` sketches at first.
     Every pair comes back once.
     """
-    tried = pairs.select("pair", "a", "b", outcome(F.col("sketch_a"), F.col("sketch_b"), F.lit(0)).alias("o"))
-    tried = written(tried.select("pair", "a", "b", "o.ok", "o.a_only", "o.b_only"), name)
-    out, parts, level = tried.where("ok").select("pair", "a_only", "b_only"), 1, 0
-    while not tried.where("NOT ok").isEmpty():
-        todo = tried.where("NOT ok").select("pair", "a", "b")
-        parts, level = parts * GROWTH, level + 1
+    todo, out, level = pairs.select("pair", "a", "b"), None, 1
+    empty = F.filter(F.col("a"), lambda _: F.lit(False))
+    while True:
         salt = F.lit(level)
         side = lambda c, s: F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(s).alias("s")))
         keys = todo.select("pair", F.explode(F.concat(side("a", 1), side("b", 2))).alias("k"))
@@ -189,9 +188,15 @@ def differences(pairs: DataFrame, name: str = "pairs") -> DataFrame:
             F.flatten(F.collect_list("o.a_only")).alias("a_only"),
             F.flatten(F.collect_list("o.b_only")).alias("b_only"),
         )
-        tried = written(todo.join(whole, "pair"), f"{name}-{parts}")
-        out = out.unionByName(tried.where("ok").select("pair", "a_only", "b_only"))
-    return out
+        tried = todo.join(whole, "pair", "left").select(
+            "pair", "a", "b", F.coalesce("ok", F.lit(True)).alias("ok"), F.coalesce("a_only", empty).alias("a_only"), F.coalesce("b_only", empty).alias("b_only")
+        )
+        tried = written(tried, f"{name}-{parts}")
+        solved = tried.where("ok").select("pair", "a_only", "b_only")
+        out = solved if out is None else out.unionByName(solved)
+        if tried.where("NOT ok").isEmpty():
+            return out
+        todo, parts, level = tried.where("NOT ok").select("pair", "a", "b"), parts * GROWTH, level + 1
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -204,16 +209,16 @@ def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
 NEAR_IDS, NEAR_WINDOWS = 512, 8192
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """``doc_id``, the columns, and ``next``: those of the document that follows by descending doc_id; the last one's is the first's.
 
-    The columns begin with ``text``, which must not be null.
+    ``docs`` has ``text``, which must not be null; ``derive`` adds what else ``columns`` names.
 
     Rows are ordered inside windows of neighbouring ids; only the first row of each window
     travels on to the window before it, so rows are shuffled once and no task sees them all.
     Rows that share a doc_id follow each other by the hash of their text.
     """
-    rows = docs.select("doc_id", *columns)
+    rows = docs.select("doc_id", "text")
     rows = rows.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
     window = F.floor(F.col("id") / F.lit(NEAR_IDS)).cast("long")
     group = F.floor(F.col("window") / F.lit(NEAR_WINDOWS)).cast("long")
@@ -237,13 +242,15 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         .join(tops, "group")
         .select(F.col("window").alias("of_window"), F.coalesce("following", "below").alias("next_id"))
     )
+    # written, so that their size is known before the texts are read: few enough, they are broadcast
+    links = written(links, "links")
     first = (
-        rows.join(links, rows["id"] == links["next_id"])
+        derive(rows.join(links, rows["id"] == links["next_id"]))
         .groupBy("of_window")
         .agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("first"))
     )
     order = Window.partitionBy("window").orderBy(F.col("id").desc(), F.xxhash64("text"))
-    placed = rows.withColumn("window", window).withColumn("following", F.lead(F.struct(*columns)).over(order))
+    placed = derive(rows).withColumn("window", window).withColumn("following", F.lead(F.struct(*columns)).over(order))
     return placed.join(
         first, (F.col("window") == F.col("of_window")) & F.col("following").isNull(), "left"
     ).select("doc_id", *columns, F.coalesce("following", "first").alias("next"))

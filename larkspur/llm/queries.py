@@ -85,57 +85,60 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     salt = F.lit(0)
-    own = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("keys", fingerprints.digests(F.col("text")))
-    own = own.withColumn("sketch", fingerprints.sketch(F.col("keys"), salt))
-    pairs = fingerprints.with_next(own, ["text", "keys", "sketch"])
+    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
+    keyed = lambda rows: rows.withColumn("keys", fingerprints.digests(F.col("text")))
+    pairs = fingerprints.with_next(texts, ["text", "keys"], keyed)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next.text", half))
-    rows = written(
+    outcome = lambda other: fingerprints.outcome(F.col("own"), other, salt)
+    compared = (
         pairs.withColumn("edited", edited)
-        .withColumn("changed", fingerprints.digests(F.col("edited")))
         .select(
             "doc_id",
             F.length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             "keys",
-            "sketch",
-            "changed",
-            fingerprints.sketch(F.col("changed"), salt).alias("changed_sketch"),
-            F.col("next.keys").alias("next_keys"),
-            F.col("next.sketch").alias("next_sketch"),
+            fingerprints.digests(F.col("edited")).alias("changed"),
+            F.col("next.keys").alias("following"),
         )
-        .withColumn("row", F.monotonically_increasing_id()),
-        "passages",
+        .withColumn("own", fingerprints.sketch(F.col("keys"), salt))
+        .withColumn("other", fingerprints.sketch(F.col("changed"), salt))
+        .withColumn("e", outcome(F.col("other")))
+        .withColumn("f", outcome(fingerprints.sketch(F.col("following"), salt)))
+    )
+    near = lambda o: F.when(o["ok"], fingerprints.likeness(F.size("keys"), F.size(o["a_only"]), F.size(o["b_only"])))
+    failed = ~F.col("e.ok") | ~F.col("f.ok")
+    rows = written(
+        compared.select(
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
+            fingerprints.encode(F.col("own")).alias("fingerprint"),
+            fingerprints.encode(F.col("other")).alias("edited_fingerprint"),
+            near(F.col("e")).alias("near_edited"),
+            near(F.col("f")).alias("near_next"),
+            *(F.when(failed, F.col(c)).alias(c) for c in ("keys", "changed", "following")),
+        ).withColumn("row", F.monotonically_increasing_id()),
+        "fingerprints",
     )
-    # one pair per document and comparison: even keys against the edited text, odd ones against the next document
-    pair = lambda odd, keys, sketch: F.struct(
-        (F.col("row") * 2 + odd).alias("pair"),
-        F.col("keys").alias("a"),
-        F.col(keys).alias("b"),
-        F.col("sketch").alias("sketch_a"),
-        F.col(sketch).alias("sketch_b"),
+    # pairs that did not peel are tried again, larger: even numbers against the edited text, odd ones against the next document
+    pair = lambda odd, keys, likeness: F.when(
+        F.col(likeness).isNull(), F.struct((F.col("row") * 2 + odd).alias("pair"), F.col("keys").alias("a"), F.col(keys).alias("b"))
     )
-    both = F.array(pair(0, "changed", "changed_sketch"), pair(1, "next_keys", "next_sketch"))
-    found = fingerprints.differences(rows.select(F.inline(both)))
+    again = F.array_compact(F.array(pair(0, "changed", "near_edited"), pair(1, "following", "near_next")))
+    found = fingerprints.differences(rows.where("keys IS NOT NULL").select(F.inline(again)), fingerprints.GROWTH)
     counts = found.select(
-        F.floor(F.col("pair") / 2).alias("row"),
-        (F.col("pair") % 2).alias("kind"),
-        F.size("a_only").alias("a"),
-        F.size("b_only").alias("b"),
+        F.floor(F.col("pair") / 2).alias("row"), (F.col("pair") % 2).alias("kind"), F.size("a_only").alias("a"), F.size("b_only").alias("b")
     )
     of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"{c}{kind}")
     wide = counts.groupBy("row").agg(of(0, "a"), of(0, "b"), of(1, "a"), of(1, "b"))
-    size = F.size("keys")
-    return rows.join(wide, "row").select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        fingerprints.encode(F.col("sketch")).alias("fingerprint"),
-        fingerprints.encode(F.col("changed_sketch")).alias("edited_fingerprint"),
-        fingerprints.likeness(size, F.col("a0"), F.col("b0")).alias("near_edited"),
-        fingerprints.likeness(size, F.col("a1"), F.col("b1")).alias("near_next"),
-    )
+    columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    late = lambda first, kind: F.coalesce(
+        first, fingerprints.likeness(F.size("keys"), F.col(f"a{kind}"), F.col(f"b{kind}"))
+    ).alias(first)
+    retried = rows.where("keys IS NOT NULL").join(wide, "row").select(*columns[:5], late("near_edited", 0), late("near_next", 1))
+    return rows.where("keys IS NULL").select(*columns).unionByName(retried)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
