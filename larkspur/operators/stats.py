@@ -22,12 +22,28 @@ def draw(seed: int, b: Column, k: Column, n: Column) -> Column:
 DRAW_SQL = "(((({b}) * 1103 + ({k}) * 12289 + {seed} * 7919 + 12345) * 69069 % 2147483647) * 16807 % 2147483647) % ({n})"
 
 
+def ordered_prefix(df: DataFrame, order: str, amount: str, parts: int = 256) -> DataFrame:
+    """Adds ``before``: the sum of ``amount`` over all rows with a smaller ``order`` (unique values).
+
+    Approximate quantiles cut the values into parts; sums run inside parts, and only one row a part is added up in order.
+    """
+    at = F.array(*(F.lit(i / parts) for i in range(1, parts)))
+    cuts = F.broadcast(df.agg(F.percentile_approx(order, at, F.lit(100 * parts)).alias("cuts")))
+    placed = df.join(cuts).withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col(order)))).drop("cuts")
+    sums = placed.groupBy("part").agg(F.sum(amount).alias("s"))
+    running = F.sum("s").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select("part", F.coalesce(running, F.lit(0)).alias("start"))
+    inside = F.sum(amount).over(Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return placed.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(starts), "part").withColumn(
+        "before", F.col("start") + F.col("inside")
+    ).drop("part", "start", "inside")
+
+
 def mann_whitney(df: DataFrame, group: str, value: str, first: str) -> DataFrame:
     """``u, z, n1, n2`` of the values where ``group`` equals ``first`` against the rest (average ranks, tie-corrected)."""
     ties = df.groupBy(value).agg(F.count("*").alias("t"), F.count_if(F.col(group) == first).alias("k"))
     # ranks over distinct values: rows before, then half of the tied ones
-    before = F.coalesce(F.sum("t").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = ties.withColumn("rank", before + (F.col("t") + 1) / 2)
+    ranked = ordered_prefix(ties, value, "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2)
     s = ranked.agg(
         F.sum(F.col("rank") * F.col("k")).alias("r1"),
         F.sum("k").alias("n1"),
