@@ -188,9 +188,13 @@ def differences(pairs: DataFrame, parts: int = 1, name: str = "pairs") -> DataFr
             F.flatten(F.collect_list("o.a_only")).alias("a_only"),
             F.flatten(F.collect_list("o.b_only")).alias("b_only"),
         )
+        ok = F.coalesce("ok", F.lit(True))
         tried = todo.join(whole, "pair", "left").select(
-            "pair", "a", "b", F.coalesce("ok", F.lit(True)).alias("ok"), F.coalesce("a_only", empty).alias("a_only"), F.coalesce("b_only", empty).alias("b_only")
-        )
+            "pair",
+            ok.alias("ok"),
+            *(F.when(ok, F.coalesce(c, empty)).alias(c) for c in ("a_only", "b_only")),
+            *(F.when(~ok, F.col(c)).alias(c) for c in ("a", "b")),
+        )
         tried = written(tried, f"{name}-{parts}")
         solved = tried.where("ok").select("pair", "a_only", "b_only")
         out = solved if out is None else out.unionByName(solved)

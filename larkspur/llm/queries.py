@@ -118,6 +118,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
             fingerprints.encode(F.col("other")).alias("edited_fingerprint"),
             near(F.col("e")).alias("near_edited"),
             near(F.col("f")).alias("near_next"),
+            F.size("keys").alias("n_keys"),
             *(F.when(failed, F.col(c)).alias(c) for c in ("keys", "changed", "following")),
         ).withColumn("row", F.monotonically_increasing_id()),
         "fingerprints",
@@ -135,7 +136,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = counts.groupBy("row").agg(of(0, "a"), of(0, "b"), of(1, "a"), of(1, "b"))
     columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     late = lambda first, kind: F.coalesce(
-        first, fingerprints.likeness(F.size("keys"), F.col(f"a{kind}"), F.col(f"b{kind}"))
+        first, fingerprints.likeness(F.col("n_keys"), F.col(f"a{kind}"), F.col(f"b{kind}"))
     ).alias(first)
     retried = rows.where("keys IS NOT NULL").join(wide, "row").select(*columns[:5], late("near_edited", 0), late("near_next", 1))
     return rows.where("keys IS NULL").select(*columns).unionByName(retried)
