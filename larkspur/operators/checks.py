@@ -1,4 +1,4 @@
-"""The check catalogue: 83 rules in nine suites over twenty flat frames.
+"""The check catalogue: 83 rules in nine suites over flat frames.
 
 ``FRAMES`` gives each frame's columns. Columns that come from other rows are made before rules
 run: counts per group, ``in_...`` flags from joins against vocabularies, ``prev_...`` values from the
