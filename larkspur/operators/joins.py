@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -89,6 +89,47 @@ def grounded(quotes: DataFrame, texts: DataFrame, key: str, normalise) -> DataFr
     ).drop("__text")
 
 
+#: Words of the run that keys a quote, and keys that are looked up inside the scan of the texts.
+GRAM, MOST_KEYS = 8, 4096
+
+
+def grams(pieces: Column) -> Column:
+    """The hashes of all runs of ``GRAM`` words of an array of words."""
+    return F.when(
+        F.size(pieces) >= GRAM, F.transform(F.sequence(F.lit(1), F.size(pieces) - GRAM + 1), lambda i: F.xxhash64(F.slice(pieces, i, GRAM)))
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def contained(docs: DataFrame, quotes: DataFrame, key: str, quote_key: str, most_keys: int = MOST_KEYS) -> DataFrame:
+    """``key, quote_key`` of every text of ``docs`` and every ``quote`` that stands in it, character by character.
+
+    Words are split at white space. All words of a quote but the first and last are whole words of any text that holds it, so
+    a run of them, the one that fewest quotes share, finds the candidates; ``contains`` decides. Up to ``most_keys`` keys are
+    looked up in the scan of the texts, without a shuffle; more are joined by key, where Spark splits frequent ones.
+    Quotes with too few words are compared with every text. Null texts and quotes give no rows.
+    """
+    split = lambda c: F.split(c, r"\s+")
+    inner = F.transform(F.array(split(F.col("quote"))), lambda w: F.slice(w, F.lit(2), F.greatest(F.size(w) - 2, F.lit(0))))[0]
+    distinct = quotes.where("quote IS NOT NULL").select("quote").distinct().withColumn("inner", inner)
+    each = distinct.where(F.size("inner") >= GRAM).select("quote", F.explode(F.array_distinct(F.transform(F.array("inner"), grams)[0])).alias("gram"))
+    shared = each.groupBy("gram").agg(F.count("*").alias("n"))
+    keyed = each.join(shared, "gram").groupBy("quote").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    texts = docs.where("text IS NOT NULL").select(key, "text")
+    own = F.array_distinct(F.transform(F.array(split(F.col("text"))), grams)[0])
+    found = [r.gram for r in keyed.select("gram").distinct().limit(most_keys + 1).collect()]
+    if len(found) <= most_keys:
+        hits = texts.withColumn("gram", F.explode(F.filter(own, lambda g: g.isin(found)))) if found else texts.withColumn("gram", F.lit(0)).limit(0)
+        pairs = hits.join(F.broadcast(keyed), "gram")
+    else:
+        # rows are told apart by id and text, so null and repeated ids stay apart
+        marked = texts.withColumn("__mark", F.xxhash64("text"))
+        near = marked.select(key, "__mark", F.explode(own).alias("gram")).join(keyed, "gram").select(F.col(key).alias("__key"), F.col("__mark").alias("__of"), "quote").distinct()
+        pairs = marked.join(near, (F.col("__mark") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__key")))
+    whole = pairs.where(F.contains("text", "quote")).select(key, "quote")
+    short = texts.join(distinct.where(F.size("inner") < GRAM).select("quote"), F.contains("text", "quote")).select(key, "quote")
+    return whole.unionByName(short).join(quotes.select(quote_key, "quote"), "quote").select(key, quote_key)
+
+
 def shared_keys(new: DataFrame, old: DataFrame, key: str, exempt: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` whose key an earlier version has too, except exempt ones."""
     hits = new.join(old.select(key).distinct(), key, "left_semi")

@@ -262,6 +262,13 @@ def _(spark, d):
     return J.grounded(pairs, docs, "doc_id", lambda c: c).select("doc_id", "item_id", "found")
 
 
+@query("quote_search", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
+def _(spark, d):
+    """All items in all documents; ``quote_grounding`` above looks at the few pairs that its SQL names."""
+    items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote"))
+    return J.contained(table(spark, d, "documents"), items, "doc_id", "item_id")
+
+
 @query(
     "vocabulary_violations",
     "SELECT doc_id, lang FROM documents WHERE lang NOT IN ('en', 'fr', 'de')",
