@@ -9,6 +9,9 @@ its check are peeled until nothing is left, which recovers what either side has
 peeling fails the digests are divided over four times as many independent sketches and only those pairs are
 tried again. Likeness is the Jaccard coefficient that follows from the recovered differences.
 
+``fine_passages`` cuts at every line and sentence end and inside them at words that depend on the text alone and
+after 16 words at most, so that a text of more than 16 words is never one passage.
+
 All of it is column expressions. Sketches of one level have a fixed size, so a very long document
 becomes many small rows, never one large one.
 
@@ -27,6 +30,11 @@ from larkspur.llm.shared import text_or_empty, written
 
 #: Ends a passage: a line end, or white space behind a sentence and before a capital vowel.
 PASSAGE_END = r"\s(?:(?<=\n)|(?<=\p{Ll}\.\s)(?=[AEIOU]))"
+#: A word, or a piece of a very long one, and the letters that end a passage inside a sentence: every eighth code point.
+_WORD, _LAST = r"\S{1,40}+", "".join(chr(c) for c in range(0x41, 0x700) if c % 8 == 7 and chr(c).isalpha())
+_RUN = rf"{_WORD}(?:[^\S\n]*+{_WORD})"
+#: A fine passage: the fewest words up to a line's, a sentence's or a passage's end, else 16.
+FINE_PASSAGE = rf"""{_RUN}{{0,15}}?(?=\s|\Z)(?:(?=[^\S\n]*(?:\n|\Z))|(?<=[.!?])|(?<=[.!?]["'”»)])|(?<=[{_LAST}]))|{_RUN}{{0,15}}+"""
 #: Cells in each of the three rows of a sketch.
 ROW_CELLS = 21
 CELLS = 3 * ROW_CELLS
@@ -38,10 +46,17 @@ CHECK_BITS = 24
 GROWTH = 4
 
 
-def digests(text: Column) -> Column:
+def passages(text: Column) -> Column:
+    return F.filter(F.split(text, PASSAGE_END), lambda p: F.trim(p) != "")
+
+
+def fine_passages(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(FINE_PASSAGE), F.lit(0))
+
+
+def digests(text: Column, cut: Callable[[Column], Column] = passages) -> Column:
     """The distinct passage digests of a text, in order of first appearance."""
-    parts = F.filter(F.split(text, PASSAGE_END), lambda p: F.trim(p) != "")
-    short = F.transform(parts, lambda p: F.shiftrightunsigned(F.xxhash64(p), CHECK_BITS))
+    short = F.transform(cut(text), lambda p: F.shiftrightunsigned(F.xxhash64(p), CHECK_BITS))
     return F.array_distinct(F.transform(short, lambda d: F.shiftleft(d, CHECK_BITS).bitwiseOR(_check(d))))
 
 

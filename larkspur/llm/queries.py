@@ -83,10 +83,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fingerprints(spark, sf_dir, fingerprints.passages)
+
+
+def op8_fine_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of fine passages, of which every text of more than 16 words has several."""
+    return _fingerprints(spark, sf_dir, fingerprints.fine_passages)
+
+
+def _fingerprints(spark: SparkSession, sf_dir: str, cut) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     salt = F.lit(0)
     texts = docs.select("doc_id", text_or_empty("text").alias("text"))
-    keyed = lambda rows: rows.withColumn("keys", fingerprints.digests(F.col("text")))
+    keyed = lambda rows: rows.withColumn("keys", fingerprints.digests(F.col("text"), cut))
     pairs = fingerprints.with_next(texts, ["text", "keys"], keyed)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
@@ -99,7 +108,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             "keys",
-            fingerprints.digests(F.col("edited")).alias("changed"),
+            fingerprints.digests(F.col("edited"), cut).alias("changed"),
             F.col("next.keys").alias("following"),
         )
         .withColumn("own", fingerprints.sketch(F.col("keys"), salt))
@@ -181,6 +190,7 @@ QUERIES = {
         op6_url_filters,
         op7_mixing,
         op8_fingerprints,
+        op8_fine_fingerprints,
         op9_toxicity,
         op10_language_id,
     )
