@@ -86,43 +86,95 @@ def effect(mask: Column, value: Column, least: int = 3) -> Column:
     return F.when(F.count_if(mask & value.isNotNull()) >= least, F.median(F.when(mask, value)) - F.median(value))
 
 
-def circular_blocks(base: DataFrame, draws: int, block: int, seed: int, value: str) -> DataFrame:
-    """Means of circular block resamples: ``b, mean``. ``base`` has ``pos`` (from 0) and the value.
+def _block_positions(sizes: DataFrame, key: str, draws: int, block: int, seed: int) -> DataFrame:
+    """``key, b, pos``: the positions of each draw of circular blocks, from ``key, n``.
 
-    Each draw is a list of block starts; positions are found by equality, so the data are joined, never crossed.
+    Rows are dealt by key and draw before they multiply. Spark's estimate does not count what ``explode`` adds, so the join with
+    the data has the merge hint: the positions must not be broadcast.
     """
-    n = base.agg(F.count("*").alias("n"))
-    starts = (
-        n.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / block) - 1)))
+    spread = sizes.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))).repartition(key, "b")
+    return (
+        spread.withColumn("k", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / block) - 1)))
         .withColumn("at", draw(seed, F.col("b").cast("long"), F.col("k").cast("long"), F.col("n")))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(block - 1))))
         .where(F.col("k") * block + F.col("i") < F.col("n"))
-        .select("b", ((F.col("at") + F.col("i")) % F.col("n")).alias("pos"))
+        .select(key, "b", ((F.col("at") + F.col("i")) % F.col("n")).alias("pos"))
+        .hint("merge")
+    )
+
+
+def circular_blocks(base: DataFrame, key: str, draws: int, block: int, seed: int, value: str) -> DataFrame:
+    """Means of circular block resamples: ``key, b, mean``. ``base`` has ``pos`` (from 0 in each key) and the value.
+
+    Each draw is a list of block starts; positions are found by equality, so the data are joined, never crossed.
+    """
+    positions = _block_positions(base.groupBy(key).agg(F.count("*").alias("n")), key, draws, block, seed)
+    return positions.join(base, [key, "pos"]).groupBy(key, "b").agg(F.round(F.avg(value), 6).alias("mean"))
+
+
+def bootstrap_effect(base: DataFrame, key: str, flag: str, value: str, block: int, draws: int = 800, seed: int = 0) -> DataFrame:
+    """``key, point, low, high``: the effect of the flag and the 5 and 95 percentiles of its circular block resamples.
+
+    All three are null for fewer than three blocks of rows or three flagged ones, the limits if half of the draws have no
+    effect. ``base`` has ``pos`` (from 0 in each key) and no null values.
+    """
+    own = base.groupBy(key).agg(F.count("*").alias("n"), effect(F.col(flag), F.col(value)).alias("point"))
+    own = own.withColumn("point", F.when(F.col("n") >= 3 * block, F.col("point")))
+    drawn = _block_positions(own.where("point IS NOT NULL").select(key, "n"), key, draws, block, seed).join(base, [key, "pos"])
+    effects = drawn.groupBy(key, "b").agg(effect(F.col(flag), F.col(value)).alias("e"))
+    limits = effects.groupBy(key).agg(F.count("e").alias("k"), F.percentile("e", F.array(F.lit(0.05), F.lit(0.95))).alias("q"))
+    held = F.when(F.col("k") >= draws * 0.5, F.col("q"))
+    return own.join(limits, key, "left").select(
+        key, F.round("point", 6).alias("point"), F.round(held[0], 6).alias("low"), F.round(held[1], 6).alias("high")
+    )
+
+
+def min_detectable(base: DataFrame, events: DataFrame, key: str, value: str, draws: int = 4000, shifts: int = 160, step: float = 0.005, power: float = 0.8, seed: int = 1) -> DataFrame:
+    """``key, n_events, crit, shift``: the smallest of ``shifts`` steps by which medians of ``n_events`` draws pass their 95 percentile
+    in ``power`` of the draws; null if none does, for fewer than 50 values or three events.
+
+    ``base`` has ``pos`` (from 0 in each key) and no null values; ``events`` has ``key, n_events``.
+    """
+    sizes = base.groupBy(key).agg(F.count("*").alias("n")).join(events, key, "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
+    drawn = (
+        sizes.where("n >= 50 AND n_events >= 3")
+        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+        .repartition(key, "b")
+        .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_events") - 1)))
+        .select(key, "b", draw(seed, F.col("b").cast("long"), F.col("k"), F.col("n")).alias("pos"))
+        .hint("merge")
+    )
+    m = drawn.join(base, [key, "pos"]).groupBy(key, "b").agg(F.median(value).alias("m"))
+    crit = m.groupBy(key).agg(F.percentile("m", F.lit(0.95)).alias("crit"))
+    grid = m.join(crit, key).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))))
+    over = grid.groupBy(key, "crit", "s").agg(F.avg((F.col("m") + F.col("s") * F.lit(step) > F.col("crit")).cast("double")).alias("p"))
+    least = over.groupBy(key, "crit").agg(F.min(F.when(F.col("p") >= power, F.col("s"))).alias("s"))
+    return sizes.join(least, key, "left").select(
+        key, "n_events", F.round("crit", 6).alias("crit"), F.round(F.col("s") * F.lit(step), 3).alias("shift")
     )
-    return starts.join(base, "pos").groupBy("b").agg(F.round(F.avg(value), 6).alias("mean"))
 
 
-def circular_shift_p(base: DataFrame, flag: str, value: str) -> DataFrame:
-    """``effect, p, shifts``: the share of all circular shifts of the flags whose effect (difference of means) is as large.
+def circular_shift_p(base: DataFrame, key: str, flag: str, value: str) -> DataFrame:
+    """``key, effect, p, shifts``: the share of all circular shifts of the flags whose effect (difference of means) is as large.
 
     Only flagged positions are shifted: rows are flags times shifts, joined with the values by position.
     """
-    n = base.agg(F.count("*").alias("n"), F.sum(value).alias("total"))
-    marks = base.where(flag).select("pos")
+    n = base.groupBy(key).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     moved = (
-        marks.join(F.broadcast(n))
+        base.where(flag).select(key, "pos").join(n, key)
         .withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        .select("s", "n", "total", ((F.col("pos") + F.col("s")) % F.col("n")).alias("pos"))
+        .select(key, "s", "n", "total", ((F.col("pos") + F.col("s")) % F.col("n")).alias("pos"))
+        .hint("merge")
     )
-    each = moved.join(base.select("pos", value), "pos").groupBy("s", "n", "total").agg(
+    each = moved.join(base.select(key, "pos", value), [key, "pos"]).groupBy(key, "s", "n", "total").agg(
         F.sum(value).alias("on"), F.count("*").alias("k")
     )
-    e = F.round(F.col("on") / F.col("k") - (F.col("total") - F.col("on")) / (F.col("n") - F.col("k")), 9)
-    effects = each.select("s", e.alias("e"))
-    own = effects.where("s = 0").select(F.col("e").alias("effect"))
+    # no effect where every row is flagged
+    e = F.round(F.col("on") / F.col("k") - (F.col("total") - F.col("on")) / F.nullif(F.col("n") - F.col("k"), F.lit(0)), 9)
+    effects = each.select(key, "s", e.alias("e"))
+    own = effects.where("s = 0").select(key, F.col("e").alias("effect"))
     return (
-        effects.where("s > 0").join(F.broadcast(own)).groupBy("effect")
+        effects.where("s > 0").join(own, key).groupBy(key, "effect")
         .agg(F.round(F.avg((F.abs("e") >= F.abs("effect")).cast("double")), 6).alias("p"), F.count("*").alias("shifts"))
         .withColumn("effect", F.round("effect", 4))
     )

@@ -342,7 +342,7 @@ _POS = f"base AS (SELECT row_number() OVER (ORDER BY d) - 1 AS pos, v, rank <= 1
 
 def _base(spark, d):
     one = ranked(spark, d).where("series_id = '1-URGENT' AND rank IS NOT NULL")
-    return one.select((F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
+    return one.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
 
 
 @query(
@@ -353,7 +353,7 @@ p AS (SELECT b, (at_ + i) % n AS pos FROM s, range(21) y(i) WHERE k * 21 + i < n
 SELECT CAST(b AS INT) AS b, round(avg(v), 6) AS mean FROM p JOIN base USING (pos) GROUP BY 1""",
 )
 def _(spark, d):
-    return T.circular_blocks(_base(spark, d), 100, 21, 3, "v")
+    return T.circular_blocks(_base(spark, d), "series_id", 100, 21, 3, "v").drop("series_id")
 
 
 @query(
@@ -365,7 +365,7 @@ o AS (SELECT e AS effect FROM e WHERE s = 0)
 SELECT round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(effect) THEN 1.0::DOUBLE ELSE 0 END), 6) AS p, count(*) AS shifts FROM e, o WHERE s > 0 GROUP BY effect""",
 )
 def _(spark, d):
-    return T.circular_shift_p(_base(spark, d), "flag", "v")
+    return T.circular_shift_p(_base(spark, d), "series_id", "flag", "v").drop("series_id")
 
 
 @query(
@@ -391,6 +391,63 @@ def _(spark, d):
     return grid.groupBy("shift").agg(F.round(F.first("crit"), 6).alias("crit"), F.round(F.avg(over), 6).alias("power"))
 
 
+# the same of every series, with the statistic, draws and grid of the reference
+
+
+_EVERY = f"""every_v AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, v, rank <= 10 AS flag FROM ranked WHERE rank IS NOT NULL),
+fwd AS (SELECT series_id, d, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
+every_r AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, r AS v, coalesce(rank <= 10, false) AS flag FROM fwd WHERE r IS NOT NULL),
+sizes AS (SELECT series_id, count(*) AS n FROM every_r GROUP BY 1)"""
+
+
+def _returns(spark, d):
+    """``series_id, pos, v, flag`` of all days with a return over the next 21 rows."""
+    r = ranked(spark, d).withColumn("r", E.forward_return(21)).where("r IS NOT NULL")
+    return r.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), F.col("r").alias("v"), F.coalesce(F.col("rank") <= 10, F.lit(False)).alias("flag"))
+
+
+@query(
+    "bootstrap_effect",
+    f"""WITH {RANKED}, {_EVERY}, x AS (SELECT series_id, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=0, n='n')} AS at_ FROM sizes, range(800) t(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
+p AS (SELECT series_id, b, (at_ + i) % n AS pos FROM x, range(21) y(i) WHERE k * 21 + i < n),
+e AS (SELECT series_id, b, CASE WHEN count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS e FROM p JOIN every_r USING (series_id, pos) GROUP BY 1, 2),
+l AS (SELECT series_id, count(e) AS k, quantile_cont(e, 0.05) AS lo, quantile_cont(e, 0.95) AS hi FROM e GROUP BY 1),
+o AS (SELECT series_id, count(*) AS n, CASE WHEN count(*) >= 63 AND count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS point FROM every_r GROUP BY 1)
+SELECT series_id, round(point, 6) AS point, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN lo END, 6) AS low, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN hi END, 6) AS high FROM o JOIN l USING (series_id)""",
+)
+def _(spark, d):
+    return T.bootstrap_effect(_returns(spark, d), "series_id", "flag", "v", 21)
+
+
+@query(
+    "circular_shift_p_by_series",
+    f"""WITH {RANKED}, {_EVERY}, n AS (SELECT series_id, count(*) AS n, sum(v) AS total FROM every_v GROUP BY 1),
+m AS (SELECT series_id, s, (pos + s) % n AS pos, n, total FROM every_v JOIN n USING (series_id), LATERAL (SELECT unnest(range(n)) AS s) WHERE flag),
+e AS (SELECT series_id, s, round(sum(v) / count(*) - (any_value(total) - sum(v)) / nullif(any_value(n) - count(*), 0), 9) AS e FROM m JOIN every_v USING (series_id, pos) GROUP BY 1, 2),
+o AS (SELECT series_id, e AS effect FROM e WHERE s = 0)
+SELECT series_id, round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(effect) THEN 1.0::DOUBLE ELSE 0 END), 6) AS p, count(*) AS shifts FROM e JOIN o USING (series_id) WHERE s > 0 GROUP BY series_id, effect""",
+)
+def _(spark, d):
+    every = ranked(spark, d).where("rank IS NOT NULL")
+    every = every.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
+    return T.circular_shift_p(every, "series_id", "flag", "v")
+
+
+@query(
+    "min_detectable",
+    f"""WITH RECURSIVE {RANKED}, {_EVERY}, {_EPISODES}, {_greedy('eps', 21)}, ev AS (SELECT series_id, count(*) AS n_events FROM chain WHERE pos IS NOT NULL GROUP BY 1),
+z AS (SELECT series_id, n, coalesce(n_events, 0) AS n_events FROM sizes LEFT JOIN ev USING (series_id)),
+x AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=1, n='n')} AS pos FROM z, range(4000) t(b), LATERAL (SELECT unnest(range(n_events)) AS k) WHERE n >= 50 AND n_events >= 3),
+med AS (SELECT series_id, b, median(v) AS m FROM x JOIN every_r USING (series_id, pos) GROUP BY 1, 2), c AS (SELECT series_id, quantile_cont(m, 0.95) AS crit FROM med GROUP BY 1),
+grid AS (SELECT series_id, s, avg(CASE WHEN m + s * 0.005::DOUBLE > crit THEN 1.0::DOUBLE ELSE 0 END) AS p FROM med JOIN c USING (series_id), range(160) t(s) GROUP BY 1, 2),
+l AS (SELECT series_id, min(s) AS s FROM grid WHERE p >= 0.8 GROUP BY 1)
+SELECT series_id, n_events, round(crit, 6) AS crit, round(s * 0.005::DOUBLE, 3) AS shift FROM z LEFT JOIN c USING (series_id) LEFT JOIN l USING (series_id)""",
+)
+def _(spark, d):
+    events = E.spaced(fear_episodes(spark, d), "pos", 21).groupBy("series_id").agg(F.count("*").alias("n_events"))
+    return T.min_detectable(_returns(spark, d), events, "series_id", "v")
+
+
 @query(
     "three_way_verdict",
     f"""WITH {RANKED}, r AS (SELECT series_id, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
