@@ -1,62 +1,53 @@
 r"""Document fingerprints as invertible Bloom lookup sketches.
 
-A document is the set of its passages (lines, cut further behind some sentences: before those that
-start with a vowel, which depends on the text alone). Each passage has
-a 64-bit digest whose low 24 bits check the other 40. A sketch has three rows of cells; a digest
-is added to one cell of each row, which keeps a count and the XOR of its digests. Subtracting
+A document is the set of its passages: it is cut at every line and sentence end and inside them at words that
+depend on the text alone, after 16 words at most, so a text of more than 16 words is never one passage. Each passage has
+a 64-bit digest whose low 24 bits check the other 40. A sketch has three thirds of cells; a digest
+is added to one cell of each third, which keeps a count and the XOR of its digests. Subtracting
 two sketches leaves the differing digests only: cells with a count of one and a digest that passes
-its check are peeled until nothing is left, which recovers what either side has alone. Where
-peeling fails the digests are divided over four times as many independent sketches and only those pairs are
-tried again. Likeness is the Jaccard coefficient that follows from the recovered differences.
-
-``fine_passages`` cuts at every line and sentence end and inside them at words that depend on the text alone and
-after 16 words at most, so that a text of more than 16 words is never one passage.
-
-All of it is column expressions. Sketches of one level have a fixed size, so a very long document
-becomes many small rows, never one large one.
-
-Defined cases: null text is empty; the empty document has no passages and an all-zero sketch; two
-empty documents have likeness 1; repeated passages count once; equal texts have equal fingerprints.
+its check are peeled, one third after the other, which recovers what either side has alone. Pairs
+that do not come out empty are tried again with more cells: with enough for all their digests, then
+with four times as many each time. Likeness is the Jaccard coefficient that follows from the recovered differences.
+
+Cells are rows ``(document, cell)``. Documents are dealt to the tasks once; every later grouping is by document and cell
+inside the same task, so neither cells nor digests are shuffled, and a very long document is many small
+rows. All of it is DataFrame operations.
+
+Defined cases: null text is empty; the empty document has no passages and a fingerprint without cells; two
+empty documents have likeness 1; repeated passages count once; equal texts have equal fingerprints; repeated rows
+have a fingerprint each; no rows give no rows; extra columns are not read. Whole texts are read, however long; a text
+and its successor must fit one row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.shared import text_or_empty, written
+from larkspur.llm.shared import place_in, text_or_empty, written
 
-#: Ends a passage: a line end, or white space behind a sentence and before a capital vowel.
-PASSAGE_END = r"\s(?:(?<=\n)|(?<=\p{Ll}\.\s)(?=[AEIOU]))"
 #: A word, or a piece of a very long one, and the letters that end a passage inside a sentence: every eighth code point.
 _WORD, _LAST = r"\S{1,40}+", "".join(chr(c) for c in range(0x41, 0x700) if c % 8 == 7 and chr(c).isalpha())
 _RUN = rf"{_WORD}(?:[^\S\n]*+{_WORD})"
-#: A fine passage: the fewest words up to a line's, a sentence's or a passage's end, else 16.
-FINE_PASSAGE = rf"""{_RUN}{{0,15}}?(?=\s|\Z)(?:(?=[^\S\n]*(?:\n|\Z))|(?<=[.!?])|(?<=[.!?]["'”»)])|(?<=[{_LAST}]))|{_RUN}{{0,15}}+"""
-#: Cells in each of the three rows of a sketch.
+#: A passage: the fewest words up to a line's, a sentence's or a passage's end, else 16.
+PASSAGE = rf"""{_RUN}{{0,15}}?(?=\s|\Z)(?:(?=[^\S\n]*(?:\n|\Z))|(?<=[.!?])|(?<=[.!?]["'”»)])|(?<=[{_LAST}]))|{_RUN}{{0,15}}+"""
+#: Cells in each third of a fingerprint.
 ROW_CELLS = 21
-CELLS = 3 * ROW_CELLS
-#: Peeling passes over one sketch; a pass without any pure cell costs nothing more.
-PASSES = 24
+#: Peeling steps over one sketch; each takes the next third.
+STEPS = 9
 #: Low bits of a digest that check its other bits.
 CHECK_BITS = 24
-#: Digests are divided over that many times more sketches after a failure.
+#: Times more cells after a failure.
 GROWTH = 4
 
 
 def passages(text: Column) -> Column:
-    return F.filter(F.split(text, PASSAGE_END), lambda p: F.trim(p) != "")
+    return F.regexp_extract_all(text, F.lit(PASSAGE), F.lit(0))
 
 
-def fine_passages(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(FINE_PASSAGE), F.lit(0))
-
-
-def digests(text: Column, cut: Callable[[Column], Column] = passages) -> Column:
+def digests(text: Column) -> Column:
     """The distinct passage digests of a text, in order of first appearance."""
-    short = F.transform(cut(text), lambda p: F.shiftrightunsigned(F.xxhash64(p), CHECK_BITS))
+    short = F.transform(passages(text), lambda p: F.shiftrightunsigned(F.xxhash64(p), CHECK_BITS))
     return F.array_distinct(F.transform(short, lambda d: F.shiftleft(d, CHECK_BITS).bitwiseOR(_check(d))))
 
 
@@ -64,115 +55,133 @@ def _check(short: Column) -> Column:
     return F.xxhash64(short).bitwiseAND(F.lit(2**CHECK_BITS - 1))
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def _cell(digest: Column, third: Column, size: Column, salt: int) -> Column:
+    """A digest's cell in a third of ``size`` cells."""
+    return third * size + F.pmod(F.xxhash64(digest, third.cast("int"), F.lit(salt)), size)
 
 
-def _cells_of(digest: Column, salt: Column) -> list[Column]:
-    """Its cell in each row, counted from 1."""
-    mixed = F.xxhash64(digest, salt)
-    return [
-        (F.shiftrightunsigned(mixed, 20 * i).bitwiseAND(F.lit(0xFFFFF)) % ROW_CELLS + (i * ROW_CELLS + 1)).cast("int")
-        for i in range(3)
-    ]
+def _header(kind: str) -> Column:
+    """A document's own row among its digests or cells; it alone carries the document's other columns."""
+    return F.filter(F.array(F.lit(None).cast(kind)), lambda _: F.lit(True))
 
 
-def _item(digest: Column, sign: Column, salt: Column) -> Column:
-    return F.struct(
-        digest.alias("d"), sign.alias("s"), *(c.alias(f"c{i}") for i, c in enumerate(_cells_of(digest, salt)))
-    )
+def sketches(rows: DataFrame, by: list[str], sides: list[str]) -> DataFrame:
+    """``by, doc`` and ``cells``, the sorted non-empty cells ``(cell, n0, x0, n1, x1, ..)`` of each side's fingerprint.
 
+    ``rows`` has the unique key ``by`` and the struct ``doc``, whose fields ``sides`` are arrays of digests.
+    """
+    entry = "struct<side:int,d:bigint>"
+
+    def of_side(i: int) -> Column:
+        return F.transform(F.col(f"doc.{sides[i]}"), lambda d: F.struct(F.lit(i).alias("side"), d.alias("d")).cast(entry))
+
+    each = rows.select(*by, "doc", F.explode(F.concat(_header(entry), *map(of_side, range(len(sides))))).alias("e"))
+    first = F.col("e").isNull()
+    placed = each.select(
+        *by, F.when(first, F.col("doc")).alias("doc"), F.col("e.side").alias("side"), F.col("e.d").alias("d"),
+        F.explode(F.when(first, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, range(3))))).alias("third"),
+    ).withColumn("cell", F.when(F.col("d").isNotNull(), _cell(F.col("d"), F.col("third").cast("long"), F.lit(ROW_CELLS).cast("long"), 0)))
+    own = [F.col("side") == i for i in range(len(sides))]
+    cells = placed.groupBy(*by, "doc", "cell").agg(
+        *(c for i, o in enumerate(own) for c in (F.count_if(o).alias(f"n{i}"), F.bit_xor(F.when(o, F.col("d")).otherwise(F.lit(0).cast("long"))).alias(f"x{i}")))
+    )
+    fields = [f"{k}{i}" for i in range(len(sides)) for k in "nx"]
+    held = F.when(F.col("cell").isNotNull(), F.struct("cell", *fields))
+    return cells.groupBy(*by).agg(F.first("doc", ignorenulls=True).alias("doc"), F.sort_array(F.collect_list(held)).alias("cells"))
 
-def _put(cells: Column, at: list[Column], values: list[Column]) -> Column:
-    """The array with the values at three increasing places."""
-    parts, last = [], F.lit(0)
-    for place, value in zip(at, values):
-        parts += [F.slice(cells, last + 1, place - last - 1), F.array(value)]
-        last = place
-    return F.concat(*parts, F.slice(cells, last + 1, F.lit(CELLS)))
 
+def encode(cells: Column, side: int) -> Column:
+    """A side's fingerprint as text: per non-empty cell its number, count and XOR in hexadecimal."""
+    some = F.filter(cells, lambda c: c[f"n{side}"] > 0)
+    return F.array_join(F.transform(some, lambda c: F.concat_ws(":", c["cell"], c[f"n{side}"], F.hex(c[f"x{side}"]))), ",")
 
-def _add(sketch: Column, item: Column, sign: int = 1) -> Column:
-    """The sketch with an item added (or with ``sign`` -1 taken out)."""
-    at = [item[f"c{i}"] for i in range(3)]
-    counts = [F.element_at(sketch["n"], c) + item["s"] * sign for c in at]
-    xors = [F.element_at(sketch["x"], c).bitwiseXOR(item["d"]) for c in at]
-    return F.struct(_put(sketch["n"], at, counts).alias("n"), _put(sketch["x"], at, xors).alias("x"))
 
+def subtracted(sketched: DataFrame, by: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """The non-empty cells of each pair's difference: ``by, doc, pair, size, cell, n, x``, and a row for each document."""
+    kind = "struct<pair:int,cell:bigint,n:bigint,x:bigint>"
 
-def sketch(keys: Column, salt: Column) -> Column:
-    """The sketch ``struct<n:array<int>, x:array<long>>`` of an array of digests."""
-    empty = F.struct(
-        F.array_repeat(F.lit(0), CELLS).alias("n"), F.array_repeat(F.lit(0).cast("long"), CELLS).alias("x")
-    )
-    items = F.transform(keys, lambda d: _item(d, F.lit(1), salt))
-    return F.aggregate(items, empty, lambda acc, item: _add(acc, item))
+    def difference(p: int, a: int, b: int) -> Column:
+        cells = F.transform(
+            "cells",
+            lambda c: F.struct(F.lit(p).alias("pair"), c["cell"].alias("cell"), (c[f"n{a}"] - c[f"n{b}"]).alias("n"), c[f"x{a}"].bitwiseXOR(c[f"x{b}"]).alias("x")).cast(kind),
+        )
+        return F.filter(cells, lambda c: (c["n"] != 0) | (c["x"] != 0))
 
+    each = sketched.select(*by, "doc", F.explode(F.concat(_header(kind), *(difference(p, a, b) for p, (a, b) in enumerate(pairs)))).alias("e"))
+    return each.select(*by, F.when(F.col("e").isNull(), F.col("doc")).alias("doc"), "e.pair", F.lit(ROW_CELLS).cast("long").alias("size"), "e.cell", "e.n", "e.x")
 
-def encode(sk: Column) -> Column:
-    """The sketch as text: per cell its count, then its XOR in hexadecimal (empty where zero)."""
-    cell = lambda n, x: F.when((n == 0) & (x == 0), "").otherwise(F.concat(n.cast("string"), F.lit(":"), F.hex(x)))
-    return _let(sk, lambda v: F.array_join(F.zip_with(v["n"], v["x"], cell), ","))
 
+def resketched(rows: DataFrame, by: list[str], pairs: list[tuple[str, str]], sizes: list[Column], salt: int) -> DataFrame:
+    """The same for larger sketches of those pairs whose ``sizes`` (cells of a third) are not null: signed digests are added up by cell."""
+    kind = "struct<pair:int,size:bigint,s:bigint,d:bigint>"
 
-def subtract(a: Column, b: Column) -> Column:
-    return _let(
-        F.struct(a.alias("a"), b.alias("b")),
-        lambda v: F.struct(
-            F.zip_with(v["a"]["n"], v["b"]["n"], lambda p, q: p - q).alias("n"),
-            F.zip_with(v["a"]["x"], v["b"]["x"], lambda p, q: p.bitwiseXOR(q)).alias("x"),
-        ),
-    )
+    def signed(p: int, side: str, sign: int, size: Column) -> Column:
+        items = F.transform(
+            F.col(f"doc.{side}"), lambda d: F.struct(F.lit(p).alias("pair"), size.alias("size"), F.lit(sign).alias("s"), d.alias("d")).cast(kind)
+        )
+        return F.when(size.isNotNull(), items).otherwise(F.filter(items, lambda _: F.lit(False)))
 
+    items = [signed(p, side, sign, size) for p, ((a, b), size) in enumerate(zip(pairs, sizes)) for side, sign in ((a, 1), (b, -1))]
+    each = rows.select(*by, "doc", F.explode(F.concat(_header(kind), *items)).alias("e"))
+    first = F.col("e").isNull()
+    placed = each.select(
+        *by, F.when(first, F.col("doc")).alias("doc"), "e.*",
+        F.explode(F.when(first, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, range(3))))).alias("third"),
+    ).withColumn("cell", _cell(F.col("d"), F.col("third").cast("long"), F.col("size"), salt))
+    cells = placed.groupBy(*by, "doc", "pair", "size", "cell").agg(F.sum("s").alias("n"), F.bit_xor("d").alias("x"))
+    return cells.where("doc IS NOT NULL OR n <> 0 OR x <> 0")
 
-def peel(difference: Column, salt: Column) -> Column:
-    """``struct<n, x, found:array<item>>`` after peeling; all cells are zero if it succeeded."""
 
-    def passed(d: Column) -> Column:
-        return _check(F.shiftrightunsigned(d, CHECK_BITS)) == d.bitwiseAND(F.lit(2**CHECK_BITS - 1))
+def peeled(cells: DataFrame, by: list[str], salt: int, steps: int = STEPS) -> DataFrame:
+    """The cells after peeling, with ``found`` digests as rows of their own; cells that came out empty are gone.
 
-    def one_pass(state: Column, _) -> Column:
-        pairs = F.zip_with(
-            state["n"],
-            state["x"],
-            lambda n, x: F.when((F.abs(n) == 1) & passed(x), F.struct(x.alias("d"), n.alias("s"))),
-        )
-        found = F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
-        start = F.struct(state["n"].alias("n"), state["x"].alias("x"))
-
-        def taken_out(pure: Column) -> Column:
-            items = F.transform(pure, lambda p: _item(p["d"], p["s"], salt))
-            return _let(
-                F.aggregate(items, start, lambda acc, item: _add(acc, item, -1)),
-                lambda v: F.struct(
-                    v["n"].alias("n"), v["x"].alias("x"), F.concat(state["found"], pure).alias("found"), F.size(pure).alias("k")
-                ),
+    A step looks at one third only, where a digest has one cell, so no digest is taken out twice: a pure cell becomes a
+    found digest and what it takes from the digest's cells in the other thirds. A few steps are one statement, since Spark
+    analyses the plan so far again with each DataFrame call.
+    """
+    keys, mask = ", ".join(by), 2**CHECK_BITS - 1
+    state, query = cells.withColumn("found", F.lit(None).cast("long")), "{state}"
+    for step in range(steps):
+        third, others = step % 3, ((step + 1) % 3, (step + 2) % 3)
+        cell = [f"{t} * size + pmod(xxhash64(x, {t}, {salt}), size)" for t in others]
+        query = f"""(
+            SELECT * FROM (SELECT {keys}, doc, pair, size, found, cell, sum(n) AS n, bit_xor(x) AS x FROM (
+              SELECT {keys}, doc, pair, size,
+                CASE WHEN pure AND k = 0 THEN x ELSE found END AS found,
+                CASE WHEN NOT pure THEN cell WHEN k = 1 THEN {cell[0]} WHEN k = 2 THEN {cell[1]} END AS cell,
+                CASE WHEN pure AND k > 0 THEN -n ELSE n END AS n,
+                CASE WHEN pure AND k = 0 THEN 0L ELSE x END AS x
+              FROM (
+                SELECT *, coalesce(cell div size = {third} AND abs(n) = 1
+                  AND xxhash64(shiftrightunsigned(x, {CHECK_BITS})) & {mask} = x & {mask}, false) AS pure
+                FROM {query}
+              ) LATERAL VIEW explode(CASE WHEN pure THEN array(0, 1, 2) ELSE array(0) END) AS k
             )
+            GROUP BY {keys}, doc, pair, size, found, cell)
+            WHERE doc IS NOT NULL OR n <> 0 OR x <> 0)"""
+        if third == 2 or step == steps - 1:
+            state, query = cells.sparkSession.sql(f"SELECT * FROM {query}", state=state), "{state}"
+    return state
 
-        return _let(found, taken_out)
 
-    none = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("d"), F.lit(1).alias("s"))), lambda _: F.lit(False))
-    start = _let(
-        difference,
-        lambda v: F.struct(v["n"].alias("n"), v["x"].alias("x"), none.alias("found"), F.lit(1).alias("k")),
-    )
-    # a pass that peels nothing is the last one that does anything
-    step = lambda state, i: F.when(state["k"] == 0, state).otherwise(one_pass(state, i))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, step)
-
-
-def outcome(a: Column, b: Column, salt: Column) -> Column:
-    """``struct<ok, a_only, b_only>`` of two sketches."""
-    side = lambda v, s: F.transform(F.filter(v["found"], lambda f: f["s"] == s), lambda f: f["d"])
-    return _let(
-        peel(subtract(a, b), salt),
-        lambda v: F.struct(
-            (F.forall(v["n"], lambda n: n == 0) & F.forall(v["x"], lambda x: x == 0)).alias("ok"),
-            F.array_except(side(v, 1), side(v, -1)).alias("a_only"),
-            F.array_except(side(v, -1), side(v, 1)).alias("b_only"),
-        ),
-    )
+def outcomes(state: DataFrame, by: list[str], n_pairs: int) -> DataFrame:
+    """``by, doc`` and per pair a struct ``o<p>(ok, a_only, b_only)`` of what peeling found."""
+    aggregates = []
+    for p in range(n_pairs):
+        own, found = F.col("pair") == p, F.col("found")
+        aggregates += [
+            (F.count_if(own & found.isNull()) == 0).alias(f"ok{p}"),
+            F.collect_list(F.when(own & (F.col("n") > 0), found)).alias(f"a{p}"),
+            F.collect_list(F.when(own & (F.col("n") < 0), found)).alias(f"b{p}"),
+        ]
+    got = state.groupBy(*by).agg(F.first("doc", ignorenulls=True).alias("doc"), *aggregates)
+    structs = [F.struct(F.col(f"ok{p}").alias("ok"), F.col(f"a{p}").alias("a_only"), F.col(f"b{p}").alias("b_only")).alias(f"o{p}") for p in range(n_pairs)]
+    return got.select(*by, "doc", *structs)
+
+
+def enough_cells(a: Column, b: Column) -> Column:
+    """Cells of a third that leave next to no chance of failure even if all digests differ."""
+    return F.greatest(F.lit(GROWTH * ROW_CELLS).cast("long"), F.ceil((F.size(a) + F.size(b)) * F.lit(0.8)))
 
 
 def likeness(n_a: Column, a_only: Column, b_only: Column) -> Column:
@@ -180,96 +189,85 @@ def likeness(n_a: Column, a_only: Column, b_only: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise((n_a - a_only) / union)
 
 
-def differences(pairs: DataFrame, parts: int = 1, name: str = "pairs") -> DataFrame:
+def differences(pairs: DataFrame, name: str = "pairs") -> DataFrame:
     """What either side of each pair has alone: ``pair, a_only, b_only`` from ``pair, a, b``.
 
-    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests, divided over ``parts`` sketches at first.
-    Every pair comes back once.
+    ``pair`` is a unique key, ``a`` and ``b`` are arrays of digests. Every pair comes back once, however often it is tried.
     """
-    todo, out, level = pairs.select("pair", "a", "b"), None, 1
-    empty = F.filter(F.col("a"), lambda _: F.lit(False))
+    todo, out, level = pairs.select("pair", F.struct("a", "b").alias("doc")).repartition("pair").withColumnRenamed("pair", "key"), None, 1
     while True:
-        salt = F.lit(level)
-        side = lambda c, s: F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(s).alias("s")))
-        keys = todo.select("pair", F.explode(F.concat(side("a", 1), side("b", 2))).alias("k"))
-        keys = keys.withColumn("part", F.pmod(F.xxhash64("k.d", F.lit(level + 1000)), F.lit(parts)))
-        small = keys.groupBy("pair", "part").agg(
-            F.collect_list(F.when(F.col("k.s") == 1, F.col("k.d"))).alias("a"),
-            F.collect_list(F.when(F.col("k.s") == 2, F.col("k.d"))).alias("b"),
-        )
-        solved = small.select("pair", outcome(sketch(F.col("a"), salt), sketch(F.col("b"), salt), salt).alias("o"))
-        whole = solved.groupBy("pair").agg(
-            F.min("o.ok").alias("ok"),
-            F.flatten(F.collect_list("o.a_only")).alias("a_only"),
-            F.flatten(F.collect_list("o.b_only")).alias("b_only"),
-        )
-        ok = F.coalesce("ok", F.lit(True))
-        tried = todo.join(whole, "pair", "left").select(
-            "pair",
-            ok.alias("ok"),
-            *(F.when(ok, F.coalesce(c, empty)).alias(c) for c in ("a_only", "b_only")),
-            *(F.when(~ok, F.col(c)).alias(c) for c in ("a", "b")),
-        )
-        tried = written(tried, f"{name}-{parts}")
-        solved = tried.where("ok").select("pair", "a_only", "b_only")
+        size = enough_cells(F.col("doc.a"), F.col("doc.b")) * GROWTH ** (level - 1)
+        cells = resketched(todo, ["key"], [("a", "b")], [size], level)
+        tried = outcomes(peeled(cells, ["key"], level, 2 * STEPS), ["key"], 1)
+        tried = written(tried.select("key", "o0.*", F.when(~F.col("o0.ok"), F.col("doc")).alias("doc")), f"{name}-{level}")
+        solved = tried.where("ok").select(F.col("key").alias("pair"), "a_only", "b_only")
         out = solved if out is None else out.unionByName(solved)
         if tried.where("NOT ok").isEmpty():
             return out
-        todo, parts, level = tried.where("NOT ok").select("pair", "a", "b"), parts * GROWTH, level + 1
+        todo, level = tried.where("NOT ok").select("key", "doc"), level + 1
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``fingerprint`` (text) and ``n_passages``."""
-    keys = digests(text_or_empty(docs[text]))
-    return docs.withColumns({"fingerprint": encode(sketch(keys, F.lit(0))), "n_passages": F.size(keys)})
+    """``docs`` with ``fingerprint`` (text) and ``n_passages``; columns of the type map are not supported."""
+    doc = F.struct(*docs.columns, digests(text_or_empty(docs[text])).alias("__keys"))
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), doc.alias("doc")).repartition("__row")
+    sketched = sketches(rows, ["__row"], ["__keys"])
+    return sketched.select(*(F.col("doc")[c].alias(c) for c in docs.columns), encode(F.col("cells"), 0).alias("fingerprint"), F.size("doc.__keys").alias("n_passages"))
 
 
-#: doc_ids that share a window of ``with_next``, and windows that share a step of its links.
-NEAR_IDS, NEAR_WINDOWS = 512, 8192
+#: Most quantiles of the ids that part the table, rows of a part, text bytes of a task and most tasks of ``with_next``.
+CUTS, PART_ROWS, TASK_BYTES, MOST_TASKS = 1024, 512, 8 << 20, 20_000
 
 
-def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
-    """``doc_id``, the columns, and ``next``: those of the document that follows by descending doc_id; the last one's is the first's.
+def with_next(docs: DataFrame) -> DataFrame:
+    """``part, row, doc_id, text, keys`` and ``next_text, next_keys`` of the document that follows by descending doc_id; the last one's is the first's.
 
-    ``docs`` has ``text``, which must not be null; ``derive`` adds what else ``columns`` names.
+    ``(part, row)`` is a unique key and rows of a part are in one task. Keys are the passage digests.
 
-    Rows are ordered inside windows of neighbouring ids; only the first row of each window
-    travels on to the window before it, so rows are shuffled once and no task sees them all.
-    Rows that share a doc_id follow each other by the hash of their text.
+    Ids are parted at their quantiles, and between two quantiles in steps of equal length; a doc_id that many rows share
+    is parted by the hash of the text, in whose order such rows follow each other, so only copies of one text under one
+    id must share a part. Each part passes its first row on to the part before it. Texts are shuffled
+    once, and what is ordered as a whole is one number for each quantile.
     """
-    rows = docs.select("doc_id", "text")
-    rows = rows.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
-    window = F.floor(F.col("id") / F.lit(NEAR_IDS)).cast("long")
-    group = F.floor(F.col("window") / F.lit(NEAR_WINDOWS)).cast("long")
-    heads = (
-        rows.select("id", window.alias("window"))
-        .groupBy("window")
-        .agg(F.max("id").alias("head"))
-        .withColumn("group", group)
-    )
-    tops = heads.groupBy("group").agg(F.max("head").alias("top"))
-    down = Window.orderBy(F.col("group").desc())
-    tops = tops.select(
-        "group",
-        F.coalesce(
-            F.lead("top").over(down), F.max("top").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        ).alias("below"),
-    )
-    inside = Window.partitionBy("group").orderBy(F.col("window").desc())
-    links = (
-        heads.withColumn("following", F.lead("head").over(inside))
-        .join(tops, "group")
-        .select(F.col("window").alias("of_window"), F.coalesce("following", "below").alias("next_id"))
-    )
-    # written, so that their size is known before the texts are read: few enough, they are broadcast
-    links = written(links, "links")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    rows = docs.select("doc_id", text_or_empty("text").alias("text"))
+    about = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n_cuts = min(CUTS, 1 + about["n"] // PART_ROWS)
+    tasks = min(MOST_TASKS, 1 + (about["bytes"] or 0) // TASK_BYTES)
+    quantiles = rows.agg(F.percentile_approx(key, [i / n_cuts for i in range(n_cuts)], 10 * CUTS).alias("cuts"), F.max(key).alias("top")).first()
+    cuts, top = quantiles["cuts"] or [0], quantiles["top"] or 0
+    finer = 1 + about["n"] // (n_cuts * PART_ROWS)
+    numbers = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    below, upto = (place_in(numbers(cuts), F.col("key"), strict) for strict in (True, False))
+    placed = rows.withColumn("key", key).withColumn("below", below).withColumn("upto", upto)
+    # ids that fill whole quantiles are spread over them by the hash of the text, smaller hashes behind
+    spread = (F.lit(0.5) - F.xxhash64("text") / F.lit(2.0**64)) * (F.col("upto") - F.col("below") - 1)
+    lo, hi = (F.element_at(numbers(v), F.greatest("upto", F.lit(1))).cast("double") for v in (cuts, [*cuts[1:], top]))
+    inside = (F.col("key").cast("double") - lo) / F.greatest(hi - lo, F.lit(1.0))
+    at = F.when(
+        F.col("upto") - F.col("below") > 1,
+        F.col("below") + 1 + F.least(F.greatest(spread, F.lit(0.0)), F.col("upto") - F.col("below") - F.lit(1.000001)),
+    ).otherwise(F.col("upto") + F.least(F.greatest(inside, F.lit(0.0)), F.lit(0.999999)))
+    parted = placed.select("doc_id", "text", F.floor(at * finer).cast("long").alias("part")).repartition(tasks, "part")
+    group = F.floor(F.col("part") / finer)
+    parts = parted.groupBy("part").agg(F.max_by(F.struct("doc_id", "text"), F.struct(key, -F.xxhash64("text").cast("decimal(20,0)"))).alias("first"))
+    edges = parts.select("part", group.alias("group")).groupBy("group").agg(F.min("part").alias("low"))
+    up = Window.orderBy("group")
+    whole = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = edges.select("group", F.coalesce(F.lead("low").over(up), F.min("low").over(whole)).alias("above"))
+    within = Window.partitionBy("group").orderBy("part")
     first = (
-        derive(rows.join(links, rows["id"] == links["next_id"]))
-        .groupBy("of_window")
-        .agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("first"))
+        parts.withColumn("group", group)
+        .withColumn("before", F.lead("part").over(within))
+        .join(F.broadcast(edges), "group")
+        .select(F.coalesce("before", "above").alias("of_part"), F.col("first.text").alias("first_text"))
+    )
+    order = Window.partitionBy("part").orderBy(key.desc(), F.xxhash64("text"))
+    placed = parted.withColumn("keys", digests(F.col("text"))).select(
+        "part", F.row_number().over(order).alias("row"), "doc_id", "text", "keys", F.lead(F.struct("text", "keys")).over(order).alias("next")
     )
-    order = Window.partitionBy("window").orderBy(F.col("id").desc(), F.xxhash64("text"))
-    placed = derive(rows).withColumn("window", window).withColumn("following", F.lead(F.struct(*columns)).over(order))
-    return placed.join(
-        first, (F.col("window") == F.col("of_window")) & F.col("following").isNull(), "left"
-    ).select("doc_id", *columns, F.coalesce("following", "first").alias("next"))
+    joined = placed.join(first, (F.col("part") == F.col("of_part")) & F.col("next").isNull(), "left")
+    return joined.select(
+        "part", "row", "doc_id", "text", "keys", F.coalesce("next.text", "first_text").alias("next_text"),
+        F.coalesce("next.keys", digests(F.col("first_text"))).alias("next_keys"),
+    )

@@ -83,72 +83,50 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fingerprints(spark, sf_dir, fingerprints.passages)
-
-
-def op8_fine_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same of fine passages, of which every text of more than 16 words has several."""
-    return _fingerprints(spark, sf_dir, fingerprints.fine_passages)
-
-
-def _fingerprints(spark: SparkSession, sf_dir: str, cut) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    salt = F.lit(0)
-    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
-    keyed = lambda rows: rows.withColumn("keys", fingerprints.digests(F.col("text"), cut))
-    pairs = fingerprints.with_next(texts, ["text", "keys"], keyed)
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.left("text", n - half), F.left("next.text", half))
-    outcome = lambda other: fingerprints.outcome(F.col("own"), other, salt)
-    compared = (
-        pairs.withColumn("edited", edited)
-        .select(
-            "doc_id",
-            F.length("text").cast("long").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"),
-            "keys",
-            fingerprints.digests(F.col("edited"), cut).alias("changed"),
-            F.col("next.keys").alias("following"),
-        )
-        .withColumn("own", fingerprints.sketch(F.col("keys"), salt))
-        .withColumn("other", fingerprints.sketch(F.col("changed"), salt))
-        .withColumn("e", outcome(F.col("other")))
-        .withColumn("f", outcome(fingerprints.sketch(F.col("following"), salt)))
+    pairs = [("own", "changed"), ("own", "following")]
+    by = ["part", "row"]
+    texts = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
+    doc = F.struct(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("keys").alias("own"),
+        fingerprints.digests(F.col("edited")).alias("changed"),
+        F.col("next_keys").alias("following"),
     )
-    near = lambda o: F.when(o["ok"], fingerprints.likeness(F.size("keys"), F.size(o["a_only"]), F.size(o["b_only"])))
-    failed = ~F.col("e.ok") | ~F.col("f.ok")
+    sketched = fingerprints.sketches(texts.withColumn("edited", edited).select(*by, doc.alias("doc")), by, ["own", "changed", "following"])
+    prints = [fingerprints.encode(F.col("cells"), i).alias(c) for i, c in enumerate(("fingerprint", "edited_fingerprint"))]
+    sketched = sketched.withColumn("doc", F.struct("doc.*", *prints))
+    near = lambda o, p: F.when(F.col(f"{o}.ok"), fingerprints.likeness(F.size("doc.own"), F.size(f"{o}.a_only"), F.size(f"{o}.b_only"))).alias(p)
+    names = ["near_edited", "near_next"]
+    found = fingerprints.outcomes(fingerprints.peeled(fingerprints.subtracted(sketched, by, [(0, 1), (0, 2)]), by, 0, 6), by, 2)
+    # what the fingerprints do not tell is asked of sketches with cells for all digests of the pair
+    once = found.select(*by, F.struct("doc.*", *(near(f"o{i}", p) for i, p in enumerate(names))).alias("doc"))
+    sizes = [F.when(F.col(f"doc.{p}").isNull(), fingerprints.enough_cells(F.col(f"doc.{a}"), F.col(f"doc.{b}"))) for p, (a, b) in zip(names, pairs)]
+    larger = fingerprints.outcomes(fingerprints.peeled(fingerprints.resketched(once, by, pairs, sizes, 1), by, 1), by, 2)
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
+    twice = larger.select(*(f"doc.{c}" for c in columns), "doc.own", "doc.changed", "doc.following", *(F.coalesce(f"doc.{p}", near(f"o{i}", p)).alias(p) for i, p in enumerate(names)))
+    failed = F.col("near_edited").isNull() | F.col("near_next").isNull()
     rows = written(
-        compared.select(
-            "doc_id",
-            "n_chars",
-            "edited_sha256",
-            fingerprints.encode(F.col("own")).alias("fingerprint"),
-            fingerprints.encode(F.col("other")).alias("edited_fingerprint"),
-            near(F.col("e")).alias("near_edited"),
-            near(F.col("f")).alias("near_next"),
-            F.size("keys").alias("n_keys"),
-            *(F.when(failed, F.col(c)).alias(c) for c in ("keys", "changed", "following")),
-        ).withColumn("row", F.monotonically_increasing_id()),
+        twice.select(*columns, *names, F.size("own").alias("n_keys"), *(F.when(failed, F.col(c)).alias(c) for c in ("own", "changed", "following"))).withColumn(
+            "row", F.monotonically_increasing_id()
+        ),
         "fingerprints",
     )
-    # pairs that did not peel are tried again, larger: even numbers against the edited text, odd ones against the next document
-    pair = lambda odd, keys, likeness: F.when(
-        F.col(likeness).isNull(), F.struct((F.col("row") * 2 + odd).alias("pair"), F.col("keys").alias("a"), F.col(keys).alias("b"))
-    )
+    left = rows.where("own IS NOT NULL")
+    if left.isEmpty():
+        return rows.select(*columns, *names)
+    # even numbers are pairs with the edited text, odd ones those with the next document
+    pair = lambda odd, keys, p: F.when(F.col(p).isNull(), F.struct((F.col("row") * 2 + odd).alias("pair"), F.col("own").alias("a"), F.col(keys).alias("b")))
     again = F.array_compact(F.array(pair(0, "changed", "near_edited"), pair(1, "following", "near_next")))
-    found = fingerprints.differences(rows.where("keys IS NOT NULL").select(F.inline(again)), fingerprints.GROWTH)
-    counts = found.select(
-        F.floor(F.col("pair") / 2).alias("row"), (F.col("pair") % 2).alias("kind"), F.size("a_only").alias("a"), F.size("b_only").alias("b")
-    )
+    found = fingerprints.differences(left.select(F.inline(again)))
+    counts = found.select(F.floor(F.col("pair") / 2).alias("row"), (F.col("pair") % 2).alias("kind"), F.size("a_only").alias("a"), F.size("b_only").alias("b"))
     of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"{c}{kind}")
     wide = counts.groupBy("row").agg(of(0, "a"), of(0, "b"), of(1, "a"), of(1, "b"))
-    columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
-    late = lambda first, kind: F.coalesce(
-        first, fingerprints.likeness(F.col("n_keys"), F.col(f"a{kind}"), F.col(f"b{kind}"))
-    ).alias(first)
-    retried = rows.where("keys IS NOT NULL").join(wide, "row").select(*columns[:5], late("near_edited", 0), late("near_next", 1))
-    return rows.where("keys IS NULL").select(*columns).unionByName(retried)
+    late = [F.coalesce(p, fingerprints.likeness(F.col("n_keys"), F.col(f"a{k}"), F.col(f"b{k}"))).alias(p) for k, p in enumerate(names)]
+    return rows.where("own IS NULL").select(*columns, *names).unionByName(left.join(wide, "row").select(*columns, *late))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +157,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+#: The same query under the name that it had when there was a coarser rule of passages.
+op8_fine_fingerprints = op8_fingerprints
 QUERIES = {
     f.__name__: f
     for f in (
@@ -190,8 +170,7 @@ QUERIES = {
         op6_url_filters,
         op7_mixing,
         op8_fingerprints,
-        op8_fine_fingerprints,
         op9_toxicity,
         op10_language_id,
     )
-}
+} | {"op8_fine_fingerprints": op8_fine_fingerprints}

@@ -53,3 +53,13 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def place_in(bounds: Column, value: Column, strict: bool = False, bits: int = 11) -> Column:
+    """How many of the ascending ``bounds`` (fewer than ``2**bits``) are at most ``value`` (``strict``: below it), by bisection."""
+
+    def step(at: Column, width: Column) -> Column:
+        bound = F.try_element_at(bounds, at + width)
+        return F.when(bound < value if strict else bound <= value, at + width).otherwise(at)
+
+    return F.aggregate(F.array(*(F.lit(1 << b) for b in reversed(range(bits)))), F.lit(0), step)

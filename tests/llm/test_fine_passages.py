@@ -1,4 +1,4 @@
-"""Texts that the sparse passage rule leaves whole."""
+"""Texts without sentence ends or of one line."""
 
 import random
 import re
@@ -15,13 +15,13 @@ def test_texts_of_one_line_keep_their_likeness(spark, tmp_path):
     same = ["no" + "x" * 7 + " " + "xx " * 200, "q" * 900, "", "  \n ", "one\n\n two words\t three"]
     texts = plain + sentences + accented + same
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r for r in queries.op8_fine_fingerprints(spark, str(tmp_path)).collect()}
-    passages = lambda t: set(re.findall(fingerprints.FINE_PASSAGE, t, re.ASCII))
+    got = {r.doc_id: r for r in queries.op8_fingerprints(spark, str(tmp_path)).collect()}
+    passages = lambda t: set(re.findall(fingerprints.PASSAGE, t, re.ASCII))
     for d, own in enumerate(texts):
         following = texts[d - 1]
         half = len(own) // 2
         edited = own[: len(own) - half] + following[:half]
-        assert "".join(re.findall(fingerprints.FINE_PASSAGE, own, re.ASCII)).split() == [] or re.sub(r"\s", "", "".join(re.findall(fingerprints.FINE_PASSAGE, own, re.ASCII))) == re.sub(r"\s", "", own)
+        assert "".join(re.findall(fingerprints.PASSAGE, own, re.ASCII)).split() == [] or re.sub(r"\s", "", "".join(re.findall(fingerprints.PASSAGE, own, re.ASCII))) == re.sub(r"\s", "", own)
         for column, other in (("near_edited", edited), ("near_next", following)):
             a, b = passages(own), passages(other)
             assert abs(got[d][column] - (len(a & b) / len(a | b) if a | b else 1.0)) < 1e-12

@@ -181,14 +181,19 @@ def test_fingerprints_recover_differences(spark, odd, empty):
     assert fingerprints.fingerprint(empty).count() == 0 and fingerprints.differences(df.limit(0)).count() == 0
 
 
-def test_next_document_order(spark):
-    ids = [5, 3, 1200, 10**10, 10**10 - 1, -4, 513, 512]
-    docs = spark.createDataFrame([(i, f"t{i}", "", "", 0, "", 0, "") for i in ids], DOCS)
-    order = sorted(ids, reverse=True)
-    got = {r.doc_id: r.next.text for r in fingerprints.with_next(docs, ["text"]).collect()}
-    assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+def test_next_document_order(spark, monkeypatch, odd):
+    monkeypatch.setattr(fingerprints, "PART_ROWS", 2)
+    monkeypatch.setattr(fingerprints, "TASK_BYTES", 64)
+    rng = random.Random(12)
+    ids = [5, 3, 1200, 10**10, 10**10 - 1, -4, 513, 512, None] + [rng.getrandbits(62) for _ in range(40)] + [77] * 60 + [None] * 30
+    docs = spark.createDataFrame([(i, f"t{n}", "", "", 0, "", 0, "") for n, i in enumerate(ids)], DOCS)
+    hashed = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(docs.collect(), key=lambda r: (-(r.doc_id if r.doc_id is not None else -(2**63)), hashed[r.text]))
+    got = {r.text: r.next_text for r in fingerprints.with_next(docs).collect()}
+    assert got == {r.text: order[(k + 1) % len(order)].text for k, r in enumerate(order)}
     one = spark.createDataFrame([(None, "", "", "", 0, "", 0, "")], DOCS)
-    assert [(r.doc_id, r.text, r.next.text) for r in fingerprints.with_next(one, ["text"]).collect()] == [(None, "", "")]
+    assert [(r.doc_id, r.text, r.next_text) for r in fingerprints.with_next(one).collect()] == [(None, "", "")]
+    assert fingerprints.with_next(odd).count() == odd.count() and fingerprints.with_next(odd.limit(0)).count() == 0
 
 
 # near duplicates

@@ -75,18 +75,8 @@ def test_mixing_takes_the_targets(spark, docs):
 
 
 def test_fingerprints_give_the_likeness_of_passage_sets(spark, docs):
-    # the passage pattern in Python's syntax
-    def passages(text):
-        out, last = [], 0
-        for m in re.finditer(r"\s", text):
-            i = m.start()
-            sentence = i >= 2 and text[i - 1] == "." and text[i - 2].islower() and text[i + 1 : i + 2] in set("AEIOU")
-            if text[i] == "\n" or sentence:
-                out.append(text[last:i])
-                last = i + 1
-        return {p for p in [*out, text[last:]] if p.strip(" ")}
-
-    assert "AEIOU" in fingerprints.PASSAGE_END
+    # Java's classes of white space are ASCII ones
+    passages = lambda t: set(re.findall(fingerprints.PASSAGE, t, re.ASCII))
     got = queries.op8_fingerprints(spark, SF).toPandas().set_index("doc_id")
     order = docs.doc_id.sort_values(ascending=False).tolist()
     text = dict(zip(docs.doc_id, docs.text))
