@@ -259,7 +259,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     first = (
         parts.withColumn("group", group)
         .withColumn("before", F.lead("part").over(within))
-        .join(F.broadcast(edges), "group")
+        # a left join: an inner one would add a filter below the shuffle of the texts, which could not be used twice then
+        .join(F.broadcast(edges), "group", "left")
         .select(F.coalesce("before", "above").alias("of_part"), F.col("first.text").alias("first_text"))
     )
     order = Window.partitionBy("part").orderBy(key.desc(), F.xxhash64("text"))
