@@ -4,9 +4,12 @@ The index is a Parquet table bucketed and sorted by digest. A batch of documents
 to one row per digest, the digests that the index already holds are removed by a sort-merge
 anti-join, and the rest is appended. Texts never enter a shuffle, only their 32-byte digests.
 
+The index keeps digests, the ids of the registered rows and the batches they came with, but nothing that belongs to one
+run, so a batch that is sent again, whole and under any partitioning, gives the same rows and appends nothing.
+
 Defined cases: null texts count as empty (and equal each other); an empty batch appends
 nothing; of rows that repeat both text and doc_id one row stays; rows without a doc_id lose
-against rows with one; extra columns pass through untouched.
+against rows with one; extra columns pass through untouched; a text may have any length, only its digest is kept.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ def digest(text) -> F.Column:
 
 
 class DigestIndex:
-    """A persistent table ``(digest, keep_id, keep_row, copies, batch)``, bucketed and sorted by digest.
+    """A persistent table ``(digest, keep_id, copies, batch)``, bucketed and sorted by digest.
 
     ``path`` names an index that outlives the session; without it a new one is made in the
     shared folder. ``buckets`` must stay the same for one path.
@@ -38,10 +41,24 @@ class DigestIndex:
         self.path = path or new_path(spark, "digest-index")
         self.name = f"digest_index_{uuid.uuid4().hex[:12]}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, keep_row BIGINT, copies BIGINT, batch STRING) "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, copies BIGINT, batch STRING) "
             f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
         )
 
+    def close(self) -> None:
+        """Takes the table out of the session's catalog; its files and the results of ``ingest`` stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def compacted(self, path: str | None = None) -> DigestIndex:
+        """The same index in a new place with one file for each bucket, however many batches it has taken in."""
+        new = DigestIndex(self.spark, path, self.buckets)
+        new._append(self.rows())
+        return new
+
+    def _append(self, rows: DataFrame) -> None:
+        columns = rows.select("digest", "keep_id", "copies", "batch")
+        columns.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name)
+
     def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
@@ -68,22 +85,17 @@ class DigestIndex:
         )
         held = self.rows().select("digest").hint("merge")
         fresh = groups.join(held, "digest", "left_anti").withColumn("batch", F.lit(batch))
-        (
-            fresh.select("digest", "keep_id", "keep_row", "copies", "batch")
-            .repartition(self.buckets, "digest")
-            .sortWithinPartitions("digest")
-            .write.insertInto(self.name)
-        )
+        self._append(fresh)
         own = F.col("batch") == batch
         lookup = (
-            groups.select("digest", F.col("copies").alias("in_batch"))
+            groups.select("digest", F.col("copies").alias("in_batch"), F.col("keep_row").alias("own_row"))
             .join(self.rows().hint("merge"), "digest")
             .select(
                 "digest",
                 "keep_id",
                 "in_batch",
                 F.when(own, F.col("in_batch")).otherwise(F.col("copies") + F.col("in_batch")).alias("group_size"),
-                F.when(own, F.col("keep_row")).alias("keep_row"),
+                F.when(own, F.col("own_row")).alias("keep_row"),
             )
         )
         # fewer than HOT digests pass this limit, whatever the batch's size
@@ -105,10 +117,12 @@ class DigestIndex:
 
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    index = index or DigestIndex(docs.sparkSession)
-    keep = index.ingest(docs).where("kept").select(
+    own = index or DigestIndex(docs.sparkSession)
+    keep = own.ingest(docs).where("kept").select(
         F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest")
     )
+    if index is None:
+        own.close()
     rows = docs.withColumn("__digest", digest(docs["text"])).withColumn("__id", docs["doc_id"].cast("long"))
     hits = rows.join(
         keep, (F.col("__digest") == F.col("__keep_digest")) & F.col("__id").eqNullSafe(F.col("__keep_id")), "left_semi"
