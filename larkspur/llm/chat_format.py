@@ -1,29 +1,32 @@
 r"""Chat formatting checked by a grammar round trip.
 
 A turn is rendered as ``[INST:e]role[/INST]text</s>`` where ``e`` is the escape level of that
-turn. Level 0 writes role and text as they are. The rendered turn is parsed again; where the
-recovered role and text differ from the source, the turn is rendered at the next level:
+turn. Level 0 writes role and text as they are and is taken only if neither holds a control string. The rendered turn
+is parsed again; where the recovered role and text differ from the source, the turn is rendered at the next level:
 
 * level 1 puts a backslash behind the first character of each control string in role and text,
 * level 2 doubles all backslashes first, which no source text can defeat.
 
-The parser is deterministic: a turn ends at the first ``</s>``, its header at the first
-``[/INST]``, and a backslash at level 1 or 2 stands before one literal character. Control strings hold no
-backslash and their first characters occur nowhere else in them, so escaping cannot make new ones.
+So no control string ever stands inside a rendered role or text. The parser is deterministic: a turn ends at the first
+``</s>``, its header at the first ``[/INST]``, and a backslash at level 1 or 2 stands before one literal character. Control
+strings hold no backslash and their first characters occur nowhere else in them, so escaping cannot make new ones.
 
 Defined cases: null texts and roles count as empty; rows of a conversation are ordered by turn
-(null first), ties by role, then text; repeated rows are turns of their own; a null conv_id is
-a conversation like any other. A conversation is one output row, so its turns meet in one task.
+(null first), ties by role, then text; repeated rows are turns of their own; rows without a conv_id belong together as
+little as they are known to, so each is a conversation of its own; no rows give no rows; extra columns are not read.
+A conversation is one output row, so its turns, texts of any length, meet in one task.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, HEADER_END, END = "[INST:", "[/INST]", "</s>"
 #: What must not stand unescaped inside a role or text.
-CONTROLS = ("[INST:", "[/INST]", "</s>")
+CONTROLS = ("[INST", "[/INST]", "</s>")
 
 
 def _guard(text: Column) -> Column:
@@ -78,10 +81,12 @@ def parse(formatted: Column) -> Column:
     return F.when(whole, turns)
 
 
-def _identical(piece: Column, role: Column, text: Column) -> Column:
+def _identical(piece: Column, role: Column, text: Column, level: int) -> Column:
     parts = F.split(piece, END, -1)
     turn = parse_turn(F.element_at(parts, 1))
     whole = (F.size(parts) == 2) & (F.element_at(parts, -1) == "")
+    if level == 0:
+        whole = whole & ~F.concat_ws("\n", role, text).rlike("|".join(map(re.escape, CONTROLS)))
     return F.coalesce(whole & (turn["role"] == role) & (turn["text"] == text), F.lit(False))
 
 
@@ -94,6 +99,8 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant")
     """
     rows = conversations.select(
         "conv_id",
+        # rows without a conv_id are told apart by a number of their own
+        F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("single"),
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -102,8 +109,8 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant")
     piece = render(role, text, 2)
     for level in (1, 0):
         tried = render(role, text, level)
-        piece = F.when(_identical(tried, role, text), tried).otherwise(piece)
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+        piece = F.when(_identical(tried, role, text, level), tried).otherwise(piece)
+    order = Window.partitionBy("conv_id", "single").orderBy("turn", "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     length = F.length("piece")
     text_length = F.length("piece") - F.instr("piece", HEADER_END) - len(HEADER_END) - len(END) + 1
@@ -118,7 +125,7 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant")
         )
     )
     turn = F.struct("n", "start", "end", "loss_start", "loss_end", "piece", "role", "text")
-    together = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("rows"))
+    together = placed.groupBy("conv_id", "single").agg(F.array_sort(F.collect_list(turn)).alias("rows"))
     return (
         together.withColumn("formatted", F.array_join(F.col("rows.piece"), ""))
         .withColumn("parsed", parse(F.col("formatted")))

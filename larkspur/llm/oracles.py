@@ -10,17 +10,15 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), marked AS (
-  SELECT *, (len(text) - len(replace(text, '</s>', ''))) // 4
-          + (len(text) - len(replace(text, '[/INST]', ''))) // 7
-          + (len(text) - len(replace(text, '[INST:', ''))) // 6 AS marks,
-         (len(text) - len(replace(text, '</s>', ''))) // 4 AS ends
-  FROM rows
+  SELECT *, role || chr(10) || text AS body FROM rows
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(len(role) + len(text) + 8 + 7 + 4 + CASE WHEN ends > 0 THEN marks ELSE 0 END) AS BIGINT) AS formatted_chars
+  CAST(sum(len(role) + len(text) + 8 + 7 + 4
+    + (len(body) - len(replace(body, '</s>', ''))) // 4 + (len(body) - len(replace(body, '[/INST]', ''))) // 7
+    + (len(body) - len(replace(body, '[INST', ''))) // 5) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """,
     "op5_exact_dedup": """

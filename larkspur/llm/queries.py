@@ -66,6 +66,7 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark)
     rows = index.ingest(table(spark, sf_dir, "documents"))
+    index.close()
     return rows.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
