@@ -5,12 +5,15 @@ text. A text is parsed greedily into phrases, each the longest match that the au
 from there on; the number of phrases, times the bits that name a place in the sample, per character, estimates the cross
 entropy. The language with the least wins.
 
-Texts are parsed in lanes of bounded length, many lanes and all languages at once with one
-array step per character; a lane's edge ends a phrase for every language alike. The automata
-are one transition table whose size the sample's bound fixes, so they can be broadcast.
+Texts are parsed in lanes, many lanes and all languages at once with one array step per character. A lane begins some
+characters early, so that its phrases are those of a parse of the whole text by the time it counts: two greedy
+parses agree from the first phrase end that they share, and until then their ends alternate. The automata
+are one hash table of transitions with a code for every letter of the samples, whatever the alphabet; letters of no sample
+match nothing. Its size follows from the samples', which is bounded over all languages together, so it can be broadcast.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, and so is every text when
-no labelled row exists; ties go to the first language in code point order.
+no labelled row exists, as in an empty table; ties go to the first language in code point order; repeated rows are
+predicted alike, and copies of a text are one text of the sample; texts of any length are read as a whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,56 +30,88 @@ from larkspur.llm.hashing import slices
 from larkspur.llm.samples import one_per_bucket
 from larkspur.llm.shared import crc_remainder
 
-#: Characters of labelled text per language, and rows that may provide them.
-SAMPLE_CHARS, SAMPLE_ROWS = 30_000, 64
-#: Distinct letters that the automata tell apart; the rest share one code.
-LETTERS = 250
-LANE = 2048
-SPACE, OTHER, PAD = 0, 1, 255
+#: Characters of labelled text: of a language, of all languages together, and of one text; texts that may provide a language's.
+SAMPLE_CHARS, ALL_CHARS, SLICE_CHARS, SAMPLE_ROWS = 30_000, 3_000_000, 1_000, 64
+#: Characters that a lane counts, and those before them that it reads.
+LANE, EARLY = 2048, 256
+SPACE, OTHER, PAD = 0, 1, -1
+_FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass(frozen=True)
 class Model:
-    """``step[state, code]`` is the next state or -1; ``first[language, code]`` the state behind a phrase's first character."""
+    """The transition of ``state`` by ``code`` has the key ``state * size + code``; ``first[language, code]`` is the state behind a
+    phrase's first character. A key is at one of two places of the table."""
 
     languages: list[str]
     codes: np.ndarray
-    step: np.ndarray
+    size: int
+    keys: np.ndarray
+    values: np.ndarray
     first: np.ndarray
     start: np.ndarray
     bits: np.ndarray
 
-
-def automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence; row 0 is its root, -1 means none."""
-    n = 2 * len(codes) + 2
-    step = np.full((n, size), -1, np.int32)
-    link, length = [-1] * n, [0] * n
-    last, used = 0, 1
+    def following(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next states, -1 for none."""
+        key = state * self.size + code
+        one, two = _places(key, len(self.keys))
+        return np.where(self.keys[one] == key, self.values[one], np.where(self.keys[two] == key, self.values[two], -1))
+
+
+def _places(key: np.ndarray, n: int) -> list[np.ndarray]:
+    shift = np.uint64(64 - (n.bit_length() - 1))
+    with np.errstate(over="ignore"):
+        return [((key.astype(np.uint64) * f) >> shift).astype(np.int64) for f in _FACTORS]
+
+
+def _table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both by place, each key at one of its two; keys that find both taken move others on, in rounds."""
+    n = 1 << max(4, int(len(keys) * 2.5).bit_length())
+    while True:
+        at, places = np.full(n, -1, np.int64), _places(keys, n)
+        todo, turn = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+        for _ in range(200):
+            place = np.where(turn[todo] == 0, places[0][todo], places[1][todo])
+            old = at[place]
+            at[place] = todo
+            lost = todo[at[place] != todo]
+            moved = np.unique(old[(old >= 0) & (at[place] != old)])
+            todo = np.concatenate([lost, moved])
+            if not len(todo):
+                # unused places hold a last, empty entry
+                return np.append(keys, -1)[at], np.append(values, -1)[at].astype(np.int32)
+            turn[todo] ^= 1
+        n *= 2
+
+
+def automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton of a sequence; state 0 is its root."""
+    step, link, length, last = [{}], [-1], [0], 0
     for c in codes.tolist():
-        new, used = used, used + 1
-        length[new] = length[last] + 1
+        new = len(step)
+        step.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p >= 0 and step[p, c] < 0:
-            step[p, c] = new
+        while p >= 0 and c not in step[p]:
+            step[p][c] = new
             p = link[p]
-        if p < 0:
-            link[new] = 0
-        else:
-            q = int(step[p, c])
+        if p >= 0:
+            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[new] = q
             else:
-                copy, used = used, used + 1
-                length[copy] = length[p] + 1
-                step[copy] = step[q]
-                link[copy] = link[q]
-                while p >= 0 and step[p, c] == q:
-                    step[p, c] = copy
+                copy = len(step)
+                step.append(dict(step[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and step[p].get(c) == q:
+                    step[p][c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return step[:used]
+    return step
 
 
 def encode(text: str, codes: np.ndarray) -> np.ndarray:
@@ -92,13 +127,8 @@ def build(texts: dict[str, str]) -> Model:
     """The model of sample texts by language."""
     languages = sorted(texts)
     lowered = {k: texts[k].lower() for k in languages}
-    counts: dict[str, int] = {}
-    for text in lowered.values():
-        for ch in text:
-            if ch.isalpha():
-                counts[ch] = counts.get(ch, 0) + 1
-    letters = sorted(sorted(counts), key=lambda ch: -counts[ch])[:LETTERS]
-    codes = np.full(0x110001, SPACE, np.uint8)
+    letters = sorted({ch for text in lowered.values() for ch in text if ch.isalpha()})
+    codes = np.full(0x110001, SPACE, np.int32)
     for point in range(0x110000):
         if chr(point).isalpha():
             codes[point] = OTHER
@@ -109,55 +139,45 @@ def build(texts: dict[str, str]) -> Model:
             if len(upper) == 1 and codes[ord(upper)] == OTHER:
                 codes[ord(upper)] = codes[ord(ch)]
     size = len(letters) + 2
-    tables, first, start, bits, base = [], [], [], [], 0
+    keys, values, first, start, bits, base = [], [], [], [], [], 0
     for k in languages:
         sample = encode(lowered[k], codes)
-        table = automaton(sample, size)
-        dead = np.full((1, size), -1, np.int32)
-        table = np.where(table >= 0, table + base, -1).astype(np.int32)
-        stop = base + len(table)
-        first.append(np.where(table[0] >= 0, table[0], stop))
-        tables += [table, dead]
+        states = automaton(sample)
+        stop = base + len(states)
+        keys.append(np.array([(base + s) * size + c for s, step in enumerate(states) for c in step], np.int64))
+        values.append(np.array([base + t for step in states for t in step.values()], np.int64))
+        row = np.full(size, stop, np.int32)
+        for c, t in states[0].items():
+            row[c] = base + t
+        first.append(row)
         start.append(stop)
         bits.append(np.log2(max(2, len(sample))))
         base = stop + 1
+    none = np.empty(0, np.int64)
+    table = _table(np.concatenate([none, *keys]), np.concatenate([none, *values]))
     return Model(
-        languages,
-        codes,
-        np.concatenate(tables) if tables else np.empty((0, size), np.int32),
-        np.array(first, np.int32).reshape(len(languages), size),
-        np.array(start, np.int32),
-        np.array(bits),
+        languages, codes, size, *table, np.array(first, np.int32).reshape(len(languages), size), np.array(start, np.int32), np.array(bits)
     )
 
 
 def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, chars: int = SAMPLE_CHARS, rows: int = SAMPLE_ROWS) -> Model:
-    """Learns from whole texts of at most ``rows`` rows a language, in hash order, until ``chars`` characters are read.
+    """Learns from ``rows`` distinct texts a language at most, drawn by their hash, a slice of each at a hashed place.
 
-    Rows are drawn by id and language alone; the drawn ids are few, so they are broadcast to the scan of the texts.
+    ``chars`` bounds what a language may learn from, ``ALL_CHARS`` what all languages may together.
     """
     keyed = docs.select(
-        docs["doc_id"].cast("long").alias("id"), docs["lang"].cast("string").alias("lang"), docs["text"]
-    )
-    known = keyed.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (crc_remainder(F.col("id"), modulus) != held_out))
-    ids = one_per_bucket(known.select("id", "lang").groupBy("id").agg(F.min("lang").alias("lang")), ["lang"], rows, "lang")
-    drawn = (
-        known.drop("lang")
-        .join(F.broadcast(ids), "id")
-        .where(F.col("text").isNotNull())
-        .groupBy("id", "lang")
-        .agg(F.min_by(F.left("text", F.lit(chars)), F.xxhash64("text")).alias("text"))
-        .toPandas()
+        docs["doc_id"].cast("long").alias("doc"), docs["lang"].cast("string").alias("lang"), docs["text"], F.xxhash64(docs["text"]).alias("id")
     )
+    known = keyed.where("doc IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(crc_remainder(F.col("doc"), modulus) != held_out)
+    place = F.pmod(F.xxhash64("id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - SLICE_CHARS + 1)).cast("int") + 1
+    sliced = known.select("id", "lang", F.substr("text", place, F.lit(SLICE_CHARS)).alias("text"))
+    drawn = one_per_bucket(sliced, ["lang"], rows, "lang").select("lang", F.xxhash64("id", F.lit("order")).alias("h"), "text").toPandas()
+    chars = min(chars, ALL_CHARS // max(1, drawn["lang"].nunique()))
     texts: dict[str, str] = {}
-    for lang, part in drawn.sort_values(["lang", "id"]).groupby("lang"):
-        text = ""
-        for t in part["text"]:
-            if len(text) >= chars:
-                break
-            text += t + "\n"
+    for lang, part in drawn.sort_values(["lang", "h"]).groupby("lang"):
+        text = "\n".join(part["text"])[:chars]
         if any(ch.isalpha() for ch in text):
-            texts[lang] = text[:chars]
+            texts[lang] = text
     return build(texts)
 
 
@@ -171,26 +191,27 @@ def phrases(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarr
     lanes = int(per.sum())
     owner = np.repeat(np.arange(n), per)
     at = np.arange(lanes) - np.repeat(np.cumsum(per) - per, per)
-    length = np.clip(np.repeat(sizes, per) - at * LANE, 0, LANE)
+    early = np.where(at > 0, EARLY, 0)
+    length = np.clip(np.repeat(sizes, per) - at * LANE, 0, LANE) + early
     order = np.argsort(-length, kind="stable")
-    grid = np.full((lanes, LANE), PAD, np.uint8)
+    grid = np.full((lanes, LANE + EARLY), PAD, np.int32)
     row = 0
     for c, m in zip(coded, per.tolist()):
-        grid[row : row + m].reshape(-1)[: len(c)] = c
+        for i in range(m):
+            piece = c[max(0, i * LANE - EARLY) : (i + 1) * LANE]
+            grid[row + i, : len(piece)] = piece
         row += m
-    steps = np.ascontiguousarray(grid[order].T)
-    active = np.searchsorted(-length[order], -np.arange(1, LANE + 1), "right")
-    size = model.first.shape[1] if k else 1
+    steps, early = np.ascontiguousarray(grid[order].T), early[order]
+    active = np.searchsorted(-length[order], -np.arange(1, LANE + EARLY + 1), "right")
     state = np.repeat(model.start[:, None], lanes, axis=1).astype(np.int64)
     count = np.zeros((k, lanes), np.int32)
-    flat = model.step.reshape(-1)
     for i in range(int(length.max()) if lanes else 0):
         m = active[i]
         code = steps[i, :m]
         now = state[:, :m]
-        following = flat[now * size + code]
+        following = model.following(now, code)
         miss = following < 0
-        count[:, :m] += miss
+        count[:, :m] += miss & (early[:m] <= i) if i < EARLY else miss
         np.copyto(now, following)
         np.copyto(now, model.first[:, code], where=miss)
     out = np.zeros((k, n), np.int64)

@@ -7,7 +7,8 @@ sample of labelled rows. Since a softmax of two classes over an average is linea
 vectors, scoring reads one number per feature: the product of its vector and the output layer.
 
 Defined cases: null text is scored as empty; an empty text has the score of the bias alone; without
-labelled rows the score is 0.5. Whole texts are read, in blocks of bounded size.
+labelled rows, as in empty tables, the score is 0.5; of labels that share a doc_id the largest counts; repeated rows are
+scored alike; extra columns are not read. Whole texts of any length are read, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.hashing import SPACE, Bytes, blocks, slices
-from larkspur.llm.samples import labelled
+from larkspur.llm.samples import collected, labelled
 
-#: Rows that training reads at most.
-SAMPLE_ROWS = 4000
+#: Rows that training reads at most, and bytes of their features that the driver holds at most.
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 64 << 20
 BUCKETS = 1 << 16
 NGRAMS = (2, 3)
 #: A word that stands again within so many words is a feature of its own, one for each distance.
@@ -74,17 +75,16 @@ def _bags(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in rows:
         bags = [bag(t) for t in part["text"]]
         yield pd.DataFrame(
-            {"label": part["label"], "used": [u.tobytes() for u, _ in bags], "share": [s.tobytes() for _, s in bags]}
+            {"h": part["h"], "label": part["label"], "used": [u.tobytes() for u, _ in bags], "share": [s.tobytes() for _, s in bags]}
         )
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, sample: int = SAMPLE_ROWS) -> Model:
     """Trains on at most ``sample`` labelled rows; executors reduce each text to its bag of buckets."""
     rows = labelled(docs, labels, "quality", modulus, held_out, sample)
-    got = rows.select("label", "text").mapInPandas(_bags, "label int, used binary, share binary").toPandas()
-    examples = sorted(zip(got["label"], map(bytes, got["used"]), map(bytes, got["share"])))
-    bags = [(y, np.frombuffer(u, np.int32), np.frombuffer(s, np.float32)) for y, u, s in examples]
-    return train(bags)
+    bags = rows.select("h", "label", "text").mapInPandas(_bags, "h long, label int, used binary, share binary")
+    got = collected(bags, ["used", "share"], SAMPLE_BYTES)
+    return train([(int(y), np.frombuffer(u, np.int32), np.frombuffer(s, np.float32)) for y, u, s in zip(got["label"], got["used"], got["share"])])
 
 
 def train(bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 3) -> Model:

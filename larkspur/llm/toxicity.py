@@ -6,7 +6,9 @@ evidence stays within the L1 bound at zero, so the model is a short list of buck
 weights, small enough to broadcast whatever the corpus. It is fitted on a bounded sample.
 
 Defined cases: null text is scored as empty; an empty text has the score of the bias alone; without
-labelled rows every score is 0.
+labelled rows, as in empty tables, every score is 0; of labels that share a doc_id the largest counts; repeated rows are
+scored alike; a text of any length is scored as a whole, a slice of texts at a time; extra columns are
+not read and pass through ``without_toxic``.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.hashing import mix, slices, word_hashes
-from larkspur.llm.samples import labelled
+from larkspur.llm.samples import collected, labelled
 
-#: Rows that training reads at most.
-SAMPLE_ROWS = 12_000
+#: Rows that training reads at most, and bytes of their features that the driver holds at most.
+SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 64 << 20
 BUCKETS = 1 << 20
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 0.1, 3
 #: Scores from here on are toxic.
@@ -52,15 +54,15 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def _bags(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in rows:
         used = [np.unique(features([t])[1]).astype(np.int32).tobytes() for t in part["text"]]
-        yield pd.DataFrame({"label": part["label"], "used": used})
+        yield pd.DataFrame({"h": part["h"], "label": part["label"], "used": used})
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, sample: int = SAMPLE_ROWS) -> Model:
     """Trains on at most ``sample`` labelled rows; executors reduce each text to its buckets."""
     rows = labelled(docs, labels, "toxic", modulus, held_out, sample)
-    got = rows.select("label", "text").mapInPandas(_bags, "label int, used binary").toPandas()
-    examples = sorted(zip(got["label"], map(bytes, got["used"])))
-    return train([(int(y), np.frombuffer(u, np.int32)) for y, u in examples])
+    bags = rows.select("h", "label", "text").mapInPandas(_bags, "h long, label int, used binary")
+    got = collected(bags, ["used"], SAMPLE_BYTES)
+    return train([(int(y), np.frombuffer(u, np.int32)) for y, u in zip(got["label"], got["used"])])
 
 
 def train(examples: list[tuple[int, np.ndarray]], seed: int = 5) -> Model:

@@ -357,21 +357,28 @@ def test_quality_toxicity_language(spark, odd, empty):
     assert language_id.predictions(["123", None, ""], m)["lang_pred"].tolist() == ["und"] * 3
 
 
-def test_language_phrases_against_substring_search():
+@pytest.mark.parametrize("wide", [False, True])
+def test_language_phrases_against_substring_search(wide):
     rng = random.Random(8)
     sample = {"a": prose(rng, 60), "b": prose(rng, 60)[::-1]}
+    text = prose(rng, 3000)
+    if wide:  # an alphabet of thousands of letters
+        han = [chr(c) for c in range(0x4E00, 0x5E00)]
+        sample["c"] = "".join(rng.choice(han) for _ in range(3000))
+        text = sample["c"][500:900] + text + "".join(rng.choice(han) for _ in range(500)) + sample["c"][:300]
     model = language_id.build(sample)
-    text = prose(rng, 40)
-    counts, _, _ = language_id.phrases([text], model)
+    counts, _, _ = language_id.phrases([text, "", "ka"], model)
     for k, lang in enumerate(model.languages):
-        codes = lambda s: bytes(language_id.encode(s.lower(), model.codes))
-        known, left, n = codes(sample[lang]), codes(text), 0
-        while left:
+        codes = lambda s: tuple(language_id.encode(s.lower(), model.codes).tolist())
+        whole, left = codes(sample[lang]), codes(text)
+        known = {whole[i : i + m] for m in range(1, 60) for i in range(len(whole) - m + 1)} | {whole[i : i + m] for m in range(60, 410) for i in (0, 500)}
+        at = n = 0
+        while at < len(left):
             size = 1
-            while size < len(left) and left[: size + 1] in known:
+            while at + size < len(left) and left[at : at + size + 1] in known:
                 size += 1
-            left, n = left[size:], n + 1
-        assert counts[k, 0] == n
+            at, n = at + size, n + 1
+        assert counts[k, 0] == n, lang
 
 
 def test_hashes_do_not_depend_on_the_batch():
