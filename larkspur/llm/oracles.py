@@ -44,7 +44,7 @@ WITH parts AS (
 )
 SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.verdict,
   CASE WHEN p.host <> '' AND regexp_matches(p.host || p.path,
-    '(^|[^a-z0-9])(spam|cheap[^a-z0-9]+pills|casino|porn|xxx|free[^a-z0-9]+download|payday[^a-z0-9]+loan)([^a-z0-9]|$)', 'i')
+    '(^|[^a-z0-9])(spam|cheap[^a-z0-9]+pills|casino|porn|xxx|free[^a-z0-9]+download|payday[^a-z0-9]+loan|(buy|cheap|discount|hot|instant|online|win)[^a-z0-9]+(betting|cialis|escorts|jackpot|loans|poker|replica|slots|steroids|viagra))([^a-z0-9]|$)', 'i')
   THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts p LEFT JOIN hits h USING (page_id)
 """,
