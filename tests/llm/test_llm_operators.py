@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on small rows with nulls, ties, repeats, empties and long texts."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -124,6 +125,27 @@ def test_url_filter_matches_plain_rules(spark):
     assert url_filter.judge(pages.limit(0), url_filter.SITE_RULES).count() == 0
 
 
+def test_url_filter_of_many_rules(spark):
+    rng = random.Random(13)
+    many = [url_filter.Rule.host_path("block", f"h{i}.net", f"/p{i % 7}/") for i in range(20_000)]
+    many += [url_filter.Rule.word("block", f"w{i % 50}", f"v{i}") for i in range(200)] + [url_filter.Rule("odd", "block", "%%", (), 0, False)]
+    urls = [f"http://a.h{rng.randrange(30_000)}.net/p{rng.randrange(7)}/x" for _ in range(300)] + [f"http://x.org/w{i % 50}-v{i}" for i in range(30)]
+    urls += ["http://x.org/%%", None, "", "http://h5.net/p5/" + "y" * 100_000] + ["http://h9.net/p2/"] * 50
+    pages = spark.createDataFrame([(i, u, "mine", "h") for i, u in enumerate(urls)], "page_id int, url string, host string, note string")
+    got = {r.page_id: r for r in url_filter.judge(pages, many).collect()}
+    assert len(got) == len(urls) and all(r.note == "h" for r in got.values())
+    for i, u in enumerate(urls):
+        rule, verdict = None, "allow"
+        if u and ".org" not in u:
+            n, p = u.split("h", 2)[2].split(".net/p")
+            hit = int(n) < 20_000 and int(n) % 7 == int(p.split("/")[0])
+            rule, verdict = (f"h{n}.net/p{int(n) % 7}/", "block") if hit else (None, "allow")
+        elif u:
+            verdict = "block"
+        assert (got[i].rule, got[i].verdict) == (rule, verdict), u
+        assert got[i].n_candidates <= 4
+
+
 # chat format
 
 
@@ -178,6 +200,28 @@ def test_mixing_reaches_targets(spark, odd, empty):
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(empty).count() == 0
     mixed = mixing.mixed_rows(docs)
     assert mixed.columns == docs.columns and mixing.mixed_rows(empty).count() == 0
+    assert mixing.mixed_rows(odd).count() > 0
+
+
+def test_mixing_selects_by_key_and_copies_rows(spark, monkeypatch):
+    """The order of selection against a plain version, with one weight for all rows and with many."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 8)
+    rng = random.Random(14)
+    data = [(i, prose(rng, rng.randint(1, 30)), "en", "ab"[i % 5 > 1], 0, "", 0, "") for i in range(3000)]
+    docs = spark.createDataFrame(data, DOCS).withColumn("w", F.lit(0.1))
+    for weight in (F.col("w"), None):
+        got = {r.doc_id: r for r in mixing.mix(docs, weights=(1, 3), max_epochs=9, weight=weight).collect()}
+        w = mixing.quality_weight(docs["text"]) if weight is None else weight
+        keys = {r.doc_id: -math.log(((r.h % 2**64 >> 11) + 0.5) / 2.0**53) / r.w for r in docs.select("doc_id", F.xxhash64("doc_id", "text", F.lit(17)).alias("h"), w.alias("w")).collect()}
+        for source in "ab":
+            own = sorted((r for r in got.values() if r.source == source), key=lambda r: keys[r.doc_id])
+            epochs, left = divmod(round(own[0].target), own[0].source_size)
+            for r in own:
+                assert r.taken == epochs * r["size"] + min(r["size"], left)
+                left -= min(r["size"], left)
+    rows_in = spark.createDataFrame([(1, "a b", "", "s", 0, "", 0, "")] * 3 + [(None, "c d", "", "s", 0, "", 0, "")] * 2 + [(2, None, "", "s", 0, "", 0, ""), (3, "", "", "t", 0, "", 0, "")], DOCS)
+    out = mixing.mixed_rows(rows_in, weights=(1, 1), max_epochs=3).collect()
+    assert sum(len((r.text or "").split()) for r in out) == 10 and {2, 3} <= {r.doc_id for r in out}
 
 
 # fingerprints
