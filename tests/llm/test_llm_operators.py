@@ -303,6 +303,34 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, chunk):
     assert got["class_id"].tolist() == [low[r] for r in root]
 
 
+def test_texts_of_one_template_do_not_meet(spark, monkeypatch):
+    """Templated texts without similar pairs stay out of the work groups, and the similar pairs among them are found."""
+    rng = random.Random(15)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts, pairs = [], []
+    for share in (140, 150, 160):
+        template = words(share)
+        for i in range(2000):
+            texts.append(template + words(200 - share))
+            if i % 20 == 0:
+                copy = list(texts[-1])
+                for _ in range(rng.randrange(1, 4)):
+                    copy[rng.randrange(200)] = "changed"
+                pairs.append((len(texts) - 1, len(texts)))
+                texts.append(copy)
+    sizes = []
+    whole = near_dup.components
+    monkeypatch.setattr(near_dup, "components", lambda edges, name="components": sizes.append(whole(edges, name).groupBy("comp").count().agg({"count": "max"}).first()[0] or 0) or whole(edges, name))
+    docs = spark.createDataFrame([(i, " ".join(t), "", "", 0, "", 0, "") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in near_dup.near_duplicates(docs).collect()}
+    sets = {i: {tuple(t[k : k + 5]) for k in range(196)} for i, t in enumerate(texts)}
+    true = [p for p in pairs if len(sets[p[0]] & sets[p[1]]) >= 0.8 * len(sets[p[0]] | sets[p[1]])]
+    assert len(true) > 200 and sum(got[a].class_id == got[b].class_id for a, b in true) >= 0.99 * len(true)
+    assert all(got[i].n_links == 0 for i in set(range(len(texts))) - {x for p in true for x in p})
+    # work groups hold a small part of the six thousand texts
+    assert sizes[0] < 50
+
+
 def test_near_duplicate_rows(spark, odd, empty):
     kept = near_dup.one_of_each(odd)
     assert kept.columns == odd.columns and kept.where("text = 'one'").count() == 1
