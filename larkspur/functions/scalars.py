@@ -24,18 +24,22 @@ def visible_width(text: Column) -> Column:
     return F.length(text) + F.length(F.regexp_replace(text, "[^\\x{2E81}-\\x{10FFFF}]", ""))
 
 
+#: Markdown marks that a count of visible characters leaves out; headings and dashes only where a line starts.
+HEADING, MARKS = r"(?m)^#{1,6}\s*", r"(?m)\*\*|__|`|\*|^[-–—]\s*"
+#: Typographic variants of one sign, and marks that take no space before or after them.
+VARIANTS, PLAIN = "‘’“”–—−\u00a0", "''\"\"--- "
+BEFORE, AFTER = r"\s+([.,;:!?%)\]}])", r"([(\[{])\s+"
+
+
 def visible_chars(text: Column) -> Column:
     """Characters left without markdown marks and white space."""
-    plain = F.regexp_replace(text, r"\[([^\]]*)\]\([^)]*\)", "$1")
-    return F.length(F.regexp_replace(plain, r"[*_`#>\s]", ""))
-
+    return F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, HEADING, ""), MARKS, ""), r"\s", ""))
 
 
 def match_form(text: Column) -> Column:
-    """Text for matching quotes: one kind of quote and dash, single spaces, none around punctuation."""
-    folded = F.translate(text, "‘’‛“”„–—‒− ", "'''\"\"\"---- ")
-    single = F.trim(F.regexp_replace(folded, r"\s+", " "))
-    return F.regexp_replace(single, r" ?([.,;:!?()\"'-]) ?", "$1")
+    """Text for matching quotes: one form of each sign, single spaces, none before a closing or behind an opening mark."""
+    single = F.trim(F.regexp_replace(F.translate(text, VARIANTS, PLAIN), r"\s+", " "))
+    return F.regexp_replace(F.regexp_replace(single, BEFORE, "$1"), AFTER, "$1")
 
 
 def words(text: Column) -> Column:
@@ -64,13 +68,14 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
-def magnitude(value: Column) -> Column:
-    """A number with digits that suit its size."""
-    size = F.abs(value)
-    return (
-        F.when(size >= 1000, F.format_string("%.0f", value)).when(size >= 100, F.format_string("%.1f", value))
-        .when(size >= 1, F.format_string("%.2f", value)).otherwise(F.format_string("%.4f", value))
-    )
+def series_digits(value: Column) -> Column:
+    """Aggregate: the digits behind the point that suit all values of a series: none for whole numbers, two if all are below 2, else one."""
+    return F.when(F.coalesce(F.bool_and(value == F.floor(value)), F.lit(True)), 0).when(F.max(F.abs(value)) < 2, 2).otherwise(1)
+
+
+def with_digits(value: Column, digits: Column) -> Column:
+    """A number with thousands separators and 0, 1 or 2 digits."""
+    return F.when(digits == 0, F.format_number(value, 0)).when(digits == 1, F.format_number(value, 1)).otherwise(F.format_number(value, 2))
 
 
 def clock(seconds: Column) -> Column:
@@ -93,12 +98,18 @@ def redacted(text: Column) -> Column:
     return F.regexp_replace(text, r"(?i)\b(api_?key|token|secret)=[^&\s]+", "$1=***")
 
 
-#: Patterns of personal data.
+#: Patterns of personal data and of marks that a source leaves in a document.
 PRIVATE = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "email": r"[\w.+-]+@[\w.-]+\.\w{2,}",
+    "reversed_email": r"[A-Z]{2}\.[A-Z]{3}\.[A-Z]+@\d+",
+    "tracking_hash": r"\b[0-9a-f]{32}\b",
+    "exclusive": r"(?i)exclusive use of|evisulcxe",
+    "prepared_for": r"Prepared for\s+[A-Z]|deraperP",
     "phone": r"\+?\d[\d ()-]{7,}\d",
     "ipv4": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
 }
+#: Paths of home and listing pages.
+LISTING = r"(?i)^/?$|/(markets|topics?|tag|tags|category|categories|section|sections|latest|news)/?$"
 
 
 def first_date(text: Column) -> Column:
@@ -115,9 +126,8 @@ def has_offset(text: Column) -> Column:
 
 
 def is_article(url: Column) -> Column:
-    """A path that is deeper than a home or listing page."""
-    path = F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1)
-    return path.rlike(r"^/[^/]+/.+") & ~path.rlike(r"(?i)/(tag|category|topic|author|page)/")
+    """Not the path of a home or listing page."""
+    return ~F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1).rlike(LISTING)
 
 
 def due_date(field: Column, text: Column) -> Column:

@@ -188,13 +188,12 @@ def scan_moves(df: DataFrame, windows: list[int]) -> DataFrame:
     return out
 
 
-def zones(value: Column, cuts: tuple[float, float, float], names: tuple[str, str, str, str]) -> Column:
-    """The name of the right-closed band that holds a 0-100 value."""
-    a, b, c = cuts
-    return (
-        F.when((value <= -0.01) | (value > 100.01) | value.isNull(), F.lit(None))
-        .when(value <= a, names[0]).when(value <= b, names[1]).when(value <= c, names[2]).otherwise(names[3])
-    )
+def zones(value: Column, cuts: tuple[float, ...], names: tuple[str, ...]) -> Column:
+    """The name of the right-closed band between the cuts that holds a 0-100 value; one more name than cuts."""
+    out = F.when((value <= -0.01) | (value > 100.01) | value.isNull(), F.lit(None))
+    for cut, name in zip(cuts, names):
+        out = out.when(value <= cut, name)
+    return out.otherwise(names[-1])
 
 
 def jump_flags(df: DataFrame, sigmas: float = 5.0) -> DataFrame:

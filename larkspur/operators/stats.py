@@ -180,6 +180,10 @@ def circular_shift_p(base: DataFrame, key: str, flag: str, value: str) -> DataFr
     )
 
 
-def verdict(events: Column, low: Column, high: Column, least: int = 8) -> Column:
-    """``insufficient`` for few events, ``pass`` if the interval excludes zero, else ``fail``."""
-    return F.when(events < least, "insufficient").when((low > 0) | (high < 0), "pass").otherwise("fail")
+def verdict(point: Column, low: Column, high: Column, detectable: Column, target: float, events: Column, least: int = 8) -> Column:
+    """What an effect with its interval says: ``too few`` events, ``unknown`` without an interval, ``pass`` above zero and on target,
+    ``undetectable`` around zero and below the smallest effect that could be seen, ``reverse`` below zero, else ``fail``."""
+    return (
+        F.when(events < least, "too few").when(point.isNull() | low.isNull(), "unknown").when((low > 0) & (point >= target), "pass")
+        .when(detectable.isNotNull() & (F.abs(point) < detectable) & (low < 0) & (high > 0), "undetectable").when(high < 0, "reverse").otherwise("fail")
+    )

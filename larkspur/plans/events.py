@@ -451,13 +451,19 @@ def _(spark, d):
 @query(
     "three_way_verdict",
     f"""WITH {RANKED}, r AS (SELECT series_id, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
-s AS (SELECT series_id, count(r) AS n, quantile_cont(r, 0.05) AS lo, quantile_cont(r, 0.95) AS hi FROM r WHERE rank <= 10 GROUP BY 1)
-SELECT series_id, n, CASE WHEN n < 8 THEN 'insufficient' WHEN lo > 0 OR hi < 0 THEN 'pass' ELSE 'fail' END AS verdict FROM s""",
+m AS (SELECT series_id, median(r) AS m FROM r GROUP BY 1),
+s AS (SELECT series_id, count(r) AS n, median(r) - any_value(m) AS point, quantile_cont(r, 0.05) - any_value(m) AS lo, quantile_cont(r, 0.95) - any_value(m) AS hi,
+  stddev_samp(r) / sqrt(count(r)) AS mde FROM r JOIN m USING (series_id) WHERE rank <= 10 GROUP BY 1)
+SELECT series_id, n, CASE WHEN n < 8 THEN 'too few' WHEN point IS NULL OR lo IS NULL THEN 'unknown' WHEN lo > 0 AND point >= 0.02 THEN 'pass'
+  WHEN mde IS NOT NULL AND abs(point) < mde AND lo < 0 AND hi > 0 THEN 'undetectable' WHEN hi < 0 THEN 'reverse' ELSE 'fail' END AS verdict FROM s""",
 )
 def _(spark, d):
-    r = ranked(spark, d).withColumn("r", E.forward_return(21)).where("rank <= 10")
-    s = r.groupBy("series_id").agg(F.count("r").alias("n"), F.percentile("r", F.array(F.lit(0.05), F.lit(0.95))).alias("q"))
-    return s.select("series_id", "n", T.verdict(F.col("n"), F.col("q")[0], F.col("q")[1]).alias("verdict"))
+    r = ranked(spark, d).withColumn("r", E.forward_return(21))
+    r = r.join(r.groupBy("series_id").agg(F.median("r").alias("m")), "series_id").where("rank <= 10")
+    q = F.percentile("r", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
+    s = r.groupBy("series_id").agg(F.count("r").alias("n"), q.alias("q"), F.any_value("m").alias("m"), (F.stddev_samp("r") / F.sqrt(F.count("r"))).alias("mde"))
+    low, point, high = (F.col("q")[i] - F.col("m") for i in range(3))
+    return s.select("series_id", "n", T.verdict(point, low, high, F.col("mde"), 0.02, F.col("n")).alias("verdict"))
 
 
 @query(

@@ -161,11 +161,11 @@ def _(spark, d):
 
 @query(
     "zones_cut",
-    f"""WITH {RANKED} SELECT series_id, d, CASE WHEN rank IS NULL THEN NULL WHEN rank <= 10 THEN 'fear' WHEN rank <= 50 THEN 'low'
-WHEN rank <= 90 THEN 'high' ELSE 'greed' END AS zone FROM ranked""",
+    f"""WITH {RANKED} SELECT series_id, d, CASE WHEN rank IS NULL THEN NULL WHEN rank <= 10 THEN 'extreme fear' WHEN rank <= 40 THEN 'fear'
+WHEN rank <= 60 THEN 'neutral' WHEN rank <= 90 THEN 'greed' ELSE 'extreme greed' END AS zone FROM ranked""",
 )
 def _(spark, d):
-    zone = S.zones(F.col("rank"), (10, 50, 90), ("fear", "low", "high", "greed"))
+    zone = S.zones(F.col("rank"), (10, 40, 60, 90), ("extreme fear", "fear", "neutral", "greed", "extreme greed"))
     return S.trailing_rank(panel(spark, d), 60).select("series_id", "d", zone.alias("zone"))
 
 

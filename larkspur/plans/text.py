@@ -41,7 +41,7 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", C.visible_width(F.col("text")).alias("w"))
 
 
-@query("visible_chars", r"SELECT doc_id, len(regexp_replace(regexp_replace(text, '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '[*_`#>\s]', '', 'g')) AS n FROM documents")
+@query("visible_chars", f"SELECT doc_id, len(regexp_replace(regexp_replace(regexp_replace(text, '{C.HEADING}', '', 'g'), '{C.MARKS}', '', 'g'), '\\s', '', 'g')) AS n FROM documents")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", C.visible_chars(F.col("text")).alias("n"))
 
@@ -67,11 +67,19 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", C.clip((F.col("value") - 20) / 2, 0.0, 100.0).alias("p"))
 
 
-@query("magnitude_format", "SELECT o_orderkey, CASE WHEN x >= 1000 THEN printf('%.0f', x) WHEN x >= 100 THEN printf('%.1f', x) WHEN x >= 1 THEN printf('%.2f', x) ELSE printf('%.4f', x) END AS s FROM (SELECT o_orderkey, (o_orderkey % 97 + 0.3) * CASE o_orderkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 0.01 ELSE 1 END::DOUBLE AS x FROM orders)")
+@query(
+    "magnitude_format",
+    """WITH x AS (SELECT o_orderkey, o_custkey, CASE o_custkey % 3 WHEN 0 THEN o_orderkey % 5000 WHEN 1 THEN (o_orderkey % 97 + 0.3) * 0.01 ELSE (o_orderkey % 97 + 0.3) * 25 END::DOUBLE AS x FROM orders),
+f AS (SELECT o_custkey, CASE WHEN bool_and(x = floor(x)) THEN 0 WHEN max(abs(x)) < 2 THEN 2 ELSE 1 END AS digits FROM x GROUP BY 1)
+SELECT o_orderkey, CASE digits WHEN 0 THEN format('{:,.0f}', x) WHEN 1 THEN format('{:,.1f}', x) ELSE format('{:,.2f}', x) END AS s FROM x JOIN f USING (o_custkey)""",
+)
 def _(spark, d):
-    k = F.col("o_orderkey")
-    x = (k % 97 + F.lit(0.3)) * F.when(k % 3 == 0, 100.0).when(k % 3 == 1, 0.01).otherwise(1.0)
-    return table(spark, d, "orders").select("o_orderkey", C.magnitude(x).alias("s"))
+    k, c = F.col("o_orderkey"), F.col("o_custkey") % 3
+    tail = k % 97 + F.lit(0.3)
+    x = F.when(c == 0, (k % 5000).cast("double")).when(c == 1, tail * 0.01).otherwise(tail * 25)
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", x.alias("x"))
+    digits = rows.groupBy("o_custkey").agg(C.series_digits(F.col("x")).alias("digits"))
+    return rows.join(digits, "o_custkey").select("o_orderkey", C.with_digits(F.col("x"), F.col("digits")).alias("s"))
 
 
 @query("clock_format", "SELECT o_orderkey, CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s // 60 % 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END AS clock, s AS seconds FROM (SELECT o_orderkey, CAST(o_orderkey % 9000 AS INT) AS s FROM orders)")
@@ -89,19 +97,26 @@ def _(spark, d):
 @query(
     "private_counts",
     "SELECT doc_id, "
-    + ", ".join(f"len(regexp_extract_all(text, '{p}')) AS {k}" for k, p in C.PRIVATE.items() if k != "ipv4")
+    + ", ".join(f"len(regexp_extract_all(text, '{p}')) AS {k}" for k, p in C.PRIVATE.items())
     + " FROM documents",
 )
 def _(spark, d):
-    counts = [F.regexp_count("text", F.lit(p)).alias(k) for k, p in C.PRIVATE.items() if k != "ipv4"]
+    counts = [F.regexp_count("text", F.lit(p)).alias(k) for k, p in C.PRIVATE.items()]
     return table(spark, d, "documents").select("doc_id", *counts)
 
 
-@query("private_removed", f"SELECT doc_id, sha256(regexp_replace(text, '{C.PRIVATE['email']}', '<email>', 'g')) AS sha FROM documents")
+def _removed(text: str) -> str:
+    for k, p in C.PRIVATE.items():
+        text = f"regexp_replace({text}, '{p}', '<{k}>', 'g')"
+    return text
+
+
+@query("private_removed", f"SELECT doc_id, sha256({_removed('text')}) AS sha FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select(
-        "doc_id", F.sha2(F.regexp_replace("text", C.PRIVATE["email"], "<email>"), 256).alias("sha")
-    )
+    text = F.col("text")
+    for k, p in C.PRIVATE.items():
+        text = F.regexp_replace(text, p, f"<{k}>")
+    return table(spark, d, "documents").select("doc_id", F.sha2(text, 256).alias("sha"))
 
 
 @query("first_date", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS d FROM orders")
@@ -120,7 +135,7 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", C.has_offset(text).alias("ok"))
 
 
-@query("article_urls", "SELECT page_id, regexp_matches(path, '^/[^/]+/.+') AND NOT regexp_matches(path, '/(tag|category|topic|author|page)/', 'i') AS article FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages)")
+@query("article_urls", f"SELECT page_id, NOT regexp_matches(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '{C.LISTING}') AS article FROM pages")
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", C.is_article(F.col("url")).alias("article"))
 
@@ -138,9 +153,14 @@ def _(spark, d):
     )
 
 
-@query("match_form", None)
+_FOLDED = f"translate(text, '{C.VARIANTS}', '{C.PLAIN.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(
+    "match_form",
+    f"SELECT doc_id, sha256(regexp_replace(regexp_replace(trim(regexp_replace({_FOLDED}, '\\s+', ' ', 'g')), '{C.BEFORE}', '\\1', 'g'), '{C.AFTER}', '\\1', 'g')) AS sha FROM documents",
+)
 def _(spark, d):
-    """Quotes, dashes and spaces folded; tested against fixed pairs."""
     return table(spark, d, "documents").select("doc_id", F.sha2(C.match_form(F.col("text")), 256).alias("sha"))
 
 

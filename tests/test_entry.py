@@ -16,7 +16,10 @@ def test_every_oracle_has_a_query():
 def test_the_entry_works_without_the_corpus_operators(monkeypatch):
     import __spark_entry__ as entry
 
+    full = set(entry.queries())
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(importlib.reload(entry).queries()) == full - {"pipeline"}
+    monkeypatch.setitem(sys.modules, "larkspur.llm", None)
     alone = importlib.reload(entry)
     assert set(alone.queries()) == set(registry.QUERIES) and set(alone.oracle_sql()) == set(registry.ORACLES)
     monkeypatch.undo()

@@ -87,7 +87,10 @@ def test_routes(spark):
 
 def test_scalar_functions(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
-    assert one(C.match_form(F.lit("“It’s ,  here” – yes no"))) == one(C.match_form(F.lit('"It\'s, here"-yes no')))
+    assert one(C.match_form(F.lit("“It’s ,  here” – yes no"))) == '"It\'s, here" - yes no'
+    assert one(C.match_form(F.lit("a ( b ) foo . bar - x"))) == "a (b) foo. bar - x"
+    assert one(C.visible_chars(F.lit("## A _b_ # c\n- d **e**"))) == 8
+    assert one(C.is_article(F.lit("https://a.com/story-one"))) and not one(C.is_article(F.lit("https://a.com/x/Topics/?a=b"))) and not one(C.is_article(F.lit("https://a.com")))
     assert one(C.number(F.lit("1,234.5"))) == 1234.5 and one(C.number(F.lit("--"))) is None
     assert one(C.roc_date(F.lit("115/02/30"))) is None and str(one(C.roc_date(F.lit("115/8/1")))) == "2026-08-01"
     assert one(C.visible_width(F.lit("a中"))) == 3 and one(C.seconds(F.lit("1:02:03"))) == 3723
