@@ -337,65 +337,67 @@ def _(spark, d):
     return counts.withColumn("p", F.round(T.fisher_p("a", "b", "c", "d"), 9))
 
 
-_POS = f"base AS (SELECT row_number() OVER (ORDER BY d) - 1 AS pos, v, rank <= 10 AS flag FROM ranked WHERE series_id = '1-URGENT' AND rank IS NOT NULL)"
+_POS = f"base AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, v, rank <= 10 AS flag FROM ranked WHERE rank IS NOT NULL), n AS (SELECT series_id, count(*) AS n, sum(v) AS total FROM base GROUP BY 1)"
 
 
 def _base(spark, d):
-    one = ranked(spark, d).where("series_id = '1-URGENT' AND rank IS NOT NULL")
-    return one.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
+    """``series_id, pos, v, flag`` of all days with a rank."""
+    every = ranked(spark, d).where("rank IS NOT NULL")
+    return every.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
 
 
 @query(
     "block_bootstrap",
-    f"""WITH {RANKED}, {_POS}, n AS (SELECT count(*) AS n FROM base), s AS (SELECT b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=3, n='n')} AS at_
+    f"""WITH {RANKED}, {_POS}, s AS (SELECT series_id, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=3, n='n')} AS at_
 FROM n, range(100) x(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
-p AS (SELECT b, (at_ + i) % n AS pos FROM s, range(21) y(i) WHERE k * 21 + i < n)
-SELECT CAST(b AS INT) AS b, round(avg(v), 6) AS mean FROM p JOIN base USING (pos) GROUP BY 1""",
+p AS (SELECT series_id, b, (at_ + i) % n AS pos FROM s, range(21) y(i) WHERE k * 21 + i < n)
+SELECT series_id, CAST(b AS INT) AS b, round(avg(v), 6) AS mean FROM p JOIN base USING (series_id, pos) GROUP BY 1, 2""",
 )
 def _(spark, d):
-    return T.circular_blocks(_base(spark, d), "series_id", 100, 21, 3, "v").drop("series_id")
+    return T.circular_blocks(_base(spark, d), "series_id", 100, 21, 3, "v")
 
 
-@query(
-    "circular_shift_p",
-    f"""WITH {RANKED}, {_POS}, n AS (SELECT count(*) AS n, sum(v) AS total FROM base),
-m AS (SELECT s, (pos + s) % n AS pos, n, total FROM base, n, LATERAL (SELECT unnest(range(n)) AS s) WHERE flag),
-e AS (SELECT s, round(sum(v) / count(*) - (any_value(total) - sum(v)) / (any_value(n) - count(*)), 9) AS e FROM m JOIN base USING (pos) GROUP BY s),
-o AS (SELECT e AS effect FROM e WHERE s = 0)
-SELECT round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(effect) THEN 1.0::DOUBLE ELSE 0 END), 6) AS p, count(*) AS shifts FROM e, o WHERE s > 0 GROUP BY effect""",
-)
+_SHIFT = f"""WITH {RANKED}, {_POS},
+m AS (SELECT series_id, s, (pos + s) % n AS pos, n, total FROM base JOIN n USING (series_id), LATERAL (SELECT unnest(range(n)) AS s) WHERE flag),
+e AS (SELECT series_id, s, round(sum(v) / count(*) - (any_value(total) - sum(v)) / nullif(any_value(n) - count(*), 0), 9) AS e FROM m JOIN base USING (series_id, pos) GROUP BY 1, 2),
+o AS (SELECT series_id, e AS effect FROM e WHERE s = 0)
+SELECT series_id, round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(effect) THEN 1.0::DOUBLE ELSE 0 END), 6) AS p, count(*) AS shifts FROM e JOIN o USING (series_id) WHERE s > 0 GROUP BY series_id, effect"""
+
+
+@query("circular_shift_p", _SHIFT)
+@query("circular_shift_p_by_series", _SHIFT)  # an older name
 def _(spark, d):
-    return T.circular_shift_p(_base(spark, d), "series_id", "flag", "v").drop("series_id")
+    return T.circular_shift_p(_base(spark, d), "series_id", "flag", "v")
 
 
 @query(
     "mde_grid",
-    f"""WITH {RANKED}, {_POS}, n AS (SELECT count(*) AS n FROM base),
-x AS (SELECT b, {T.DRAW_SQL.format(b='b', k='k', seed=7, n='n')} AS pos FROM n, range(200) u(b), range(9) w(k)),
-m AS (SELECT b, median(v / 200000) AS m FROM x JOIN base USING (pos) GROUP BY b), c AS (SELECT quantile_cont(m, 0.95) AS crit FROM m)
-SELECT round(any_value(crit), 6) AS crit, CAST(shift AS INT) AS shift, round(avg(CASE WHEN m + shift * 0.05 > crit THEN 1.0::DOUBLE ELSE 0 END), 6) AS power
-FROM m, c, range(17) g(shift) GROUP BY shift""",
+    f"""WITH {RANKED}, {_POS},
+x AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=7, n='n')} AS pos FROM n, range(200) u(b), range(9) w(k)),
+m AS (SELECT series_id, b, median(v / 200000) AS m FROM x JOIN base USING (series_id, pos) GROUP BY 1, 2), c AS (SELECT series_id, quantile_cont(m, 0.95) AS crit FROM m GROUP BY 1)
+SELECT series_id, round(any_value(crit), 6) AS crit, CAST(shift AS INT) AS shift, round(avg(CASE WHEN m + shift * 0.05 > crit THEN 1.0::DOUBLE ELSE 0 END), 6) AS power
+FROM m JOIN c USING (series_id), range(17) g(shift) GROUP BY series_id, shift""",
 )
 def _(spark, d):
     base = _base(spark, d)
-    n = base.agg(F.count("*").alias("n"))
     draws = (
-        n.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(199))))
+        base.groupBy("series_id").agg(F.count("*").alias("n"))
+        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(199))))
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(8))))
-        .select("b", T.draw(7, F.col("b").cast("long"), F.col("k").cast("long"), F.col("n")).alias("pos"))
-    )
-    m = draws.join(base, "pos").groupBy("b").agg(F.median(F.col("v") / 200000).alias("m"))
-    crit = m.agg(F.percentile("m", F.lit(0.95)).alias("crit"))
-    grid = m.join(F.broadcast(crit)).withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(16))))
+        .select("series_id", "b", T.draw(7, F.col("b").cast("long"), F.col("k").cast("long"), F.col("n")).alias("pos"))
+        .hint("merge")
+    )
+    m = draws.join(base, ["series_id", "pos"]).groupBy("series_id", "b").agg(F.median(F.col("v") / 200000).alias("m"))
+    crit = m.groupBy("series_id").agg(F.percentile("m", F.lit(0.95)).alias("crit"))
+    grid = m.join(crit, "series_id").withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(16))))
     over = (F.col("m") + F.col("shift") * F.lit(0.05) > F.col("crit")).cast("double")
-    return grid.groupBy("shift").agg(F.round(F.first("crit"), 6).alias("crit"), F.round(F.avg(over), 6).alias("power"))
+    return grid.groupBy("series_id", "shift").agg(F.round(F.first("crit"), 6).alias("crit"), F.round(F.avg(over), 6).alias("power"))
 
 
-# the same of every series, with the statistic, draws and grid of the reference
+# with the statistic, draws and grid of the survey
 
 
-_EVERY = f"""every_v AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, v, rank <= 10 AS flag FROM ranked WHERE rank IS NOT NULL),
-fwd AS (SELECT series_id, d, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
+_EVERY = f"""fwd AS (SELECT series_id, d, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
 every_r AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, r AS v, coalesce(rank <= 10, false) AS flag FROM fwd WHERE r IS NOT NULL),
 sizes AS (SELECT series_id, count(*) AS n FROM every_r GROUP BY 1)"""
 
@@ -419,20 +421,6 @@ def _(spark, d):
     return T.bootstrap_effect(_returns(spark, d), "series_id", "flag", "v", 21)
 
 
-@query(
-    "circular_shift_p_by_series",
-    f"""WITH {RANKED}, {_EVERY}, n AS (SELECT series_id, count(*) AS n, sum(v) AS total FROM every_v GROUP BY 1),
-m AS (SELECT series_id, s, (pos + s) % n AS pos, n, total FROM every_v JOIN n USING (series_id), LATERAL (SELECT unnest(range(n)) AS s) WHERE flag),
-e AS (SELECT series_id, s, round(sum(v) / count(*) - (any_value(total) - sum(v)) / nullif(any_value(n) - count(*), 0), 9) AS e FROM m JOIN every_v USING (series_id, pos) GROUP BY 1, 2),
-o AS (SELECT series_id, e AS effect FROM e WHERE s = 0)
-SELECT series_id, round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(effect) THEN 1.0::DOUBLE ELSE 0 END), 6) AS p, count(*) AS shifts FROM e JOIN o USING (series_id) WHERE s > 0 GROUP BY series_id, effect""",
-)
-def _(spark, d):
-    every = ranked(spark, d).where("rank IS NOT NULL")
-    every = every.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), "v", (F.col("rank") <= 10).alias("flag"))
-    return T.circular_shift_p(every, "series_id", "flag", "v")
-
-
 @query(
     "min_detectable",
     f"""WITH RECURSIVE {RANKED}, {_EVERY}, {_EPISODES}, {_greedy('eps', 21)}, ev AS (SELECT series_id, count(*) AS n_events FROM chain WHERE pos IS NOT NULL GROUP BY 1),

@@ -153,12 +153,14 @@ def _(spark, d):
     )
 
 
-_FOLDED = f"translate(text, '{C.VARIANTS}', '{C.PLAIN.replace(chr(39), chr(39) * 2)}')"
+def _form_sql(text):
+    folded = f"translate({text}, '{C.VARIANTS}', '{C.PLAIN.replace(chr(39), chr(39) * 2)}')"
+    return f"regexp_replace(regexp_replace(trim(regexp_replace({folded}, '\\s+', ' ', 'g')), '{C.BEFORE}', '\\1', 'g'), '{C.AFTER}', '\\1', 'g')"
 
 
 @query(
     "match_form",
-    f"SELECT doc_id, sha256(regexp_replace(regexp_replace(trim(regexp_replace({_FOLDED}, '\\s+', ' ', 'g')), '{C.BEFORE}', '\\1', 'g'), '{C.AFTER}', '\\1', 'g')) AS sha FROM documents",
+    f"SELECT doc_id, sha256({_form_sql('text')}) AS sha FROM documents",
 )
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(C.match_form(F.col("text")), 256).alias("sha"))
@@ -271,20 +273,21 @@ def _(spark, d):
 
 @query(
     "quote_grounding",
-    """WITH q AS (SELECT doc_id, item_id, b.text AS quote FROM benchmark b JOIN documents d ON d.doc_id % 40 = b.item_id % 40 WHERE b.item_id < 40)
-SELECT q.doc_id, q.item_id, contains(d.text, q.quote) AS found FROM q JOIN documents d USING (doc_id)""",
+    f"""WITH t AS (SELECT doc_id, {_form_sql("text")} AS f FROM documents), q AS (SELECT item_id, {_form_sql("text")} AS f FROM benchmark)
+SELECT item_id, count(doc_id) AS documents, count(doc_id) > 0 AS found FROM q LEFT JOIN t ON contains(t.f, q.f) GROUP BY 1""",
 )
 def _(spark, d):
-    docs, items = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark")
-    pairs = docs.select("doc_id", (F.col("doc_id") % 40).alias("k")).join(
-        items.where("item_id < 40").select("item_id", (F.col("item_id") % 40).alias("k"), F.col("text").alias("quote")), "k"
-    )
-    return J.grounded(pairs, docs, "doc_id", lambda c: c).select("doc_id", "item_id", "found")
+    """Every item in the match form of every document: in how many it stands."""
+    items = table(spark, d, "benchmark").select("item_id", C.match_form(F.col("text")).alias("quote"))
+    docs = table(spark, d, "documents").select("doc_id", C.match_form(F.col("text")).alias("text"))
+    hits = J.contained(docs, items, "doc_id", "item_id").groupBy("item_id").agg(F.count("doc_id").alias("documents"))
+    n = F.coalesce("documents", F.lit(0))
+    return items.select("item_id").join(hits, "item_id", "left").select("item_id", n.alias("documents"), (n > 0).alias("found"))
 
 
 @query("quote_search", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def _(spark, d):
-    """All items in all documents; ``quote_grounding`` above looks at the few pairs that its SQL names."""
+    """All items in all documents, character by character: the pairs."""
     items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote"))
     return J.contained(table(spark, d, "documents"), items, "doc_id", "item_id")
 

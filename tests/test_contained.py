@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from larkspur.functions import scalars as C
 from larkspur.operators import joins as J
 from larkspur.plans import registry
 
@@ -31,3 +32,20 @@ def test_items_above_forty_and_unequal_remainders_are_found(spark, tmp_path):
     spark.createDataFrame([(77, text), (3, text)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = registry.QUERIES["quote_search"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == [(1, 3), (1, 77)]
+
+
+def test_grounding_counts_documents_of_every_item_in_its_match_form(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, f"before {text} after"), (2, text.replace("w7 w8", "w7  w8")), (3, "none"), (4, None), (5, f"“{text}”")]
+    items = [(77, text), (3, f'"{text}"'), (40, "w1 absent"), (41, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = registry.QUERIES["quote_grounding"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(3, 1, True), (40, 0, False), (41, 0, False), (77, 3, True)]
+
+
+def test_grounded_looks_in_the_text_of_the_same_key(spark):
+    quotes = spark.createDataFrame([("a", "x  y"), ("a", "z"), ("b", "x y"), ("c", "x")], "slug string, quote string")
+    texts = spark.createDataFrame([("a", "w x y"), ("b", None)], "slug string, text string")
+    got = J.grounded(quotes, texts, "slug", C.match_form).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", "x  y", True), ("a", "z", False), ("b", "x y", None), ("c", "x", None)], key=str)
