@@ -68,6 +68,16 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
+def age_hours(then: Column, now: Column) -> Column:
+    """Hours from ``then`` to ``now``, negative for what lies ahead."""
+    return (F.unix_timestamp(now) - F.unix_timestamp(then)) / 3600
+
+
+def fresh(then: Column, now: Column, hours: float = 36) -> Column:
+    """Whether something was released in the last ``hours``; what lies ahead is not fresh."""
+    return age_hours(then, now).between(0, hours)
+
+
 def series_digits(value: Column) -> Column:
     """Aggregate: the digits behind the point that suit all values of a series: none for whole numbers, two if all are below 2, else one."""
     return F.when(F.coalesce(F.bool_and(value == F.floor(value)), F.lit(True)), 0).when(F.max(F.abs(value)) < 2, 2).otherwise(1)

@@ -89,6 +89,16 @@ def grounded(quotes: DataFrame, texts: DataFrame, key: str, normalise) -> DataFr
     ).drop("__text")
 
 
+def last_session(asked: DataFrame, sessions: DataFrame, key: str, day: str, days: int = 10) -> DataFrame:
+    """Adds ``session`` and ``looked_back``: the last of the ``days`` days before each asked one that has a session; null if none has.
+
+    Each session is dealt to the days that may ask for it, so both sides meet by equality.
+    """
+    ahead = sessions.select(key, F.col(day).alias("session")).distinct().withColumn("back", F.explode(F.sequence(F.lit(1), F.lit(days))))
+    near = ahead.groupBy(key, F.date_add("session", F.col("back")).alias(day)).agg(F.max("session").alias("session"))
+    return asked.join(near, [key, day], "left").withColumn("looked_back", F.datediff(day, "session"))
+
+
 #: Words of the run that keys a quote, and keys that are looked up inside the scan of the texts.
 GRAM, MOST_KEYS = 8, 4096
 

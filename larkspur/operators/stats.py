@@ -6,7 +6,7 @@ multiplies integers gives the same ones. Exact tests work on one row of counts p
 
 from __future__ import annotations
 
-from math import comb, exp, lgamma
+from math import exp, lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -77,8 +77,25 @@ def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(at least k successes in n trials)."""
-    return float(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1)))
+    """P(at least k successes in n trials), summed from k away from the middle until terms no longer count."""
+    if k <= 0 or k > n or not 0 < p < 1:
+        return float(k <= 0 or (k <= n and p >= 1))
+
+    def side(i: int, step: int) -> float:
+        term = exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p))
+        total = 0.0
+        while 0 <= i <= n and term > total * 1e-17:
+            total += term
+            term *= (n - i) / (i + 1) * p / (1 - p) if step > 0 else i / (n - i + 1) * (1 - p) / p
+            i += step
+        return total
+
+    return min(1.0, side(k, 1)) if k > n * p else max(0.0, 1 - side(k - 1, -1))
+
+
+@F.pandas_udf(DoubleType())
+def binomial_p(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
+    return pd.Series([binomial_tail(int(a), int(b), float(c)) for a, b, c in zip(k, n, p)], dtype="float64")
 
 
 def effect(mask: Column, value: Column, least: int = 3) -> Column:

@@ -278,6 +278,18 @@ def _(spark, d):
     return J.nearest(panel(spark, d), right, "series_id", "d", "mv", 20)
 
 
+@query(
+    "last_session",
+    """WITH s AS (SELECT DISTINCT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_totalprice > 300000),
+a AS (SELECT DISTINCT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT a.key, a.d, max(s.d) AS session, CAST(date_diff('day', max(s.d), a.d) AS INT) AS looked_back
+FROM a LEFT JOIN s ON s.key = a.key AND s.d BETWEEN a.d - 10 AND a.d - 1 GROUP BY 1, 2""",
+)
+def _(spark, d):
+    days = table(spark, d, "orders").select(F.col("o_orderpriority").alias("key"), F.col("o_orderdate").cast("date").alias("d"), "o_totalprice")
+    return J.last_session(days.select("key", "d").distinct(), days.where("o_totalprice > 300000"), "key", "d", 10)
+
+
 @query(
     "splice_scale",
     f"""WITH {PANEL}, h AS (SELECT * FROM panel WHERE d < DATE '1999-01-01'), t AS (SELECT series_id, d, v * 0.1 AS v FROM panel WHERE d >= DATE '1998-06-01'),
@@ -337,6 +349,22 @@ def _(spark, d):
     return counts.withColumn("p", F.round(T.fisher_p("a", "b", "c", "d"), 9))
 
 
+_COIN = "lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.2::DOUBLE) + (n - i) * ln(0.8::DOUBLE)"
+
+
+@query(
+    "binomial_tail",
+    f"""WITH c AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS k, count(*) AS n FROM events GROUP BY 1),
+x AS (SELECT user_id, k, n, unnest(range(k, n + 1)) AS i FROM c), s AS (SELECT user_id, k, n, least(1, sum(exp({_COIN}))) AS p FROM x GROUP BY ALL)
+SELECT user_id, k, n, round(p, 9) AS p, round(1 - pow(1 - p, 12), 9) AS family FROM s""",
+)
+def _(spark, d):
+    """At least as many purchases among a user's events if each were one with probability 0.2; ``family``: in any of 12 such tests."""
+    c = table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("k"), F.count("*").alias("n"))
+    c = c.withColumn("p", T.binomial_p("k", "n", F.lit(0.2)))
+    return c.withColumn("family", F.round(1 - F.pow(1 - F.col("p"), F.lit(12)), 9)).withColumn("p", F.round("p", 9))
+
+
 _POS = f"base AS (SELECT series_id, row_number() OVER ({W}) - 1 AS pos, v, rank <= 10 AS flag FROM ranked WHERE rank IS NOT NULL), n AS (SELECT series_id, count(*) AS n, sum(v) AS total FROM base GROUP BY 1)"
 
 

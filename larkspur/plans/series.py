@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from larkspur.functions import scalars as C
 from larkspur.operators import series as S
-from larkspur.plans.inputs import MONTHLY, PANEL, RANKED, monthly, panel
+from larkspur.plans.inputs import MONTHLY, PANEL, RANKED, monthly, panel, table
 
 QUERIES, ORACLES = {}, {}
 W = "PARTITION BY series_id ORDER BY d"
@@ -318,3 +319,23 @@ def _(spark, d):
     lag = F.floor(F.datediff(F.lit("2001-10-15").cast("date"), "last_d") / 30)
     last = monthly(spark, d).groupBy("series_id").agg(F.max("d").alias("last_d")).withColumn("lag", lag)
     return last.withColumn("level", F.when(lag >= 3, "FAIL").when(lag >= 2, "WARN").otherwise("PASS"))
+
+
+@query(
+    "release_freshness",
+    """WITH l AS (SELECT event_type, max(ts) AS last_updated FROM events GROUP BY 1), n AS (SELECT user_id, max(ts) AS now_ FROM events GROUP BY 1),
+x AS (SELECT user_id, event_type, (epoch(date_trunc('second', now_)) - epoch(date_trunc('second', last_updated))) / 3600 AS age FROM n CROSS JOIN l)
+SELECT user_id, event_type, round(age, 6) AS age_hours, age BETWEEN 0 AND 36 AS fresh FROM x""",
+)
+def _(spark, d):
+    """Whether each kind's last event was fresh when a user was last seen; the kinds are a handful of aggregated rows."""
+    e = table(spark, d, "events")
+    kinds = e.groupBy("event_type").agg(F.max("ts").alias("last_updated")).agg(F.collect_list(F.struct("event_type", "last_updated")).alias("kinds"))
+    seen = e.groupBy("user_id").agg(F.max("ts").alias("now")).join(F.broadcast(kinds)).select("user_id", "now", F.inline("kinds"))
+    then, now = F.col("last_updated"), F.col("now")
+    return seen.select("user_id", "event_type", F.round(C.age_hours(then, now), 6).alias("age_hours"), C.fresh(then, now).alias("fresh"))
+
+
+@query("half_even", "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) AS v FROM lineitem")
+def _(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.bround(F.col("l_quantity").cast("double") / 8, 2).alias("v"))
