@@ -2,37 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.scalars import words
 
 
-def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, line_no, line`` without a leading ``---`` front matter."""
-    body = F.regexp_replace(F.col(text), r"(?s)\A---\n.*?\n---\n", "")
-    return docs.select(key, F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
+def _once(value: Column, keep: Callable[[Column], Column], f: Callable[[Column], Column]) -> Column:
+    """An array of ``f(value)`` if ``keep(value)`` holds, else an empty one.
+
+    ``value`` is bound by a lambda and computed once a row, however often both use it; a filter on a selected column would be
+    pushed below the selection and compute it again.
+    """
+    return F.transform(F.filter(F.array(value), keep), f)
+
+
+def lines(text: str) -> Column:
+    """The lines of a text without a leading ``---`` front matter."""
+    return F.split(F.regexp_replace(F.col(text), r"(?s)\A---\n.*?\n---\n", ""), "\n")
+
+
+def token_array(text: str) -> Column:
+    """All tokens of a text in order, found line by line."""
+    return F.flatten(F.transform(lines(text), words))
 
 
 def tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, pos, token, line_no``; positions run through the document."""
-    per_line = lines(docs, key, text).withColumn("t", words(F.col("line")))
-    order = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.size("t")).over(order), F.lit(0))
-    return per_line.withColumn("before", before).select(
-        key, "line_no", F.posexplode("t").alias("i", "token"), "before"
-    ).select(key, (F.col("before") + F.col("i")).alias("pos"), "token", "line_no")
+    marked = F.transform(lines(text), lambda x, n: F.transform(words(x), lambda w: F.struct(w.alias("token"), n.alias("line_no"))))
+    return docs.select(key, F.posexplode(F.flatten(marked)).alias("pos", "t")).select(key, F.col("pos").cast("long").alias("pos"), "t.token", "t.line_no")
+
+
+def token_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, n, kinds, last, sha`` of each text with tokens: how many, how many kinds, the last position, a digest of all."""
+    found = lambda t: F.struct(
+        F.size(t).cast("long").alias("n"), F.size(F.array_distinct(t)).cast("long").alias("kinds"), (F.size(t) - 1).cast("long").alias("last"),
+        F.sha2(F.array_join(t, " "), 256).alias("sha"),
+    )
+    return docs.select(key, F.inline(_once(token_array(text), lambda t: F.size(t) > 0, found)))
 
 
-def block_repeats(tokens: DataFrame, key: str, k: int) -> DataFrame:
-    """Blocks of at least k tokens that stand again later: ``key, first, second, tokens``.
+def block_repeats(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """Blocks of at least k tokens that stand again later in their text: ``key, first, second, tokens``.
 
-    Each k-gram points to its first occurrence; repeats chain while both positions advance by one.
+    Each k-gram points to its first occurrence; repeats chain while both positions advance by one. Grams are compared by two
+    64-bit hashes made inside the row; only texts in which a gram returns become rows of positions, without their tokens.
     """
-    ahead = Window.partitionBy(key).orderBy("pos").rowsBetween(0, k - 1)
-    grams = tokens.withColumn("g", F.collect_list("token").over(ahead)).where(F.size("g") == k)
-    first = F.min("pos").over(Window.partitionBy(key, "gram"))
-    marked = grams.select(key, "pos", F.array_join("g", " ").alias("gram")).withColumn("first", first)
+    span = lambda t: F.sequence(F.lit(0), F.size(t) - k)
+    at = lambda t, i: [F.get(t, i + j) for j in range(k)]
+    short = lambda h: F.transform(span(h), lambda i: F.xxhash64(*at(h, i)))
+    again = lambda h: F.exists(F.array(short(h)), lambda g: F.size(F.array_distinct(g)) < F.size(g))
+    returns = lambda t: F.when(F.size(t) >= k, F.exists(F.array(F.transform(t, lambda x: F.xxhash64(x))), again)).otherwise(False)
+    twice = lambda t: F.transform(span(t), lambda i: F.struct(F.xxhash64(*at(t, i)).alias("a"), F.xxhash64(F.lit(k), *at(t, i)).alias("b")))
+    candidates = _once(token_array(text), returns, twice)
+    placed = docs.select(key, F.posexplode(F.flatten(candidates)).alias("pos", "g")).withColumn("pos", F.col("pos").cast("long"))
+    marked = placed.withColumn("first", F.min("pos").over(Window.partitionBy(key, "g"))).drop("g")
     repeats = marked.where("pos > first").withColumn("diagonal", F.col("pos") - F.col("first"))
     w = Window.partitionBy(key, "diagonal").orderBy("pos")
     chained = repeats.withColumn("run", F.col("pos") - F.row_number().over(w))
@@ -52,12 +78,14 @@ def repeat_share(repeats: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     )
 
 
-def collapse_loops(tokens: DataFrame, key: str, least: int) -> DataFrame:
-    """``key, words, removed``: words left when a token repeated ``least`` times or more in a row counts once."""
-    w, t = Window.partitionBy(key).orderBy("pos"), Window.partitionBy(key, "token").orderBy("pos")
-    runs = tokens.withColumn("run", F.row_number().over(w) - F.row_number().over(t)).groupBy(key, "token", "run").agg(F.count("*").alias("n"))
-    extra = F.when(F.col("n") >= least, F.col("n") - 1).otherwise(0)
-    return runs.groupBy(key).agg((F.sum("n") - F.sum(extra)).alias("words"), F.sum(extra).alias("removed"))
+def collapse_loops(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
+    """``key, words, removed`` of each text with tokens: words left when a token repeated ``least`` times or more in a row counts once."""
+    starts = lambda t: F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i == 1) | (F.get(t, i - 1) != F.get(t, i - 2)))
+    lengths = lambda s, n: F.zip_with(F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(n + 1)), s, lambda end, start: end - start)
+    extra = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda acc, n: acc + F.when(n >= least, n - 1).otherwise(0))
+    removed = lambda t: _once(starts(t), lambda s: F.lit(True), lambda s: extra(lengths(s, F.size(t))))[0]
+    counted = _once(token_array(text), lambda t: F.size(t) > 0, lambda t: F.struct(F.size(t).cast("long").alias("n"), removed(t).alias("removed")))
+    return docs.select(key, F.inline(counted)).select(key, (F.col("n") - F.col("removed")).alias("words"), "removed")
 
 
 def page_furniture(pages: DataFrame, doc: str, page: str, text: str, edge: int = 3, share: float = 0.6) -> DataFrame:

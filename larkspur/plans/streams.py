@@ -11,12 +11,12 @@ from larkspur.streaming import ingest
 QUERIES, ORACLES = {}, {}
 
 
-def _finished(spark, d, build, mode):
+def _finished(spark, d, build, mode, keys=()):
     events = table(spark, d, "events")
     stream = build(ingest.file_stream(spark, d, "events.parquet", events.schema).withColumn("ts", F.col("ts").cast("timestamp")))
     path = scratch(spark, "stream")
     ingest.run_once(stream, ingest.replacing(f"{path}/out"), f"{path}/state", mode)
-    return spark.read.schema(stream.schema).parquet(f"{path}/out").select(*stream.columns)
+    return ingest.result(spark, f"{path}/out", stream.schema, mode, keys)
 
 
 def stream_discovery(spark, d):
@@ -30,7 +30,7 @@ def stream_windows(spark, d):
 
 def stream_breaker(spark, d):
     bad = lambda s: s.withColumn("bad", F.col("event_type") == "error")
-    return _finished(spark, d, lambda s: ingest.breaker(bad(s), "user_id", ["ts", "event_id"], "bad"), "update")
+    return _finished(spark, d, lambda s: ingest.breaker(bad(s), "user_id", ["ts", "event_id"], "bad"), "update", ["user_id"])
 
 
 QUERIES.update(stream_discovery=stream_discovery, stream_windows=stream_windows, stream_breaker=stream_breaker)

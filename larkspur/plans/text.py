@@ -175,11 +175,7 @@ tokens AS (SELECT doc_id, before + unnest(range(len(t))) AS pos, unnest(t) AS to
 
 @query("tokens_per_document", f"WITH {_TOKENS} SELECT doc_id, count(*) AS n, count(DISTINCT token) AS kinds, CAST(max(pos) AS BIGINT) AS last, sha256(string_agg(token, ' ' ORDER BY pos)) AS sha FROM tokens GROUP BY 1")
 def _(spark, d):
-    t = X.tokens(table(spark, d, "documents"), "doc_id", "text")
-    order = F.array_sort(F.collect_list(F.struct("pos", "token")))
-    return t.groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.count_distinct("token").alias("kinds"), F.max("pos").alias("last"), F.sha2(F.array_join(order["token"], " "), 256).alias("sha")
-    )
+    return X.token_counts(table(spark, d, "documents"), "doc_id", "text")
 
 
 _BLOCKS = f"""{_TOKENS}, g AS (SELECT doc_id, pos, list(token) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS g FROM tokens),
@@ -189,18 +185,17 @@ blocks AS (SELECT doc_id, min(first) AS first, min(pos) AS second, count(*) + 7
 
 
 def blocks(spark, d):
-    t = X.tokens(table(spark, d, "documents"), "doc_id", "text")
-    return t, X.block_repeats(t, "doc_id", 8)
+    return X.block_repeats(table(spark, d, "documents"), "doc_id", "text", 8)
 
 
 @query("block_repeats", f"WITH {_BLOCKS} SELECT * FROM blocks")
 def _(spark, d):
-    return blocks(spark, d)[1]
+    return blocks(spark, d)
 
 
 @query("significant_repeats", f"WITH {_BLOCKS} SELECT * FROM blocks WHERE tokens >= 40 AND first >= 20")
 def _(spark, d):
-    return blocks(spark, d)[1].where("tokens >= 40 AND first >= 20")
+    return blocks(spark, d).where("tokens >= 40 AND first >= 20")
 
 
 @query(
@@ -210,8 +205,8 @@ k AS (SELECT doc_id, count(*) AS covered FROM c GROUP BY 1)
 SELECT doc_id, covered, round(covered / total, 6) AS share, CASE WHEN covered / total > 0.25 THEN 'severe' WHEN covered / total > 0.1 THEN 'notable' ELSE 'minor' END AS severity FROM k JOIN n USING (doc_id)""",
 )
 def _(spark, d):
-    t, b = blocks(spark, d)
-    return X.repeat_share(b, t.groupBy("doc_id").agg(F.count("*").alias("total")), "doc_id")
+    totals = table(spark, d, "documents").select("doc_id", F.size(X.token_array("text")).cast("long").alias("total"))
+    return X.repeat_share(blocks(spark, d), totals, "doc_id")
 
 
 @query(
@@ -221,7 +216,7 @@ n AS (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id, token, run)
 SELECT doc_id, CAST(sum(CASE WHEN n >= 5 THEN 1 ELSE n END) AS BIGINT) AS words, CAST(sum(CASE WHEN n >= 5 THEN n - 1 ELSE 0 END) AS BIGINT) AS removed FROM n GROUP BY 1""",
 )
 def _(spark, d):
-    return X.collapse_loops(X.tokens(table(spark, d, "documents"), "doc_id", "text"), "doc_id", 5)
+    return X.collapse_loops(table(spark, d, "documents"), "doc_id", "text", 5)
 
 
 @query(

@@ -114,7 +114,19 @@ def delimited_files(spark: SparkSession, path: str, delimiter: str = ",") -> Dat
     """``file, n, cells`` of every row of files in either encoding; binary contents are left out, no rows are no error."""
     files = spark.read.format("binaryFile").load(path).where(kind_of(F.col("content")) == "csv")
     lines = files.select(F.col("path").alias("file"), F.posexplode(F.split(decoded(F.col("content")), "\r?\n")).alias("n", "line"))
-    return lines.where("line <> ''").select("file", "n", F.split("line", "\\Q" + delimiter + "\\E").alias("cells"))
+    return lines.where("line <> ''").select("file", "n", cells(F.col("line"), delimiter).alias("cells"))
+
+
+def cells(line: Column, delimiter: str = ",") -> Column:
+    """The cells of one row; a quoted cell may hold the delimiter, and a doubled quote stands for one."""
+    mark = "\\Q" + delimiter + "\\E"
+    plain = F.split(line, mark)
+    # a delimiter counts where an even number of quotes follows it
+    quoted = F.transform(
+        F.split(line, mark + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'),
+        lambda x: F.when(x.rlike('^".*"$'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x),
+    )
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
 
 
 def _sheet_rows(data: bytes) -> list[list[str]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -64,3 +64,15 @@ def replacing(path: str) -> Callable[[DataFrame, int], None]:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return write
+
+
+def result(spark: SparkSession, path: str, schema, mode: str, keys: list[str] = ()) -> DataFrame:
+    """What the batches of ``replacing`` say together: all rows (``append``), the newest row of each key (``update``), or the
+    newest batch, which holds everything (``complete``)."""
+    batches = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, batch long").parquet(path)
+    if mode == "complete":
+        batches = batches.join(F.broadcast(batches.agg(F.max("batch").alias("batch"))), "batch", "left_semi")
+    elif mode == "update":
+        newest = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
+        batches = batches.withColumn("nth", F.row_number().over(newest)).where("nth = 1").drop("nth")
+    return batches.drop("batch")
