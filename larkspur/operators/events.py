@@ -126,6 +126,30 @@ def performance(df: DataFrame, r: str, periods: int = 252) -> DataFrame:
     )
 
 
+def signal_quality(df: DataFrame, signals: str, name: str, near: int = 30, short: int = 20, long: int = 60) -> DataFrame:
+    """How signals for a low did, of those with ``long`` rows ahead: ``name, n, tier1, tier2, tier3, lag, mae, mfe, r20, r60``.
+
+    Tier 1: at most five rows from the lowest value nearby. Tier 2: within ``short`` rows more than 7 % up, and never 5 % down
+    within ``long``. Tier 3: more than 10 % up after ``long`` rows without a fall by more than 5 % from a high on the way.
+    ``df`` holds every row of the series, and in ``signals`` the names of the rules that fire there (null: none).
+    """
+    w = by_date()
+    ahead = F.lead(VALUE, long).over(w)
+    judged = (
+        df.withColumn("lag_", low_lag(near)).withColumn("mae_", F.min(VALUE).over(w.rowsBetween(0, long)) / F.col(VALUE) - 1)
+        .withColumn("mfe_", F.max(VALUE).over(w.rowsBetween(0, short)) / F.col(VALUE) - 1)
+        .withColumn("r20_", F.lead(VALUE, short).over(w) / F.col(VALUE) - 1).withColumn("r60_", ahead / F.col(VALUE) - 1)
+        .withColumn("deep_", deep_fall_ahead(long, 0.05)).where("r60_ IS NOT NULL")
+    )
+    share = lambda c: F.round(F.avg(c.cast("double")), 6)
+    middle = lambda c: F.round(F.median(c), 6)
+    return judged.withColumn(name, F.explode(signals)).groupBy(name).agg(
+        F.count("*").alias("n"), share(F.abs("lag_") <= 5).alias("tier1"), share((F.col("mfe_") > 0.07) & (F.col("mae_") >= -0.05)).alias("tier2"),
+        share((F.col("r60_") > 0.10) & ~F.col("deep_")).alias("tier3"), F.median("lag_").alias("lag"), middle("mae_").alias("mae"), middle("mfe_").alias("mfe"),
+        middle("r20_").alias("r20"), middle("r60_").alias("r60"),
+    )
+
+
 def segments(df: DataFrame, k: int) -> DataFrame:
     """Rows with their ``segment`` of k by position; neighbouring segments share their boundary row."""
     n = F.count("*").over(Window.partitionBy(KEY))

@@ -204,3 +204,88 @@ def verdict(point: Column, low: Column, high: Column, detectable: Column, target
         F.when(events < least, "too few").when(point.isNull() | low.isNull(), "unknown").when((low > 0) & (point >= target), "pass")
         .when(detectable.isNotNull() & (F.abs(point) < detectable) & (low < 0) & (high > 0), "undetectable").when(high < 0, "reverse").otherwise("fail")
     )
+
+
+#: Coefficients of a rational approximation of the normal tail, off by at most 8e-8.
+TAIL_SCALE, TAIL = 0.2316419, (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+
+
+def normal_tail(z: Column) -> Column:
+    """P(a standard normal value exceeds z), from the approximation above."""
+    t = 1 / (1 + F.lit(TAIL_SCALE) * F.abs(z))
+    series = sum((F.lit(c) * F.pow(t, F.lit(float(i + 1))) for i, c in enumerate(TAIL)), F.lit(0.0))
+    upper = F.exp(-z * z / 2) / F.sqrt(2 * F.pi()) * series
+    return F.when(z >= 0, upper).otherwise(1 - upper)
+
+
+def events_against_all(df: DataFrame, keys: list[str], event: str, value: str) -> DataFrame:
+    """``keys, u, p``: Mann-Whitney of the values at events against all values, those at events among them.
+
+    Two-sided, average ranks, tie-corrected, with continuity; values are counted before they are ordered within their key.
+    """
+    on = F.coalesce(F.col(event), F.lit(False))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("t"), F.count_if(on).alias("k"))
+    below = F.coalesce(F.sum("t").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    both = (F.col("t") + F.col("k")).cast("double")
+    s = counts.withColumn("below", below).groupBy(*keys).agg(
+        F.sum(F.col("k") * (F.col("below") + F.col("t") / 2)).alias("u"), F.sum("k").cast("double").alias("n1"), F.sum("t").cast("double").alias("n2"),
+        F.sum(F.pow(both, F.lit(3.0)) - both).alias("ties"),
+    )
+    n, product = F.col("n1") + F.col("n2"), F.col("n1") * F.col("n2")
+    sd = F.sqrt(product / 12 * (n + 1 - F.col("ties") / F.nullif(n * (n - 1), F.lit(0.0))))
+    z = (F.abs(F.col("u") - product / 2) - 0.5) / F.nullif(sd, F.lit(0.0))
+    return s.select(*keys, "u", F.least(F.lit(1.0), 2 * normal_tail(z)).alias("p"))
+
+
+def sharpe(r: Column, periods: int = 252) -> Column:
+    """Aggregate: mean over deviation of returns, by the year; null without deviation."""
+    return F.avg(r) / F.nullif(F.stddev_samp(r), F.lit(0.0)) * F.sqrt(F.lit(float(periods)))
+
+
+def shifted_sharpe(base: DataFrame, key: str, draws: int, seed: int = 7, cost: float = 0.0005, start: float = 0.75) -> DataFrame:
+    """``key, b, gain``: the Sharpe ratio of timed returns less that of holding when weights are shifted circularly.
+
+    ``base`` has ``pos`` (from 0 in each key), the weight ``w`` decided at that row and the return ``x``. Draw -1 is no shift.
+    Rows times draws are joined with the weights by position.
+    """
+    whole = Window.partitionBy(key)
+    before = F.coalesce(F.lag("w").over(whole.orderBy("pos")), F.max_by("w", "pos").over(whole))
+    weights = base.select(key, F.col("pos").alias("at"), "w", before.alias("before"))
+    sized = base.select(key, "pos", "x", F.count("*").over(whole).alias("n"))
+    shift = F.when(F.col("b") < 0, 0).otherwise(1 + draw(seed, F.col("b").cast("long"), F.lit(0), F.nullif(F.col("n") - 1, F.lit(0))))
+    rows = sized.withColumn("b", F.explode(F.sequence(F.lit(-1), F.lit(draws - 1))))
+    rows = rows.select(key, "b", "pos", "x", F.pmod(F.col("pos") - 1 - shift, F.col("n")).alias("at")).hint("merge")
+    held = F.when(F.col("pos") == 0, start).otherwise(F.col("w"))
+    turned = F.when(F.col("pos") == 0, 0.0).when(F.col("pos") == 1, F.abs(F.col("w") - start)).otherwise(F.abs(F.col("w") - F.col("before")))
+    run = rows.join(weights, [key, "at"]).select(key, "b", "x", (held * F.col("x") - turned * cost).alias("r"))
+    return run.groupBy(key, "b").agg(F.round(sharpe(F.col("r")) - sharpe(F.col("x")), 9).alias("gain"))
+
+
+def sharpe_shift_p(base: DataFrame, key: str, draws: int = 1000, seed: int = 7) -> DataFrame:
+    """``key, gain, p``: the gain in Sharpe ratio by timing and the share of shifted weights that gain as much (one-sided)."""
+    every = shifted_sharpe(base, key, draws, seed)
+    own = every.where("b < 0").select(key, F.col("gain").alias("own"))
+    p = every.where("b >= 0 AND gain IS NOT NULL").join(own, key).groupBy(key).agg(F.avg((F.col("gain") >= F.col("own")).cast("double")).alias("p"))
+    return own.join(p, key, "left").select(key, F.round("own", 6).alias("gain"), F.round("p", 6).alias("p"))
+
+
+def shifted_medians(base: DataFrame, keys: list[str], side: str, value: str, draws: int, seed: int, least: int = 3) -> DataFrame:
+    """``keys, side, b, m``: medians of the values at flagged rows whose positions are shifted circularly by one draw for all keys.
+
+    ``base`` has ``pos``, the name of the flag or null in ``side``, and the value. Draw -1 is no shift. Only flagged rows multiply.
+    """
+    sized = base.withColumn("n", F.count("*").over(Window.partitionBy(*keys)))
+    moved = sized.where(F.col(side).isNotNull()).withColumn("b", F.explode(F.sequence(F.lit(-1), F.lit(draws - 1))))
+    shift = F.when(F.col("b") < 0, 0).otherwise(1 + draw(seed, F.col("b").cast("long"), F.lit(0), F.nullif(F.col("n") - 1, F.lit(0))))
+    moved = moved.select(*keys, side, "b", F.pmod(F.col("pos") + shift, F.col("n")).alias("pos")).hint("merge")
+    at = moved.join(base.select(*keys, "pos", value), [*keys, "pos"])
+    return at.groupBy(*keys, side, "b").agg(F.when(F.count(value) >= least, F.median(value)).alias("m"))
+
+
+def shift_p(every: DataFrame, keys: list[str], stat: str) -> DataFrame:
+    """``keys, stat, p``: of statistics by draw, the one without a shift (-1) and the share of the others that are as large (two-sided)."""
+    own = every.where("b < 0").select(*keys, F.col(stat).alias("own"))
+    drawn = every.where(F.col("b") >= 0).where(F.col(stat).isNotNull())
+    far = (F.round(F.abs(stat), 9) >= F.round(F.abs("own"), 9)).cast("double")
+    p = drawn.join(own, keys).groupBy(*keys).agg(F.avg(far).alias("p"))
+    return own.join(p, keys, "left").select(*keys, F.round("own", 6).alias(stat), F.round("p", 6).alias("p"))
