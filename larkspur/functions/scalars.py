@@ -142,3 +142,38 @@ def is_article(url: Column) -> Column:
 
 def due_date(field: Column, text: Column) -> Column:
     return F.coalesce(field.try_cast("date"), F.nullif(F.regexp_extract(text, r"due (\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date"))
+
+
+#: A numbering and a lead-in that a heading may start with, the ends of questions, and where a first sentence ends.
+NUMBERED = r"^\s*(?:[一二三四五六七八九十]+[、.]|\d+[、.)])\s*"
+LEAD = r"^(?:一句話(?:主張)?|主張|結論|重點|核心)\s*[：:]\s*"
+ASKS, FIRST_SENTENCE = r"(?:什麼|嗎|呢|為何|\?|？)\s*$", r"[。；]|——"
+
+
+def headline(text: Column) -> Column:
+    """The first heading without its number and lead-in; of a question or an empty one, the first sentence below, 40 characters at
+    most. Empty without any heading."""
+    heading = F.regexp_replace(F.regexp_extract(text, r"(?m)^#[# ]*(.*)$", 1), NUMBERED, "")
+    heading = F.trim(F.regexp_replace(F.trim(heading), LEAD, ""))
+    below = F.regexp_extract(text, r"(?s)(?:\A|\n)#[^\n]*\n(.*)", 1)
+    first = F.regexp_replace(F.trim(F.regexp_extract(below, r"(?m)^\s*([^#\s].*)$", 1)), r"\*\*|__|`", "")
+    sentence = F.trim(F.split(first, FIRST_SENTENCE)[0])
+    short = F.when(F.length(sentence) <= 40, sentence).otherwise(F.concat(F.left(sentence, F.lit(40)), F.lit("…")))
+    wanted = (heading == "") | heading.rlike(ASKS)
+    return F.coalesce(F.when(wanted & (first != ""), short).otherwise(heading), F.lit(""))
+
+
+def quota_error(raw: Column) -> Column:
+    """``delay`` (seconds to wait, two added), ``metric`` and ``per_day`` of an answer that refuses for a quota; what is no JSON is
+    searched as text."""
+    schema = "error struct<message string, details array<struct<retryDelay string, violations array<struct<quotaId string, quotaMetric string>>>>>"
+    error = F.from_json(raw, schema)["error"]
+    waits = F.filter(F.transform(error["details"], lambda x: F.regexp_extract(x["retryDelay"], r"^([0-9.]+)s", 1)), lambda x: x != "")
+    found = F.regexp_extract(raw, r"retryDelay[\"':\s]+([0-9.]+)s", 1)
+    delay = F.floor(F.coalesce(F.element_at(F.nullif(waits, F.array().cast("array<string>")), -1), F.nullif(found, F.lit(""))).try_cast("double")).cast("int") + 2
+    every = F.flatten(F.transform(error["details"], lambda x: F.coalesce(x["violations"], F.array().cast("array<struct<quotaId:string,quotaMetric:string>>"))))
+    named = F.filter(F.transform(every, lambda x: F.coalesce(F.nullif(x["quotaId"], F.lit("")), F.nullif(x["quotaMetric"], F.lit("")))), lambda x: x.isNotNull())
+    metric = F.coalesce(F.when(F.size(named) > 0, F.element_at(named, -1)), F.left(F.when(error.isNotNull(), F.coalesce(error["message"], F.lit(""))).otherwise(F.coalesce(raw, F.lit(""))), F.lit(120)))
+    blob = F.concat(metric, F.coalesce(raw, F.lit("")))
+    per_day = F.contains(blob, F.lit("PerDay")) | F.contains(F.lower(blob), F.lit("per day"))
+    return F.struct(delay.alias("delay"), metric.alias("metric"), per_day.alias("per_day"))

@@ -7,6 +7,7 @@ null. Every window is partitioned by series, so series spread over tasks.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,6 +113,29 @@ def transform(df: DataFrame, spec: str, monthly: bool = False) -> tuple[DataFram
     raise ValueError(f"unknown transform {spec!r}")
 
 
+def materialise(df: DataFrame, specs: list[dict], aligned: bool = False) -> DataFrame:
+    """The series that a list of specs asks for: ``name, d, v, derived, style``.
+
+    A spec has ``id`` and ``name``, and may have ``since``, ``t`` (see ``transform``), ``monthly``, ``derived`` and styles, which are
+    passed on as a map. ``aligned`` keeps the dates that all of the named series have from their starts on.
+    """
+    parts = []
+    for n, spec in enumerate(specs):
+        part = df.where(F.col(KEY) == spec["id"]).withColumn(KEY, F.lit(f"{n}"))
+        parts.append(since(part, spec["since"]) if spec.get("since") else part)
+    chosen = reduce(DataFrame.unionByName, parts)
+    if aligned:
+        dates = chosen.where(F.col(VALUE).isNotNull()).groupBy(DATE).agg(F.count_distinct(KEY).alias("k")).where(F.col("k") == len(specs))
+        chosen = chosen.join(dates.select(DATE), DATE, "left_semi")
+    out = []
+    for n, spec in enumerate(specs):
+        made, derived = transform(chosen.where(F.col(KEY) == f"{n}"), spec.get("t", "raw"), spec.get("monthly", False))
+        style = [F.lit(x) for k in ("style", "axis", "dash", "color", "width") if k in spec for x in (k, str(spec[k]))]
+        styles = F.create_map(*style) if style else F.create_map().cast("map<string,string>")
+        out.append(made.select(F.lit(spec["name"]).alias("name"), DATE, VALUE, F.lit(bool(derived or spec.get("derived"))).alias("derived"), styles.alias("style")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def align(df: DataFrame) -> DataFrame:
     """Only the dates that every series has."""
     n = df.select(KEY).distinct().agg(F.count("*").alias("series"))

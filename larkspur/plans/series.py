@@ -339,3 +339,19 @@ def _(spark, d):
 @query("half_even", "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) AS v FROM lineitem")
 def _(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.bround(F.col("l_quantity").cast("double") / 8, 2).alias("v"))
+
+
+@query(
+    "spec_list",
+    f"""WITH {PANEL}, a AS (SELECT * FROM panel WHERE series_id = '1-URGENT' AND d >= DATE '1995-01-01'), b AS (SELECT * FROM panel WHERE series_id = '2-HIGH'), c AS (SELECT * FROM panel WHERE series_id = '5-LOW' AND d >= DATE '1994-01-01'),
+x AS (SELECT d FROM a INTERSECT SELECT d FROM b INTERSECT SELECT d FROM c)
+SELECT 'urgent' AS name, d, v, false AS derived, 'line' AS style FROM a WHERE d IN (FROM x) UNION ALL
+SELECT 'high', d, round(v / first_value(v) OVER (ORDER BY d) * 100, 2), false, NULL FROM b WHERE d IN (FROM x) UNION ALL
+SELECT 'low', d, round(avg(v) OVER (ORDER BY d ROWS 2 PRECEDING), 2), true, 'bar' FROM c WHERE d IN (FROM x)""",
+)
+def _(spark, d):
+    specs = [
+        {"id": "1-URGENT", "name": "urgent", "since": "1995-01-01", "style": "line"}, {"id": "2-HIGH", "name": "high", "t": "rebase"},
+        {"id": "5-LOW", "name": "low", "since": "1994-01-01", "t": "ma:3", "style": "bar"},
+    ]
+    return S.materialise(panel(spark, d), specs, aligned=True).withColumn("style", F.col("style")["style"])

@@ -299,3 +299,30 @@ def _(spark, d):
 @query("band_predicate", "SELECT doc_id, n_chars BETWEEN 500 AND 2000 AS inside FROM documents")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.col("n_chars").between(500, 2000).alias("inside"))
+
+
+@query(
+    "headline",
+    f"""WITH h AS (SELECT doc_id, text, string_split(string_split(text, chr(10))[1], '——')[1] AS line FROM documents),
+s AS (SELECT doc_id, trim(string_split_regex(regexp_replace(concat('**', line), '\\*\\*|__|`', '', 'g'), '[。；]')[1]) AS s FROM h)
+SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'No. ' || doc_id WHEN len(s) <= 40 THEN s ELSE left(s, 40) || '…' END AS headline FROM s""",
+)
+def _(spark, d):
+    """Documents under a numbered question, a claim with a lead-in or an empty heading."""
+    top = F.when(F.col("doc_id") % 3 == 0, "1. Which of them?").when(F.col("doc_id") % 3 == 1, F.concat(F.lit("結論：No. "), F.col("doc_id"))).otherwise("")
+    text = F.concat(F.lit("intro\n## "), top, F.lit("\n\n# more\n**"), "text")
+    return table(spark, d, "documents").select("doc_id", C.headline(text).alias("headline"))
+
+
+_QUOTA = """CASE event_id % 4 WHEN 0 THEN '{"error": {"message": "m", "details": [{"retryDelay": "' || event_id || '.7s"}, {"violations": [{"quotaId": "PerDayTokens"}, {"quotaMetric": "tokens"}]}]}}'
+WHEN 1 THEN '{"error": {"message": "at most 5 per Day"}}' WHEN 2 THEN 'broken: retryDelay: ' || event_id || 's' ELSE NULL END"""
+
+
+@query(
+    "quota_errors",
+    f"""WITH q AS (SELECT event_id, {_QUOTA} AS raw FROM events) SELECT event_id, CASE WHEN event_id % 4 IN (0, 2) THEN CAST(event_id + 2 AS INT) END AS delay,
+CASE event_id % 4 WHEN 0 THEN 'tokens' WHEN 1 THEN 'at most 5 per Day' ELSE coalesce(raw, '') END AS metric, event_id % 4 IN (0, 1) AS per_day FROM q""",
+)
+def _(spark, d):
+    e = table(spark, d, "events")
+    return e.select("event_id", C.quota_error(F.expr(_QUOTA)).alias("q")).select("event_id", "q.*")
