@@ -222,19 +222,20 @@ def events_against_all(df: DataFrame, keys: list[str], event: str, value: str) -
     """``keys, u, p``: Mann-Whitney of the values at events against all values, those at events among them.
 
     Two-sided, average ranks, tie-corrected, with continuity; values are counted before they are ordered within their key.
+    ``p`` is null without events or without different values.
     """
     on = F.coalesce(F.col(event), F.lit(False))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("t"), F.count_if(on).alias("k"))
-    below = F.coalesce(F.sum("t").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    both = (F.col("t") + F.col("k")).cast("double")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__all"), F.count_if(on).alias("__on"))
+    below = F.coalesce(F.sum("__all").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    both = (F.col("__all") + F.col("__on")).cast("double")
     s = counts.withColumn("below", below).groupBy(*keys).agg(
-        F.sum(F.col("k") * (F.col("below") + F.col("t") / 2)).alias("u"), F.sum("k").cast("double").alias("n1"), F.sum("t").cast("double").alias("n2"),
+        F.sum(F.col("__on") * (F.col("below") + F.col("__all") / 2)).alias("u"), F.sum("__on").cast("double").alias("n1"), F.sum("__all").cast("double").alias("n2"),
         F.sum(F.pow(both, F.lit(3.0)) - both).alias("ties"),
     )
     n, product = F.col("n1") + F.col("n2"), F.col("n1") * F.col("n2")
     sd = F.sqrt(product / 12 * (n + 1 - F.col("ties") / F.nullif(n * (n - 1), F.lit(0.0))))
     z = (F.abs(F.col("u") - product / 2) - 0.5) / F.nullif(sd, F.lit(0.0))
-    return s.select(*keys, "u", F.least(F.lit(1.0), 2 * normal_tail(z)).alias("p"))
+    return s.select(*keys, "u", F.when(z.isNotNull(), F.least(F.lit(1.0), 2 * normal_tail(z))).alias("p"))
 
 
 def sharpe(r: Column, periods: int = 252) -> Column:
@@ -245,8 +246,8 @@ def sharpe(r: Column, periods: int = 252) -> Column:
 def shifted_sharpe(base: DataFrame, key: str, draws: int, seed: int = 7, cost: float = 0.0005, start: float = 0.75) -> DataFrame:
     """``key, b, gain``: the Sharpe ratio of timed returns less that of holding when weights are shifted circularly.
 
-    ``base`` has ``pos`` (from 0 in each key), the weight ``w`` decided at that row and the return ``x``. Draw -1 is no shift.
-    Rows times draws are joined with the weights by position.
+    ``base`` has ``pos`` (from 0 in each key), the weight ``w`` decided at that row and the return ``x``. Draw -1 is no shift; one row
+    alone has no other draws. Rows times draws are joined with the weights by position.
     """
     whole = Window.partitionBy(key)
     before = F.coalesce(F.lag("w").over(whole.orderBy("pos")), F.max_by("w", "pos").over(whole))

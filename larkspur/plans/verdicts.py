@@ -47,7 +47,7 @@ t AS (SELECT series_id, h, r, count(*) AS t, count(*) FILTER (WHERE ev) AS k FRO
 c AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY series_id, h ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM t),
 s AS (SELECT series_id, h, sum(k * (below + t / 2)) AS u, sum(k)::DOUBLE AS n1, sum(t)::DOUBLE AS n2, sum(pow(t + k, 3) - (t + k)) AS ties FROM c GROUP BY 1, 2),
 q AS (SELECT *, (abs(u - n1 * n2 / 2) - 0.5) / nullif(sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / nullif((n1 + n2) * (n1 + n2 - 1), 0))), 0) AS z FROM s),
-p AS (SELECT series_id, h, CASE WHEN z >= 0 THEN least(1, 2 * {_TAIL}) ELSE least(1, 2 * (1 - {_TAIL})) END AS p FROM q),
+p AS (SELECT series_id, h, CASE WHEN z IS NULL THEN NULL WHEN z >= 0 THEN least(1, 2 * {_TAIL}) ELSE least(1, 2 * (1 - {_TAIL})) END AS p FROM q),
 m AS (SELECT series_id, h, count(*) FILTER (WHERE ev) AS n_independent, count(*) FILTER (WHERE ev AND r IS NOT NULL) AS n, median(r) FILTER (WHERE ev) AS em, median(r) AS bm FROM x GROUP BY 1, 2)
 SELECT series_id, h, n_independent, n, round(bm * 100, 2) AS base_median, CASE WHEN n >= 2 THEN round(em * 100, 2) END AS event_median,
 CASE WHEN n >= 2 THEN round((em - bm) * 100, 2) END AS difference, CASE WHEN n >= 2 THEN round(p, 4) END AS p FROM m LEFT JOIN p USING (series_id, h)""",
@@ -296,3 +296,122 @@ def _(spark, d):
     picked = reduce(lambda a, b: a.unionByName(b), map(chosen, gates)).groupBy("series_id", "pos").agg(F.collect_set("gate").alias("gates"))
     marked = r.select("series_id", "d", "v", "pos").join(picked, ["series_id", "pos"], "left")
     return E.signal_quality(marked, "gates", "gate")
+
+
+# the record of a market
+
+
+_ANALOGS = f"""ch AS (SELECT series_id, min(pos) AS pos FROM eps GROUP BY 1 UNION ALL SELECT c.series_id, (SELECT min(e.pos) FROM eps e WHERE e.series_id = c.series_id AND e.pos >= c.pos + 21) AS pos FROM ch c WHERE c.pos IS NOT NULL),
+al AS (SELECT *, row_number() OVER ({W}) AS pos, CASE WHEN count(v) OVER ({W} ROWS 59 PRECEDING) = 60 THEN v / max(v) OVER ({W} ROWS 59 PRECEDING) - 1 END AS dd,
+{', '.join(f'lead(v, {h}) OVER ({W}) / v - 1 AS f{h}' for h in HORIZONS)}, CASE WHEN lead(v, 1) OVER ({W}) IS NOT NULL THEN min(v) OVER ({W} ROWS BETWEEN CURRENT ROW AND 21 FOLLOWING) / v - 1 END AS mae FROM ranked),
+an AS (SELECT al.* FROM al JOIN ch USING (series_id, pos))"""
+
+
+def _analogs(spark, d):
+    starts = E.spaced(fear_episodes(spark, d), "pos", 21).select("series_id", F.col("start").alias("d"))
+    w = S.by_date()
+    r = ranked(spark, d).withColumn("dd", F.col("v") / S.gated(F.max("v"), 60) - 1)
+    for h in HORIZONS:
+        r = r.withColumn(f"f{h}", E.forward_return(h))
+    # the last starts are judged on the rows there are
+    r = r.withColumn("mae", F.when(F.lead("v").over(w).isNotNull(), F.min("v").over(w.rowsBetween(0, 21)) / F.col("v") - 1))
+    return r.join(starts, ["series_id", "d"], "left_semi")
+
+
+_PCT = ["dd", *(f"f{h}" for h in HORIZONS), "mae"]
+
+
+@query("market_analogs", f"WITH RECURSIVE {RANKED}, {_EPISODES}, {_ANALOGS} SELECT series_id, d, round(rank, 4) AS rank, {', '.join(f'round({c}, 6) AS {c}' for c in _PCT)} FROM an")
+def _(spark, d):
+    """Earlier starts of low episodes: the rank, the fall from the 60-row high, returns over each horizon, the worst within 21 rows."""
+    return _analogs(spark, d).select("series_id", "d", F.round("rank", 4).alias("rank"), *(F.round(c, 6).alias(c) for c in _PCT))
+
+
+_POINTS = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
+@query("market_baseline", f"WITH {RANKED}, ahead AS ({_AHEAD}) SELECT series_id, h, {', '.join(f'round(quantile_cont(r, {p}) * 100, 4) AS p{round(p * 100)}' for p in _POINTS)} FROM ahead GROUP BY 1, 2")
+def _(spark, d):
+    q = F.percentile("r", F.array(*map(F.lit, _POINTS)))
+    got = _every_horizon(panel(spark, d)).groupBy("series_id", "h").agg(q.alias("q"))
+    return got.select("series_id", "h", *(F.round(F.col("q")[i] * 100, 4).alias(f"p{round(p * 100)}") for i, p in enumerate(_POINTS)))
+
+
+_FIFTHS = f"""fv AS (SELECT *, pos // greatest(n // 5, 1) AS k FROM net), fi AS (SELECT * FROM fv WHERE k < 5 AND pos < n - 1),
+dr AS (SELECT series_id, k, count(*) AS rows_, min(c1 / h1 - 1) AS f1, min(c2 / h2 - 1) AS f2 FROM (SELECT *, max(c1) OVER o AS h1, max(c2) OVER o AS h2 FROM
+(SELECT series_id, k, d, product(1 + net) OVER o AS c1, product(1 + x) OVER o AS c2 FROM fi WINDOW o AS (PARTITION BY series_id, k ORDER BY d ROWS UNBOUNDED PRECEDING))
+WINDOW o AS (PARTITION BY series_id, k ORDER BY d ROWS UNBOUNDED PRECEDING)) GROUP BY 1, 2),
+ds AS (SELECT series_id, count(*) AS parts, count(*) FILTER (WHERE round((f1 - f2) * 100, 6) > 0.5) AS derisked FROM dr WHERE rows_ >= 20 GROUP BY 1)"""
+
+
+@query(
+    "market_record",
+    f"""WITH RECURSIVE {RANKED}, {_EPISODES}, {_ANALOGS}, {_TIMED}, {_NET}, {_FIFTHS},
+la AS (SELECT series_id, max(d) AS last_d, arg_max(round(rank, 4), d) AS rank, arg_max(round(dd, 6), d) AS dd60, count(*) FILTER (WHERE rank IS NULL) AS warmup FROM al GROUP BY 1),
+na AS (SELECT series_id, count(*) AS n, round(median(mae), 6) AS mae_median FROM an GROUP BY 1)
+SELECT series_id, last_d, rank, dd60, warmup, greatest(date_diff('day', last_d, DATE '2001-10-15'), 0) AS stale_days, coalesce(n, 0) AS n, mae_median, coalesce(parts, 0) AS parts, coalesce(derisked, 0) AS derisked
+FROM la LEFT JOIN na USING (series_id) LEFT JOIN ds USING (series_id)""",
+)
+def _(spark, d):
+    """Where each series stands, how its earlier starts went, and in how many fifths timing fell less deep than holding."""
+    r = ranked(spark, d).withColumn("dd", F.col("v") / S.gated(F.max("v"), 60) - 1)
+    latest = lambda c, n: F.max_by(F.round(c, n), "d")
+    la = r.groupBy("series_id").agg(F.max("d").alias("last_d"), latest("rank", 4).alias("rank"), latest("dd", 6).alias("dd60"), F.count_if(F.col("rank").isNull()).alias("warmup"))
+    na = _analogs(spark, d).groupBy("series_id").agg(F.count("*").alias("n"), F.round(F.median("mae"), 6).alias("mae_median"))
+    fifth = F.floor(F.col("pos") / F.greatest(F.floor(F.col("n") / 5), F.lit(1)))
+    fifths = _net(spark, d).withColumn("later", fifth).where("later < 5 AND pos < n - 1")
+    sizes = fifths.groupBy("series_id", "later").agg(F.count("*").alias("size")).where("size >= 20")
+    falls = sizes.join(_falls(fifths, "net", "f1"), ["series_id", "later"]).join(_falls(fifths, "x", "f2"), ["series_id", "later"])
+    ds = falls.groupBy("series_id").agg(F.count("*").alias("parts"), F.count_if(F.round((F.col("f1") - F.col("f2")) * 100, 6) > 0.5).alias("derisked"))
+    stale = F.greatest(F.datediff(F.lit("2001-10-15").cast("date"), "last_d"), F.lit(0))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return la.join(na, "series_id", "left").join(ds, "series_id", "left").select(
+        "series_id", "last_d", "rank", "dd60", "warmup", stale.alias("stale_days"), zero("n"), "mae_median", zero("parts"), zero("derisked")
+    )
+
+
+_WEIGHT_DRAWS = 100
+_DRAWN = f"-ln(({T.DRAW_SQL.format(b='b', k='CAST(left(series_id, 1) AS BIGINT)', seed=5, n='1000003')} + 1) / 1000004::DOUBLE)"
+
+
+@query(
+    "random_weights",
+    f"""WITH {RANKED}, wg AS (SELECT series_id, b, CASE WHEN b < 0 THEN 1.0::DOUBLE ELSE {_DRAWN} END AS w FROM (SELECT DISTINCT series_id FROM ranked), range(-1, {_WEIGHT_DRAWS}) u(b)),
+wn AS (SELECT series_id, b, w / sum(w) OVER (PARTITION BY b) AS w FROM wg),
+co AS (SELECT b, d, round(sum(w * rank), 6) AS c FROM ranked JOIN wn USING (series_id) WHERE rank IS NOT NULL GROUP BY 1, 2),
+rk AS (SELECT b, d, CASE WHEN len(h) = 60 THEN 100.0::DOUBLE * len(list_filter(h, lambda y: y < c)) / 59 END AS rk FROM (SELECT *, list(c) OVER (PARTITION BY b ORDER BY d ROWS 59 PRECEDING) AS h FROM co)),
+px AS (SELECT d, round(avg(v), 4) AS v FROM panel GROUP BY 1), pr AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS pos, count(*) OVER () AS n, coalesce((v / nullif(lag(v) OVER (ORDER BY d), 0) - 1) / 100, 0) AS x FROM px),
+ps AS (SELECT b, pr.d, pos, n, x, CASE WHEN rk <= 10 THEN 1.0::DOUBLE WHEN rk >= 90 THEN 0.5 ELSE 0.75 END AS w FROM pr CROSS JOIN range(-1, {_WEIGHT_DRAWS}) u(b) LEFT JOIN rk USING (b, d)),
+hd AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY b ORDER BY d), 0.75) AS held FROM ps),
+nt AS (SELECT *, held * x - abs(held - coalesce(lag(held) OVER (PARTITION BY b ORDER BY d), held)) * 0.0005 AS net FROM hd),
+s AS (SELECT b, round({_sharpe_sql('net')}, 9) AS s FROM nt WHERE pos >= floor(0.6 * n) GROUP BY 1), e AS (SELECT s AS own FROM s WHERE b < 0)
+SELECT round(any_value(own), 6) AS equal, round(median(s), 6) AS middle, round(avg(CASE WHEN s < own THEN 1.0::DOUBLE ELSE 0 END), 6) AS below, avg(CASE WHEN s < own THEN 1.0::DOUBLE ELSE 0 END) >= 0.9 AS holds FROM s, e WHERE b >= 0 AND s IS NOT NULL""",
+)
+def _(spark, d):
+    """Where equal weights of the parts stand among random ones, by the Sharpe ratio of the later 40 % of days.
+
+    Weights are exponential draws scaled to one. A draw is a key of every window, so draws spread over tasks.
+    """
+    r = ranked(spark, d).where("rank IS NOT NULL").select("series_id", "d", "rank")
+    b = F.explode(F.sequence(F.lit(-1), F.lit(_WEIGHT_DRAWS - 1)))
+    drawn = T.draw(5, F.col("b").cast("long"), F.left("series_id", F.lit(1)).cast("long"), F.lit(1000003))
+    weight = F.when(F.col("b") < 0, 1.0).otherwise(-F.ln((drawn + 1) / F.lit(1000004.0)))
+    parts = ranked(spark, d).select("series_id").distinct().withColumn("b", b).withColumn("w", weight)
+    parts = parts.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy("b")))
+    c = r.join(parts, "series_id").groupBy(F.col("b").alias("series_id"), "d").agg(F.round(F.sum(F.col("w") * F.col("rank")), 6).alias("v"))
+    rk = S.trailing_rank(c, 60).select("series_id", "d", "rank")
+    px = panel(spark, d).groupBy("d").agg(F.round(F.avg("v"), 4).alias("v")).withColumn("series_id", b)
+    whole = Window.partitionBy("series_id")
+    ret = F.coalesce(S.lag_return() / 100, F.lit(0.0))
+    days = px.select("series_id", "d", "v", (F.row_number().over(S.by_date()) - 1).alias("pos"), F.count("*").over(whole).alias("n"), ret.alias("x"))
+    w = F.when(F.col("rank") <= 10, 1.0).when(F.col("rank") >= 90, 0.5).otherwise(0.75)
+    held = F.coalesce(F.lag("w").over(S.by_date()), F.lit(0.75))
+    run = days.join(rk, ["series_id", "d"], "left").withColumn("w", w).withColumn("held", held)
+    turned = F.abs(F.col("held") - F.coalesce(F.lag("held").over(S.by_date()), F.col("held")))
+    late = run.withColumn("net", F.col("held") * F.col("x") - turned * 0.0005).where(F.col("pos") >= F.floor(F.lit(0.6) * F.col("n")))
+    s = late.groupBy("series_id").agg(F.round(T.sharpe(F.col("net")), 9).alias("s"))
+    own = s.where("series_id < 0").select(F.col("s").alias("own"))
+    below = F.avg((F.col("s") < F.col("own")).cast("double"))
+    return s.where("series_id >= 0 AND s IS NOT NULL").join(F.broadcast(own)).agg(
+        F.round(F.any_value("own"), 6).alias("equal"), F.round(F.median("s"), 6).alias("middle"), F.round(below, 6).alias("below"), (below >= 0.9).alias("holds")
+    )
