@@ -402,6 +402,27 @@ def _(spark, d):
     return aged.where(F.col("ts") >= floor).select("user_id").distinct().join(seen, "user_id", "left_anti")
 
 
+@query(
+    "windowed_discovery_kinds",
+    """WITH n AS (SELECT user_id, event_type, ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AS late FROM events)
+SELECT user_id, event_type FROM n GROUP BY 1, 2 HAVING bool_and(late)""",
+)
+def _(spark, d):
+    """What users did in the last 72 hours and never before."""
+    e = table(spark, d, "events")
+    now = F.broadcast(e.agg(F.max("ts").alias("now")))
+    aged = e.join(now).withColumn("late", F.col("ts") >= F.col("now") - F.expr("INTERVAL 72 HOURS"))
+    late, seen = (aged.where(c).select("user_id", "event_type") for c in ("late", "NOT late"))
+    return late.distinct().join(seen, ["user_id", "event_type"], "left_anti")
+
+
+@query("anti_missing_urgent", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def _(spark, d):
+    """Customers without an urgent order."""
+    urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").select("c_custkey").join(urgent, "c_custkey", "left_anti")
+
+
 @query("isoweek_last_day", "SELECT isoyear(ts) AS y, week(ts) AS w, max(CAST(ts AS DATE)) AS last_day FROM events GROUP BY 1, 2")
 def _(spark, d):
     day = F.to_date("ts")

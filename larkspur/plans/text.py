@@ -198,6 +198,17 @@ def _(spark, d):
     return blocks(spark, d).where("tokens >= 40 AND first >= 20")
 
 
+_TWICE = "SELECT doc_id, concat(array_to_string(list_transform(range(250), lambda x: 'w' || x), ' '), chr(10), text, chr(10), text) AS text FROM documents"
+
+
+@query("significant_repeats_150", f"WITH twice AS ({_TWICE}), {_BLOCKS.replace('FROM documents', 'FROM twice')} SELECT * FROM blocks WHERE tokens >= 150 AND first >= 200")
+def _(spark, d):
+    """The survey's thresholds, on texts that stand twice behind 250 other words."""
+    before = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(249)), lambda x: F.concat(F.lit("w"), x.cast("string"))), " ")
+    twice = table(spark, d, "documents").select("doc_id", F.concat(before, F.lit("\n"), "text", F.lit("\n"), "text").alias("text"))
+    return X.block_repeats(twice, "doc_id", "text", 8).where("tokens >= 150 AND first >= 200")
+
+
 @query(
     "duplicate_share",
     f"""WITH {_BLOCKS}, c AS (SELECT DISTINCT doc_id, unnest(range(CAST(second AS BIGINT), CAST(second AS BIGINT) + tokens)) AS pos FROM blocks), n AS (SELECT doc_id, count(*) AS total FROM tokens GROUP BY 1),
