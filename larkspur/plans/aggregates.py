@@ -404,16 +404,16 @@ def _(spark, d):
 
 @query(
     "windowed_discovery_kinds",
-    """WITH n AS (SELECT user_id, event_type, ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AS late FROM events)
-SELECT user_id, event_type FROM n GROUP BY 1, 2 HAVING bool_and(late)""",
+    """WITH n AS (SELECT user_id, event_type, hour(ts) AS hour, ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AS late FROM events)
+SELECT user_id, event_type, CAST(hour AS INT) AS hour FROM n GROUP BY 1, 2, 3 HAVING bool_and(late)""",
 )
 def _(spark, d):
-    """What users did in the last 72 hours and never before."""
+    """What users did in the last 72 hours and never before at that hour of the day."""
     e = table(spark, d, "events")
     now = F.broadcast(e.agg(F.max("ts").alias("now")))
-    aged = e.join(now).withColumn("late", F.col("ts") >= F.col("now") - F.expr("INTERVAL 72 HOURS"))
-    late, seen = (aged.where(c).select("user_id", "event_type") for c in ("late", "NOT late"))
-    return late.distinct().join(seen, ["user_id", "event_type"], "left_anti")
+    aged = e.join(now).withColumn("hour", F.hour("ts")).withColumn("late", F.col("ts") >= F.col("now") - F.expr("INTERVAL 72 HOURS"))
+    late, seen = (aged.where(c).select("user_id", "event_type", "hour") for c in ("late", "NOT late"))
+    return late.distinct().join(seen, ["user_id", "event_type", "hour"], "left_anti")
 
 
 @query("anti_missing_urgent", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
