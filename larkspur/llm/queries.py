@@ -14,6 +14,7 @@ from larkspur.llm import (
     near_dup,
     packing,
     quality,
+    simhash,
     toxicity,
     url_filter,
 )
@@ -158,8 +159,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-#: The same query under the name that it had when there was a coarser rule of passages.
-op8_fine_fingerprints = op8_fingerprints
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -173,5 +176,6 @@ QUERIES = {
         op8_fingerprints,
         op9_toxicity,
         op10_language_id,
+        op11_simhash,
     )
-} | {"op8_fine_fingerprints": op8_fine_fingerprints}
+}

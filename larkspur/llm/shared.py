@@ -63,3 +63,16 @@ def place_in(bounds: Column, value: Column, strict: bool = False, bits: int = 11
         return F.when(bound < value if strict else bound <= value, at + width).otherwise(at)
 
     return F.aggregate(F.array(*(F.lit(1 << b) for b in reversed(range(bits)))), F.lit(0), step)
+
+
+def joined_by_key(rows: DataFrame, lookup: DataFrame, key: str, n: str, least_share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``lookup``, which has each ``key`` of them once and the number ``n`` of its rows.
+
+    Keys with at least one in ``least_share`` of the rows are fewer than that number, so they are broadcast; their rows are not
+    shuffled. All other rows meet their key by a shuffle. ``lookup`` should be a written table.
+    """
+    total = lookup.agg(F.sum(n).alias("n")).first()["n"] or 0
+    frequent = F.col(n) * least_share >= F.lit(max(total, 1))
+    found = rows.join(F.broadcast(lookup.where(frequent)), key)
+    rest = rows.join(F.broadcast(lookup.where(frequent).select(key)), key, "left_anti")
+    return found.unionByName(rest.join(lookup.where(~frequent), key))
