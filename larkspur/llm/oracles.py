@@ -47,5 +47,39 @@ SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.verdict,
     '(^|[^a-z0-9])(spam|cheap[^a-z0-9]+pills|casino|porn|xxx|free[^a-z0-9]+download|payday[^a-z0-9]+loan|(buy|cheap|discount|hot|instant|online|win)[^a-z0-9]+(betting|cialis|escorts|jackpot|loans|poker|replica|slots|steroids|viagra))([^a-z0-9]|$)', 'i')
   THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts p LEFT JOIN hits h USING (page_id)
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k FROM starts, range(1, 6) t(k) WHERE i + k - 1 <= len(w)
+), totals AS (
+  SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang
+), counts AS (
+  SELECT lang, phrase, any_value(k) AS k, count(*) AS a FROM grams GROUP BY lang, phrase HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, k, a, cut, array_to_string(string_split(phrase, ' ')[1 : cut], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[cut + 1 : k], ' ') AS rest
+  FROM counts, range(1, 5) t(cut) WHERE cut < k
+), scores AS (
+  SELECT c.lang, c.phrase, c.k, c.a, x.a AS l, y.a AS r, n, c.cut,
+    (1000 * c.a::HUGEINT * n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+    JOIN totals t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.cut) = 1
+), kept AS (
+  SELECT * FROM scores s WHERE NOT EXISTS (
+    SELECT 1 FROM counts o WHERE o.lang = s.lang AND o.k > s.k AND o.k > 1 AND 100 * o.a >= 100 * s.a
+      AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+) WHERE rank <= 2000
 """,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import (
     chat_format,
+    collocations,
     exact_dedup,
     fingerprints,
     language_id,
@@ -17,6 +18,7 @@ from larkspur.llm import (
     simhash,
     toxicity,
     url_filter,
+    whitening,
 )
 from larkspur.llm.shared import crc_remainder, table, text_or_empty, written
 
@@ -163,6 +165,17 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"), most_words=5, least=100, top=2000)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), components=16)
+    return rows.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -177,5 +190,7 @@ QUERIES = {
         op9_toxicity,
         op10_language_id,
         op11_simhash,
+        op12_collocations,
+        op13_whitening,
     )
 }
