@@ -42,11 +42,47 @@ def match_form(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(single, BEFORE, "$1"), AFTER, "$1")
 
 
-def words(text: Column) -> Column:
-    """Lower-case words without time stamps, speaker marks and punctuation."""
-    plain = F.regexp_replace(text, r"\[\d{1,2}:\d{2}(?::\d{2})?\]\s*(?:[^:\n]{1,40}:)?", " ")
-    letters = F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N}\s]", "")
-    return F.filter(F.split(letters, r"\s+"), lambda w: w != "")
+#: White space of any script, the time stamp of a line, the mark of a numbered speaker.
+SPACE = r"[\t-\r\x1C-\x20\x{85}\p{Z}]"
+STAMP = r"^\[(\d{1,2})[:.](\d{2})(?::(\d{2}))?\]"
+SPEAKER = rf"(?:^|{SPACE})Speaker{SPACE}*\d+{SPACE}*[:\]]{SPACE}*"
+#: A time stamp that starts a turn, with the name that may follow it.
+TURN = rf"(?m)^{SPACE}*\[\d{{1,3}}:\d{{2}}(?::\d{{2}})?\]{SPACE}*(?:[^:\n]{{0,60}}?:{SPACE}*)?"
+
+
+def words(line: Column) -> Column:
+    """Lower-case words of one line, without the stamp at its start and the marks of numbered speakers. Signs part words, ``_`` does not."""
+    plain = F.regexp_replace(F.regexp_replace(line, STAMP, " "), SPEAKER, " ")
+    return F.filter(F.split(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N}_]+", " "), " "), lambda w: w != "")
+
+
+def stamp_seconds(line: Column) -> Column:
+    """Seconds of the stamp at the start of a line, ``h:mm:ss`` or ``mm:ss``; null without one."""
+    part = lambda i: F.regexp_extract(line, STAMP, i).try_cast("int")
+    return F.when(part(3).isNotNull(), part(1) * 3600 + part(2) * 60 + part(3)).otherwise(part(1) * 60 + part(2))
+
+
+def round_binary(value: Column, digits: int) -> Column:
+    """``value`` rounded half to even by its exact binary value: 2.675 is a little less than it looks and gives 2.67.
+
+    The part that the product with a power of ten loses is found by splitting both factors in halves; it decides where the product
+    lands on a half. Numbers from 2**52 / 10**digits on have no digits to lose and stay.
+    """
+    power = float(10**digits)
+    whole = F.lit(134217729.0)
+
+    def halves(x: Column) -> tuple[Column, Column]:
+        high = x * whole - (x * whole - x)
+        return high, x - high
+
+    (a, b), (c, e) = halves(value), halves(F.lit(power))
+    p = value * power
+    lost = ((a * c - p) + a * e + b * c) + b * e
+    down = F.floor(p).cast("double")
+    half = p - down - 0.5
+    odd = down % 2 != 0
+    up = (half > 0) | ((half == 0) & ((lost > 0) | ((lost == 0) & odd)))
+    return F.when(F.abs(value) >= 2.0**52 / power, value).otherwise((down + up.cast("double")) / power)
 
 
 def slug(text: Column) -> Column:

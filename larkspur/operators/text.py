@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.scalars import words
+from larkspur.functions.scalars import SPACE, TURN, words
 
 
 def _once(value: Column, keep: Callable[[Column], Column], f: Callable[[Column], Column]) -> Column:
@@ -19,9 +19,13 @@ def _once(value: Column, keep: Callable[[Column], Column], f: Callable[[Column],
     return F.transform(F.filter(F.array(value), keep), f)
 
 
+#: All ends of lines.
+LINE_END = r"\r\n|[\n-\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
+
 def lines(text: str) -> Column:
-    """The lines of a text without a leading ``---`` front matter."""
-    return F.split(F.regexp_replace(F.col(text), r"(?s)\A---\n.*?\n---\n", ""), "\n")
+    """The lines of what follows the second ``---`` of a text (with one, what follows it; without, all)."""
+    return F.split(F.element_at(F.split(F.col(text), "---", 3), -1), LINE_END)
 
 
 def token_array(text: str) -> Column:
@@ -78,24 +82,37 @@ def repeat_share(repeats: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     )
 
 
-def collapse_loops(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
-    """``key, words, removed`` of each text with tokens: words left when a token repeated ``least`` times or more in a row counts once."""
+def collapse_loops(docs: DataFrame, key: str, text: str, least: int = 20) -> DataFrame:
+    """``key, words, removed`` of each text with tokens: words left when a token repeated ``least`` times or more in a row counts once.
+
+    Tokens stand between white space, as they are but for their case.
+    """
     starts = lambda t: F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i == 1) | (F.get(t, i - 1) != F.get(t, i - 2)))
     lengths = lambda s, n: F.zip_with(F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(n + 1)), s, lambda end, start: end - start)
     extra = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda acc, n: acc + F.when(n >= least, n - 1).otherwise(0))
     removed = lambda t: _once(starts(t), lambda s: F.lit(True), lambda s: extra(lengths(s, F.size(t))))[0]
-    counted = _once(token_array(text), lambda t: F.size(t) > 0, lambda t: F.struct(F.size(t).cast("long").alias("n"), removed(t).alias("removed")))
+    spaced = F.filter(F.split(F.lower(text), f"{SPACE}+"), lambda w: w != "")
+    counted = _once(spaced, lambda t: F.size(t) > 0, lambda t: F.struct(F.size(t).cast("long").alias("n"), removed(t).alias("removed")))
     return docs.select(key, F.inline(counted)).select(key, (F.col("n") - F.col("removed")).alias("words"), "removed")
 
 
+def spoken_words(docs: DataFrame, key: str, text: str, least: int = 20) -> DataFrame:
+    """``key, words, removed``: as ``collapse_loops``, without the stamps and names that start turns."""
+    return collapse_loops(docs.select(key, F.regexp_replace(text, TURN, "").alias(text)), key, text, least)
+
+
 def page_furniture(pages: DataFrame, doc: str, page: str, text: str, edge: int = 3, share: float = 0.6) -> DataFrame:
-    """Lines in the first or last ``edge`` non-blank lines of most pages of a document: ``doc, line, pages``."""
-    split = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    """Lines in the first or last ``edge`` non-blank lines of most pages of a document: ``doc, line, pages``.
+
+    Lines are alike when they are so with single spaces; pages without text do not count.
+    """
+    single = F.transform(F.split(text, LINE_END), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " ")))
+    split = F.filter(single, lambda x: x != "")
     n = F.size("s")
     at_edge = F.array_union(F.slice("s", F.lit(1), F.least(F.lit(edge), n)), F.slice("s", F.greatest(n - edge + 1, F.lit(1)), F.lit(edge)))
-    edges = pages.select(doc, page, split.alias("s")).select(doc, page, F.explode(at_edge).alias("line"))
-    seen = edges.withColumn("line", F.trim("line")).where(F.length("line").between(4, 119))
-    total = pages.groupBy(doc).agg(F.count_distinct(page).alias("total"))
+    filled = pages.select(doc, page, split.alias("s")).where(n > 0)
+    seen = filled.select(doc, page, F.explode(at_edge).alias("line")).where(F.length("line").between(4, 119))
+    total = filled.groupBy(doc).agg(F.count_distinct(page).alias("total"))
     return seen.groupBy(doc, "line").agg(F.count_distinct(page).alias("pages")).join(total, doc).where(
         F.col("pages") >= F.greatest(F.lit(2.0), F.lit(share) * F.col("total"))
     ).drop("total")

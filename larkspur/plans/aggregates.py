@@ -190,13 +190,6 @@ def _(spark, d):
 # keyed joins and sets
 
 
-@query("anti_missing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def _(spark, d):
-    return table(spark, d, "customer").select("c_custkey").join(
-        table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti"
-    )
-
-
 def _halves(spark, d):
     """Two versions of a customer table: the second drops, adds and changes keys."""
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"))
@@ -388,20 +381,6 @@ def _(spark, d):
     return days.withColumn("lost", F.coalesce(F.col("n") < F.lag("n").over(Window.orderBy("day")), F.lit(False)))
 
 
-@query(
-    "windowed_discovery",
-    """SELECT DISTINCT user_id FROM events e WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR
-AND user_id NOT IN (SELECT user_id FROM events WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AND event_type = 'signup')""",
-)
-def _(spark, d):
-    e = table(spark, d, "events")
-    now = F.broadcast(e.agg(F.max("ts").alias("now")))
-    aged = e.join(now)
-    floor = F.col("now") - F.expr("INTERVAL 72 HOURS")
-    seen = aged.where((F.col("ts") < floor) & (F.col("event_type") == "signup")).select("user_id")
-    return aged.where(F.col("ts") >= floor).select("user_id").distinct().join(seen, "user_id", "left_anti")
-
-
 @query(
     "windowed_discovery_kinds",
     """WITH n AS (SELECT user_id, event_type, hour(ts) AS hour, ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AS late FROM events)

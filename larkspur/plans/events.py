@@ -377,12 +377,12 @@ def _base(spark, d):
 @query(
     "block_bootstrap",
     f"""WITH {RANKED}, {_POS}, s AS (SELECT series_id, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=3, n='n')} AS at_
-FROM n, range(100) x(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
+FROM n, range(800) x(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
 p AS (SELECT series_id, b, (at_ + i) % n AS pos FROM s, range(21) y(i) WHERE k * 21 + i < n)
 SELECT series_id, CAST(b AS INT) AS b, round(avg(v), 6) AS mean FROM p JOIN base USING (series_id, pos) GROUP BY 1, 2""",
 )
 def _(spark, d):
-    return T.circular_blocks(_base(spark, d), "series_id", 100, 21, 3, "v")
+    return T.circular_blocks(_base(spark, d), "series_id", 800, 21, 3, "v")
 
 
 _SHIFT = f"""WITH {RANKED}, {_POS},
@@ -393,7 +393,6 @@ SELECT series_id, round(effect, 4) AS effect, round(avg(CASE WHEN abs(e) >= abs(
 
 
 @query("circular_shift_p", _SHIFT)
-@query("circular_shift_p_by_series", _SHIFT)  # an older name
 def _(spark, d):
     return T.circular_shift_p(_base(spark, d), "series_id", "flag", "v")
 
@@ -401,24 +400,24 @@ def _(spark, d):
 @query(
     "mde_grid",
     f"""WITH {RANKED}, {_POS},
-x AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=7, n='n')} AS pos FROM n, range(200) u(b), range(9) w(k)),
+x AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=7, n='n')} AS pos FROM n, range(4000) u(b), range(9) w(k)),
 m AS (SELECT series_id, b, median(v / 200000) AS m FROM x JOIN base USING (series_id, pos) GROUP BY 1, 2), c AS (SELECT series_id, quantile_cont(m, 0.95) AS crit FROM m GROUP BY 1)
-SELECT series_id, round(any_value(crit), 6) AS crit, CAST(shift AS INT) AS shift, round(avg(CASE WHEN m + shift * 0.05 > crit THEN 1.0::DOUBLE ELSE 0 END), 6) AS power
-FROM m JOIN c USING (series_id), range(17) g(shift) GROUP BY series_id, shift""",
+SELECT series_id, round(any_value(crit), 6) AS crit, CAST(shift AS INT) AS shift, round(avg(CASE WHEN m + shift * 0.005::DOUBLE > crit THEN 1.0::DOUBLE ELSE 0 END), 6) AS power
+FROM m JOIN c USING (series_id), range(160) g(shift) GROUP BY series_id, shift""",
 )
 def _(spark, d):
     base = _base(spark, d)
     draws = (
         base.groupBy("series_id").agg(F.count("*").alias("n"))
-        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(199))))
+        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(3999))))
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(8))))
         .select("series_id", "b", T.draw(7, F.col("b").cast("long"), F.col("k").cast("long"), F.col("n")).alias("pos"))
         .hint("merge")
     )
     m = draws.join(base, ["series_id", "pos"]).groupBy("series_id", "b").agg(F.median(F.col("v") / 200000).alias("m"))
     crit = m.groupBy("series_id").agg(F.percentile("m", F.lit(0.95)).alias("crit"))
-    grid = m.join(crit, "series_id").withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(16))))
-    over = (F.col("m") + F.col("shift") * F.lit(0.05) > F.col("crit")).cast("double")
+    grid = m.join(crit, "series_id").withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(159))))
+    over = (F.col("m") + F.col("shift") * F.lit(0.005) > F.col("crit")).cast("double")
     return grid.groupBy("series_id", "shift").agg(F.round(F.first("crit"), 6).alias("crit"), F.round(F.avg(over), 6).alias("power"))
 
 
@@ -436,29 +435,29 @@ def _returns(spark, d):
     return r.select("series_id", (F.row_number().over(S.by_date()) - 1).cast("long").alias("pos"), F.col("r").alias("v"), F.coalesce(F.col("rank") <= 10, F.lit(False)).alias("flag"))
 
 
-@query(
-    "bootstrap_effect",
-    f"""WITH {RANKED}, {_EVERY}, x AS (SELECT series_id, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=0, n='n')} AS at_ FROM sizes, range(800) t(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
-p AS (SELECT series_id, b, (at_ + i) % n AS pos FROM x, range(21) y(i) WHERE k * 21 + i < n),
-e AS (SELECT series_id, b, CASE WHEN count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS e FROM p JOIN every_r USING (series_id, pos) GROUP BY 1, 2),
-l AS (SELECT series_id, count(e) AS k, quantile_cont(e, 0.05) AS lo, quantile_cont(e, 0.95) AS hi FROM e GROUP BY 1),
-o AS (SELECT series_id, count(*) AS n, CASE WHEN count(*) >= 63 AND count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS point FROM every_r GROUP BY 1)
-SELECT series_id, round(point, 6) AS point, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN lo END, 6) AS low, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN hi END, 6) AS high FROM o JOIN l USING (series_id)""",
-)
+_BOOTSTRAP = f"""{RANKED}, {_EVERY}, xb AS (SELECT series_id, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=0, n='n')} AS at_ FROM sizes, range(800) t(b), LATERAL (SELECT unnest(range((n + 20) // 21)) AS k)),
+pb AS (SELECT series_id, b, (at_ + i) % n AS pos FROM xb, range(21) y(i) WHERE k * 21 + i < n),
+eb AS (SELECT series_id, b, CASE WHEN count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS e FROM pb JOIN every_r USING (series_id, pos) GROUP BY 1, 2),
+lb AS (SELECT series_id, count(e) AS k, quantile_cont(e, 0.05) AS lo, quantile_cont(e, 0.95) AS hi FROM eb GROUP BY 1),
+ob AS (SELECT series_id, count(*) AS n, CASE WHEN count(*) >= 63 AND count(*) FILTER (WHERE flag) >= 3 THEN median(v) FILTER (WHERE flag) - median(v) END AS point FROM every_r GROUP BY 1)"""
+_BOOTSTRAP_ROWS = """SELECT series_id, round(point, 6) AS point, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN lo END, 6) AS low, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN hi END, 6) AS high FROM ob JOIN lb USING (series_id)"""
+
+
+@query("bootstrap_effect", f"WITH {_BOOTSTRAP} {_BOOTSTRAP_ROWS}")
 def _(spark, d):
     return T.bootstrap_effect(_returns(spark, d), "series_id", "flag", "v", 21)
 
 
-@query(
-    "min_detectable",
-    f"""WITH RECURSIVE {RANKED}, {_EVERY}, {_EPISODES}, {_greedy('eps', 21)}, ev AS (SELECT series_id, count(*) AS n_events FROM chain WHERE pos IS NOT NULL GROUP BY 1),
+_DETECTABLE = f"""ev AS (SELECT series_id, count(*) AS n_events FROM chain WHERE pos IS NOT NULL GROUP BY 1),
 z AS (SELECT series_id, n, coalesce(n_events, 0) AS n_events FROM sizes LEFT JOIN ev USING (series_id)),
-x AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=1, n='n')} AS pos FROM z, range(4000) t(b), LATERAL (SELECT unnest(range(n_events)) AS k) WHERE n >= 50 AND n_events >= 3),
-med AS (SELECT series_id, b, median(v) AS m FROM x JOIN every_r USING (series_id, pos) GROUP BY 1, 2), c AS (SELECT series_id, quantile_cont(m, 0.95) AS crit FROM med GROUP BY 1),
+xm AS (SELECT series_id, b, {T.DRAW_SQL.format(b='b', k='k', seed=1, n='n')} AS pos FROM z, range(4000) t(b), LATERAL (SELECT unnest(range(n_events)) AS k) WHERE n >= 50 AND n_events >= 3),
+med AS (SELECT series_id, b, median(v) AS m FROM xm JOIN every_r USING (series_id, pos) GROUP BY 1, 2), c AS (SELECT series_id, quantile_cont(m, 0.95) AS crit FROM med GROUP BY 1),
 grid AS (SELECT series_id, s, avg(CASE WHEN m + s * 0.005::DOUBLE > crit THEN 1.0::DOUBLE ELSE 0 END) AS p FROM med JOIN c USING (series_id), range(160) t(s) GROUP BY 1, 2),
-l AS (SELECT series_id, min(s) AS s FROM grid WHERE p >= 0.8 GROUP BY 1)
-SELECT series_id, n_events, round(crit, 6) AS crit, round(s * 0.005::DOUBLE, 3) AS shift FROM z LEFT JOIN c USING (series_id) LEFT JOIN l USING (series_id)""",
-)
+lm AS (SELECT series_id, min(s) AS s FROM grid WHERE p >= 0.8 GROUP BY 1)"""
+_DETECTABLE_ROWS = """SELECT series_id, n_events, round(crit, 6) AS crit, round(s * 0.005::DOUBLE, 3) AS shift FROM z LEFT JOIN c USING (series_id) LEFT JOIN lm USING (series_id)"""
+
+
+@query("min_detectable", f"WITH RECURSIVE {RANKED}, {_EVERY}, {_EPISODES}, {_greedy('eps', 21)}, {_DETECTABLE} {_DETECTABLE_ROWS}")
 def _(spark, d):
     events = E.spaced(fear_episodes(spark, d), "pos", 21).groupBy("series_id").agg(F.count("*").alias("n_events"))
     return T.min_detectable(_returns(spark, d), events, "series_id", "v")
@@ -466,20 +465,18 @@ def _(spark, d):
 
 @query(
     "three_way_verdict",
-    f"""WITH {RANKED}, r AS (SELECT series_id, rank, lead(v, 21) OVER ({W}) / v - 1 AS r FROM ranked),
-m AS (SELECT series_id, median(r) AS m FROM r GROUP BY 1),
-s AS (SELECT series_id, count(r) AS n, median(r) - any_value(m) AS point, quantile_cont(r, 0.05) - any_value(m) AS lo, quantile_cont(r, 0.95) - any_value(m) AS hi,
-  stddev_samp(r) / sqrt(count(r)) AS mde FROM r JOIN m USING (series_id) WHERE rank <= 10 GROUP BY 1)
-SELECT series_id, n, CASE WHEN n < 8 THEN 'too few' WHEN point IS NULL OR lo IS NULL THEN 'unknown' WHEN lo > 0 AND point >= 0.02 THEN 'pass'
-  WHEN mde IS NOT NULL AND abs(point) < mde AND lo < 0 AND hi > 0 THEN 'undetectable' WHEN hi < 0 THEN 'reverse' ELSE 'fail' END AS verdict FROM s""",
+    f"""WITH RECURSIVE {_BOOTSTRAP}, bo AS ({_BOOTSTRAP_ROWS}), {_EPISODES}, {_greedy('eps', 21)}, {_DETECTABLE}, de AS ({_DETECTABLE_ROWS})
+SELECT series_id, n_events, CASE WHEN n_events < 8 THEN 'too few' WHEN point IS NULL OR low IS NULL THEN 'unknown' WHEN low > 0 AND point >= 0.02 THEN 'pass'
+  WHEN shift IS NOT NULL AND abs(point) < shift AND low < 0 AND high > 0 THEN 'undetectable' WHEN high < 0 THEN 'reverse' ELSE 'fail' END AS verdict FROM bo JOIN de USING (series_id)""",
 )
 def _(spark, d):
-    r = ranked(spark, d).withColumn("r", E.forward_return(21))
-    r = r.join(r.groupBy("series_id").agg(F.median("r").alias("m")), "series_id").where("rank <= 10")
-    q = F.percentile("r", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    s = r.groupBy("series_id").agg(F.count("r").alias("n"), q.alias("q"), F.any_value("m").alias("m"), (F.stddev_samp("r") / F.sqrt(F.count("r"))).alias("mde"))
-    low, point, high = (F.col("q")[i] - F.col("m") for i in range(3))
-    return s.select("series_id", "n", T.verdict(point, low, high, F.col("mde"), 0.02, F.col("n")).alias("verdict"))
+    """The resampled interval and the smallest detectable effect of each series, judged together."""
+    every = _returns(spark, d)
+    events = E.spaced(fear_episodes(spark, d), "pos", 21).groupBy("series_id").agg(F.count("*").alias("n_events"))
+    interval = T.bootstrap_effect(every, "series_id", "flag", "v", 21)
+    both = interval.join(T.min_detectable(every, events, "series_id", "v"), "series_id")
+    point, low, high, least, n = (F.col(c) for c in ("point", "low", "high", "shift", "n_events"))
+    return both.select("series_id", "n_events", T.verdict(point, low, high, least, 0.02, n).alias("verdict"))
 
 
 @query(

@@ -100,7 +100,12 @@ def _(spark, d):
     return rules.tally(run(fetched(spark, d), "fetched", _FETCHED_IDS))
 
 
-@query("rules_gate", "SELECT CASE WHEN count(*) > 0 THEN 10 ELSE 0 END AS exit_code, CAST(5 AS BIGINT) AS n_fail, CAST(0 AS BIGINT) AS n_skipped FROM events")
+@query(
+    "rules_gate",
+    f"""WITH {_FETCHED}, w AS (SELECT check_id, count(*) FILTER (WHERE level = 'FAIL') AS bad, count(*) FILTER (WHERE level <> 'SKIPPED') AS ran FROM r GROUP BY 1),
+s AS (SELECT count(*) FILTER (WHERE bad > 0) AS n_fail, count(*) FILTER (WHERE ran = 0) AS n_skipped FROM w)
+SELECT CASE WHEN n_fail > 0 OR n_skipped > 3 THEN 10 ELSE 0 END AS exit_code, n_fail, n_skipped FROM s""",
+)
 def _(spark, d):
     return rules.gate(rules.tally(run(fetched(spark, d), "fetched", _FETCHED_IDS)))
 

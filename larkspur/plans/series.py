@@ -84,9 +84,13 @@ def _(spark, d):
     return S.align(panel(spark, d)).select("series_id", "d", "v")
 
 
-@query("series_since", f"WITH {PANEL} SELECT * FROM panel WHERE d >= DATE '2000-01-01'")
+@query(
+    "series_since",
+    f"WITH {PANEL}, ended AS (SELECT * FROM panel WHERE series_id <> '5-LOW' OR d < DATE '1999-01-01') SELECT * FROM ended QUALIFY d >= DATE '2000-01-01' OR max(d) OVER (PARTITION BY series_id) < DATE '2000-01-01'",
+)
 def _(spark, d):
-    return S.since(panel(spark, d), "2000-01-01")
+    """One series ends before the date, so it stays whole."""
+    return S.since(panel(spark, d).where("series_id <> '5-LOW' OR d < DATE '1999-01-01'"), "2000-01-01")
 
 
 @query("series_last_years", f"WITH {PANEL} SELECT series_id, d, v FROM panel QUALIFY d >= max(d) OVER (PARTITION BY series_id) - INTERVAL 2 YEAR")
@@ -336,9 +340,19 @@ def _(spark, d):
     return seen.select("user_id", "event_type", F.round(C.age_hours(then, now), 6).alias("age_hours"), C.fresh(then, now).alias("fresh"))
 
 
-@query("half_even", "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) AS v FROM lineitem")
+@query(
+    "half_even",
+    """WITH x AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN (2 * l_orderkey + 1) * 5 / 1000::DOUBLE WHEN 1 THEN l_quantity / 8 ELSE -(l_extendedprice * l_discount) END::DOUBLE AS x FROM lineitem),
+m AS (SELECT *, CASE WHEN x = 0 THEN 0 ELSE 52 - CAST(floor(log2(abs(x))) AS INT) END AS e FROM x),
+i AS (SELECT *, CAST(abs(x) * pow(2, e) AS HUGEINT) * 100 AS big, CAST(pow(2::DOUBLE, e) AS HUGEINT) AS one FROM m),
+q AS (SELECT *, big // one AS q, big % one AS r FROM i)
+SELECT l_orderkey, l_linenumber, (CASE WHEN x < 0 THEN -1 ELSE 1 END * (q + CASE WHEN 2 * r > one OR (2 * r = one AND q % 2 = 1) THEN 1 ELSE 0 END))::DOUBLE / 100 AS v FROM q""",
+)
 def _(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.bround(F.col("l_quantity").cast("double") / 8, 2).alias("v"))
+    """Half to even by the exact binary value: odd multiples of 0.005, few of which are the halves they look like, eighths, products."""
+    k = F.col("l_linenumber") % 3
+    x = F.when(k == 0, (2 * F.col("l_orderkey") + 1) * 5 / F.lit(1000.0)).when(k == 1, F.col("l_quantity").cast("double") / 8).otherwise(-(F.col("l_extendedprice") * F.col("l_discount")))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", C.round_binary(x.cast("double"), 2).alias("v"))
 
 
 @query(

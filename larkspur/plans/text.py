@@ -166,9 +166,16 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(C.match_form(F.col("text")), 256).alias("sha"))
 
 
-_WORDS = r"""list_filter(string_split_regex(regexp_replace(lower(regexp_replace({0}, '\[\d{{1,2}}:\d{{2}}(?::\d{{2}})?\]\s*(?:[^:\n]{{1,40}}:)?', ' ', 'g')), '[^\p{{L}}\p{{N}}\s]', '', 'g'), '\s+'), lambda w: w <> '')"""
-_TOKENS = f"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
-w AS (SELECT doc_id, line_no, {_WORDS.format('line')} AS t FROM l),
+_SPACE = r"[\t-\r\x1C-\x20\x{85}\p{Z}]"
+_ENDS = r"\r\n|[\n-\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_WORDS = (
+    r"list_filter(string_split(regexp_replace(lower(regexp_replace(regexp_replace(line, '^\[\d{1,2}[:.]\d{2}(?::\d{2})?\]', ' '), "
+    rf"'(?:^|{_SPACE})Speaker{_SPACE}*\d+{_SPACE}*[:\]]{_SPACE}*', ' ', 'g')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'), ' '), lambda w: w <> '')"
+)
+_BODY = "array_to_string(string_split(text, '---')[least(len(string_split(text, '---')), 3):], '---')"
+_TOKENS = f"""y AS (SELECT doc_id, string_split_regex({_BODY}, '{_ENDS}') AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM y),
+w AS (SELECT doc_id, line_no, {_WORDS} AS t FROM l),
 b AS (SELECT *, coalesce(sum(len(t)) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM w),
 tokens AS (SELECT doc_id, before + unnest(range(len(t))) AS pos, unnest(t) AS token, line_no - 1 AS line_no FROM b)"""
 
@@ -193,11 +200,6 @@ def _(spark, d):
     return blocks(spark, d)
 
 
-@query("significant_repeats", f"WITH {_BLOCKS} SELECT * FROM blocks WHERE tokens >= 40 AND first >= 20")
-def _(spark, d):
-    return blocks(spark, d).where("tokens >= 40 AND first >= 20")
-
-
 _TWICE = "SELECT doc_id, concat(array_to_string(list_transform(range(250), lambda x: 'w' || x), ' '), chr(10), text, chr(10), text) AS text FROM documents"
 
 
@@ -220,14 +222,34 @@ def _(spark, d):
     return X.repeat_share(blocks(spark, d), totals, "doc_id")
 
 
-@query(
-    "loop_collapse",
-    f"""WITH {_TOKENS}, r AS (SELECT doc_id, token, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - row_number() OVER (PARTITION BY doc_id, token ORDER BY pos) AS run FROM tokens),
+def _loops(text):
+    return f"""t AS (SELECT doc_id, list_filter(string_split_regex(lower({text}), '{_SPACE}+'), lambda w: w <> '') AS t FROM said),
+x AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM t),
+r AS (SELECT doc_id, token, pos - row_number() OVER (PARTITION BY doc_id, token ORDER BY pos) AS run FROM x),
 n AS (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id, token, run)
-SELECT doc_id, CAST(sum(CASE WHEN n >= 5 THEN 1 ELSE n END) AS BIGINT) AS words, CAST(sum(CASE WHEN n >= 5 THEN n - 1 ELSE 0 END) AS BIGINT) AS removed FROM n GROUP BY 1""",
-)
+SELECT doc_id, CAST(sum(CASE WHEN n >= 20 THEN 1 ELSE n END) AS BIGINT) AS words, CAST(sum(CASE WHEN n >= 20 THEN n - 1 ELSE 0 END) AS BIGINT) AS removed FROM n GROUP BY 1"""
+
+
+@query("loop_collapse", f"WITH said AS (SELECT doc_id, text FROM documents), {_loops('text')}")
+def _(spark, d):
+    return X.collapse_loops(table(spark, d, "documents"), "doc_id", "text")
+
+
+_TURNS_SQL = "SELECT conv_id AS doc_id, string_agg(printf('[%02d:%02d] %s: ', turn // 60, turn % 60, role) || text || repeat(' go' || CASE WHEN turn % 2 = 0 THEN ' ' ELSE chr(9) END || 'Go', CASE WHEN conv_id % 3 = 0 THEN 15 ELSE 4 END), chr(10) ORDER BY turn, role, text) AS text FROM conversations GROUP BY 1"
+
+
+_TURN = rf"(?m)^{_SPACE}*\[\d{{1,3}}:\d{{2}}(?::\d{{2}})?\]{_SPACE}*(?:[^:\n]{{0,60}}?:{_SPACE}*)?"
+_UNTURNED = f"regexp_replace(text, '{_TURN}', '', 'g')"
+
+
+@query("spoken_words", f"WITH said AS ({_TURNS_SQL}), {_loops(_UNTURNED)}")
 def _(spark, d):
-    return X.collapse_loops(table(spark, d, "documents"), "doc_id", "text", 5)
+    """Conversations as stamped turns, with a stuttered word behind each: words said, loops counted once."""
+    turn = F.col("turn")
+    go = F.repeat(F.concat(F.lit(" go"), F.when(turn % 2 == 0, " ").otherwise("\t"), F.lit("Go")), F.when(F.col("conv_id") % 3 == 0, 15).otherwise(4))
+    line = F.concat(F.format_string("[%02d:%02d] %s: ", F.floor(turn / 60), turn % 60, F.col("role")), "text", go)
+    said = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", line.alias("line")))).alias("l"))
+    return X.spoken_words(said.select("doc_id", F.array_join("l.line", "\n").alias("text")), "doc_id", "text")
 
 
 @query(
@@ -266,17 +288,30 @@ def _(spark, d):
     )
 
 
+def _furniture(text, share):
+    return f"""WITH p AS (SELECT source AS doc, doc_id AS page, list_filter(list_transform(string_split_regex({text}, '{_ENDS}'), lambda x: trim(regexp_replace(x, '{_SPACE}+', ' ', 'g'))), lambda x: x <> '') AS s FROM documents),
+e AS (SELECT doc, page, unnest(list_distinct(list_concat(s[1:3], s[greatest(len(s) - 2, 1):]))) AS line FROM p), t AS (SELECT doc, count(DISTINCT page) AS total FROM p WHERE len(s) > 0 GROUP BY 1)
+SELECT doc, line, count(DISTINCT page) AS pages FROM e JOIN t USING (doc) WHERE len(line) BETWEEN 4 AND 119 GROUP BY doc, line, total HAVING count(DISTINCT page) >= greatest(2, {share} * total)"""
+
+
 @query(
     "page_furniture",
-    """WITH p AS (SELECT source AS doc, doc_id AS page, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS s FROM documents),
-e AS (SELECT doc, page, trim(unnest(list_distinct(list_concat(s[1:3], s[greatest(len(s) - 2, 1):])))) AS line FROM p), t AS (SELECT doc, count(DISTINCT page) AS total FROM p GROUP BY 1)
-SELECT doc, line, count(DISTINCT page) AS pages FROM e JOIN t USING (doc) WHERE len(line) BETWEEN 4 AND 119 GROUP BY doc, line, total HAVING count(DISTINCT page) >= greatest(2, 0.04 * total)""",
+    _furniture("text", 0.04),
 )
 def _(spark, d):
     docs = table(spark, d, "documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text")
     return X.page_furniture(docs, "doc", "page", "text", 3, 0.04)
 
 
+@query("page_headers", _furniture("CASE WHEN doc_id % 9 = 4 THEN chr(10) WHEN doc_id % 3 = 0 THEN text ELSE 'Bureau' || repeat(' ', CAST(1 + doc_id % 4 AS INT)) || source || chr(13) || chr(10) || text END", 0.6))
+def _(spark, d):
+    """Pages of which most bear a heading with uneven spaces, and some are blank; the share is the survey's."""
+    n = F.col("doc_id")
+    head = F.concat(F.lit("Bureau"), F.repeat(F.lit(" "), (1 + n % 4).cast("int")), "source", F.lit("\r\n"), "text")
+    text = F.when(n % 9 == 4, "\n").when(n % 3 == 0, F.col("text")).otherwise(head)
+    return X.page_furniture(table(spark, d, "documents").select(F.col("source").alias("doc"), n.alias("page"), text.alias("text")), "doc", "page", "text")
+
+
 @query(
     "quote_grounding",
     f"""WITH t AS (SELECT doc_id, {_form_sql("text")} AS f FROM documents), q AS (SELECT item_id, {_form_sql("text")} AS f FROM benchmark)

@@ -15,7 +15,7 @@ from larkspur.plans.inputs import PANEL, RANKED, panel
 
 QUERIES, ORACLES = {}, {}
 HORIZONS = (5, 21, 63)
-DRAWS = 200
+DRAWS = 1000
 
 
 def query(name: str, sql: str):
@@ -370,7 +370,7 @@ def _(spark, d):
     )
 
 
-_WEIGHT_DRAWS = 100
+_WEIGHT_DRAWS = 300
 _DRAWN = f"-ln(({T.DRAW_SQL.format(b='b', k='CAST(left(series_id, 1) AS BIGINT)', seed=5, n='1000003')} + 1) / 1000004::DOUBLE)"
 
 

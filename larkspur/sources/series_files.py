@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -63,15 +64,14 @@ def cached_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def find_column(names: list[str], exact: str, need: list[str], avoid: list[str] = ()) -> str:
-    """The column that equals ``exact`` when normalised, else the first with all of ``need`` and none of ``avoid``."""
-    plain = lambda s: "".join(ch for ch in s.lower() if ch.isalnum())
-    for n in names:
-        if plain(n) == plain(exact):
-            return n
-    for n in names:
-        if all(k.lower() in n.lower() for k in need) and not any(k.lower() in n.lower() for k in avoid):
-            return n
-    raise KeyError(f"no column like {exact!r}")
+    """The column that equals ``exact`` when only letters and digits count, else the first with all of ``need`` and none of ``avoid``."""
+    bare = lambda s: re.sub(r"[\W_]", "", s.lower())
+    forms, words, others = [(bare(n), n) for n in names], list(map(bare, need)), list(map(bare, avoid))
+    same = [n for form, n in forms if form == bare(exact)]
+    fitting = [n for form, n in forms if all(w in form for w in words) and not any(w in form for w in others)]
+    if not same + fitting:
+        raise KeyError(f"no column like {exact!r}")
+    return (same + fitting)[0]
 
 
 def month_tables(spark: SparkSession, path: str, date_header: str, value_header: str, source: str = "months") -> DataFrame:

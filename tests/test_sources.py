@@ -70,6 +70,9 @@ def test_find_column():
     assert R.find_column(names, "x", ["open", "interest"], ["all"]) == names[2]
     with pytest.raises(KeyError):
         R.find_column(names, "x", ["price"])
+    dates = ["As_of_Report_Date_YYMMDD", "Report_Date_as_MM_DD_YYYY"]
+    assert R.find_column(dates, "Report_Date_as_YYYY-MM-DD", ["reportdate"], ["asof"]) == dates[1]
+    assert R.find_column(dates, "report date as mm dd yyyy", ["nothing"]) == dates[1]
 
 
 def test_nested_documents_keep_what_is_malformed(spark, tmp_path):
@@ -95,7 +98,7 @@ def test_scalar_functions(spark):
     assert one(C.roc_date(F.lit("115/02/30"))) is None and str(one(C.roc_date(F.lit("115/8/1")))) == "2026-08-01"
     assert one(C.visible_width(F.lit("a中"))) == 3 and one(C.seconds(F.lit("1:02:03"))) == 3723
     assert one(C.clip(F.lit(None).cast("double"), 0.0, 100.0)) is None
-    assert one(C.words(F.lit("[00:01] Ann Lee: Hello, World!"))) == ["hello", "world"]
+    assert one(C.words(F.lit("[00:01] Ann Lee: Hello, World!"))) == ["ann", "lee", "hello", "world"]
 
 
 def test_streams_remember_between_rounds(spark, tmp_path):

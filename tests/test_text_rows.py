@@ -1,5 +1,8 @@
 """Tokens, repeated blocks and loops against plain Python."""
 
+from pyspark.sql import functions as F
+
+from larkspur.functions import scalars as C
 from larkspur.operators import text as X
 
 TEXTS = [
@@ -19,11 +22,11 @@ def _tokens(spark):
 
 def test_counts_and_lines(spark):
     docs, got = _tokens(spark)
-    assert got[7] == ["hello", "world", *["hello"] * 5, "end"] and got[8] == ["body", "body"] and not {0, 1, 2} & set(got)
+    assert got[7] == ["ann", "lee", "hello", "world", *["hello"] * 5, "end"] and got[8] == ["body", "body"] and not {0, 1, 2} & set(got)
     rows = {r.id: (r.n, r.kinds, r.last) for r in X.token_counts(docs, "id", "text").collect()}
     assert rows == {i: (len(t), len(set(t)), len(t) - 1) for i, t in got.items()}
     lines = [r.line_no for r in X.tokens(docs.where("id = 7"), "id", "text").orderBy("pos").collect()]
-    assert lines == [0, 0, 1, 1, 2, 2, 2, 2]
+    assert lines == [0, 0, 0, 0, 1, 1, 2, 2, 2, 2]
 
 
 def test_blocks(spark):
@@ -44,7 +47,49 @@ def test_blocks(spark):
 
 
 def test_loops(spark):
-    docs, got = _tokens(spark)
+    docs = _tokens(spark)[0]
     rows = {r.id: (r.words, r.removed) for r in X.collapse_loops(docs, "id", "text", 5).collect()}
-    want = {i: (len(t), 0) for i, t in got.items()} | {5: (1, 11), 7: (4, 4)}
-    assert rows == want
+    plain = {i: t.split() for i, t in enumerate(TEXTS) if t and t.split()}
+    # "World!" parts the first of six
+    assert rows == {i: (len(t), 0) for i, t in plain.items()} | {5: (1, 11), 7: (len(plain[7]) - 4, 4)}
+
+
+def test_tokens_of_stamped_lines(spark):
+    """A mark takes the space behind it, so the next one on a line is none. Signs part words, ``_`` does not; only numbered speakers are marks, wherever they stand; text before a colon is content."""
+    text = "---\nhead: x\n---\n[12:34] Today: well-known don't stop. Speaker 3] foo_bar\n[1.05] Speaker 1: Speaker 2: Ünï 5%\rlast"
+    rows = X.tokens(spark.createDataFrame([(1, text), (2, "a---b"), (3, "x [12:34] y"), (4, None)], "k int, t string"), "k", "t").orderBy("k", "pos").collect()
+    words = {k: [r.token for r in rows if r.k == k] for k in (1, 2, 3, 4)}
+    assert words == {1: ["today", "well", "known", "don", "t", "stop", "foo_bar", "speaker", "2", "ünï", "5", "last"], 2: ["b"], 3: ["x", "12", "34", "y"], 4: []}
+    assert [r.line_no for r in rows if r.k == 1] == [1] * 7 + [2, 2, 2, 2, 3]
+
+
+def test_stamps_become_seconds(spark):
+    rows = [("[12:34] a", 754), ("[1.05]", 65), ("[1:00:05] b", 3605), (" [12:34]", None), ("none", None), (None, None)]
+    got = spark.createDataFrame(rows, "t string, want int").select(C.stamp_seconds(F.col("t")).alias("s"), "want").collect()
+    assert [r.s for r in got] == [r.want for r in got]
+
+
+def test_loops_are_white_space_tokens(spark):
+    texts = ["I " * 19 + "x", "I " * 20 + "It", "no, No,\tNO,\n" * 7, "a. a, a " * 30, "", "[0:01] Ann: go\n[00:02] go " + "go " * 25]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {r.k: (r.words, r.removed) for r in X.collapse_loops(docs, "k", "t").collect()}
+    assert got == {0: (20, 0), 1: (2, 19), 2: (1, 20), 3: (90, 0), 5: (5, 25)}
+    said = {r.k: (r.words, r.removed) for r in X.spoken_words(docs, "k", "t").collect()}
+    assert said[5] == (1, 26) and said[1] == (2, 19)
+
+
+def test_furniture_has_single_spaces(spark):
+    pages = [(1, i, f"Broker{' ' * (i + 1)}Name\n\nbody {i}\nmore {i}\nx{i}xx\ny{i}yy\nz{i}zz") for i in range(3)] + [(1, 9, " \n\n"), (1, 10, None)]
+    got = X.page_furniture(spark.createDataFrame(pages, "d int, p int, t string"), "d", "p", "t").collect()
+    assert [(r.line, r.pages) for r in got] == [("Broker Name", 3)]
+
+
+def test_rounding_of_the_binary_value(spark):
+    import random
+
+    rng = random.Random(4)
+    numbers = [2.675, 2.665, 1.005, 0.125, 0.375, -2.675, -0.125, 0.0, 5e-324, 1e15 + 0.5, 4503599627370497.5, 1e300, 0.285, 1.115, 545.4445]
+    numbers += [rng.randint(-(10**7), 10**7) / 1000 for _ in range(3000)] + [rng.uniform(-1e6, 1e6) for _ in range(500)] + [rng.getrandbits(20) / 8 for _ in range(200)]
+    for digits in (0, 1, 2, 4):
+        got = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", C.round_binary(F.col("x"), digits).alias("r")).collect()
+        assert [r.r for r in got] == [round(r.x, digits) for r in got]
