@@ -6,7 +6,8 @@ matters, so it is one byte; sketches are merged cell by cell, and only whether a
 bitmap has a fixed size (``DEPTH * WIDTH`` bits, 8 MB) and is what pass two gets. Sketches never underestimate, so no frequent phrase is lost.
 
 Pass two counts exactly those phrases whose cells have all reached the least count and whose inner phrases, never rarer, have too.
-Occurrences are first added up in blocks of text, then by Spark on the phrase itself. On inputs whose distinct phrases fill the sketch more
+Occurrences are first added up in each task, then by Spark on the phrase itself; both passes take a few tasks for each core, since every
+task has a sketch or partial counts of its own. On inputs whose distinct phrases fill the sketch more
 phrases survive and are counted, which costs time and changes no result; ``WIDTH`` is the parameter to raise then.
 
 Each candidate gets the least score ``floor(1000 * a * n / (l * r))`` of its cuts into two parts, in decimals of 38 digits, and is dropped where a
@@ -38,6 +39,8 @@ LEAST_COUNT = 100
 TOP = 2000
 #: Rows and cells of a row of a sketch, cells of a merged part; powers of two.
 DEPTH, WIDTH, PART = 2, 1 << 25, 1 << 18
+#: Different phrases that a task keeps before it hands their counts on.
+KEPT = 1 << 18
 #: Bytes of normalised text that are handled at once.
 BLOCK = 1 << 21
 #: A-Z to a-z, tab to blank, ends of pieces to a line end.
@@ -136,6 +139,64 @@ class Phrases:
         return Bytes(self.block.data.translate(_OTHER))
 
 
+class Counts:
+    """Adds up the phrases of a task. What exceeds ``KEPT`` different phrases is handed on, so memory is bounded."""
+
+    def __init__(self):
+        self.totals: dict[str, int] = {}
+        self.langs: dict[str, int] = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, block: Block, names: list[str], at: np.ndarray, words: np.ndarray, hashes: np.ndarray, other: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The occurrences at the words ``at``, of so many words each. Two hashes tell phrases apart; texts are cut out for one of each."""
+        first, n, order = self._same(hashes, other, np.ones(len(at), np.int64))
+        at, words = at[order][first], words[order][first]
+        spans = zip(block.starts[at].tolist(), block.ends[at + words - 1].tolist())
+        text = np.empty(len(at), object)
+        text[:] = [block.data[s:e] for s, e in spans]
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in names], np.int32)[block.lang[at]]
+        self.parts.append((hashes[order][first], other[order][first], n, lang, text))
+        self.size += len(at)
+        if self.size > 2 * KEPT:
+            self._combine()
+            if self.size > KEPT:
+                yield from self._handed_on()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        self._combine()
+        yield from self._handed_on()
+        none = pa.nulls(len(self.totals), pa.string())
+        yield self._batch(pa.array(list(self.totals), pa.string()), none, pa.array(self.totals.values(), pa.int64()))
+
+    @staticmethod
+    def _same(hashes: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(hashes)
+        h, o = hashes[order], other[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (o[1:] != o[:-1]))))
+        return first, np.add.reduceat(n[order], first) if len(first) else n[:0], order
+
+    def _combine(self) -> None:
+        if len(self.parts) > 1:
+            hashes, other, n, lang, text = (np.concatenate(x) for x in zip(*self.parts))
+            first, n, order = self._same(hashes, other, n)
+            kept = order[first]
+            self.parts = [(hashes[kept], other[kept], n, lang[kept], text[kept])]
+            self.size = len(kept)
+
+    def _handed_on(self) -> Iterator[pa.RecordBatch]:
+        names = pa.array(list(self.langs), pa.string())
+        for _, _, n, lang, text in self.parts:
+            for at in range(0, len(n), 1 << 16):
+                own = pa.DictionaryArray.from_arrays(pa.array(lang[at : at + (1 << 16)]), names).dictionary_decode()
+                yield self._batch(own, pa.array(text[at : at + (1 << 16)], pa.binary()).cast(pa.string()), pa.array(n[at : at + (1 << 16)]))
+        self.parts, self.size = [], 0
+
+    @staticmethod
+    def _batch(lang: pa.Array, phrase: pa.Array, a: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang, phrase, a], ["lang", "phrase", "a"])
+
+
 def cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
     """The cells of a row of the sketch: two halves of the hash serve two rows, further rows mix it again."""
     for _ in range(row // 2):
@@ -206,7 +267,7 @@ def counted(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_CO
     shared = docs.sparkSession.sparkContext.broadcast(reached(rows, most_words, least, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits, counts = shared.value, Counts()
 
         def frequent(hashes: np.ndarray) -> np.ndarray:
             keep = np.ones(len(hashes), bool)
@@ -216,7 +277,6 @@ def counted(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_CO
             return keep
 
         for block, names in batch_blocks(batches):
-            phrases = Phrases(block, names)
             # phrases that only start among the words looked at are still asked for, since phrases around them need them
             whole = Phrases(block._replace(counted=len(block.starts)), names)
             inner, found = None, []
@@ -232,25 +292,14 @@ def counted(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_CO
                 own = at < block.counted
                 found.append((at[own], hashes[own], np.full(own.sum(), k)))
             at, hashes, words = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(hashes)
-            at, hashes, words = at[order], hashes[order], words[order]
-            other = phrases.second().ranges(block.starts[at], block.ends[at + words - 1])
-            first = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (other[1:] != other[:-1])))) if len(at) else at
-            n = np.diff(np.concatenate((first, [len(at)])))
-            spans = zip(block.starts[at[first]].tolist(), block.ends[at[first] + words[first] - 1].tolist())
-            text = [block.data[s:e] for s, e in spans]
-            langs, totals = np.unique(block.lang[: block.counted], return_counts=True)
-            own = np.concatenate((block.lang[at[first]], langs))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.DictionaryArray.from_arrays(pa.array(own, pa.int32()), pa.array(names, pa.string())).dictionary_decode(),
-                    pa.array(text + [None] * len(langs), pa.binary()).cast(pa.string()),
-                    pa.array(np.concatenate((n, totals)), pa.int64()),
-                ],
-                ["lang", "phrase", "a"],
-            )
-
-    found = rows.mapInArrow(run, "lang string, phrase string, a long")
+            langs, n = np.unique(block.lang[: block.counted], return_counts=True)
+            for lang, words_of in zip(langs.tolist(), n.tolist()):
+                counts.totals[names[lang]] = counts.totals.get(names[lang], 0) + words_of
+            yield from counts.add(block, names, at, words, hashes, whole.second().ranges(block.starts[at], block.ends[at + words - 1]))
+        yield from counts.rest()
+
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    found = rows.coalesce(tasks).mapInArrow(run, "lang string, phrase string, a long")
     return found.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("phrase").isNull() | (F.col("a") >= least))
 
 

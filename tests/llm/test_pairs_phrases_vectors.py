@@ -143,6 +143,7 @@ def odd_prose(seed, n):
 @pytest.mark.parametrize("width", [1 << 20, 64])
 def test_collocations_against_brute_force(spark, monkeypatch, width):
     monkeypatch.setattr(collocations, "BLOCK", 400)
+    monkeypatch.setattr(collocations, "KEPT", 40)
     texts = [None, "", " .,\n", "new york", "new york city " * 60, "a a a a a a a " * 9, *(odd_prose(i, 150) for i in range(40)), odd_prose(99, 3000), odd_prose(1, 150)]
     langs = ["en", "fr", None, "und", "en"]
     docs = documents(spark, texts, langs)
