@@ -2,8 +2,8 @@
 
 A rule is a set of SQL conditions over one frame: the first that holds of ``skip, fail, warn`` gives the level of
 a row, else it passes; null conditions do not hold. All rules of a frame are evaluated in one pass. What a
-rule needs from other rows (counts, predecessors, matches) is a column of its frame, made by
-the aggregations and joins of ``frames``. Thresholds come from a configuration whose
+rule needs from other rows (counts, predecessors, matches) is a column of its frame, made from
+nested documents by the aggregations and joins of ``larkspur.operators.frames``. Thresholds come from a configuration whose
 missing keys are errors.
 """
 

@@ -26,17 +26,17 @@ CASES = {
     "advisory.index_entry_source": ({"n_empty_index_fields": 1, "n_threaded": 1}, {"n_empty_index_fields": 0, "n_threaded": 1}),
     "advisory.overview_prose": ({"n_notes_missing": 0, "note_chars_low": 19, "note_chars_high": 200, "bold_share": 0.5}, {"n_notes_missing": 0, "note_chars_low": 20, "note_chars_high": 200, "bold_share": 0.5}),
     "advisory.window_wellformed": (
-        {"from_ts": "2026-08-20T07:00:00Z", "window_start": "2026-08-19T23:00:00", "window_end": "2026-08-20T23:00:00", "to_date": "2026-08-21", "date": "2026-08-21", "prev_to_ts": "2026-08-20T00:00:00"},
+        {"from_ts": "2026-08-20T07:00:00+08:00", "window_start": "2026-08-19T23:00:01", "window_end": "2026-08-20T23:00:01", "to_date": "2026-08-21", "date": "2026-08-21", "prev_to_ts": "2026-08-20T00:00:00"},
         {"from_ts": "2026-08-20T07:00:00+08:00", "window_start": "2026-08-19T23:00:00", "window_end": "2026-08-20T23:00:00", "to_date": "2026-08-21", "date": "2026-08-21", "prev_to_ts": "2026-08-20T00:00:00"},
     ),
     "advisory.dispatch_wellformed": ({"quota": 3, "owner_quota": 2, "n_batches": 1, "n_owners": 1}, {"quota": 3, "owner_quota": 3, "n_batches": 1, "n_owners": 1}),
     "chart.structure": ({"n_charts": 4, "slots_in_order": True}, {"n_charts": 5, "slots_in_order": True}),
     "chart.theme_unique": ({"n_duplicate_themes": 1}, {"n_duplicate_themes": 0}),
-    "chart.kind_data_present": ({"kind": "line", "n_empty_fields": 1}, {"kind": "line", "n_empty_fields": 0}),
+    "chart.kind_data_present": ({"kind": "scatter", "n_empty_fields": 1}, {"kind": "scatter", "n_empty_fields": 0}),
     "chart.lengths": ({"exempt": False, "title_chars": 7, "reading_chars": 40, "takeaway_chars": 10}, {"exempt": False, "title_chars": 8, "reading_chars": 40, "takeaway_chars": 10}),
     "chart.series_cap": ({"n_series": 9}, {"n_series": 7}),
     "chart.diversity": ({"started": True, "n_not_line": 1}, {"started": True, "n_not_line": 2}),
-    "chart.footer_lines": ({"footer_width": 121.0}, {"footer_width": 120.0}),
+    "chart.footer_lines": ({"source_width": 61, "note_width": 60}, {"source_width": 60, "note_width": 0}),
     "chart.option_matches_spec": ({"n_option_mismatches": 1}, {"n_option_mismatches": 0}),
     "chart.provenance": ({"inspired_url": "u", "inspired_published": "2026-08-12", "date": "2026-08-20"}, {"inspired_url": "u", "inspired_published": "2026-08-13", "date": "2026-08-20"}),
     "chart.png_present": ({"png_bytes": 19999}, {"png_bytes": 20000}),
@@ -46,7 +46,7 @@ CASES = {
     "chart.size": ({"size_kb": 251.0}, {"size_kb": 250.0}),
     "chart.data_path_named": ({"data_path": "manual"}, {"data_path": "primary"}),
     "chart.prefetch_fresh": ({"has_prefetch": True, "prefetch_age_h": 30.1, "n_used_failed": 0}, {"has_prefetch": True, "prefetch_age_h": 30.0, "n_used_failed": 0}),
-    "chart.data_path_streak": ({"path_streak": 3}, {"path_streak": 2}),
+    "chart.data_path_streak": ({"path_streak": 3}, {"path_streak": 0}),
     "chart.release_day": ({"has_release": True, "release_fresh": True, "release_kind": "CPI", "main_slug": "x", "main_theme": "rates"}, {"has_release": True, "release_fresh": True, "release_kind": "CPI", "main_slug": "cpi-release", "main_theme": "rates"}),
     "demo.date_present": ({"date": "20260820"}, {"date": "2026-08-20"}),
     "demo.items_nonempty": ({"n_items": 0}, {"n_items": 1}),
@@ -63,7 +63,7 @@ CASES = {
     "podcast.release_in_window": ({"release_ts": "2026-08-21T07:00:01", "start_ts": T0, "end_ts": T1}, {"release_ts": T1, "start_ts": T0, "end_ts": T1}),
     "podcast.no_duplicate_episodes": ({"n_same": 2}, {"n_same": 1}),
     "podcast.file_id_matches_url": ({"file_id": "1", "url_id": "2"}, {"file_id": "1", "url_id": "1"}),
-    "podcast.chars_in_tier": ({"exempt": False, "chars": 6521, "low_chars": 100, "high_chars": 6520, "paragraphs": 3, "low_paragraphs": 1, "high_paragraphs": 9}, {"exempt": False, "chars": 6520, "low_chars": 100, "high_chars": 6520, "paragraphs": 3, "low_paragraphs": 1, "high_paragraphs": 9}),
+    "podcast.chars_in_tier": ({"exempt": False, "has_minutes": True, "chars": 6521, "low_chars": 100, "high_chars": 6520, "paragraphs": 3, "low_paragraphs": 1, "high_paragraphs": 9}, {"exempt": False, "chars": 6520, "low_chars": 100, "high_chars": 6520, "paragraphs": 3, "low_paragraphs": 1, "high_paragraphs": 9}),
     "podcast.topics_controlled": ({"n_topics": 4, "n_bad_topics": 0}, {"n_topics": 3, "n_bad_topics": 0}),
     "podcast.per_episode_counts": ({"placeholder": False, "n_takeaways": 2, "n_quotes": 2}, {"placeholder": False, "n_takeaways": 3, "n_quotes": 2}),
     "podcast.crosscut_present": ({"n_episodes": 3, "n_points": 0}, {"n_episodes": 2, "n_points": 0}),
@@ -73,7 +73,7 @@ CASES = {
     "repo.no_pull_request_target": ({"n_token_lines": 1}, {"n_token_lines": 0}),
     "repo.brief_budget": ({"est_tokens": 1001, "budget": 1000, "budget_source": "x"}, {"est_tokens": 1000, "budget": 1000, "budget_source": "x"}),
     "research.no_pii": ({"n_private": 1}, {"n_private": 0}),
-    "research.identified": ({"broker": "b", "date": "2026-08-20", "top_hits": 2, "second_hits": 0}, {"broker": "b", "date": "2026-08-20", "top_hits": 3, "second_hits": 1}),
+    "research.identified": ({"broker": "b", "date": "2026-08-20", "top_hits": 2, "second_hits": 0}, {"broker": "b", "date": "2026-08-20", "top_hits": 6, "second_hits": 1}),
     "research.strip_bounded": ({"removed_pct": 22.0}, {"removed_pct": 2.1}),
     "research.page_count": ({"claimed_pages": 3, "pages": 2}, {"claimed_pages": 2, "pages": 2}),
     "research.page_one_substantial": ({"page_one_chars": 199}, {"page_one_chars": 200}),
