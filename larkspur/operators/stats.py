@@ -6,12 +6,12 @@ multiplies integers gives the same ones. Exact tests work on one row of counts p
 
 from __future__ import annotations
 
-from math import exp, lgamma, log, log1p
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def draw(seed: int, b: Column, k: Column, n: Column) -> Column:
@@ -58,44 +58,46 @@ def mann_whitney(df: DataFrame, group: str, value: str, first: str) -> DataFrame
     )
 
 
-def fisher_exact(a: int, b: int, c: int, d: int) -> float:
-    """Two-sided p of a 2x2 table: all tables with the same margins that are no likelier."""
-    row, column, n = a + b, a + c, a + b + c + d
+def fisher_p(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Two-sided p of a 2x2 table of counts: all tables with the same margins that are no likelier.
 
-    def log_p(x: int) -> float:
-        choose = lambda m, k: lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1)
-        return choose(column, x) + choose(n - column, row - x) - choose(n, row)
+    Logarithms of the likelihoods follow from one table to the next; one fold finds the largest and that of the table seen, a
+    second one adds up. Nothing is stored for each table.
+    """
+    row, column, n = a + b, a + c, a + b + c + d
+    low, high = F.greatest(F.lit(0).cast("long"), row + column - n), F.least(row, column)
+    every = F.sequence(low.cast("long"), high.cast("long"))
+    ratio = lambda x: F.ln(((row - x + 1) * (column - x + 1)).cast("double")) - F.ln((x * (n - row - column + x)).cast("double"))
+    step = lambda log, x: F.when(x == low, F.lit(0.0)).otherwise(log + ratio(x))
 
-    seen = log_p(a)
-    every = (log_p(x) for x in range(max(0, row + column - n), min(row, column) + 1))
-    return min(1.0, sum(exp(p) for p in every if p <= seen + 1e-7))
+    def most(acc: Column, x: Column) -> Column:
+        log = step(acc["log"], x)
+        return F.struct(log.alias("log"), F.greatest(acc["best"], log).alias("best"), F.when(x == a, log).otherwise(acc["seen"]).alias("seen"))
 
+    first = F.aggregate(every, F.struct(F.lit(0.0).alias("log"), F.lit(float("-inf")).alias("best"), F.lit(0.0).alias("seen")), most)
 
-@F.pandas_udf(DoubleType())
-def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([fisher_exact(*map(int, row)) for row in zip(a, b, c, d)], dtype="float64")
+    def total(top: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            log = step(acc["log"], x)
+            share = F.exp(log - top["best"])
+            return F.struct(log.alias("log"), (acc["all"] + share).alias("all"), (acc["tail"] + F.when(log <= top["seen"] + 1e-7, share).otherwise(0.0)).alias("tail"))
 
+        sums = F.aggregate(every, F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("all"), F.lit(0.0).alias("tail")), add)
+        return F.least(F.lit(1.0), sums["tail"] / sums["all"])
 
-def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(at least k successes in n trials), summed from k away from the middle until terms no longer count."""
-    if k <= 0 or k > n or not 0 < p < 1:
-        return float(k <= 0 or (k <= n and p >= 1))
+    return F.transform(F.array(first), total)[0]
 
-    def side(i: int, step: int) -> float:
-        term = exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p))
-        total = 0.0
-        while 0 <= i <= n and term > total * 1e-17:
-            total += term
-            term *= (n - i) / (i + 1) * p / (1 - p) if step > 0 else i / (n - i + 1) * (1 - p) / p
-            i += step
-        return total
 
-    return min(1.0, side(k, 1)) if k > n * p else max(0.0, 1 - side(k - 1, -1))
+def binomial_p(k: Column, n: Column, p: Column) -> Column:
+    """P(at least k successes in n trials), folded over all outcomes."""
+    odds, none = F.ln(p) - F.log1p(-p), n * F.log1p(-p)
 
+    def add(acc: Column, i: Column) -> Column:
+        log = F.when(i == 0, none).otherwise(acc["log"] + F.ln((n - i + 1) / i.cast("double")) + odds)
+        return F.struct(log.alias("log"), (acc["tail"] + F.when(i >= k, F.exp(log)).otherwise(0.0)).alias("tail"))
 
-@F.pandas_udf(DoubleType())
-def binomial_p(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
-    return pd.Series([binomial_tail(int(a), int(b), float(c)) for a, b, c in zip(k, n, p)], dtype="float64")
+    sums = F.aggregate(F.sequence(F.lit(0).cast("long"), n.cast("long")), F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("tail")), add)
+    return F.when((k <= 0) | ((p >= 1) & (k <= n)), F.lit(1.0)).when((k > n) | (p <= 0), F.lit(0.0)).otherwise(F.least(F.lit(1.0), sums["tail"]))
 
 
 def effect(mask: Column, value: Column, least: int = 3) -> Column:
@@ -283,6 +285,57 @@ def shifted_medians(base: DataFrame, keys: list[str], side: str, value: str, dra
     return at.groupBy(*keys, side, "b").agg(F.when(F.count(value) >= least, F.median(value)).alias("m"))
 
 
+def detection_power(base: DataFrame, sizes: DataFrame, keys: list[str], value: str, draws: int = 400, shifts: int = 60, step: float = 0.01, level: float = 0.10, power: float = 0.8, seed: int = 1) -> DataFrame:
+    """``keys, n, shift, power``: the smallest of ``shifts`` steps that a Mann-Whitney test of n drawn values against all would find at
+    ``level`` in ``power`` of the draws; both null if there is none.
+
+    ``base`` has ``pos`` (from 0 in each key) and no null values, ``sizes`` the number n for each key. The base is ranked once: how many
+    values are below and how many tie is looked up for all draws and one shift at a time, by bisection in the sorted values, and the search
+    ends at the first shift that is found often enough. A task holds the values of one key. Average ranks, tie-corrected, with continuity.
+    """
+    kinds = dict(base.dtypes)
+    bound = 0.0
+    for _ in range(60):  # the z from which the tail's approximation is below half the level
+        bound += 2.0 ** -(_ + 1) * 8 * (2 * _tail(bound + 2.0 ** -(_ + 1) * 8) >= level)
+
+    def find(frames: Iterator[pd.DataFrame] | pd.DataFrame) -> pd.DataFrame:
+        first = frames.iloc[0]
+        n = int(first["n"])
+        values = frames.sort_values("pos")[value].to_numpy()
+        row = {k: first[k] for k in keys} | {"n": n, "shift": None, "power": None}
+        if n < 1 or len(values) < 2:
+            return pd.DataFrame([row])
+        b, k = np.arange(draws, dtype=np.int64)[:, None], np.arange(n, dtype=np.int64)[None, :]
+        drawn = values[(b * 1103 + k * 12289 + seed * 7919 + 12345) * 69069 % 2147483647 * 16807 % 2147483647 % len(values)]
+        ordered = np.sort(values)
+        t = np.unique(ordered, return_counts=True)[1].astype(float)
+        ties = (t**3 - t).sum()
+        for s in range(shifts):
+            x = drawn + s * step
+            below, upto = np.searchsorted(ordered, x, "left"), np.searchsorted(ordered, x, "right")
+            same = (upto - below).astype(float)
+            u = (below + same / 2).sum(1)
+            # each distinct drawn value once: by how much it raises the ties of the base
+            own = (x[:, :, None] == x[:, None, :]).sum(2)
+            more = ((((same + own) ** 3 - (same + own)) - (same**3 - same)) / own).sum(1)
+            size = n + len(values)
+            sd = np.sqrt(n * len(values) / 12 * (size + 1 - (ties + more) / (size * (size - 1.0))))
+            share = float(((np.abs(u - n * len(values) / 2) - 0.5) / np.where(sd > 0, sd, np.inf) > bound).mean())
+            if share >= power:
+                return pd.DataFrame([row | {"shift": round(s * step, 6), "power": share}])
+        return pd.DataFrame([row])
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", n long, shift double, power double"
+    return base.select(*keys, "pos", value).join(sizes.select(*keys, "n"), keys).groupBy(*keys).applyInPandas(find, schema)
+
+
+def _tail(z: float) -> float:
+    """The approximation of ``normal_tail`` for one number."""
+    t = 1 / (1 + TAIL_SCALE * abs(z))
+    upper = np.exp(-z * z / 2) / np.sqrt(2 * np.pi) * sum(c * t ** (i + 1) for i, c in enumerate(TAIL))
+    return float(upper if z >= 0 else 1 - upper)
+
+
 def shift_p(every: DataFrame, keys: list[str], stat: str) -> DataFrame:
     """``keys, stat, p``: of statistics by draw, the one without a shift (-1) and the share of the others that are as large (two-sided)."""
     own = every.where("b < 0").select(*keys, F.col(stat).alias("own"))

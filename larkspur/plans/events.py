@@ -335,9 +335,23 @@ def _(spark, d):
     return T.mann_whitney(x.withColumn("v", F.round("value", 2)), "event_type", "v", "purchase")
 
 
-@query("fisher_exact", None)
+def _fisher_log(x):
+    choose = lambda m, k: f"lgamma({m} + 1) - lgamma({k} + 1) - lgamma({m} - ({k}) + 1)"
+    return f"{choose('k', x)} + {choose('(n - k)', f'(r - {x})')} - ({choose('n', 'r')})"
+
+
+FISHER = f"""mg AS (SELECT *, a + b AS r, a + c AS k, a + b + c + d AS n FROM tb), tx AS (SELECT *, unnest(range(greatest(0, r + k - n), least(r, k) + 1)) AS i FROM mg),
+lg AS (SELECT *, {_fisher_log('i')} AS li, {_fisher_log('a')} AS la FROM tx)"""
+
+
+@query(
+    "fisher_exact",
+    f"""WITH tb AS (SELECT user_id, count(*) FILTER (WHERE hour(ts) < 12 AND event_type = 'purchase') AS a, count(*) FILTER (WHERE hour(ts) < 12 AND event_type <> 'purchase') AS b,
+count(*) FILTER (WHERE hour(ts) >= 12 AND event_type = 'purchase') AS c, count(*) FILTER (WHERE hour(ts) >= 12 AND event_type <> 'purchase') AS d FROM events GROUP BY 1), {FISHER}
+SELECT user_id, a, b, c, d, round(least(1, sum(exp(li)) FILTER (WHERE li <= la + 1e-7)), 9) AS p FROM lg GROUP BY ALL""",
+)
 def _(spark, d):
-    """Purchases of heavy against light hours, by event type pair; tested against exact sums."""
+    """Purchases of the first against the second half of the day, for each user."""
     e = table(spark, d, "events")
     day = F.hour("ts") < 12
     counts = e.groupBy("user_id").agg(
@@ -346,7 +360,7 @@ def _(spark, d):
         F.count_if(~day & (F.col("event_type") == "purchase")).alias("c"),
         F.count_if(~day & (F.col("event_type") != "purchase")).alias("d"),
     )
-    return counts.withColumn("p", F.round(T.fisher_p("a", "b", "c", "d"), 9))
+    return counts.withColumn("p", F.round(T.fisher_p(*map(F.col, "abcd")), 9))
 
 
 _COIN = "lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.2::DOUBLE) + (n - i) * ln(0.8::DOUBLE)"
@@ -361,7 +375,7 @@ SELECT user_id, k, n, round(p, 9) AS p, round(1 - pow(1 - p, 12), 9) AS family F
 def _(spark, d):
     """At least as many purchases among a user's events if each were one with probability 0.2; ``family``: in any of 12 such tests."""
     c = table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("k"), F.count("*").alias("n"))
-    c = c.withColumn("p", T.binomial_p("k", "n", F.lit(0.2)))
+    c = c.withColumn("p", T.binomial_p(F.col("k"), F.col("n"), F.lit(0.2)))
     return c.withColumn("family", F.round(1 - F.pow(1 - F.col("p"), F.lit(12)), 9)).withColumn("p", F.round("p", 9))
 
 

@@ -173,11 +173,14 @@ def _(spark, d):
 # gates
 
 
-def _net(spark, d):
-    """Adds ``net``, the timed return after cost, and ``ma``, that of holding while the day before closed above its 20-row average."""
+def _net(spark, d, start=0.75):
+    """Adds ``net``, the timed return after cost, and ``ma``, that of holding while the day before closed above its 20-row average.
+
+    ``start`` is the weight held on the first day.
+    """
     w = S.by_date()
     t = _timed(spark, d)
-    held = F.coalesce(F.lag("w").over(w), F.lit(0.75))
+    held = F.coalesce(F.lag("w").over(w), F.lit(start))
     above = F.coalesce((F.col("v") > S.gated(F.avg("v"), 20)).cast("double"), F.lit(0.0))
     t = t.withColumn("held", held).withColumn("above", above)
     turned = F.abs(F.col("held") - F.coalesce(F.lag("held").over(w), F.col("held")))
@@ -187,11 +190,15 @@ def _net(spark, d):
     return t.withColumn("net", F.col("held") * F.col("x") - F.col("turned") * 0.0005).withColumn("ma", F.col("kept") * F.col("x") - switched * 0.0005)
 
 
-_NET = f"""n1 AS (SELECT *, coalesce(lag(w) OVER ({W}), 0.75) AS held, CASE WHEN count(v) OVER ({W} ROWS 19 PRECEDING) = 20 AND v > avg(v) OVER ({W} ROWS 19 PRECEDING) THEN 1.0::DOUBLE ELSE 0 END AS above FROM timed),
+def _net_sql(start=0.75):
+    return f"""n1 AS (SELECT *, coalesce(lag(w) OVER ({W}), {start}) AS held, CASE WHEN count(v) OVER ({W} ROWS 19 PRECEDING) = 20 AND v > avg(v) OVER ({W} ROWS 19 PRECEDING) THEN 1.0::DOUBLE ELSE 0 END AS above FROM timed),
 n2 AS (SELECT *, abs(held - coalesce(lag(held) OVER ({W}), held)) AS turned, coalesce(lag(above) OVER ({W}), 0) AS kept FROM n1),
 net AS (SELECT *, held * x - turned * 0.0005 AS net, kept * x - abs(kept - coalesce(lag(kept) OVER ({W}), kept)) * 0.0005 AS ma FROM n2)"""
 
 
+_NET = _net_sql()
+
+
 def _fall_sql(x, part):
     w = f"PARTITION BY {part} ORDER BY d ROWS UNBOUNDED PRECEDING"
     return f"SELECT {part}, min(c / hi - 1) AS mdd FROM (SELECT *, max(c) OVER ({w}) AS hi FROM (SELECT {part}, d, product(1 + {x}) OVER ({w}) AS c FROM halves)) GROUP BY {part}"
@@ -346,7 +353,7 @@ ds AS (SELECT series_id, count(*) AS parts, count(*) FILTER (WHERE round((f1 - f
 
 @query(
     "market_record",
-    f"""WITH RECURSIVE {RANKED}, {_EPISODES}, {_ANALOGS}, {_TIMED}, {_NET}, {_FIFTHS},
+    f"""WITH RECURSIVE {RANKED}, {_EPISODES}, {_ANALOGS}, {_TIMED}, {_net_sql(1.0)}, {_FIFTHS},
 la AS (SELECT series_id, max(d) AS last_d, arg_max(round(rank, 4), d) AS rank, arg_max(round(dd, 6), d) AS dd60, count(*) FILTER (WHERE rank IS NULL) AS warmup FROM al GROUP BY 1),
 na AS (SELECT series_id, count(*) AS n, round(median(mae), 6) AS mae_median FROM an GROUP BY 1)
 SELECT series_id, last_d, rank, dd60, warmup, greatest(date_diff('day', last_d, DATE '2001-10-15'), 0) AS stale_days, coalesce(n, 0) AS n, mae_median, coalesce(parts, 0) AS parts, coalesce(derisked, 0) AS derisked
@@ -359,7 +366,7 @@ def _(spark, d):
     la = r.groupBy("series_id").agg(F.max("d").alias("last_d"), latest("rank", 4).alias("rank"), latest("dd", 6).alias("dd60"), F.count_if(F.col("rank").isNull()).alias("warmup"))
     na = _analogs(spark, d).groupBy("series_id").agg(F.count("*").alias("n"), F.round(F.median("mae"), 6).alias("mae_median"))
     fifth = F.floor(F.col("pos") / F.greatest(F.floor(F.col("n") / 5), F.lit(1)))
-    fifths = _net(spark, d).withColumn("later", fifth).where("later < 5 AND pos < n - 1")
+    fifths = _net(spark, d, 1.0).withColumn("later", fifth).where("later < 5 AND pos < n - 1")
     sizes = fifths.groupBy("series_id", "later").agg(F.count("*").alias("size")).where("size >= 20")
     falls = sizes.join(_falls(fifths, "net", "f1"), ["series_id", "later"]).join(_falls(fifths, "x", "f2"), ["series_id", "later"])
     ds = falls.groupBy("series_id").agg(F.count("*").alias("parts"), F.count_if(F.round((F.col("f1") - F.col("f2")) * 100, 6) > 0.5).alias("derisked"))

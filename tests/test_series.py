@@ -100,11 +100,6 @@ def test_splice_meets_the_history(spark):
     assert out == [10, 20, 30]
 
 
-def test_exact_tests():
-    assert abs(T.fisher_exact(1, 9, 11, 3) - 0.002759456) < 1e-8
-    assert abs(T.binomial_tail(8, 10, 0.5) - 0.0546875) < 1e-12
-
-
 def test_mann_whitney(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 2.0), ("b", 3.0), ("b", 4.0)], "g string, v double")
     r = T.mann_whitney(df, "g", "v", "a").first()
