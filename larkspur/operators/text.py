@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.scalars import SPACE, TURN, words
+from larkspur.functions.scalars import SPACE, TURN, stamp_seconds, words
 
 
 def _once(value: Column, keep: Callable[[Column], Column], f: Callable[[Column], Column]) -> Column:
@@ -127,3 +127,37 @@ def speaker_runs(turns: DataFrame, key: str, order: str, speaker: str, size: Col
     return runs.groupBy(key, "run", F.col(speaker).alias("speaker")).agg(
         F.min(order).alias("start"), F.count("*").alias("turns"), F.sum(size).alias("size")
     ).drop("run")
+
+
+def stamped_lines(docs: DataFrame, key: str, text: str, drop: int) -> DataFrame:
+    """``key, line_no, first, tokens, stamp, segment``: where the tokens of each line start, its time stamp carried forward from the last
+    stamped line, and the number of its segment; a stamp more than ``drop`` seconds below the one before starts a segment."""
+    found = F.transform(lines(text), lambda x, n: F.struct(n.alias("line_no"), F.size(words(x)).alias("tokens"), stamp_seconds(x).alias("own")))
+    rows = docs.select(key, F.inline(found))
+    w = Window.partitionBy(key).orderBy("line_no")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last("own", ignorenulls=True)
+    reset = F.coalesce(last.over(before) - F.col("own") > drop, F.lit(False)).cast("int")
+    rows = rows.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0))).withColumn("stamp", last.over(w)).withColumn("reset", reset)
+    return rows.withColumn("segment", 1 + F.sum("reset").over(w)).select(key, "line_no", "first", "tokens", "stamp", "segment")
+
+
+def duplicate_map(docs: DataFrame, repeats: DataFrame, key: str, text: str, drop: int = 60, shown: int = 14) -> DataFrame:
+    """Repeated blocks (``key, first, second, tokens``) with the segments and times of both places and the first ``shown`` tokens.
+
+    Only texts with blocks are read again. A block meets the lines of its text by bisection in their sorted starts, inside the row.
+    """
+    texts = docs.join(repeats.select(key).distinct(), key, "left_semi")
+    spoken = stamped_lines(texts, key, text, drop).where("tokens > 0")
+    at = spoken.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "stamp", "segment"))).alias("lines"), F.sum("tokens").alias("total"))
+    shows = texts.select(key, token_array(text).alias("all"))
+
+    def line(pos: Column) -> Column:
+        """The last line that starts at or before a token."""
+        step = lambda i, width: F.when(F.try_element_at(F.col("lines"), i + width)["first"] <= pos, i + width).otherwise(i)
+        return F.element_at("lines", F.aggregate(F.array(*(F.lit(1 << b) for b in reversed(range(24)))), F.lit(0), step))
+
+    end = lambda c: F.least(F.col(c) + F.col("tokens"), F.col("total")) - 1
+    places = {"first_seg": (F.col("first"), "segment"), "first_from": (F.col("first"), "stamp"), "first_to": (end("first"), "stamp"), "dup_seg": (F.col("second"), "segment"), "dup_from": (F.col("second"), "stamp"), "dup_to": (end("second"), "stamp")}
+    snippet = F.array_join(F.slice("all", F.col("first").cast("int") + 1, shown), " ")
+    return repeats.join(at, key).join(shows, key).select(key, "first", "second", "tokens", *(line(p)[f].alias(c) for c, (p, f) in places.items()), snippet.alias("snippet"))

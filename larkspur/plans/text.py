@@ -372,3 +372,34 @@ CASE event_id % 4 WHEN 0 THEN 'tokens' WHEN 1 THEN 'at most 5 per Day' ELSE coal
 def _(spark, d):
     e = table(spark, d, "events")
     return e.select("event_id", C.quota_error(F.expr(_QUOTA)).alias("q")).select("event_id", "q.*")
+
+
+_STAMPED = """said AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations),
+tw AS (SELECT conv_id, i, 0 AS half, text FROM said UNION ALL SELECT conv_id, i, 1, text FROM said),
+documents AS (SELECT conv_id AS doc_id, string_agg(CASE WHEN i % 3 = 2 THEN '' ELSE printf('[%02d:%02d] ', (i * 45 + half * 10) // 60, (i * 45 + half * 10) % 60) END || replace(replace(coalesce(text, ''), chr(10), ' '), chr(13), ' '), chr(10) ORDER BY half, i) AS text FROM tw GROUP BY 1)"""
+
+
+def _stamped(spark, d):
+    """Conversations told twice, two of three turns stamped; the second telling starts again near zero."""
+    c = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    flat = lambda x: F.translate(F.coalesce(x, F.lit("")), "\n\r", "  ")
+    stamp = lambda i, half: F.when(i % 3 == 2, "").otherwise(F.format_string("[%02d:%02d] ", F.floor((i * 45 + half * 10) / 60), (i * 45 + half * 10) % 60))
+    told = lambda half: F.transform("t", lambda x, i: F.concat(stamp(i, half), flat(x["text"])))
+    return c.select("doc_id", F.array_join(F.concat(told(0), told(1)), "\n").alias("text"))
+
+
+@query(
+    "duplicate_map",
+    f"""WITH {_STAMPED}, {_BLOCKS}, sl AS (SELECT doc_id, line_no - 1 AS line_no, len(t) AS n, CASE WHEN regexp_matches(line, '^\\[\\d{{1,2}}[:.]\\d{{2}}\\]') THEN CAST(regexp_extract(line, '^\\[(\\d+)[:.](\\d+)', 1) AS INT) * 60 + CAST(regexp_extract(line, '^\\[(\\d+)[:.](\\d+)', 2) AS INT) END AS own, b.before FROM b JOIN (SELECT doc_id, line_no AS k, line FROM l) j USING (doc_id) WHERE k = line_no),
+st AS (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS stamp, 1 + sum(CASE WHEN pre - own > 60 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS seg
+FROM (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pre FROM sl)),
+tk AS (SELECT t.doc_id, CAST(t.pos AS BIGINT) AS pos, token, stamp, CAST(seg AS BIGINT) AS seg FROM tokens t JOIN st USING (doc_id, line_no)),
+big AS (SELECT doc_id, CAST(first AS BIGINT) AS first, CAST(second AS BIGINT) AS second, tokens FROM blocks WHERE tokens >= 12)
+SELECT g.doc_id, g.first, g.second, g.tokens, a.seg AS first_seg, a.stamp AS first_from, b1.stamp AS first_to, c.seg AS dup_seg, c.stamp AS dup_from, e.stamp AS dup_to,
+(SELECT string_agg(token, ' ' ORDER BY pos) FROM tk x WHERE x.doc_id = g.doc_id AND x.pos BETWEEN g.first AND g.first + 13) AS snippet
+FROM big g JOIN tk a ON a.doc_id = g.doc_id AND a.pos = g.first JOIN tk b1 ON b1.doc_id = g.doc_id AND b1.pos = g.first + g.tokens - 1 JOIN tk c ON c.doc_id = g.doc_id AND c.pos = g.second JOIN tk e ON e.doc_id = g.doc_id AND e.pos = g.second + g.tokens - 1""",
+)
+def _(spark, d):
+    """Repeated blocks of stamped transcripts, from when to when in which segment both stand."""
+    docs = _stamped(spark, d)
+    return X.duplicate_map(docs, X.block_repeats(docs, "doc_id", "text", 8).where("tokens >= 12"), "doc_id", "text")
