@@ -62,6 +62,24 @@ def stamp_seconds(line: Column) -> Column:
     return F.when(part(3).isNotNull(), part(1) * 3600 + part(2) * 60 + part(3)).otherwise(part(1) * 60 + part(2))
 
 
+#: Fixed value: a stamp with up to three digits of minutes at the start of a line.
+LONG_STAMP = r"^(\s*)\[(\d{1,3}):(\d{2})(?::(\d{2}))?\]"
+
+
+def offset_stamps(text: Column, offset: Column, near: int = 180) -> Column:
+    """The stamps of a part of a recording as times of the whole: ``offset`` seconds later, in ``mm:ss`` or ``h:mm:ss``.
+
+    If the first stamp is within ``near`` seconds of the offset, the part was stamped in times of the whole already and nothing is added.
+    """
+    part = lambda line, i: F.regexp_extract(line, LONG_STAMP, i).try_cast("int")
+    secs = lambda line: F.when(part(line, 4).isNotNull(), part(line, 2) * 3600 + part(line, 3) * 60 + part(line, 4)).otherwise(part(line, 2) * 60 + part(line, 3))
+    every = F.split(text, "\n")
+    first = F.get(F.filter(F.transform(every, secs), lambda s: s.isNotNull()), F.lit(0))
+    shift = F.when((offset > 0) & ~F.coalesce(F.abs(first - offset) <= near, F.lit(False)), offset).otherwise(0)
+    moved = lambda line: F.concat(F.regexp_extract(line, LONG_STAMP, 1), F.lit("["), clock(secs(line) + shift), F.lit("]"), F.regexp_replace(line, LONG_STAMP, ""))
+    return F.array_join(F.transform(every, lambda line: F.when(line.rlike(LONG_STAMP), moved(line)).otherwise(line)), "\n")
+
+
 def round_binary(value: Column, digits: int) -> Column:
     """``value`` rounded half to even by its exact binary value: 2.675 is a little less than it looks and gives 2.67.
 

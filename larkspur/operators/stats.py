@@ -137,40 +137,78 @@ def bootstrap_effect(base: DataFrame, key: str, flag: str, value: str, block: in
     All three are null for fewer than three blocks of rows or three flagged ones, the limits if half of the draws have no
     effect. ``base`` has ``pos`` (from 0 in each key) and no null values.
     """
-    own = base.groupBy(key).agg(F.count("*").alias("n"), effect(F.col(flag), F.col(value)).alias("point"))
-    own = own.withColumn("point", F.when(F.col("n") >= 3 * block, F.col("point")))
-    drawn = _block_positions(own.where("point IS NOT NULL").select(key, "n"), key, draws, block, seed).join(base, [key, "pos"])
-    effects = drawn.groupBy(key, "b").agg(effect(F.col(flag), F.col(value)).alias("e"))
-    limits = effects.groupBy(key).agg(F.count("e").alias("k"), F.percentile("e", F.array(F.lit(0.05), F.lit(0.95))).alias("q"))
-    held = F.when(F.col("k") >= draws * 0.5, F.col("q"))
-    return own.join(limits, key, "left").select(
-        key, F.round("point", 6).alias("point"), F.round(held[0], 6).alias("low"), F.round(held[1], 6).alias("high")
-    )
+    every = resampled_effects(base.withColumn("__block", F.lit(block)), [key], [flag], value, "__block", draws, seed)
+    return every.select(key, "point", "low", "high")
+
+
+#: Draws that a task makes at once of one key.
+CHUNK = 100
+
+
+def drawn_places(seed: int, b: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
+    """What ``draw`` gives, for arrays of draws and places."""
+    return (b * 1103 + k * 12289 + seed * 7919 + 12345) * 69069 % 2147483647 * 16807 % 2147483647 % n
+
+
+def resampled_effects(base: DataFrame, keys: list[str], flags: list[str], value: str, block: str, draws: int = 800, seed: int = 0) -> DataFrame:
+    """``keys, side, point, low, high`` for each of the boolean ``flags`` columns: the effect of the flag and the 5 and 95 percentiles of its circular
+    block resamples, with one set of draws for all flags of a key.
+
+    All three are null for fewer than three blocks of rows or three flagged ones, the limits if half of the draws have no effect. ``base`` has
+    ``pos`` (from 0 in each key), the length of a ``block`` and no null values. A task has the values of one key and makes ``CHUNK`` of its draws.
+    """
+    every = F.col(value)
+    own = base.groupBy(*keys).agg(F.count("*").alias("n"), F.any_value(block).alias("block"), *(effect(F.col(f), every).alias(f) for f in flags))
+    own = own.withColumns({f: F.when(F.col("n") >= 3 * F.col("block"), F.col(f)) for f in flags})
+    kinds = dict(base.dtypes)
+
+    def resample(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("pos")
+        values, size = part[value].to_numpy(), int(part[block].iloc[0])
+        n = len(values)
+        b = np.arange(CHUNK, dtype=np.int64) + int(part["chunk"].iloc[0]) * CHUNK
+        b = b[b < draws]
+        starts = drawn_places(seed, b[:, None], np.arange(-(-n // size), dtype=np.int64)[None, :], n)
+        places = ((starts[:, :, None] + np.arange(size)) % n).reshape(len(b), -1)[:, :n]
+        got, overall = values[places], np.median(values[places], axis=1)
+        out = {k: [part[k].iloc[0]] * len(b) for k in keys} | {"b": b}
+        for f in flags:
+            on = part[f].to_numpy(bool)[places]
+            out[f] = [float(np.median(v[o]) - m) if o.sum() >= 3 else None for v, o, m in zip(got, on, overall)]
+        return pd.DataFrame(out)
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "b long", *(f"{f} double" for f in flags)])
+    chunks = F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // CHUNK)))
+    drawn = base.select(*keys, "pos", value, block, *flags).withColumn("chunk", chunks).groupBy(*keys, "chunk").applyInPandas(resample, schema)
+    q = F.array(F.lit(0.05), F.lit(0.95))
+    limits = drawn.groupBy(*keys).agg(*(F.struct(F.count(f).alias("k"), F.percentile(f, q).alias("q")).alias(f"{f}_limits") for f in flags))
+    held = lambda f, i: F.round(F.when(F.col(f).isNotNull() & (F.col(f"{f}_limits.k") >= draws * 0.5), F.col(f"{f}_limits.q")[i]), 6)
+    sides = F.array(*(F.struct(F.lit(f).alias("side"), F.round(f, 6).alias("point"), held(f, 0).alias("low"), held(f, 1).alias("high")) for f in flags))
+    return own.join(limits, keys, "left").select(*keys, F.inline(sides))
 
 
 def min_detectable(base: DataFrame, events: DataFrame, key: str, value: str, draws: int = 4000, shifts: int = 160, step: float = 0.005, power: float = 0.8, seed: int = 1) -> DataFrame:
     """``key, n_events, crit, shift``: the smallest of ``shifts`` steps by which medians of ``n_events`` draws pass their 95 percentile
     in ``power`` of the draws; null if none does, for fewer than 50 values or three events.
 
-    ``base`` has ``pos`` (from 0 in each key) and no null values; ``events`` has ``key, n_events``.
+    ``base`` has ``pos`` (from 0 in each key) and no null values; ``events`` has ``key, n_events``. A task has the values of one key.
     """
-    sizes = base.groupBy(key).agg(F.count("*").alias("n")).join(events, key, "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
-    drawn = (
-        sizes.where("n >= 50 AND n_events >= 3")
-        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-        .repartition(key, "b")
-        .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_events") - 1)))
-        .select(key, "b", draw(seed, F.col("b").cast("long"), F.col("k"), F.col("n")).alias("pos"))
-        .hint("merge")
-    )
-    m = drawn.join(base, [key, "pos"]).groupBy(key, "b").agg(F.median(value).alias("m"))
-    crit = m.groupBy(key).agg(F.percentile("m", F.lit(0.95)).alias("crit"))
-    grid = m.join(crit, key).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))))
-    over = grid.groupBy(key, "crit", "s").agg(F.avg((F.col("m") + F.col("s") * F.lit(step) > F.col("crit")).cast("double")).alias("p"))
-    least = over.groupBy(key, "crit").agg(F.min(F.when(F.col("p") >= power, F.col("s"))).alias("s"))
-    return sizes.join(least, key, "left").select(
-        key, "n_events", F.round("crit", 6).alias("crit"), F.round(F.col("s") * F.lit(step), 3).alias("shift")
-    )
+    kinds = dict(base.dtypes)
+
+    def search(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("pos")
+        values, n = part[value].to_numpy(), int(part["n_events"].iloc[0])
+        row = {key: part[key].iloc[0], "n_events": n, "crit": None, "shift": None}
+        if len(values) >= 50 and n >= 3:
+            places = drawn_places(seed, np.arange(draws, dtype=np.int64)[:, None], np.arange(n, dtype=np.int64)[None, :], len(values))
+            m = np.sort(np.median(values[places], axis=1))
+            crit = float(np.percentile(m, 95))
+            enough = [s for s in range(shifts) if (m + s * step > crit).mean() >= power]
+            row |= {"crit": round(crit, 6), "shift": round(enough[0] * step, 3) if enough else None}
+        return pd.DataFrame([row])
+
+    sized = base.select(key, "pos", value).join(events.select(key, "n_events"), key, "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
+    return sized.groupBy(key).applyInPandas(search, f"{key} {kinds[key]}, n_events long, crit double, shift double")
 
 
 def circular_shift_p(base: DataFrame, key: str, flag: str, value: str) -> DataFrame:
@@ -306,7 +344,7 @@ def detection_power(base: DataFrame, sizes: DataFrame, keys: list[str], value: s
         if n < 1 or len(values) < 2:
             return pd.DataFrame([row])
         b, k = np.arange(draws, dtype=np.int64)[:, None], np.arange(n, dtype=np.int64)[None, :]
-        drawn = values[(b * 1103 + k * 12289 + seed * 7919 + 12345) * 69069 % 2147483647 * 16807 % 2147483647 % len(values)]
+        drawn = values[drawn_places(seed, b, k, len(values))]
         ordered = np.sort(values)
         t = np.unique(ordered, return_counts=True)[1].astype(float)
         ties = (t**3 - t).sum()

@@ -161,3 +161,52 @@ def duplicate_map(docs: DataFrame, repeats: DataFrame, key: str, text: str, drop
     places = {"first_seg": (F.col("first"), "segment"), "first_from": (F.col("first"), "stamp"), "first_to": (end("first"), "stamp"), "dup_seg": (F.col("second"), "segment"), "dup_from": (F.col("second"), "stamp"), "dup_to": (end("second"), "stamp")}
     snippet = F.array_join(F.slice("all", F.col("first").cast("int") + 1, shown), " ")
     return repeats.join(at, key).join(shows, key).select(key, "first", "second", "tokens", *(line(p)[f].alias(c) for c, (p, f) in places.items()), snippet.alias("snippet"))
+
+
+#: A line of a turn, the names that stand for no person, and what a name of a person does not look like.
+TURN_LINE = r"^\[(?:(\d{1,2}):)?(\d{1,2}):(\d{2})\]\s*([^:：]{1,48})[:：]"
+GENERIC = r"(?i)(speaker|announcer|unknown|host|guest)"
+MALFORMED = r"^(?:\S+\s+){4,}\S|^[^\p{L}\p{N}_]|\[|\d"
+
+
+def label_checks(docs: DataFrame, key: str, text: str, hosts: str, alone: int = 900) -> DataFrame:
+    """What is suspicious about the speaker labels of a stamped transcript: ``key, turns, speakers, unlabelled, malformed, merged, mixed, longest, alone``.
+
+    ``unlabelled``: over a fifth of the stamped lines have no label. ``malformed``: names of persons that look like speech. ``merged``: one speaker
+    although there are several hosts (the number in ``hosts``). ``mixed``: names and at least 40 % stand-ins. ``longest``: seconds of the longest run
+    of one speaker until another answers (one more at the end); ``alone``: that is ``alone`` or more, with several speakers.
+    """
+    own = F.transform(F.split(text, LINE_END), lambda x: F.trim(x))
+    part = lambda x, i: F.regexp_extract(x, TURN_LINE, i)
+    at = lambda x: F.coalesce(part(x, 1).try_cast("int"), F.lit(0)) * 3600 + part(x, 2).cast("int") * 60 + part(x, 3).cast("int")
+    turn = lambda x: F.struct(at(x).alias("at"), F.trim(part(x, 4)).alias("name"))
+    d = docs.select(key, hosts, F.size(F.filter(own, lambda x: x.rlike(r"^\[\d"))).alias("stamped"), F.transform(F.filter(own, lambda x: x.rlike(TURN_LINE)), turn).alias("said"))
+    names = F.array_distinct(F.transform("said", lambda t: t["name"]))
+    d = d.withColumn("names", names).withColumn("real", F.filter("names", lambda n: ~n.rlike(GENERIC)))
+    first = F.struct(F.get("said", F.lit(0))["at"].alias("start"), F.get("said", F.lit(0))["name"].alias("name"), F.lit(0).alias("longest"))
+
+    def follow(acc: Column, t: Column) -> Column:
+        other = ~acc["name"].eqNullSafe(t["name"])
+        return F.struct(
+            F.when(other, t["at"]).otherwise(acc["start"]).alias("start"), F.when(other, t["name"]).otherwise(acc["name"]).alias("name"),
+            F.when(other, F.greatest(acc["longest"], t["at"] - acc["start"])).otherwise(acc["longest"]).alias("longest"),
+        )
+
+    end = F.struct((F.element_at("said", -1)["at"] + 1).alias("at"), F.lit(None).cast("string").alias("name"))
+    longest = F.aggregate(F.concat("said", F.array(end)), first, follow, lambda a: a["longest"])
+    n, generic = F.size("said"), F.size(F.filter("said", lambda t: t["name"].rlike(GENERIC)))
+    d = d.withColumn("longest", F.when(n > 0, longest).otherwise(0))
+    return d.select(
+        key, n.alias("turns"), F.size("names").alias("speakers"), ((n == 0) | (n < 0.8 * F.col("stamped"))).alias("unlabelled"), F.size(F.filter("real", lambda x: x.rlike(MALFORMED))).alias("malformed"),
+        ((F.size("names") == 1) & (F.col(hosts) > 1)).alias("merged"), ((generic > 0) & (F.size("real") > 0) & (generic >= 0.4 * n)).alias("mixed"), "longest",
+        ((F.col("longest") >= alone) & (F.size("names") > 1)).alias("alone"),
+    )
+
+
+def identified(docs: DataFrame, key: str, text: str, patterns: dict[str, str], least: int = 3, margin: int = 3) -> DataFrame:
+    """``key, best, hits, second, sure``: whose pattern a text meets most often (ties: the first name); sure from ``least`` hits on that are at least
+    ``margin`` times those of the next."""
+    counts = F.array_sort(F.array(*(F.struct((-F.regexp_count(text, F.lit(p))).alias("less"), F.lit(name).alias("name")) for name, p in patterns.items())))
+    d = docs.select(key, counts.alias("c"))
+    hits, second = -F.coalesce(F.col("c")[0]["less"], F.lit(0)), -F.coalesce(F.col("c")[1]["less"], F.lit(0))
+    return d.select(key, F.col("c")[0]["name"].alias("best"), hits.alias("hits"), second.alias("second"), ((hits >= least) & (hits >= second * margin)).alias("sure"))

@@ -170,6 +170,19 @@ def _(spark, d):
     )
 
 
+@query(
+    "newest_before",
+    """WITH days AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day, max(o_orderstatus) AS path FROM orders GROUP BY 1, 2)
+SELECT p, day, array_to_string(list(strftime(day, '%m%d') || path) OVER (PARTITION BY p ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), ',') AS before FROM days""",
+)
+def _(spark, d):
+    """For each day what the newest 14 days before it had, oldest first."""
+    days = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_orderstatus").alias("path"))
+    before = Window.partitionBy("p").orderBy("day").rowsBetween(-14, -1)
+    listed = F.array_join(F.collect_list(F.concat(F.date_format("day", "MMdd"), "path")).over(before), ",")
+    return days.select("p", "day", F.when(F.size(F.collect_list("path").over(before)) > 0, listed).alias("before"))
+
+
 @query("multi_key_sort", "SELECT event_id, ts, value, row_number() OVER (ORDER BY CAST(ts AS DATE) DESC, value DESC, event_id) AS place FROM events ORDER BY place LIMIT 14")
 def _(spark, d):
     e = table(spark, d, "events").orderBy(F.col("ts").cast("date").desc(), F.col("value").desc(), "event_id").limit(14)

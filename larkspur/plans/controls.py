@@ -180,3 +180,55 @@ def _(spark, d):
     every = reduce(lambda p, q: p.join(q, ["series_id", "d"]), [o.select("series_id", "d", change("num"), change("den")), *ranks])
     warned = F.coalesce((F.col("ratio_rank") <= 10) & (F.col("num_rank") >= 50), F.lit(False))
     return every.select("series_id", "d", "ratio_rank", "num_rank", "den_rank", "num_change", "den_change", warned.alias("warned"))
+
+
+# the gauntlet: every series, side and horizon in one table
+
+_SIDES = "(VALUES ('low'), ('high')) sd(side)"
+_GAUNTLET = f"""po AS (SELECT *, row_number() OVER ({W}) AS pos FROM ranked), fl AS (SELECT series_id, side, pos FROM po, {_SIDES} WHERE CASE side WHEN 'low' THEN rank <= 10 ELSE rank >= 90 END),
+fe AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY series_id, side ORDER BY pos) AS k FROM (SELECT *, coalesce(pos - lag(pos) OVER (PARTITION BY series_id, side ORDER BY pos) > 4, true) AS fresh FROM fl)),
+ep AS (SELECT series_id, side, min(pos) AS pos FROM fe GROUP BY series_id, side, k),
+chain AS (SELECT series_id, side, h, min(pos) AS pos FROM ep, (VALUES {', '.join(f'({h})' for h in HORIZONS)}) hs(h) GROUP BY 1, 2, 3 UNION ALL
+SELECT c.series_id, c.side, c.h, (SELECT min(e.pos) FROM ep e WHERE e.series_id = c.series_id AND e.side = c.side AND e.pos >= c.pos + c.h) AS pos FROM chain c WHERE c.pos IS NOT NULL),
+ev AS (SELECT series_id, side, h, count(*) AS n_events FROM chain WHERE pos IS NOT NULL GROUP BY 1, 2, 3),
+ah AS ({' UNION ALL '.join(f"SELECT series_id, {h} AS h, d, rank, lead(v, {h}) OVER ({W}) / v - 1 AS v FROM ranked" for h in HORIZONS)}),
+ba AS (SELECT series_id, h, v, coalesce(rank <= 10, false) AS low, coalesce(rank >= 90, false) AS high, row_number() OVER (PARTITION BY series_id, h ORDER BY d) - 1 AS pos FROM ah WHERE v IS NOT NULL), sz AS (SELECT series_id, h, count(*) AS n FROM ba GROUP BY 1, 2),
+xs AS (SELECT series_id, h, b, k, n, {T.DRAW_SQL.format(b='b', k='k', seed=0, n='n')} AS at_ FROM sz, range(800) t(b), LATERAL (SELECT unnest(range((n + h - 1) // h)) AS k)),
+xp AS (SELECT series_id, h, b, (at_ + i) % n AS pos FROM (SELECT *, unnest(range(h)) AS i FROM xs) WHERE k * h + i < n),
+xe AS (SELECT series_id, h, b, CASE WHEN count(*) FILTER (WHERE low) >= 3 THEN median(v) FILTER (WHERE low) - median(v) END AS low, CASE WHEN count(*) FILTER (WHERE high) >= 3 THEN median(v) FILTER (WHERE high) - median(v) END AS high FROM xp JOIN ba USING (series_id, h, pos) GROUP BY 1, 2, 3),
+xl AS (SELECT series_id, h, side, count(e) AS k, quantile_cont(e, 0.05) AS lo, quantile_cont(e, 0.95) AS hi FROM (SELECT series_id, h, 'low' AS side, low AS e FROM xe UNION ALL SELECT series_id, h, 'high', high FROM xe) GROUP BY 1, 2, 3),
+ow AS (SELECT series_id, h, side, CASE WHEN count(*) >= 3 * h AND count(*) FILTER (WHERE f) >= 3 THEN median(v) FILTER (WHERE f) - median(v) END AS point, count(*) AS n FROM (SELECT *, CASE side WHEN 'low' THEN low ELSE high END AS f FROM ba, {_SIDES}) GROUP BY 1, 2, 3),
+zs AS (SELECT ow.*, coalesce(n_events, 0) AS n_events FROM ow LEFT JOIN ev USING (series_id, side, h)),
+md AS (SELECT series_id, h, side, b, median(v) AS m FROM (SELECT series_id, h, side, b, {T.DRAW_SQL.format(b='b', k='k', seed=1, n='n')} AS pos FROM zs, range(4000) t(b), LATERAL (SELECT unnest(range(n_events)) AS k) WHERE n >= 50 AND n_events >= 3) JOIN ba USING (series_id, h, pos) GROUP BY 1, 2, 3, 4),
+cr AS (SELECT series_id, h, side, quantile_cont(m, 0.95) AS crit FROM md GROUP BY 1, 2, 3), gr AS (SELECT series_id, h, side, s, avg(CASE WHEN m + s * 0.005::DOUBLE > crit THEN 1.0::DOUBLE ELSE 0 END) AS p FROM md JOIN cr USING (series_id, h, side), range(160) t(s) GROUP BY 1, 2, 3, 4),
+mi AS (SELECT series_id, h, side, round(min(s) * 0.005::DOUBLE, 3) AS shift FROM gr WHERE p >= 0.8 GROUP BY 1, 2, 3),
+al AS (SELECT series_id, side, h, n_events, round(point, 6) AS point, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN lo END, 6) AS low, round(CASE WHEN point IS NOT NULL AND k >= 400 THEN hi END, 6) AS high, shift FROM zs JOIN xl USING (series_id, h, side) LEFT JOIN mi USING (series_id, h, side))"""
+
+
+@query(
+    "gauntlet",
+    f"""WITH RECURSIVE {RANKED}, {_GAUNTLET} SELECT *, CASE WHEN n_events < 8 THEN 'too few' WHEN point IS NULL OR low IS NULL THEN 'unknown' WHEN low > 0 AND point >= 0.03 THEN 'pass'
+WHEN shift IS NOT NULL AND abs(point) < shift AND low < 0 AND high > 0 THEN 'undetectable' WHEN high < 0 THEN 'reverse' ELSE 'fail' END AS verdict FROM al""",
+)
+def _(spark, d):
+    """Effect, resampled interval, smallest detectable effect and verdict of every series, side and horizon.
+
+    Ranks and returns are made once; the draws of a series and horizon serve both sides.
+    """
+    r = ranked(spark, d)
+    rank = F.col("rank")
+    base = _every_horizon(r).where("r IS NOT NULL").select(
+        "series_id", "h", F.col("r").alias("v"), F.coalesce(rank <= 10, F.lit(False)).alias("low"), F.coalesce(rank >= 90, F.lit(False)).alias("high"),
+        (F.row_number().over(Window.partitionBy("series_id", "h").orderBy("d")) - 1).cast("long").alias("pos"), F.col("h").alias("block"),
+    )
+    effects = T.resampled_effects(base, ["series_id", "h"], ["low", "high"], "v", "block")
+    sides = {"low": E.episodes(r, rank <= 10, 3), "high": E.episodes(r, rank >= 90, 3)}
+    spaced = [E.spaced(eps, "pos", h).select("series_id", F.lit(s).alias("side"), F.lit(h).alias("h")) for s, eps in sides.items() for h in HORIZONS]
+    events = reduce(lambda p, q: p.unionByName(q), spaced).groupBy("series_id", "side", "h").agg(F.count("*").alias("n_events"))
+    key = F.concat_ws("|", "series_id", "side", "h").alias("key")
+    names = base.select("series_id", "h").distinct().withColumn("side", F.explode(F.array(F.lit("low"), F.lit("high"))))
+    values = base.select("series_id", "h", "pos", "v").join(names, ["series_id", "h"]).select(key, "pos", "v")
+    seen = T.min_detectable(values, events.select(key, "n_events"), "key", "v").select("key", "n_events", "shift")
+    every = effects.withColumn("key", F.concat_ws("|", "series_id", "side", "h")).join(seen, "key").drop("key")
+    point, low, high, shift, n = (F.col(c) for c in ("point", "low", "high", "shift", "n_events"))
+    return every.select("series_id", "side", "h", "n_events", "point", "low", "high", "shift", T.verdict(point, low, high, shift, 0.03, n).alias("verdict"))

@@ -403,3 +403,63 @@ def _(spark, d):
     """Repeated blocks of stamped transcripts, from when to when in which segment both stand."""
     docs = _stamped(spark, d)
     return X.duplicate_map(docs, X.block_repeats(docs, "doc_id", "text", 8).where("tokens >= 12"), "doc_id", "text")
+
+
+_WORDS_OF = {"de": " (?:der|die|und) ", "en": " (?:the|and|of) ", "es": " (?:el|los|que) ", "fr": " (?:le|la|des) "}
+
+
+@query(
+    "identified_by_hits",
+    f"""WITH h AS (SELECT doc_id, n, name FROM (SELECT doc_id, unnest([{', '.join(f"{{'n': len(regexp_extract_all(text, '{p}')), 'name': '{k}'}}" for k, p in _WORDS_OF.items())}], recursive := true) FROM documents)),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, name) AS k FROM h), t AS (SELECT doc_id, any_value(name) FILTER (WHERE k = 1) AS best, CAST(max(n) AS INT) AS hits, CAST(max(n) FILTER (WHERE k = 2) AS INT) AS second FROM r GROUP BY 1)
+SELECT *, hits >= 3 AND hits >= 3 * second AS sure FROM t""",
+)
+def _(spark, d):
+    """Which language's small words stand in a text at least three times, and three times as often as those of the next."""
+    return X.identified(table(spark, d, "documents"), "doc_id", "text", _WORDS_OF)
+
+
+_PARTS = """pt AS (SELECT conv_id, turn, coalesce(text, '') AS text, role, CAST(conv_id % 7 * 600 AS INT) AS offset_, CASE WHEN conv_id % 3 = 0 THEN CAST(conv_id % 7 * 600 + conv_id % 500 - 250 AS INT) ELSE CAST(conv_id % 90 AS INT) END AS start FROM conversations),
+nt AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1 THEN true ELSE false END AS head, greatest(0, start) + 37 * turn AS at_ FROM pt)"""
+
+
+@query(
+    "offset_stamps",
+    f"""WITH {_PARTS}, f AS (SELECT conv_id, any_value(offset_) AS o, any_value(at_) FILTER (WHERE head) AS f0 FROM nt GROUP BY 1), s AS (SELECT nt.*, at_ + CASE WHEN o > 0 AND abs(f0 - o) > 180 THEN o ELSE 0 END AS s FROM nt JOIN f USING (conv_id))
+SELECT conv_id, sha256(string_agg('  [' || CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s // 60 % 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END || '] x', chr(10) ORDER BY turn, role, text)) AS sha FROM s GROUP BY 1""",
+)
+def _(spark, d):
+    """Parts of recordings, some of which were stamped in times of the whole already."""
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    k = F.col("conv_id")
+    start = F.greatest(F.lit(0), F.when(k % 3 == 0, k % 7 * 600 + k % 500 - 250).otherwise(k % 90))
+    at = lambda x: (start + 37 * x["turn"]).cast("int")
+    stamp = lambda x: F.format_string("  [%02d:%02d] x", F.floor(at(x) / 60), at(x) % 60)
+    text = F.array_join(F.transform("t", stamp), "\n")
+    return c.select("conv_id", F.sha2(C.offset_stamps(text, (k % 7 * 600).cast("int")), 256).alias("sha"))
+
+
+_NAMES = ["Ann Lee", "Speaker 1", "Bo", "*Bo", "And so we went on there"]
+
+
+@query(
+    "label_checks",
+    f"""WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations),
+n AS (SELECT conv_id, i, i * (100 + conv_id % 900) AS at_, CASE WHEN conv_id % 6 = 5 AND i % 2 = 1 THEN NULL ELSE ([{', '.join(f"'{x}'" for x in _NAMES)}])[CASE WHEN conv_id % 4 = 0 THEN 0 WHEN i % 3 = 2 THEN 0 ELSE (conv_id + i) % 5 END + 1] END AS name FROM t),
+s AS (SELECT * FROM n WHERE name IS NOT NULL), r AS (SELECT *, coalesce(name <> lag(name) OVER w, true) AS new FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+g AS (SELECT *, sum(new::INT) OVER (PARTITION BY conv_id ORDER BY i) AS k FROM r), h AS (SELECT conv_id, k, min(at_) AS a FROM g GROUP BY 1, 2), e AS (SELECT conv_id, max(at_) + 1 AS z FROM g GROUP BY 1),
+l AS (SELECT conv_id, max(coalesce(b, z) - a) AS longest FROM (SELECT *, lead(a) OVER (PARTITION BY conv_id ORDER BY k) AS b FROM h) JOIN e USING (conv_id) GROUP BY 1),
+c AS (SELECT conv_id, count(*) AS stamped, count(name) AS turns, count(DISTINCT name) AS speakers, count(DISTINCT name) FILTER (WHERE name IN ('*Bo', 'And so we went on there')) AS bad, count(*) FILTER (WHERE name = 'Speaker 1') AS gen, count(*) FILTER (WHERE name <> 'Speaker 1') AS re FROM n GROUP BY 1)
+SELECT conv_id, CAST(turns AS INT) AS turns, CAST(speakers AS INT) AS speakers, turns < 0.8 * stamped AS unlabelled, CAST(bad AS INT) AS malformed, speakers = 1 AND conv_id % 3 = 2 AS merged, gen > 0 AND re > 0 AND gen >= 0.4 * turns AS mixed, CAST(longest AS INT) AS longest, longest >= 900 AND speakers > 1 AS alone FROM c JOIN l USING (conv_id)""",
+)
+def _(spark, d):
+    """Conversations as stamped turns under names of persons, stand-ins, no name at all and speech in the place of one."""
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    k = F.col("conv_id")
+    names = F.array(*map(F.lit, _NAMES))
+    name = lambda i: F.get(names, F.when((k % 4 == 0) | (i % 3 == 2), 0).otherwise((k + i) % 5).cast("int"))
+    at = lambda i: (i * (100 + k % 900)).cast("int")
+    stamp = lambda i: F.format_string("[%d:%02d:%02d]", F.floor(at(i) / 3600), F.floor(at(i) / 60) % 60, at(i) % 60)
+    line = lambda x, i: F.when((k % 6 == 5) & (i % 2 == 1), F.concat(stamp(i), F.lit(" and on"))).otherwise(F.concat(stamp(i), F.lit(" "), name(i), F.lit(": so")))
+    docs = c.select("conv_id", F.array_join(F.transform("t", line), "\n").alias("text"), (k % 3).alias("hosts"))
+    return X.label_checks(docs, "conv_id", "text", "hosts")
