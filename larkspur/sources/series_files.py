@@ -111,8 +111,10 @@ def decoded(content: Column) -> Column:
 
 
 def delimited_files(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """``file, n, cells`` of every row of files in either encoding; binary contents are left out, no rows are no error."""
+    """``file, n, cells`` of every row of files in either encoding; binary contents and files without the delimiter in their first line are left out, no rows are no error."""
     files = spark.read.format("binaryFile").load(path).where(kind_of(F.col("content")) == "csv")
+    # what has no delimiter in its first line decodes as text but is no table
+    files = files.where(F.contains(F.split(decoded(F.col("content")), "\r?\n")[0], F.lit(delimiter)))
     lines = files.select(F.col("path").alias("file"), F.posexplode(F.split(decoded(F.col("content")), "\r?\n")).alias("n", "line"))
     return lines.where("line <> ''").select("file", "n", cells(F.col("line"), delimiter).alias("cells"))
 
@@ -186,13 +188,42 @@ def read_cache(spark: SparkSession, path: str, fetched: str) -> DataFrame:
 
 
 def nested_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON documents under a declared schema; what does not parse is kept in ``malformed``."""
-    return (
-        spark.read.schema(f"{schema}, malformed string").option("multiLine", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "malformed").json(path)
-    )
+    """JSON documents under a declared schema, one a file, with or without a byte order mark; what does not parse is kept in ``malformed``."""
+    files = spark.read.format("binaryFile").load(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    return files.select(F.from_json(decoded(F.col("content")), f"{schema}, malformed string", options).alias("doc")).select("doc.*")
+
+
+def judged_items(items: DataFrame, required: list[str] = ()) -> DataFrame:
+    """Adds ``status`` and ``reason`` to fetched items (``item, content, error, rows_ok``): what answered with an error, nothing, no rows where some
+    are ``required``, or binary content has failed, and says why; an item with rows, or one that may be empty, is ok."""
+    empty = F.col("content").isNull() | (F.octet_length("content") == 0)
+    reason = (
+        F.when(F.col("error").isNotNull(), F.concat(F.lit("upstream: "), F.substring_index("error", "\n", 1)))
+        .when(empty, "no content").when(kind_of(F.col("content")) == "binary", "binary content")
+        .when((F.coalesce("rows_ok", F.lit(0)) == 0) & F.col("item").isin(list(required)), "no rows")
+    )
+    return items.withColumn("reason", reason).withColumn("status", F.when(F.col("reason").isNull(), "ok").otherwise("failed"))
 
 
 def write_batch(items: DataFrame, path: str) -> None:
-    """A raw batch: one row per item with its state and reason, committed as a whole."""
+    """A raw batch: one row per item with its ``status`` and ``reason``, committed as a whole."""
+    missing = {"item", "status", "reason"} - set(items.columns)
+    if missing:
+        raise ValueError(f"a batch says of every item how it went; there is no {sorted(missing)}")
     items.write.mode("overwrite").parquet(path)
+
+
+def write_panel(series: DataFrame, path: str, kind: str = "csv") -> None:
+    """A panel of series, one row a day and one column a series: ``csv`` with a header, ``records`` as JSON lines, or ``index`` as one JSON
+    object a day, keyed by the day. Days without a value of a series have an empty cell or no key."""
+    wide = series.groupBy("d").pivot("series_id").agg(F.first("v"))
+    names = [c for c in wide.columns if c != "d"]
+    if kind == "csv":
+        wide.orderBy("d").write.mode("overwrite").option("header", True).csv(path)
+    elif kind == "records":
+        wide.orderBy("d").write.mode("overwrite").json(path)
+    elif kind == "index":
+        wide.select(F.to_json(F.create_map(F.col("d").cast("string"), F.struct(*(F.col(f"`{n}`").alias(n) for n in names)))).alias("value")).write.mode("overwrite").text(path)
+    else:
+        raise ValueError(f"no panel of kind {kind!r}")

@@ -138,3 +138,47 @@ def test_quoted_cells(spark):
     rows = ['2024-01-01,"1,234"', '"a ""b""",,"c"', "x,y", '""']
     got = spark.createDataFrame([(r,) for r in rows], "l string").select(R.cells(F.col("l")).alias("c")).collect()
     assert [r.c for r in got] == [["2024-01-01", "1,234"], ['a "b"', "", "c"], ["x", "y"], [""]]
+
+
+def test_nested_documents_may_have_a_byte_order_mark(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b"\xef\xbb\xbf" + b'{"k": "a",\n "n": 1}')
+    (tmp_path / "b.json").write_bytes(b'{"k": "b", "n": 2}')
+    (tmp_path / "c.json").write_bytes(b"\xef\xbb\xbf{")
+    got = R.nested_documents(spark, str(tmp_path), "k string, n int").orderBy("n").collect()
+    assert [(r.k, r.n, r.malformed) for r in got] == [(None, None, "{"), ("a", 1, None), ("b", 2, None)]
+
+
+def test_a_table_has_a_delimiter_in_its_first_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("just words\n1,2\n")
+    assert R.delimited_files(spark, str(tmp_path)).select("cells").collect() == [(["a", "b"],), (["1", "2"],)]
+    (tmp_path / "t.csv").write_text("a\tb\n")
+    assert [r.cells for r in R.delimited_files(spark, str(tmp_path), "\t").collect()] == [["a", "b"]]
+
+
+def test_batches_say_how_each_item_went(spark, tmp_path):
+    rows = [("a", bytearray(b"{}"), None, 2), ("b", None, "timed out\nmore", None), ("c", bytearray(b""), None, 0), ("d", bytearray(b"[]"), None, 0), ("e", bytearray(b"[]"), None, 0), ("f", bytearray(b"\x00\x01"), None, 1)]
+    items = spark.createDataFrame(rows, "item string, content binary, error string, rows_ok int")
+    judged = R.judged_items(items, required=["d"])
+    assert {r["item"]: (r.status, r.reason) for r in judged.collect()} == {
+        "a": ("ok", None), "b": ("failed", "upstream: timed out"), "c": ("failed", "no content"), "d": ("failed", "no rows"), "e": ("ok", None), "f": ("failed", "binary content"),
+    }
+    R.write_batch(judged, f"{tmp_path}/batch")
+    assert spark.read.parquet(f"{tmp_path}/batch").count() == 6
+    with pytest.raises(ValueError):
+        R.write_batch(items, f"{tmp_path}/other")
+
+
+def test_panels(spark, tmp_path):
+    import json
+
+    series = spark.sql("SELECT * FROM VALUES ('a b', DATE '2026-01-02', 1.5D), ('c', DATE '2026-01-02', 2D), ('c', DATE '2026-01-01', 3D) t(series_id, d, v)")
+    for kind in ("csv", "records", "index"):
+        R.write_panel(series, f"{tmp_path}/{kind}", kind)
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/csv").collect()]
+    assert lines == ["d,a b,c", "2026-01-01,,3.0", "2026-01-02,1.5,2.0"] or sorted(set(lines)) == ["2026-01-01,,3.0", "2026-01-02,1.5,2.0", "d,a b,c"]
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/records").collect()) == ['{"d":"2026-01-01","c":3.0}', '{"d":"2026-01-02","a b":1.5,"c":2.0}']
+    index = {k: v for r in spark.read.text(f"{tmp_path}/index").collect() for k, v in json.loads(r.value).items()}
+    assert index == {"2026-01-01": {"c": 3.0}, "2026-01-02": {"a b": 1.5, "c": 2.0}}
+    with pytest.raises(ValueError):
+        R.write_panel(series, f"{tmp_path}/x", "yaml")

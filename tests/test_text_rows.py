@@ -93,3 +93,32 @@ def test_rounding_of_the_binary_value(spark):
     for digits in (0, 1, 2, 4):
         got = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", C.round_binary(F.col("x"), digits).alias("r")).collect()
         assert [r.r for r in got] == [round(r.x, digits) for r in got]
+
+
+def test_label_checks(spark):
+    long = "\n".join(f"[{m}:00] Ann: x" for m in (0, 5, 14)) + "\n[15:00] Bo Li: y\n[15:30] Ann: z"
+    texts = {
+        "long": long, "none": "nothing here", "one": "[00:01] Ann: a\n[00:02] Ann: b", "bare": "[00:01] Ann: a\n[00:02] b\n[00:03] c",
+        "mixed": "[00:01] Speaker 1: a\n[1:00:02] Ann: b", "bad": "[00:01] *Bo: a\n[00:02] And so we went on: b\n[00:03] Agent 7: c\n[00:04] Jo [x]: d\n[00:05] Ann: e",
+    }
+    docs = spark.createDataFrame([(k, t, 2) for k, t in texts.items()], "k string, t string, hosts int")
+    got = {r.k: r for r in X.label_checks(docs, "k", "t", "hosts").collect()}
+    assert (got["long"].turns, got["long"].speakers, got["long"].longest, got["long"].alone) == (5, 2, 900, True)
+    assert got["none"].unlabelled and got["none"].turns == 0 and got["one"].merged and not got["one"].alone and got["bare"].unlabelled
+    assert got["mixed"].mixed and got["mixed"].longest == 3601 and got["bad"].malformed == 4 and not got["bad"].mixed
+
+
+def test_stamps_of_parts(spark):
+    rows = [("[00:10] a\nb\n [105:30] c", 1200, "[20:10] a\nb\n [2:05:30] c"), ("[19:00] a\n[21:00] b", 1200, "[19:00] a\n[21:00] b"), ("[00:10] a", 0, "[00:10] a"), ("no stamp", 60, "no stamp"), ("[00:10] a", 100, "[00:10] a")]
+    got = spark.createDataFrame(rows, "t string, o int, want string").select(C.offset_stamps(F.col("t"), F.col("o")).alias("g"), "want").collect()
+    assert [r.g for r in got] == [r.want for r in got]
+
+
+def test_duplicate_map(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    text = f"[00:10] {words}\nfree line here\n[01:30] some more\n[00:05] start again\n{words}\n[00:40] end"
+    docs = spark.createDataFrame([("a", text), ("b", "no stamps " + words + " and " + words)], "k string, t string")
+    got = {r.k: r for r in X.duplicate_map(docs, X.block_repeats(docs, "k", "t", 8), "k", "t").collect()}
+    a, b = got["a"], got["b"]
+    assert (a.first, a.second, a.tokens, a.first_seg, a.first_from, a.first_to, a.dup_seg, a.dup_from, a.dup_to) == (0, 37, 30, 1, 10, 10, 2, 5, 5)
+    assert a.snippet == " ".join(f"w{i}" for i in range(14)) and (b.first_seg, b.dup_seg, b.first_from) == (1, 1, None)
