@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.shared import new_path, text_or_empty, written
+from larkspur.llm.shared import new_path, shielded, text_or_empty, written
 
 #: A digest with more than 1/HOT of a batch's rows is joined by broadcast; there are fewer than HOT of them.
 HOT = 1000
@@ -115,6 +115,7 @@ class DigestIndex:
         )
 
 
+@shielded("__digest", "__id", "__n", "__keep_id", "__keep_digest")
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     own = index or DigestIndex(docs.sparkSession)

@@ -6,10 +6,11 @@ from there on; the number of phrases, times the bits that name a place in the sa
 entropy. The language with the least wins.
 
 Texts are parsed in lanes, many lanes and all languages at once with one array step per character. A lane begins some
-characters early, so that its phrases are those of a parse of the whole text by the time it counts: two greedy
-parses agree from the first phrase end that they share, and until then their ends alternate. The automata
+characters early. Two greedy parses agree from the first phrase start that they share, so a lane counts what a parse of the whole text would
+if the phrase in progress where it begins to count started at the same character as the one in progress where the lane before ends. That is
+compared for every lane and language; a text with any difference is parsed again as one lane, so every count is that of the whole text. The automata
 are one hash table of transitions with a code for every letter of the samples, whatever the alphabet; letters of no sample
-match nothing. Its size follows from the samples', which is bounded over all languages together, so it can be broadcast.
+match nothing. Its size follows from the samples', which is bounded over all languages together; a table above ``TABLE_BYTES`` is an error, none is broadcast.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, and so is every text when
 no labelled row exists, as in an empty table; ties go to the first language in code point order; repeated rows are
@@ -23,15 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.hashing import slices
-from larkspur.llm.samples import one_per_bucket
 from larkspur.llm.shared import crc_remainder
 
 #: Characters of labelled text: of a language, of all languages together, and of one text; texts that may provide a language's.
-SAMPLE_CHARS, ALL_CHARS, SLICE_CHARS, SAMPLE_ROWS = 30_000, 3_000_000, 1_000, 64
+SAMPLE_CHARS, ALL_CHARS, SLICE_CHARS, SAMPLE_ROWS = 30_000, 600_000, 1_000, 64
+#: Most bytes of the table of transitions.
+TABLE_BYTES = 1 << 28
 #: Characters that a lane counts, and those before them that it reads.
 LANE, EARLY = 2048, 256
 SPACE, OTHER, PAD = 0, 1, -1
@@ -169,10 +171,19 @@ def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, chars: int = SAMPL
         docs["doc_id"].cast("long").alias("doc"), docs["lang"].cast("string").alias("lang"), docs["text"], F.xxhash64(docs["text"]).alias("id")
     )
     known = keyed.where("doc IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(crc_remainder(F.col("doc"), modulus) != held_out)
-    place = F.pmod(F.xxhash64("id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - SLICE_CHARS + 1)).cast("int") + 1
-    sliced = known.select("id", "lang", F.substr("text", place, F.lit(SLICE_CHARS)).alias("text"))
-    drawn = one_per_bucket(sliced, ["lang"], rows, "lang").select("lang", F.xxhash64("id", F.lit("order")).alias("h"), "text").toPandas()
-    chars = min(chars, ALL_CHARS // max(1, drawn["lang"].nunique()))
+    # of equal texts one id; the least hashes of each language are found on ids alone
+    ids = known.select("lang", "id").distinct().withColumn("h", F.xxhash64("id", F.lit("order")))
+    # however many languages there are, all slices together have about twice ALL_CHARS characters at most
+    chars = min(chars, ALL_CHARS // max(1, ids.select("lang").distinct().count()))
+    if not chars:
+        raise ValueError(f"more than {ALL_CHARS} languages cannot be told apart by samples of that size together")
+    width = min(SLICE_CHARS, chars)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    least = ids.withColumn("nth", nth).where(F.col("nth") <= min(rows, max(1, 2 * chars // width))).drop("nth")
+    place = F.pmod(F.xxhash64("id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - width + 1)).cast("int") + 1
+    # at most two rows for each of ALL_CHARS characters, far fewer with usual numbers of languages
+    sliced = known.join(F.broadcast(least), ["lang", "id"]).select("lang", "h", F.substr("text", place, F.lit(width)).alias("text"))
+    drawn = sliced.groupBy("lang", "h").agg(F.min("text").alias("text")).toPandas()
     texts: dict[str, str] = {}
     for lang, part in drawn.sort_values(["lang", "h"]).groupby("lang"):
         text = "\n".join(part["text"])[:chars]
@@ -183,41 +194,63 @@ def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, chars: int = SAMPL
 
 def phrases(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(counts[language, text], characters, letters)`` of greedy cross-parsing."""
-    n, k = len(texts), len(model.languages)
     coded = [encode(t or "", model.codes) for t in texts]
     sizes = np.array([len(c) for c in coded])
     letters = np.array([bool((c != SPACE).any()) for c in coded], bool)
-    per = np.maximum(1, -(-sizes // LANE)) if n else sizes
+    out, sure = _parsed(coded, model, LANE)
+    for i in np.flatnonzero(~sure).tolist():
+        out[:, i : i + 1] = _parsed(coded[i : i + 1], model, max(1, len(coded[i])))[0]
+    return out, sizes, letters
+
+
+def _parsed(coded: list[np.ndarray], model: Model, lane: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by language and text, and whether the lanes of each text certainly follow the parse of the whole."""
+    n, k = len(coded), len(model.languages)
+    sizes = np.array([len(c) for c in coded])
+    per = np.maximum(1, -(-sizes // lane)) if n else sizes
     lanes = int(per.sum())
+    ahead = EARLY if n and per.max() > 1 else 0
     owner = np.repeat(np.arange(n), per)
     at = np.arange(lanes) - np.repeat(np.cumsum(per) - per, per)
-    early = np.where(at > 0, EARLY, 0)
-    length = np.clip(np.repeat(sizes, per) - at * LANE, 0, LANE) + early
+    early = np.where(at > 0, ahead, 0)
+    length = np.clip(np.repeat(sizes, per) - at * lane, 0, lane) + early
     order = np.argsort(-length, kind="stable")
-    grid = np.full((lanes, LANE + EARLY), PAD, np.int32)
+    widest = int(length.max()) if lanes else 0
+    grid = np.full((lanes, widest), PAD, np.int32)
     row = 0
     for c, m in zip(coded, per.tolist()):
         for i in range(m):
-            piece = c[max(0, i * LANE - EARLY) : (i + 1) * LANE]
+            piece = c[max(0, i * lane - ahead) : (i + 1) * lane]
             grid[row + i, : len(piece)] = piece
         row += m
     steps, early = np.ascontiguousarray(grid[order].T), early[order]
-    active = np.searchsorted(-length[order], -np.arange(1, LANE + EARLY + 1), "right")
+    active = np.searchsorted(-length[order], -np.arange(1, widest + 1), "right")
     state = np.repeat(model.start[:, None], lanes, axis=1).astype(np.int64)
     count = np.zeros((k, lanes), np.int32)
-    for i in range(int(length.max()) if lanes else 0):
+    # where in its lane the phrase in progress started: at the end, and where a lane that began early starts to count
+    began, entered = np.zeros((k, lanes), np.int32), np.zeros((k, lanes), np.int32)
+    for i in range(widest):
+        if i == ahead:
+            entered[:] = began
         m = active[i]
         code = steps[i, :m]
         now = state[:, :m]
         following = model.following(now, code)
         miss = following < 0
-        count[:, :m] += miss & (early[:m] <= i) if i < EARLY else miss
+        count[:, :m] += miss & (early[:m] <= i) if i < ahead else miss
+        np.copyto(began[:, :m], i, where=miss)
         np.copyto(now, following)
         np.copyto(now, model.first[:, code], where=miss)
-    out = np.zeros((k, n), np.int64)
+    out, sure = np.zeros((k, n), np.int64), np.ones(n, bool)
     for j in range(k):
         out[j] = np.bincount(owner[order], count[j], n)
-    return out, sizes, letters
+    if ahead:
+        first = (at * lane)[order] - early
+        back = np.argsort(order)
+        end, enter = (began + first)[:, back], (entered + first)[:, back]
+        later = np.flatnonzero(at > 0)
+        sure[owner[later[(enter[:, later] != end[:, later - 1]).any(axis=0)]]] = False
+    return out, sure
 
 
 def predictions(texts: list[str | None], model: Model) -> pd.DataFrame:
@@ -238,6 +271,8 @@ def predictions(texts: list[str | None], model: Model) -> pd.DataFrame:
 
 def predict(text: Column, model: Model, df: DataFrame) -> Column:
     """``struct<lang_pred, score>`` as a column over ``text``."""
+    if model.keys.nbytes + model.values.nbytes > TABLE_BYTES:
+        raise ValueError("the table of transitions is too large to be broadcast")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

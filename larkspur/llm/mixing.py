@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.shared import place_in, written
+from larkspur.llm.shared import place_in, shielded, written
 
 #: White space that ends a word; everything else is part of one.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -146,6 +146,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: flo
     return _taken(docs, weights, max_epochs, seed, weight).drop("h", "epochs")
 
 
+@shielded("__h", "__source", "__times", "__rows", "__own", "__copy")
 def mixed_rows(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: float = 3, seed: int = 17, weight: Column | None = None
 ) -> DataFrame:

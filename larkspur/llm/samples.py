@@ -9,17 +9,6 @@ from pyspark.sql import functions as F
 from larkspur.llm.shared import crc_remainder, written
 
 
-def one_per_bucket(rows: DataFrame, keys: list[str], n: int, seed: str) -> DataFrame:
-    """Of each key combination at most ``n`` rows: ids are hashed into n buckets and the least of each stays.
-
-    That is one aggregation with map-side combining, so no task ever sees more than n rows a key from each input task.
-    """
-    others = [c for c in rows.columns if c not in keys]
-    picked = F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), *others)).alias("r")
-    bucket = F.pmod(F.xxhash64("id", F.lit(seed), F.lit(1)), F.lit(n)).alias("bucket")
-    return rows.groupBy(*keys, bucket).agg(picked).select(*keys, *(F.col(f"r.{c}").alias(c) for c in others))
-
-
 def least_hashes(rows: DataFrame, n: int, seed: str) -> DataFrame:
     """The ``n`` rows whose ``id`` has the least hashes ``h``; all rows where there are fewer.
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +58,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(*own: str) -> Callable:
+    """For a function of ``docs`` that uses the column names ``own`` itself: columns of the user with these names are put under free names while it
+    runs and back into the result. Expressions that are handed to the function must not name them."""
+
+    def decorate(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(f)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            clashing = [c for c in docs.columns if c.lower() in own]
+            if not clashing:
+                return f(docs, *args, **kwargs)
+            taken = {c.lower() for c in docs.columns}
+            free = (n for n in (f"column_{i}" for i in itertools.count()) if n not in taken)
+            away = dict(zip(clashing, free))
+            return f(docs.withColumnsRenamed(away), *args, **kwargs).withColumnsRenamed({b: a for a, b in away.items()})
+
+        return run
+
+    return decorate
+
+
 def place_in(bounds: Column, value: Column, strict: bool = False, bits: int = 11) -> Column:
     """How many of the ascending ``bounds`` (fewer than ``2**bits``) are at most ``value`` (``strict``: below it), by bisection."""
 
