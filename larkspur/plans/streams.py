@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.plans.inputs import table
+from larkspur.plans.inputs import PANEL, panel, table
+from larkspur.sources import connector
 from larkspur.sources.scratch import scratch
 from larkspur.streaming import ingest
 
@@ -33,6 +34,27 @@ def stream_breaker(spark, d):
     return _finished(spark, d, lambda s: ingest.breaker(bad(s), "user_id", ["ts", "event_id"], "bad"), "update", ["user_id"])
 
 
+def connector_series(spark, d):
+    """Order totals as recorded answers of an endpoint, a file for each series and month; of every fifth month the endpoint fails and its fallback
+    answers. Read back through the connector from a date on."""
+    panel_rows = panel(spark, d).select(F.concat(F.lit("S"), F.left("series_id", F.lit(1))).alias("ident"), F.date_format("d", "yyyy-MM").alias("month"), "d", "v")
+    months = panel_rows.groupBy("ident", "month").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("rows"))
+    failed = F.substring("month", 6, 2).cast("int") % 5 == 0
+    values = F.transform("rows", lambda r: F.struct(r["d"].cast("string").alias("date"), F.format_string("%.2f", r["v"]).alias("value")))
+    answer = F.when(failed, F.lit('{"status": 503}')).otherwise(F.to_json(F.struct(values.alias("observations"))))
+    lines = F.transform("rows", lambda r: F.concat(r["d"].cast("string"), F.lit(","), F.format_string("%.2f", r["v"])))
+    sheet = F.concat(F.lit("observation_date,"), "ident", F.lit("\n"), F.array_join(lines, "\n"))
+    both = months.select("ident", "month", F.lit("observations").alias("route"), answer.alias("value")).unionByName(months.where(failed).select("ident", "month", F.lit("graph").alias("route"), sheet.alias("value")))
+    path = scratch(spark, "answers")
+    both.write.partitionBy("route", "ident", "month").text(path)
+    connector.register(spark)
+    return spark.read.format("recorded_series").load(path).where("d >= DATE '1995-06-15'")
+
+
+QUERIES.update(connector_series=connector_series)
+ORACLES.update(
+    connector_series=f"WITH {PANEL} SELECT 'S' || left(series_id, 1) AS series_id, d, v, 'as published' AS unit, CASE WHEN month(d) % 5 = 0 THEN 'graph' ELSE 'observations' END AS route FROM panel WHERE d >= DATE '1995-06-15'"
+)
 QUERIES.update(stream_discovery=stream_discovery, stream_windows=stream_windows, stream_breaker=stream_breaker)
 ORACLES.update(
     stream_discovery="SELECT DISTINCT user_id, event_type FROM events",

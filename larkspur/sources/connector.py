@@ -2,7 +2,7 @@
 
 ``spark.read.format("recorded_series").option("path", ...)`` reads folders ``route=<route>/ident=<identifier>/month=<yyyy-mm>/``, whose
 files hold what an endpoint answered. Each identifier and month is a partition of its own; dates and identifiers that a query asks for are
-pushed down (``spark.sql.python.filterPushdown.enabled``), so other months and identifiers are not opened. ``recorded_lookup`` reads the
+pushed down with ``.option("pushdown", "true")`` (in sessions with ``spark.sql.python.filterPushdown.enabled``), so other months and identifiers are not opened. ``recorded_lookup`` reads the
 episodes of podcast lookups in the same way.
 
 What can go wrong has its own error: ``UnknownIdentifier`` (no route takes it, or the endpoint says that it has no such series; never hidden by
@@ -161,17 +161,6 @@ class RecordedReader(DataSourceReader):
         self.idents = [x for x in options.get("idents", "").split(",") if x] or None
         self.since: date | None = None
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
-        """Takes bounds of dates and lists of identifiers to leave partitions out; Spark applies all of them again."""
-        for f in filters:
-            if isinstance(f, (GreaterThanOrEqual, GreaterThan)) and f.attribute == ("d",) and isinstance(f.value, date):
-                self.since = max(filter(None, (self.since, f.value)))
-            elif isinstance(f, EqualTo) and f.attribute == ("series_id",):
-                self.idents = [x for x in self.idents or [f.value] if x == f.value]
-            elif isinstance(f, In) and f.attribute == ("series_id",):
-                self.idents = [x for x in self.idents or f.value if x in f.value]
-            yield f
-
     def partitions(self) -> list[Month]:
         store, root = _store(self.path)
         idents = self.idents
@@ -211,6 +200,21 @@ class RecordedReader(DataSourceReader):
             yield ident, date.fromisoformat(d), v, route.unit, name
 
 
+class PushingReader(RecordedReader):
+    """Leaves out the partitions that filters do not ask for."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        """Takes bounds of dates and lists of identifiers to leave partitions out; Spark applies all of them again."""
+        for f in filters:
+            if isinstance(f, (GreaterThanOrEqual, GreaterThan)) and f.attribute == ("d",) and isinstance(f.value, date):
+                self.since = max(filter(None, (self.since, f.value)))
+            elif isinstance(f, EqualTo) and f.attribute == ("series_id",):
+                self.idents = [x for x in self.idents or [f.value] if x == f.value]
+            elif isinstance(f, In) and f.attribute == ("series_id",):
+                self.idents = [x for x in self.idents or f.value if x in f.value]
+            yield f
+
+
 class RecordedSeries(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -220,7 +224,8 @@ class RecordedSeries(DataSource):
         return "series_id string, d date, v double, unit string, route string"
 
     def reader(self, schema) -> RecordedReader:
-        return RecordedReader(self.options)
+        # Spark refuses a reader that takes filters in a session that does not push them
+        return (PushingReader if self.options.get("pushdown", "false").lower() == "true" else RecordedReader)(self.options)
 
 
 @dataclass

@@ -20,7 +20,7 @@ def answers(spark, tmp_path):
     N.register(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     put.path = str(tmp_path)
-    put.read = lambda **options: spark.read.format("recorded_series").options(path=str(tmp_path), **options).load()
+    put.read = lambda **options: spark.read.format("recorded_series").options(path=str(tmp_path), **({"pushdown": "true"} | options)).load()
     yield put
     spark.conf.unset("spark.sql.python.filterPushdown.enabled")
 
