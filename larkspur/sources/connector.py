@@ -165,7 +165,7 @@ class RecordedReader(DataSourceReader):
         store, root = _store(self.path)
         idents = self.idents
         if idents is None:
-            idents = sorted({f.base_name.removeprefix("ident=") for r in _listed(store, root) for f in _listed(store, r.path) if f.base_name.startswith("ident=")})
+            idents = sorted({f.base_name.removeprefix("ident=") for r in _listed(store, root) if not r.is_file for f in _listed(store, r.path) if f.base_name.startswith("ident=")})
         out = []
         for ident in idents:
             name = route_of(ident, self.headers)
