@@ -8,7 +8,7 @@ entropy. The language with the least wins.
 Texts are parsed in lanes, many lanes and all languages at once with one array step per character. A lane begins some
 characters early. Two greedy parses agree from the first phrase start that they share, so a lane counts what a parse of the whole text would
 if the phrase in progress where it begins to count started at the same character as the one in progress where the lane before ends. That is
-compared for every lane and language; a text with any difference is parsed again as one lane, so every count is that of the whole text. The automata
+compared for every lane and language; texts with any difference are parsed again as one lane each, so every count is that of the whole text. The automata
 are one hash table of transitions with a code for every letter of the samples, whatever the alphabet; letters of no sample
 match nothing. Its size follows from the samples', which is bounded over all languages together; a table above ``TABLE_BYTES`` is an error, none is broadcast.
 
@@ -36,6 +36,8 @@ SAMPLE_CHARS, ALL_CHARS, SLICE_CHARS, SAMPLE_ROWS = 30_000, 600_000, 1_000, 64
 TABLE_BYTES = 1 << 28
 #: Characters that a lane counts, and those before them that it reads.
 LANE, EARLY = 2048, 256
+#: Characters of texts, each as wide as the longest, that are parsed in whole at once.
+CELLS = 1 << 22
 SPACE, OTHER, PAD = 0, 1, -1
 _FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -194,12 +196,20 @@ def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, chars: int = SAMPL
 
 def phrases(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(counts[language, text], characters, letters)`` of greedy cross-parsing."""
-    coded = [encode(t or "", model.codes) for t in texts]
-    sizes = np.array([len(c) for c in coded])
-    letters = np.array([bool((c != SPACE).any()) for c in coded], bool)
-    out, sure = _parsed(coded, model, LANE)
-    for i in np.flatnonzero(~sure).tolist():
-        out[:, i : i + 1] = _parsed(coded[i : i + 1], model, max(1, len(coded[i])))[0]
+    out = np.zeros((len(model.languages), len(texts)), np.int64)
+    sizes, letters, again = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool), []
+    for a, b in slices(texts):
+        coded = [encode(t or "", model.codes) for t in texts[a:b]]
+        sizes[a:b] = [len(c) for c in coded]
+        letters[a:b] = [bool((c != SPACE).any()) for c in coded]
+        out[:, a:b], sure = _parsed(coded, model, LANE)
+        again += [(a + i, coded[i]) for i in np.flatnonzero(~sure).tolist()]
+    # the texts whose lanes differ from a parse of the whole, many at once and each in one lane
+    again.sort(key=lambda x: -len(x[1]))
+    while again:
+        longest = len(again[0][1])
+        some, again = again[: max(1, CELLS // longest)], again[max(1, CELLS // longest) :]
+        out[:, [i for i, _ in some]] = _parsed([c for _, c in some], model, longest)[0]
     return out, sizes, letters
 
 
@@ -278,8 +288,6 @@ def predict(text: Column, model: Model, df: DataFrame) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            values = texts.tolist()
-            parts = [predictions(values[a:b], shared.value) for a, b in slices(values)]
-            yield pd.concat(parts) if parts else pd.DataFrame({"lang_pred": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
+            yield predictions(texts.tolist(), shared.value)
 
     return run(text)
