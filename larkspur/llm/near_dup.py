@@ -8,8 +8,9 @@ falls below the tolerance; ties that stay in doubt are verified on the texts. Th
 work groups, so texts that share a template but little else do not meet. Inside a group all pairs are pruned in the same way,
 and what is left is verified on the whole shingle sets.
 
-A similar pair is missed if it shares no bucket, or if all ties between the two are dropped because the first texts of their
-common buckets are unlike either of them; tests hold the recall at 0.99 or more on families of texts around one template.
+Texts that are not very close to the first texts of all their buckets may have partners whose ties were dropped; they are joined once more
+by their rarest shingles, across the groups, and what they share there is pruned and verified at the threshold itself. So a similar pair
+is missed only if it shares no bucket or by the tolerances of the pruning.
 
 Large groups are cut into chunks, and pairs of chunks are compared in separate tasks, so no task
 ever holds more than two chunks and no stage emits a row per pair: blocks return each text's
@@ -208,17 +209,19 @@ def _firsts(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(node != head), own[np.searchsorted(head[own], head)]
 
 
-def _pruned_ties(threshold: float):
+def _pruned_ties(threshold: float, close: float = 1.0):
     def run(part: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(part["payload"]), np.uint32).reshape(len(part), HASHES)
         rows, first = _firsts(part)
-        matches, need = 0, needed_matches(threshold)
+        same = sig[rows] == sig[first[rows]]
+        need, kept = needed_matches(threshold), np.ones(len(rows), bool)
         for n in range(STEP, HASHES + 1, STEP):
-            matches = matches + (sig[rows, n - STEP : n] == sig[first[rows], n - STEP : n]).sum(1)
-            keep = matches >= need[n]
-            rows, matches = rows[keep], matches[keep]
-        sure = matches >= sure_matches(threshold, SURE)
-        return pd.DataFrame({"a": part["head"].to_numpy()[rows], "b": part["node"].to_numpy()[rows], "sure": sure})
+            kept[kept] = same[kept, :n].sum(1) >= need[n]
+        matches = same.sum(1)
+        # sure: null for those that are dropped
+        sure = pd.array(matches >= sure_matches(threshold, SURE), "boolean")
+        sure[~kept] = pd.NA
+        return pd.DataFrame({"a": part["head"].to_numpy()[rows], "b": part["node"].to_numpy()[rows], "sure": sure, "close": kept & (matches >= sure_matches(close, TOLERANCE))})
 
     return run
 
@@ -251,23 +254,70 @@ def _by_first(ties: DataFrame):
     return placed.groupBy("work", "part")
 
 
-def _ties(nodes: DataFrame, rows: DataFrame, threshold: float, words: int) -> DataFrame:
-    """``a, b``: each text with those first texts of its buckets whose similarity reaches ``threshold``.
+def _checked(ties: DataFrame, nodes: DataFrame, rows: DataFrame, threshold: float, words: int, close: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Of ``ties`` (``node, head``, each head its own node too): those whose similarity reaches ``threshold`` as ``a, b``, and all with what their
+    MinHash values say.
 
-    MinHash values decide most of them either way; the rest is verified on the texts.
+    These decide most ties either way; the rest is verified on the texts.
     """
-    bucket = nodes.select("node", F.explode("bands").alias("band"))
-    heads = bucket.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    own = bucket.join(heads, "band").groupBy("node").agg(F.collect_set("head").alias("heads"))
-    ties = own.join(nodes.select("node", "sig"), "node").select("node", F.explode("heads").alias("head"), F.col("sig").alias("payload"))
+    ties = ties.join(nodes.select("node", F.col("sig").alias("payload")), "node")
     ties = written(ties.withColumn("size", F.lit(4 * HASHES).cast("long")), "ties")
-    pruned = written(_by_first(ties).applyInPandas(_pruned_ties(threshold), "a long, b long, sure boolean"), "pruned")
+    pruned = written(_by_first(ties).applyInPandas(_pruned_ties(threshold, close), "a long, b long, sure boolean, close boolean"), "pruned")
     unsure = pruned.where("NOT sure")
     pairs = unsure.select(F.col("b").alias("node"), F.col("a").alias("head")).unionByName(unsure.select(F.col("a").alias("node"), F.col("a").alias("head")).distinct())
     ends = pairs.select("node").distinct().join(nodes.select("node", "digest", "rep"), "node")
     texts = pairs.join(_with_texts(ends, rows), "node").select("node", "head", F.col("text").alias("payload"), F.length("text").cast("long").alias("size"))
     verified = _by_first(written(texts, "unsure")).applyInPandas(_verified_ties(threshold, words), "a long, b long")
-    return pruned.where("sure").select("a", "b").unionByName(verified)
+    return written(pruned.where("sure").select("a", "b").unionByName(verified), "tied"), pruned
+
+
+def _ties(nodes: DataFrame, rows: DataFrame, threshold: float, words: int) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: each text with those first texts of its buckets whose similarity reaches ``TIE`` of the threshold; ``node``: the texts with a bucket
+    whose first text is not so close to them that it is tied to all texts that reach the threshold with them."""
+    bucket = nodes.select("node", F.explode("bands").alias("band"))
+    heads = bucket.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
+    own = bucket.join(heads, "band").groupBy("node").agg(F.collect_set("head").alias("heads"))
+    # 1 - similarity is a metric: what is further than this from the first text may have partners whose ties are dropped
+    close = 1 - (threshold - TIE * threshold)
+    edges, pruned = _checked(own.select("node", F.explode("heads").alias("head")), nodes, rows, TIE * threshold, words, close)
+    return edges, pruned.where("NOT close").select(F.col("b").alias("node")).distinct()
+
+
+def _missed(loose: DataFrame, comps: DataFrame, nodes: DataFrame, rows: DataFrame, threshold: float, words: int) -> DataFrame | None:
+    """``a, b``: ties between ``loose`` texts of different components that reach the threshold, whatever the first texts of their buckets.
+
+    Texts that reach it share one of their rarest shingles: in the order by frequency, all but the last ``threshold`` of each set are compared, and
+    a first common one too far behind leaves too few to follow. None if there are no candidates.
+    """
+    own = loose.join(nodes.select("node", "digest", "rep"), "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in slices(texts):
+                found = [np.unique(x).view(np.int64) for x in shingles(texts[a:b], words)]
+                columns = [batch.column(c).slice(a, b - a) for c in ("node", "comp")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([len(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["node", "comp", "n", "set"])
+
+    each = written(_with_texts(own, rows).select("node", "comp", "text").mapInArrow(sets, "node long, comp long, n long, set array<bigint>"), "shingles")
+    each = each.select("node", "comp", "n", F.explode("set").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.count("*").alias("f"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("f > 1")
+    ordered = Window.partitionBy("node").orderBy("f", "shingle")
+    # shingles of one text only come first
+    at = F.col("n") - F.count("*").over(Window.partitionBy("node")) + F.row_number().over(ordered) - 1
+    placed = each.join(shared, "shingle").withColumn("at", at)
+    first = written(placed.where((F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9)) & (F.col("low") < F.col("high"))).select("node", "comp", "n", "shingle", "at"), "first")
+    a, b = first.alias("a"), first.alias("b")
+    left = lambda x: F.col(f"{x}.n") - F.col(f"{x}.at")
+    fit = (
+        (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
+        & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - 1e-9)
+        & (F.least(left("a"), left("b")) >= (F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold)) - 1e-9)
+    )
+    pairs = written(a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & fit).select(F.col("b.node").alias("node"), F.col("a.node").alias("head")).distinct(), "candidates")
+    if pairs.isEmpty():
+        return None
+    return _checked(pairs.unionByName(pairs.select(F.col("head").alias("node"), "head").distinct()), nodes, rows, threshold, words)[0]
 
 
 def _with_texts(members: DataFrame, rows: DataFrame) -> DataFrame:
@@ -346,7 +396,11 @@ def _classes(docs: DataFrame, threshold: float, words: int) -> tuple[DataFrame,
         .withColumn("node", F.monotonically_increasing_id()),
         "texts",
     )
-    comps = components(_ties(nodes, rows, TIE * threshold, words))
+    ties, loose = _ties(nodes, rows, threshold, words)
+    comps = written(components(ties), "connected")
+    missed = _missed(loose, comps, nodes, rows, threshold, words)
+    if missed is not None:
+        comps = components(ties.unionByName(missed))
     found = comps.join(nodes.select("node", "digest", "rep", "copies", "sig", "chars"), "node")
     sizes = found.groupBy("comp").agg(F.count("*").alias("size"), F.sum("chars").alias("all_chars"))
     sizes = written(sizes, "sizes")
