@@ -40,14 +40,18 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_
     return hits.groupBy("id", "h", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("id")
 
 
-def collected(bags: DataFrame, columns: list[str], n_bytes: int) -> pd.DataFrame:
-    """The examples ``h, label`` and binary ``columns`` of least hashes, in that order, that fit into ``n_bytes`` of the driver.
+def bounded(bags: DataFrame, columns: list[str], n_bytes: int) -> DataFrame:
+    """The examples ``h, label`` and binary ``columns`` of least hashes that have at most ``n_bytes`` together.
 
-    The examples are written first; their sizes alone tell how many are fetched.
+    The examples are written first; only their sizes come to the driver.
     """
     bags = written(bags, "examples")
     size = sum((F.octet_length(c) for c in columns), F.lit(64))
     sizes = bags.select("h", "label", size.alias("size")).toPandas().sort_values(["h", "label", "size"])
     fit = sizes["h"][(sizes["size"].cumsum() <= n_bytes)]
-    some = bags.where(F.col("h") <= F.lit(int(fit.iloc[-1]))) if len(fit) else bags.limit(0)
-    return some.toPandas().sort_values(["h", "label", columns[0]], ignore_index=True)
+    return bags.where(F.col("h") <= F.lit(int(fit.iloc[-1]))) if len(fit) else bags.limit(0)
+
+
+def collected(bags: DataFrame, columns: list[str], n_bytes: int) -> pd.DataFrame:
+    """The ``bounded`` examples on the driver, ordered by ``h, label`` and the first column."""
+    return bounded(bags, columns, n_bytes).toPandas().sort_values(["h", "label", columns[0]], ignore_index=True)

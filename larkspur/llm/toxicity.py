@@ -3,7 +3,8 @@
 Features are the distinct lower-case words, word pairs and pairs around one skipped word of a
 text, hashed. FTRL-proximal keeps a learning rate per coordinate and leaves coordinates whose
 evidence stays within the L1 bound at zero, so the model is a short list of buckets and
-weights, small enough to broadcast whatever the corpus. It is fitted on a bounded sample.
+weights, small enough to broadcast whatever the corpus. It is fitted on a bounded sample, in a
+task of its own: the driver gets the sizes of the examples and the model, never the examples.
 
 Defined cases: null text is scored as empty; an empty text has the score of the bias alone; without
 labelled rows, as in empty tables, every score is 0; of labels that share a doc_id the largest counts; repeated rows are
@@ -18,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.hashing import mix, slices, word_hashes
-from larkspur.llm.samples import collected, labelled
+from larkspur.llm.samples import bounded, labelled
 
-#: Rows that training reads at most, and bytes of their features that the driver holds at most.
+#: Rows that training reads at most, and bytes of their features that the training task holds at most.
 SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 64 << 20
 BUCKETS = 1 << 20
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 0.1, 3
@@ -58,11 +60,22 @@ def _bags(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, sample: int = SAMPLE_ROWS) -> Model:
-    """Trains on at most ``sample`` labelled rows; executors reduce each text to its buckets."""
+    """Trains on at most ``sample`` labelled rows; executors reduce each text to its buckets, and one of them trains on those."""
     rows = labelled(docs, labels, "toxic", modulus, held_out, sample)
     bags = rows.select("h", "label", "text").mapInPandas(_bags, "h long, label int, used binary")
-    got = collected(bags, ["used"], SAMPLE_BYTES)
-    return train([(int(y), np.frombuffer(u, np.int32)) for y, u in zip(got["label"], got["used"])])
+    examples = bounded(bags, ["used"], SAMPLE_BYTES).coalesce(1).sortWithinPartitions("h", "label", "used")
+    got = examples.select("label", "used").mapInArrow(_trained, "buckets binary, weights binary, bias double").first()
+    if got is None:
+        return train([])
+    return Model(np.frombuffer(got["buckets"], np.int64), np.frombuffer(got["weights"]), got["bias"])
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows ``label, used``, in their order, as one row; the arrays are views of the batches."""
+    examples = [(y.as_py(), np.frombuffer(u.as_buffer(), np.int32)) for batch in batches for y, u in zip(*batch.columns)]
+    model = train(examples)
+    row = {"buckets": model.buckets.tobytes(), "weights": model.weights.tobytes(), "bias": model.bias}
+    yield pa.RecordBatch.from_pylist([row])
 
 
 def train(examples: list[tuple[int, np.ndarray]], seed: int = 5) -> Model:
