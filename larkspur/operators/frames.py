@@ -3,6 +3,7 @@
 ``parsed`` reads documents by a declared schema (what does not parse is kept, never dropped), and one function per frame counts,
 compares and looks up everything its rules need: fields inside the document, the version of the day before, vocabularies, files and
 transcripts. Arrays are folded inside their row; other rows are met by equality joins or windows over a batch, a slug or a digest.
+A large advisory comes in parts, rows of one key: every part repeats the head and holds some of the cards, and no row ever holds them all.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ CATEGORY_KINDS, BAR_KINDS, MARKED_KINDS = ["grouped_bar", "stacked_bar", "pct_st
 #: Fixed value: what parts the kind of a slot from its name.
 SLOT_MARK = "｜"
 
+#: Fixed value: stands for the length of a text that is null.
+_LONGEST = 2147483647
+
 _VALUES = "cats array<string>, vals array<double>, groups array<struct<name string, `values` array<double>>>, pts array<array<double>>, matrix array<array<double>>"
 _CARD = "title string, url string, src string, ts string, date string, tone string, tagcls string, body variant, bullets array<string>, base boolean, deep boolean, thread string"
 SCHEMAS = {
@@ -224,7 +228,7 @@ def groups(docs: DataFrame, plan: DataFrame) -> DataFrame:
     p = plan.select(F.explode("doc.groups").alias("p")).select(F.col("p.name").alias("label"), "p.floor", F.coalesce("p.base", F.lit(False)).alias("needs_base"))
     have = _grouped(docs)
     mode = F.when(F.weekday(F.expr("CAST(try_to_timestamp(doc.window.`from`) + INTERVAL 8 HOURS AS DATE)")) >= 5, "weekend").otherwise("weekday")
-    wanted = docs.select("key", mode.alias("mode")).join(F.broadcast(p.agg(F.collect_list(F.struct("label", "floor", "needs_base")).alias("ps")))).select("key", "mode", F.inline("ps")).withColumn("in_plan", F.lit(True))
+    wanted = docs.select("key", mode.alias("mode")).distinct().join(F.broadcast(p.agg(F.collect_list(F.struct("label", "floor", "needs_base")).alias("ps")))).select("key", "mode", F.inline("ps")).withColumn("in_plan", F.lit(True))
     both = wanted.join(have.drop("mode").withColumn("in_doc", F.lit(True)), ["key", "label"], "full_outer")
     floor = F.when(F.col("mode") == "weekend", F.col("floor.weekend")).otherwise(F.col("floor.weekday"))
     rows = both.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_plan", "in_doc", "needs_base")}).withColumn("floor", floor)
@@ -250,27 +254,43 @@ def dispatch(plan: DataFrame) -> DataFrame:
     return framed(rows, "dispatch")
 
 
-def advisory_days(docs: DataFrame, config: dict = CONFIG) -> DataFrame:
-    """One row a day: counts, medians and the window against that of the day before."""
+def _with_card_counts(docs: DataFrame) -> DataFrame:
+    """One row a document: its head, how many cards its parts hold, how many of them are deep or threaded, and the upper medians of their lengths.
+
+    Medians are exact: what is kept of a document is how often each length comes. Lengths that are null count as the longest.
+    """
     d = docs.select("key", F.try_to_timestamp("doc.date").cast("date").alias("day"), "doc.*")
     every = "flatten(filter(transform(sections, s -> flatten(filter(transform(s.groups, g -> g.cards), x -> x IS NOT NULL))), x -> x IS NOT NULL))"
     chars = "length(coalesce(IF(schema_of_variant(c.body) = 'STRING', CAST(c.body AS STRING), ''), '')) + aggregate(coalesce(c.bullets, array()), 0, (a, b) -> a + length(b))"
-    middle = lambda x: f"CAST(element_at(array_sort({x}), CAST(size({x}) DIV 2 + 1 AS INT)) AS DOUBLE)"
+    sized = f"transform({every}, c -> named_struct('deep', coalesce(c.deep, false), 'n', coalesce({chars}, {_LONGEST}), 'threaded', coalesce(c.thread <> '', false)))"
+    parts = d.select("key", F.struct(*(c for c in d.columns if c not in ("key", "sections"))).alias("head"), F.expr(sized).alias("sized")).withColumn("listed", F.col("sized").isNotNull())
+    rows = parts.select("key", "head", "listed", F.posexplode_outer("sized").alias("i", "c"))
+    middle = lambda which: F.expr(f"nullif(percentile_disc(0.5) WITHIN GROUP (ORDER BY IF({which}, c.n, NULL) DESC), {_LONGEST})")
+    found = rows.groupBy("key").agg(
+        F.any_value(F.when(F.coalesce("i", F.lit(0)) == 0, F.col("head")), True).alias("head"), F.max("listed").alias("listed"), F.count("i").alias("n_cards"), F.count_if("c.deep").alias("n_deep"),
+        F.count_if("c.threaded").alias("n_threaded"), middle("c.deep").alias("deep_median"), middle("NOT c.deep").alias("regular_median"),
+    )
+    return found.select("key", "head.*", *(F.when(F.col("listed"), F.col(c)).alias(c) for c in ("n_cards", "n_deep")), "n_threaded", "deep_median", "regular_median")
+
+
+def advisory_days(docs: DataFrame, config: dict = CONFIG) -> DataFrame:
+    """One row a day: counts, medians and the window against that of the day before."""
     said = lambda x: f"trim(coalesce({x}, ''))"
-    d = d.withColumn("all", F.expr(every)).withColumn("deep", F.expr(f"transform(filter(all, c -> coalesce(c.deep, false)), c -> {chars})")).withColumn("regular", F.expr(f"transform(filter(all, c -> NOT coalesce(c.deep, false)), c -> {chars})"))
+    d = _with_card_counts(docs)
     d = d.withColumn("notes", F.expr(f"transform(overview.pulse, p -> length({said('p.note')}))"))
-    old = d.select(F.date_add("day", 1).alias("day"), F.expr(_time("window.`to`")).alias("prev_to_ts"), F.lit(True).alias("has_previous"))
+    before = docs.select("key", F.date_add(F.try_to_timestamp("doc.date").cast("date"), 1).alias("day"), F.expr(_time("doc.window.`to`")).alias("prev_to_ts")).distinct()
+    old = before.drop("key").withColumn("has_previous", F.lit(True))
     start, end = F.expr(_time("window.`from`")), F.expr(_time("window.`to`"))
     thin = f"""filter(overview.watchReview, w -> {said("coalesce(w.w, IF(w.note IS NOT NULL, w.t, NULL))")} = '' OR {said("IF(w.w IS NOT NULL, w.t, w.note)")} = '')"""
     empty = [f"IF({said(c)} = '', 1, 0)" for c in ("weekday", "stamp", "headline")] + ["IF(coalesce(cards, 0) <= 0, 1, 0)"] + [f"IF(coalesce(size(overview.{c}), 0) <= 0, 1, 0)" for c in ("watch", "pulse", "snap")]
     rows = d.join(old, "day", "left").select(
-        "key", F.size("all").alias("n_cards"), _n("overview.watchReview").alias("n_verdicts"), _any("overview.watchReview", f"w -> w.verdict = '{config['undecided']}'").alias("n_undecided"),
+        "key", "n_cards", _n("overview.watchReview").alias("n_verdicts"), _any("overview.watchReview", f"w -> w.verdict = '{config['undecided']}'").alias("n_undecided"),
         _any("overview.watchReview", f"w -> NOT coalesce(array_contains({_quoted(config['verdicts'])}, w.verdict), false)").alias("n_bad_verdicts"), F.coalesce("has_previous", F.lit(False)).alias("has_previous"),
         _n("overview.snap").alias("n_snap"), _n("overview.takeaways").alias("n_takeaways"), _n("overview.pulse").alias("n_pulse"), F.col("overview.thermo.level").alias("level"),
         F.expr(f"coalesce(transform(overview.pulse, p -> p.k) = {_quoted(config['pulse_keys'])}, true)").alias("sections_in_order"),
         _any("overview.pulse", f"p -> NOT coalesce(array_contains({_quoted(config['tones'])}, p.dir), false)").alias("n_bad_dirs"),
-        F.expr(f"IF(size(deep) > 0, {middle('deep')}, NULL)").alias("deep_median"), F.expr(f"IF(size(regular) > 0, {middle('regular')}, NULL)").alias("regular_median"), F.size("deep").alias("n_deep"),
-        F.expr(" + ".join(empty)).alias("n_empty_index_fields"), _any("all", "c -> c.thread IS NOT NULL AND c.thread <> ''").alias("n_threaded"), _n("overview.pulse").alias("n_notes"),
+        "deep_median", "regular_median", "n_deep",
+        F.expr(" + ".join(empty)).alias("n_empty_index_fields"), "n_threaded", _n("overview.pulse").alias("n_notes"),
         F.expr(f"coalesce(size(filter(notes, n -> n = 0)), 0) + coalesce(size({thin}), 0)").alias("n_notes_missing"), F.array_min("notes").alias("note_chars_low"), F.array_max("notes").alias("note_chars_high"),
         F.expr("size(filter(overview.takeaways, t -> t RLIKE '<b>|<strong>')) / nullif(size(overview.takeaways), 0)").alias("bold_share"), F.col("window.`from`").alias("from_ts"),
         F.expr("CAST(try_to_timestamp(window.`to`) + INTERVAL 8 HOURS AS DATE)").alias("to_date"), F.col("day").alias("date"), "prev_to_ts", start.alias("window_start"), end.alias("window_end"),

@@ -159,7 +159,12 @@ x AS (SELECT strftime(v.day, '%Y-%m-%d') AS key, v.*, CASE WHEN path = 'manual'
 TONES, TAGS, KEYS = C["tones"], C["tags"], C["pulse_keys"]
 
 
+#: Fixed value: about so many cards are in a part of a document.
+PART = 500
+
+
 def advisory_documents(spark, d) -> DataFrame:
+    """A document for each day, in parts: the events of a day are dealt by hash, and what is shuffled are events, not cards or documents."""
     e = table(spark, d, "events").select("event_id", "ts", "event_type", F.to_date("ts").alias("day")).withColumn("dom", F.dayofmonth("day"))
     iso = """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")"""
     card = f"""named_struct('title', 'e' || event_id, 'url', CASE event_id % 9 WHEN 0 THEN 'https://a.com/markets/' WHEN 1 THEN 'https://a.com' ELSE 'https://a.com/x/' || (event_id % 500) END, 'src', IF(event_id % 29 = 0, ' ', 'a'),
@@ -167,8 +172,10 @@ def advisory_documents(spark, d) -> DataFrame:
         'tagcls', {words(TAGS, 'event_id % 3')}, 'body', IF(event_id % 50 = 0, parse_json('["x"]'), parse_json('"' || repeat('b', CAST(event_id % 400 AS INT)) || '"')), 'bullets', IF(event_id % 3 = 0, array('c', 'dd'), NULL),
         'base', event_id % 100 = 0, 'deep', event_id % 30 = 0, 'thread', IF(event_id % 25 = 0, 't', NULL))"""
     label = "IF(event_type = 'error' AND dom % 5 = 0, 'stray', event_type)"
-    g = e.groupBy("day", "dom", F.expr(label).alias("label")).agg(F.expr(f"collect_list({card})").alias("cards"))
-    days = g.groupBy("day", "dom").agg(F.expr("collect_list(named_struct('label', label, 'cards', cards))").alias("groups"), F.expr("sum(size(cards))").alias("n"))
+    sizes = e.groupBy(F.col("day").alias("of")).agg(F.count("*").alias("n"))
+    dealt = e.join(F.broadcast(sizes), F.col("day").eqNullSafe(F.col("of"))).withColumn("part", F.pmod(F.xxhash64("event_id", "ts"), F.ceil(F.col("n") / PART))).repartition("day", "part")
+    g = dealt.groupBy("day", "dom", "n", "part").agg(F.expr(f"collect_list(named_struct('label', {label}, 'card', {card}))").alias("found"))
+    days = g.withColumn("groups", F.expr("transform(array_sort(array_distinct(found.label)), l -> named_struct('label', l, 'cards', transform(filter(found, x -> x.label <=> l), x -> x.card)))"))
     pulse = ", ".join(f"named_struct('k', IF(dom % 8 = 0, '{KEYS[5 - i]}', '{k}'), 'dir', IF(dom % 14 = {i}, 'x', 'up'), 'note', repeat('n', IF(dom % 16 = {i}, 0, dom + 10)))" for i, k in enumerate(KEYS))
     fields = f"""'date', CAST(day AS STRING), 'weekday', IF(dom % 12 = 0, ' ', 'day'), 'stamp', 's', 'headline', 'h', 'cards', n, 'now', CAST(day AS STRING) || 'T23:00:00+08:00',
         'window', named_struct('from', CAST(date_sub(day, 1) AS STRING) || IF(dom % 15 = 0, 'T07:00:01+08:00', 'T07:00:00+08:00'), 'to', CAST(day AS STRING) || IF(dom % 6 = 0, 'T06:30:00+08:00', 'T14:00:00+08:00')),
