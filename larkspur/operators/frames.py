@@ -203,7 +203,6 @@ def cards(docs: DataFrame, exempt: list[str] = ()) -> DataFrame:
     """One row a card, with whether its address stood in the document of the day before."""
     d = docs.select("key", F.try_to_timestamp("doc.date").cast("date").alias("day"), "doc.*")
     flat = d.select("*", F.explode(F.expr("flatten(filter(transform(sections, s -> flatten(filter(transform(s.groups, g -> transform(g.cards, c -> struct(g.label AS label, c AS c))), x -> x IS NOT NULL))), x -> x IS NOT NULL))")).alias("x"))
-    flat = flat.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("x.label", "x.c.title", "x.c.url")))
     old = flat.select(F.date_add("day", 1).alias("day"), F.col("x.c.url").alias("url"), F.lit(True).alias("in_previous")).where("url IS NOT NULL").distinct()
     days = d.select(F.date_add("day", 1).alias("day"), F.lit(True).alias("has_previous")).distinct()
     time = lambda x: F.expr(_time(x))

@@ -1,9 +1,12 @@
 """Large advisories come in parts: their frames are those of whole documents, and no row holds all cards of a day."""
 
-from test_frames import levels, read
+import pytest
+from test_frames import read
+from test_oracles import SF as SMALL
+from test_oracles import duck, plain  # noqa: F401
 
 from larkspur.operators import frames
-from larkspur.plans import documents
+from larkspur.plans import documents, registry
 
 SF = "/root/testdata/sf0.01"
 HEAD = {"weekday": "day", "stamp": "s", "headline": "h", "window": {"from": "2026-08-19T07:00:00+08:00", "to": "2026-08-20T14:00:00+08:00"}, "now": "2026-08-21T23:00:00+08:00"}
@@ -46,3 +49,18 @@ def test_no_row_holds_a_day(spark, monkeypatch):
     monkeypatch.setattr(documents, "PART", 20)
     sizes = [r.n for r in documents.advisory_documents(spark, SF).selectExpr("aggregate(flatten(transform(doc.sections, s -> transform(s.groups, g -> size(g.cards)))), 0, (a, n) -> a + n) AS n").collect()]
     assert sum(sizes) == 10000 and max(sizes) < 60
+
+
+def test_cards_and_groups_of_parts(spark):
+    cut, whole = deck()
+    plan = read(spark, "plan", {"groups": [{"name": "x", "floor": {"weekday": 8, "weekend": 8}, "base": True}, {"name": "z"}]})
+    for f in (frames.cards, lambda docs: frames.groups(docs, plan)):
+        got, want = (sorted(map(str, f(parts(spark, *x)).collect())) for x in (cut, whole))
+        assert got == want and len(set(got)) == len(got) > 8
+
+
+@pytest.mark.parametrize("name", ["rules_nested_cards", "rules_nested_groups", "rules_nested_advisory_days"])
+def test_queries_of_many_parts(spark, duck, monkeypatch, name):  # noqa: F811
+    monkeypatch.setattr(documents, "PART", 4)
+    assert documents.advisory_documents(spark, SMALL).count() > 150
+    assert plain(registry.QUERIES[name](spark, SMALL).toPandas()) == plain(duck.execute(registry.ORACLES[name]).df())
